@@ -1,0 +1,73 @@
+"""Replacing whole days of a table without ever losing the earlier rows.
+
+A table is two folders. `data/ver=<version>/<day column>=<day>/` holds the rows of one write
+and `commits/` one row per (day, version), written after the data. Readers take, for each
+day, the version committed last. A write that fails leaves no commit, so the earlier rows
+stay visible; a day that turns out empty is committed too, so its earlier rows disappear.
+"""
+
+from datetime import date, datetime, timezone
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marketpulse.schemas import COMMITS
+
+
+def committed_versions(spark, table):
+    """The current version of each day."""
+    commits = spark.read.schema(COMMITS).parquet(f"{table}/commits")
+    return commits.groupBy("day").agg(
+        F.max_by("ver", F.struct("committed_at", "ver")).alias("ver")
+    )
+
+
+def replace_days(rows, table, days, version, day_column="report_date"):
+    """Make `rows` the content of `days`; `version` must be new for the table.
+
+    A repeat of a version that failed before its commit overwrites what it left behind.
+    """
+    spark = rows.sparkSession
+    days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
+    if _is_committed(spark, table, version):
+        raise ValueError(f"version {version} is already committed")
+    wanted = rows.where(F.col(day_column).isin(days))
+    if len(days) > 1:
+        # Bring each day's rows together before the per-day folders; AQE splits big days.
+        wanted = wanted.hint("rebalance", day_column)
+    wanted.write.mode("overwrite").partitionBy(day_column).parquet(f"{table}/data/ver={version}")
+    now = datetime.now(timezone.utc)
+    commit = spark.createDataFrame([(d, version, now) for d in days], COMMITS)
+    commit.coalesce(1).write.mode("append").parquet(f"{table}/commits")
+
+
+def _is_committed(spark, table, version):
+    if not _exists(spark, f"{table}/commits"):
+        return False
+    commits = spark.read.schema(COMMITS).parquet(f"{table}/commits")
+    return not commits.where(F.col("ver") == version).isEmpty()
+
+
+def _exists(spark, path):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(hadoop_path)
+
+
+def read_latest(spark, table, schema, day_column="report_date", day=None):
+    """The current rows of the table, or of one day.
+
+    The commit list is small and joins on the two folder columns, so Spark can prune the
+    folders of superseded versions at run time.
+    """
+    if not _exists(spark, f"{table}/commits"):
+        return spark.createDataFrame([], schema)
+    layout = T.StructType(schema.fields + [T.StructField("ver", T.StringType())])
+    current = committed_versions(spark, table)
+    rows = spark.read.schema(layout).parquet(f"{table}/data")
+    if day is not None:
+        day = F.lit(day).cast("date")
+        current = current.where(F.col("day") == day)
+        rows = rows.where(F.col(day_column) == day)
+    kept = (rows[day_column] == current["day"]) & (rows["ver"] == current["ver"])
+    return rows.join(current, kept, "left_semi").select(*schema.fieldNames())
