@@ -6,7 +6,9 @@ responses. The SQL counterpart of each is in `oracle.py`.
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from marketpulse.functions import parse_records
 from marketpulse.plans import article_rows, story_rows
 from marketpulse.sources import shape_articles, shape_stories
 from marketpulse.sources.frames import ISO_MICROS
@@ -85,12 +87,16 @@ def frames(events):
     )
 
 
+def _keyed(events):
+    """Events with `k` read from their JSON once."""
+    return parse_records(events, "props", StructType([StructField("k", LongType())]), ["*"])
+
+
 def story_items(events):
     """Landed story items, one per event: repeated ids, other types, blank titles, empty
     and missing links, missing scores and authors, and text cut off in the middle.
     One feed per day, in event order."""
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
-    user = F.col("user_id")
+    events, k, user = _keyed(events), F.col("k"), F.col("user_id")
     item = F.struct(
         k.alias("id"),
         F.when(F.col("event_type") == "error", "job").otherwise("story").alias("type"),

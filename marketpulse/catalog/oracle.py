@@ -18,6 +18,8 @@ TICKS = """ticks AS (
          value + 5.0 AS high, greatest(value - 5.0, 0.0) AS low, ts AS event_time,
          CAST(event_id & 2147483647 AS INTEGER) AS seq
   FROM events)"""
+# The valid ticks, as silver keeps them.
+VALID = TICKS + ",\nvalid AS (SELECT * FROM ticks WHERE price > 0)"
 
 ITEMS = """numbered AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
@@ -111,13 +113,13 @@ _BARS = f"""SELECT symbol, date_trunc('minute', event_time) AS minute_bucket,
        arg_min(price, (event_time, seq)) AS open_price, max(price) AS high_price,
        min(price) AS low_price, arg_max(price, (event_time, seq)) AS close_price,
        {_half_up("avg(price)", 2)} AS avg_price, count(price) AS trade_count
-FROM ticks WHERE price > 0 GROUP BY 1, 2"""
+FROM valid GROUP BY 1, 2"""
 
 _AVERAGES = ", ".join(
     f"avg(price) FILTER (WHERE symbol = '{symbol}') AS {name}_avg_price"
     for name, symbol in PRODUCTS.items()
 )
-DAILY = f"daily AS (SELECT CAST(event_time AS DATE) AS report_date, {_AVERAGES} FROM ticks GROUP BY 1)"
+DAILY = f"daily AS (SELECT CAST(event_time AS DATE) AS report_date, {_AVERAGES} FROM valid GROUP BY 1)"
 _CHANGE = _half_up(
     "(d.btc_avg_price - p.btc_avg_price) / nullif(p.btc_avg_price, 0) * 100", 2
 )
@@ -139,7 +141,7 @@ _INSIGHT = f"""top_hn_story, hn_max_score, total_articles, all_articles,
 
 
 def _insights(*post_parts, where="TRUE"):
-    return [*post_parts, _summary(where), TICKS, DAILY, PRICES, HEADLINES]
+    return [*post_parts, _summary(where), VALID, DAILY, PRICES, HEADLINES]
 
 
 def _one_day(parts):
@@ -194,11 +196,11 @@ FROM items WHERE broken"""),
        'hackernews' AS source, 'story' AS content_type, fetched_at
 FROM items WHERE is_story AND NOT broken AND CAST(fetched_at AS DATE) = DATE '{DAY}'"""),
     "silver_scan": _with(*ALL_POSTS, then=f"SELECT * FROM posts WHERE run_date = DATE '{DAY}'"),
-    "prices_by_day": _with(TICKS, then=f"SELECT * FROM ticks WHERE CAST(event_time AS DATE) = DATE '{DAY}'"),
+    "prices_by_day": _with(VALID, then=f"SELECT * FROM valid WHERE CAST(event_time AS DATE) = DATE '{DAY}'"),
     "json_extract": """SELECT event_id, json_extract_string(props, '$.k') AS k_text,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int, CAST(NULL AS VARCHAR) AS absent,
-       CAST(NULL AS VARCHAR) AS k_cut, CAST(NULL AS VARCHAR) AS id_null,
-       CAST(NULL AS INTEGER) AS k_bad, value AS v_double FROM events""",
+       CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END AS k_cut, CAST(NULL AS VARCHAR) AS id_null,
+       CASE WHEN event_type <> 'error' THEN 7 END AS k_mixed, value AS v_double FROM events""",
     "to_json_roundtrip": """SELECT event_id,
        '{"id":"' || event_id || '","title":"it''s a \\"quoted\\" title","url":"' || event_type
        || '","score":"' || value || '"}' AS json,
@@ -242,11 +244,11 @@ FROM (SELECT run_date, count(*) AS records_fetched FROM (
         SELECT CAST(fetched_at AS DATE) AS run_date FROM items WHERE is_story AND NOT broken
         UNION ALL SELECT CAST(fetched_at AS DATE) FROM editions) GROUP BY 1) f
 FULL JOIN (SELECT run_date, count(*) AS records_loaded FROM posts GROUP BY 1) l ON l.run_date = f.run_date"""),
-    "ohlc_1m": _with(TICKS, then=_BARS),
+    "ohlc_1m": _with(VALID, then=_BARS),
     "ohlc_latest": """SELECT event_type AS symbol, date_trunc('hour', ts) AS minute_bucket,
        arg_max(value, event_id) AS close_price FROM events GROUP BY 1, 2""",
-    "symbol_daily_avg": _with(TICKS, DAILY, then=f"SELECT report_date, {_ROUNDED} FROM daily"),
-    "day_over_day": _with(TICKS, DAILY, PRICES, then=f"""SELECT report_date,
+    "symbol_daily_avg": _with(VALID, DAILY, then=f"SELECT report_date, {_ROUNDED} FROM daily"),
+    "day_over_day": _with(VALID, DAILY, PRICES, then=f"""SELECT report_date,
        {_half_up("btc_avg_price", 6)} AS avg_price, btc_price_change AS price_change
 FROM prices WHERE btc_avg_price IS NOT NULL"""),
     "daily_insights_all": _with(*_insights(*ALL_POSTS), then=f"""SELECT
@@ -270,7 +272,7 @@ FULL JOIN (SELECT ds, string_agg('{"title":' || to_json(title) || ',"source":' |
                         max(fetched_at) OVER (PARTITION BY CAST(fetched_at AS DATE)) AS last_fetch
                  FROM editions)
            WHERE fetched_at = last_fetch GROUP BY 1) a ON a.ds = s.ds"""),
-    "replace_day": _with(TICKS, DAILY, then=f"SELECT report_date, {_ROUNDED} FROM daily"),
+    "replace_day": _with(VALID, DAILY, then=f"SELECT report_date, {_ROUNDED} FROM daily"),
     "batch_day": _one_day([
         ITEMS.replace("ts AS fetched_at", "date_trunc('day', ts) AS fetched_at"), EDITIONS,
         *_insights(
@@ -280,7 +282,7 @@ FULL JOIN (SELECT ds, string_agg('{"title":' || to_json(title) || ',"source":' |
     "stream_bronze_ticks": _with(TICKS, then="SELECT *, CAST(event_time AS DATE) AS event_date FROM ticks"),
     "stream_silver_prices": _with(FRAMES, then="""SELECT symbol, price, volume, high, low,
        ts AS event_time, CAST(ts AS DATE) AS event_date FROM frames"""),
-    "stream_ohlc": _with(TICKS, then=_BARS),
-    "stream_ohlc_final": _with(TICKS, then=f"""SELECT * FROM ({_BARS})
-WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(event_time) FROM ticks) - INTERVAL 30 SECOND"""),
+    "stream_ohlc": _with(VALID, then=_BARS),
+    "stream_ohlc_final": _with(VALID, then=f"""SELECT * FROM ({_BARS})
+WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(event_time) FROM valid) - INTERVAL 30 SECOND"""),
 }

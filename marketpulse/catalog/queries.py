@@ -14,6 +14,7 @@ from marketpulse.functions import (
 from marketpulse.plans.silver import (
     article_versions, best_stories, latest_articles, story_versions,
 )
+from marketpulse.sources.messages import valid_ticks
 from marketpulse.workspace import scratch_dir
 
 QUERIES = {}
@@ -44,8 +45,9 @@ def pages(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
 
-def ticks(spark, sf_dir):
-    return inputs.ticks(events(spark, sf_dir))
+def prices(spark, sf_dir):
+    """The valid ticks, as silver keeps them."""
+    return valid_ticks(inputs.ticks(events(spark, sf_dir)))
 
 
 def posts(spark, sf_dir):
@@ -105,7 +107,7 @@ def silver_scan(spark, sf_dir):
 
 @query
 def prices_by_day(spark, sf_dir):
-    return operators.by_day(ticks(spark, sf_dir), DAY)
+    return operators.by_day(prices(spark, sf_dir), DAY)
 
 
 # --- scalar functions ------------------------------------------------------------------
@@ -114,13 +116,16 @@ def prices_by_day(spark, sf_dir):
 @query
 def json_extract(spark, sf_dir):
     whole = F.col("props")
-    cut = F.substring("props", 1, 4)
-    odd = F.concat(F.lit('{"k": "n/a", "id": null, "v": '), F.col("value").cast("string"), F.lit("}"))
+    cut = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(whole)
+    number = F.when(F.col("event_type") == "error", '"n/a"').otherwise("7")
+    odd = F.concat(
+        F.lit('{"k": '), number, F.lit(', "id": null, "v": '), F.col("value").cast("string"), F.lit("}")
+    )
     return events(spark, sf_dir).select(
         "event_id",
         *json_fields(whole, k_text=("$.k", "string"), k_int=("$.k", "int"), absent=("$.nope", "string")),
         *json_fields(cut, k_cut=("$.k", "string")),
-        *json_fields(odd, id_null=("$.id", "string"), k_bad=("$.k", "int"), v_double=("$.v", "double")),
+        *json_fields(odd, id_null=("$.id", "string"), k_mixed=("$.k", "int"), v_double=("$.v", "double")),
     )
 
 
@@ -235,7 +240,7 @@ def run_audit(spark, sf_dir):
 
 @query
 def ohlc_1m(spark, sf_dir):
-    return operators.bars(ticks(spark, sf_dir))
+    return operators.bars(prices(spark, sf_dir))
 
 
 @query
@@ -252,12 +257,12 @@ def ohlc_latest(spark, sf_dir):
 
 @query
 def symbol_daily_avg(spark, sf_dir):
-    return rounded(operators.symbol_daily_avg(ticks(spark, sf_dir), PRODUCTS), *AVERAGES)
+    return rounded(operators.symbol_daily_avg(prices(spark, sf_dir), PRODUCTS), *AVERAGES)
 
 
 @query
 def day_over_day(spark, sf_dir):
-    return rounded(operators.day_over_day(ticks(spark, sf_dir), PRODUCTS["btc"]), "avg_price")
+    return rounded(operators.day_over_day(prices(spark, sf_dir), PRODUCTS["btc"]), "avg_price")
 
 
 # --- insights --------------------------------------------------------------------------
@@ -266,13 +271,13 @@ def day_over_day(spark, sf_dir):
 @query
 def daily_insights_all(spark, sf_dir):
     summary = plans.source_summary(posts(spark, sf_dir))
-    return rounded(plans.insights_all(summary, ticks(spark, sf_dir), PRODUCTS), *AVERAGES)
+    return rounded(plans.insights_all(summary, prices(spark, sf_dir), PRODUCTS), *AVERAGES)
 
 
 @query
 def daily_insights(spark, sf_dir):
     summary = plans.source_summary(posts(spark, sf_dir))
-    return rounded(plans.daily_insights(summary, ticks(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
+    return rounded(plans.daily_insights(summary, prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
 
 
 @query
@@ -280,13 +285,13 @@ def insight_empty_news(spark, sf_dir):
     """The day's news has not been loaded yet; its prices have."""
     earlier = posts(spark, sf_dir).where(F.col("run_date") < F.lit(DAY).cast("date"))
     summary = plans.source_summary(earlier)
-    return rounded(plans.daily_insights(summary, ticks(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
+    return rounded(plans.daily_insights(summary, prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
 
 
 @query
 def insight_report(spark, sf_dir):
     summary = plans.source_summary(posts(spark, sf_dir))
-    return plans.insight_report(plans.insights_all(summary, ticks(spark, sf_dir), PRODUCTS))
+    return plans.insight_report(plans.insights_all(summary, prices(spark, sf_dir), PRODUCTS))
 
 
 @query
@@ -304,7 +309,7 @@ def daily_document(spark, sf_dir):
 def replace_day(spark, sf_dir):
     """All days written once, then all days replaced by averages of the price alone."""
     where = scratch_dir(spark, "replace-day")
-    daily = operators.symbol_daily_avg(ticks(spark, sf_dir), PRODUCTS)
+    daily = operators.symbol_daily_avg(prices(spark, sf_dir), PRODUCTS)
     days = [row.report_date for row in daily.select("report_date").collect()]
     sinks.replace_days(daily.withColumns({c: F.lit(0.0) for c in AVERAGES}), where, days, "first")
     sinks.replace_days(daily, where, days, "second")
@@ -319,7 +324,7 @@ def batch_day(spark, sf_dir):
     articles = inputs.article_pages(pages(spark, sf_dir)).where(F.to_date("fetched_at") == day)
     insight = plans.run_batch(
         spark, scratch_dir(spark, "batch-day"), DAY, "run-1", feed, articles,
-        ticks(spark, sf_dir), products=PRODUCTS,
+        prices(spark, sf_dir), products=PRODUCTS,
     )
     return rounded(insight.drop("loaded_at"), *AVERAGES)
 
