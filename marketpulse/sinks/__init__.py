@@ -1,8 +1,10 @@
-from marketpulse.sinks.append import append_bronze, append_ticks
+from marketpulse.sinks.append import append_bronze
 from marketpulse.sinks.audit import append_audit, audit_by_day
-from marketpulse.sinks.versioned import committed_versions, read_latest, replace_days
+from marketpulse.sinks.versioned import (
+    committed_versions, drop_superseded, read_latest, replace_days,
+)
 
 __all__ = [
-    "append_audit", "append_bronze", "append_ticks", "audit_by_day", "committed_versions",
-    "read_latest", "replace_days",
+    "append_audit", "append_bronze", "audit_by_day", "committed_versions",
+    "drop_superseded", "read_latest", "replace_days",
 ]

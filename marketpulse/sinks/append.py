@@ -1,21 +1,6 @@
-"""Append-only tables."""
-
-from pyspark.sql import functions as F
+"""The append-only bronze table."""
 
 
 def append_bronze(rows, path):
     """Add fetched rows below fetch_date= and source= folders."""
     rows.write.mode("append").partitionBy("fetch_date", "source").parquet(path)
-
-
-def append_ticks(ticks, path):
-    """Add ticks below event_date= folders.
-
-    The rebalance hint brings a day's rows together so that a backfill of many days does
-    not write one small file per task and day; a day too big for one task is split.
-    """
-    dated = ticks.withColumn("event_date", F.to_date("event_time"))
-    (
-        dated.hint("rebalance", "event_date")
-        .write.mode("append").partitionBy("event_date").parquet(path)
-    )

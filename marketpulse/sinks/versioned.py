@@ -15,8 +15,12 @@ from marketpulse.schemas import COMMITS
 
 
 def committed_versions(spark, table):
-    """The current version of each day."""
-    commits = spark.read.schema(COMMITS).parquet(f"{table}/commits")
+    """The current version of each day.
+
+    The comparison holds for every row. It is there because Spark only prunes folders at
+    run time by a side that has a comparison on it.
+    """
+    commits = spark.read.schema(COMMITS).parquet(f"{table}/commits").where(F.col("ver") != "")
     return commits.groupBy("day").agg(
         F.max_by("ver", F.struct("committed_at", "ver")).alias("ver")
     )
@@ -48,12 +52,29 @@ def _is_committed(spark, table, version):
     return not commits.where(F.col("ver") == version).isEmpty()
 
 
-def _exists(spark, path):
+def _files(spark, path):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark, path):
+    files, hadoop_path = _files(spark, path)
     return files.exists(hadoop_path)
 
 
+def drop_superseded(spark, table, before):
+    """Remove the data of versions committed before `before` that no day uses any more.
+
+    Versions without a commit stay, since their write may still be running.
+    """
+    commits = spark.read.schema(COMMITS).parquet(f"{table}/commits")
+    settled = commits.groupBy("ver").agg(F.max("committed_at").alias("at")).where(F.col("at") < before)
+    unused = settled.join(committed_versions(spark, table), "ver", "left_anti")
+    for row in unused.select("ver").toLocalIterator():
+        files, folder = _files(spark, f"{table}/data/ver={row.ver}")
+        files.delete(folder, True)
+
+
 def read_latest(spark, table, schema, day_column="report_date", day=None):
     """The current rows of the table, or of one day.
 

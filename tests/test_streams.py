@@ -1,0 +1,167 @@
+import json
+import os
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import utc, values
+from marketpulse import schemas, streaming
+from marketpulse.operators import bars
+from marketpulse.sources import file_values, parse_ticks
+from marketpulse.sources.messages import valid_ticks
+
+START = utc("2026-02-19T10:00:00")
+
+
+def message(symbol, price, at, **more):
+    moment = (START + timedelta(seconds=at)).replace(tzinfo=None).isoformat()
+    return json.dumps({"symbol": symbol, "price": price, "volume": 1, "high": 2, "low": 0, "timestamp": moment, **more})
+
+
+class Landing:
+    """A folder that messages arrive in, one file per arrival."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.arrived = spark, str(folder), 0
+
+    def add(self, *messages):
+        rows = [(m, self.arrived * 1000 + n) for n, m in enumerate(messages)]
+        frame = self.spark.createDataFrame(rows, "value string, seq int").coalesce(1)
+        frame.write.mode("append").parquet(self.folder)
+        self.arrived += 1
+        # the stream takes files by age; set it to the order of arrival
+        newest = max(
+            (os.path.join(self.folder, n) for n in os.listdir(self.folder) if n.endswith(".parquet")),
+            key=os.path.getctime,
+        )
+        os.utime(newest, (1.7e9 + self.arrived, 1.7e9 + self.arrived))
+
+    def stream(self):
+        return file_values(self.spark, self.folder, max_files=1)
+
+    def batch(self):
+        return parse_ticks(self.spark.read.schema("value string, seq int").parquet(self.folder))
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    return Landing(spark, tmp_path / "landing")
+
+
+@pytest.fixture
+def out(tmp_path):
+    return lambda name: (f"{tmp_path}/{name}", f"{tmp_path}/checkpoints/{name}")
+
+
+def ticks_table(spark, path):
+    return spark.read.schema(schemas.TICKS_BY_DAY).parquet(path)
+
+
+def test_changed_bars_equal_the_batch_result(spark, landing, out):
+    for part in range(4):
+        # each arrival overlaps the one before, within the lateness of 30 s
+        landing.add(*[message("AB"[n % 2], float(n * 7 % 13 + part + 1), 20 * part + n) for n in range(40)])
+    path, checkpoint = out("bars")
+    q = streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None)
+    q.awaitTermination()
+    emitted = streaming.bar_updates(spark, path)
+    latest = streaming.latest_bars(spark, path)
+    assert emitted.count() > latest.count()
+    assert values(latest) == values(bars(valid_ticks(landing.batch())), *latest.columns)
+
+
+def test_late_ticks_change_bars_only_up_to_the_watermark(spark, landing, out):
+    landing.add(message("A", 1.0, 0), message("A", 1.0, 300))
+    landing.add(message("A", 2.0, 5))      # the watermark this batch runs with is still unset
+    landing.add(message("A", 3.0, 6))      # now it is at 270 s
+    path, checkpoint = out("bars")
+    q = streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None)
+    q.awaitTermination()
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+    assert dropped >= 1
+    first = streaming.latest_bars(spark, path).where(F.col("minute_bucket") == F.lit(START))
+    assert 3.0 not in [v for r in values(first, "high_price") for v in r]
+
+
+def test_silver_keeps_late_ticks_and_drops_invalid_ones(spark, landing, out):
+    landing.add(message("A", 1.0, 300))
+    landing.add(message("A", 2.0, 600), message("A", 0.0, 601), message(None, 1.0, 602), "{broken")
+    landing.add(message("A", 3.0, 5))
+    path, checkpoint = out("silver")
+    streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    table = ticks_table(spark, path)
+    assert values(table, "price", "event_date") == [(1.0, "2026-02-19"), (2.0, "2026-02-19"), (3.0, "2026-02-19")]
+    assert table.where("loaded_at IS NULL").count() == 0
+
+
+def test_final_bars_come_once_after_the_watermark(spark, landing, out):
+    landing.add(message("A", 1.0, 0), message("A", 4.0, 59))
+    landing.add(message("A", 2.0, 61))
+    landing.add(message("A", 9.0, 10_000))
+    path, checkpoint = out("final")
+    streaming.start_bars_final(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    final = spark.read.schema(schemas.BARS).parquet(path)
+    assert values(final, "open_price", "close_price", "trade_count") == [(1.0, 4.0, 2), (2.0, 2.0, 1)]
+
+
+def test_restart_continues_from_the_checkpoint(spark, landing, out):
+    path, checkpoint = out("bronze")
+    bars_path, bars_checkpoint = out("bars")
+    for part in range(3):
+        landing.add(message("A", float(part + 1), part), message("B", 1.0, 10 * part))
+        streaming.start_bronze(landing.stream(), path, checkpoint, every=None).awaitTermination()
+        streaming.start_bars(parse_ticks(landing.stream()), bars_path, bars_checkpoint, every=None).awaitTermination()
+    assert ticks_table(spark, path).count() == 6
+    assert values(streaming.latest_bars(spark, bars_path)) == values(
+        bars(landing.batch()), *streaming.latest_bars(spark, bars_path).columns
+    )
+
+
+def test_repeated_micro_batch_leaves_no_second_copy(spark, landing, out):
+    landing.add(message("A", 1.0, 0))
+    path, checkpoint = out("bars")
+
+    def once():
+        streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+
+    once()
+    before = values(streaming.bar_updates(spark, path))
+    # as after a crash between the write and the commit of the micro-batch
+    for name in os.listdir(f"{checkpoint}/commits"):
+        os.remove(f"{checkpoint}/commits/{name}")
+    once()
+    assert values(streaming.bar_updates(spark, path)) == before
+
+
+def test_streams_together(spark, landing, tmp_path):
+    for part in range(3):
+        landing.add(*[message("AB"[n % 2], float(n + 1), n * 5 + part) for n in range(20)])
+    landing.add(message("A", 0.0, 7))
+    running = streaming.start_streams(spark, landing.stream(), str(tmp_path), None, None)
+    for q in running.values():
+        q.awaitTermination()
+    assert ticks_table(spark, f"{tmp_path}/bronze_ticks").count() == 61
+    assert ticks_table(spark, f"{tmp_path}/silver_prices").count() == 60
+    latest = streaming.latest_bars(spark, f"{tmp_path}/bars")
+    assert values(latest) == values(bars(valid_ticks(landing.batch())), *latest.columns)
+
+
+def test_streams_on_a_rhythm(spark, landing, out):
+    landing.add(message("A", 1.0, 0))
+    path, checkpoint = out("silver")
+    q = streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every="1 second")
+    try:
+        q.processAllAvailable()
+        landing.add(message("A", 2.0, 1))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert values(ticks_table(spark, path), "price") == [(1.0,), (2.0,)]
+
+
+def test_empty_source_writes_nothing(spark, landing, out):
+    landing.add("{not a tick")
+    path, checkpoint = out("silver")
+    streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    assert ticks_table(spark, path).count() == 0
