@@ -10,7 +10,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from marketpulse.functions import parse_records
 from marketpulse.plans import article_rows, story_rows
-from marketpulse.sources import shape_articles, shape_stories
+from marketpulse.schemas import STORY_ITEM
+from marketpulse.sources.feeds import article_records, story_records
 from marketpulse.sources.frames import ISO_MICROS
 from marketpulse.sources.messages import int_seq
 
@@ -92,30 +93,36 @@ def _keyed(events):
     return parse_records(events, "props", StructType([StructField("k", LongType())]), ["*"])
 
 
-def story_items(events):
-    """Landed story items, one per event: repeated ids, other types, blank titles, empty
-    and missing links, missing scores and authors, and text cut off in the middle.
-    One feed per day, in event order."""
+def story_fields(events):
+    """Story items, one per event: repeated ids, other types, blank titles, empty and
+    missing links, missing scores and authors. `cut_off` marks those whose text breaks
+    off in the middle. One feed per day, in event order."""
     events, k, user = _keyed(events), F.col("k"), F.col("user_id")
-    item = F.struct(
+    title = F.concat(
+        F.lit("  Story "), k.cast("string"), F.lit(" by user "), user.cast("string"), F.lit(" ")
+    )
+    link = F.concat(F.lit(" https://news.example.com/item/"), k.cast("string"))
+    feed = Window.partitionBy(F.to_date("ts")).orderBy("ts", "event_id")
+    return events.select(
+        _event_time().alias("fetched_at"),
+        F.row_number().over(feed).alias("feed_pos"),
+        (user % 97 == 5).alias("cut_off"),
         k.alias("id"),
         F.when(F.col("event_type") == "error", "job").otherwise("story").alias("type"),
-        F.when(k % 25 == 7, "   ")
-        .otherwise(F.concat(F.lit("  Story "), k.cast("string"), F.lit(" by user "), user.cast("string"), F.lit(" ")))
-        .alias("title"),
-        F.when(k % 10 == 3, "")
-        .when(k % 10 != 4, F.concat(F.lit(" https://news.example.com/item/"), k.cast("string")))
-        .alias("url"),
+        F.when(k % 25 == 7, "   ").otherwise(title).alias("title"),
+        F.when(k % 10 == 3, "").when(k % 10 != 4, link).alias("url"),
         F.when(user % 50 != 0, F.floor("value").cast("int")).alias("score"),
         F.when(user % 40 != 9, F.concat(F.lit("user"), user.cast("string"))).alias("by"),
         F.unix_seconds(_event_time()).alias("time"),
     )
-    text = F.when(user % 97 == 5, F.lit('{"id": 1, "title": "cut o')).otherwise(F.to_json(item))
-    feed = Window.partitionBy(F.to_date("ts")).orderBy("ts", "event_id")
-    return events.select(
-        _event_time().alias("fetched_at"),
-        F.row_number().over(feed).alias("feed_pos"),
-        text.alias("value"),
+
+
+def story_items(events):
+    """The items as landed text."""
+    item = F.to_json(F.struct(*STORY_ITEM.fieldNames()))
+    return story_fields(events).select(
+        "fetched_at", "feed_pos",
+        F.when(F.col("cut_off"), '{"id": 1, "title": "cut o').otherwise(item).alias("value"),
     )
 
 
@@ -139,36 +146,36 @@ def page_time():
     return F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 780)
 
 
-def article_pages(pages):
+def article_lists(pages):
     """One response per page row with two editions of its article. Some second editions
     have an unreadable date; some articles have a blank title or an empty link."""
     page = F.col("page_id")
     title = F.when(page % 13 == 5, "  ").otherwise(headline())
     link = F.when(page % 11 == 4, "").otherwise(F.concat(F.lit(" "), F.col("url")))
     body = F.regexp_extract("html", "<p>([^<]*)</p>", 1)
-    publisher = F.struct(host().alias("name"))
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    fetched = page_time()
+    first_date = F.date_format(page_time() - F.expr("INTERVAL 1 HOUR"), iso)
+    second_date = F.when(page % 7 == 2, "unknown").otherwise(F.date_format(page_time(), iso))
 
     def edition(title, published):
         return F.struct(
             title.alias("title"), body.alias("description"), link.alias("url"),
-            published.alias("publishedAt"), publisher.alias("source"),
+            published.alias("publishedAt"), F.struct(host().alias("name")).alias("source"),
         )
 
-    first = edition(title, F.date_format(fetched - F.expr("INTERVAL 1 HOUR"), iso))
-    second = edition(
-        F.concat(F.lit("Update: "), title),
-        F.when(page % 7 == 2, "unknown").otherwise(F.date_format(fetched, iso)),
-    )
-    return pages.select(
-        fetched.alias("fetched_at"),
-        F.to_json(F.struct(F.array(first, second).alias("articles"))).alias("value"),
+    editions = F.array(
+        edition(title, first_date), edition(F.concat(F.lit("Update: "), title), second_date)
     )
+    return pages.select(page_time().alias("fetched_at"), editions.alias("articles"))
+
+
+def article_pages(pages):
+    """The responses as landed text."""
+    return article_lists(pages).select("fetched_at", F.to_json(F.struct("articles")).alias("value"))
 
 
 def bronze_posts(spark, sf_dir):
     """Bronze rows of both feeds over all events and pages, without a cut by feed place."""
-    stories = shape_stories(story_items(table(spark, sf_dir, "events")), limit=None)
-    articles = shape_articles(article_pages(table(spark, sf_dir, "pages")), limit=None)
-    return story_rows(stories).unionByName(article_rows(articles))
+    items = story_fields(table(spark, sf_dir, "events")).where(~F.col("cut_off"))
+    lists = article_lists(table(spark, sf_dir, "pages"))
+    return story_rows(story_records(items)).unionByName(article_rows(article_records(lists, None)))

@@ -20,8 +20,13 @@ def shape_stories(raw, limit=30, only_type="story", fields=None):
     if limit is not None:
         raw = raw.where(F.col("feed_pos") <= limit)
     items = parse_records(raw, "value", STORY_ITEM, ["fetched_at", "feed_pos"])
-    items = items.where("id IS NOT NULL" if only_type is None else F.col("type") == only_type)
-    records = items.select(
+    return _pick(story_records(items, only_type), fields)
+
+
+def story_records(items, only_type="story"):
+    """Parsed items of the wanted type, with defaults for missing fields."""
+    wanted = F.col("id").isNotNull() if only_type is None else F.col("type") == only_type
+    return items.where(wanted).select(
         "fetched_at", "feed_pos",
         F.col("id").try_cast("bigint").alias("id"),
         F.coalesce("title", F.lit("")).alias("title"),
@@ -30,16 +35,20 @@ def shape_stories(raw, limit=30, only_type="story", fields=None):
         F.coalesce("by", F.lit("unknown")).alias("by"),
         F.coalesce(F.col("time").try_cast("bigint"), F.lit(0)).alias("time"),
     )
-    return records if fields is None else records.select("fetched_at", "feed_pos", *fields)
 
 
 def shape_articles(raw, limit=30, fields=None):
     """Article records from response pages; `feed_pos` is the place on the page, from 1."""
     pages = parse_records(raw, "value", ARTICLE_PAGE, ["fetched_at"])
+    return _pick(article_records(pages, limit), fields)
+
+
+def article_records(pages, limit=30):
+    """The articles of parsed pages, with the nested publisher name flattened."""
     listed = pages.select("fetched_at", F.posexplode("articles").alias("place", "article"))
     if limit is not None:
         listed = listed.where(F.col("place") < limit)
-    records = listed.select(
+    return listed.select(
         "fetched_at",
         (F.col("place") + 1).alias("feed_pos"),
         F.coalesce("article.title", F.lit("")).alias("title"),
@@ -48,4 +57,7 @@ def shape_articles(raw, limit=30, fields=None):
         F.col("article.source.name").alias("source"),
         F.coalesce("article.publishedAt", F.lit("")).alias("published_at"),
     )
+
+
+def _pick(records, fields):
     return records if fields is None else records.select("fetched_at", "feed_pos", *fields)
