@@ -307,12 +307,12 @@ def daily_document(spark, sf_dir):
 
 @query
 def replace_day(spark, sf_dir):
-    """All days written once, then all days replaced by averages of the price alone."""
+    """All days written as zeros, then replaced by their averages."""
     where = scratch_dir(spark, "replace-day")
     daily = operators.symbol_daily_avg(prices(spark, sf_dir), PRODUCTS)
-    days = [row.report_date for row in daily.select("report_date").collect()]
-    sinks.replace_days(daily.withColumns({c: F.lit(0.0) for c in AVERAGES}), where, days, "first")
-    sinks.replace_days(daily, where, days, "second")
+    zeros = daily.withColumns({c: F.lit(0.0) for c in AVERAGES})
+    sinks.replace_days(zeros, where, "first")
+    sinks.replace_days(daily, where, "second")
     return rounded(sinks.read_latest(spark, where, daily.schema), *AVERAGES)
 
 

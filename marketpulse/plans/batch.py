@@ -22,20 +22,24 @@ def table_paths(root):
     return {name: f"{root}/{name}" for name in names}
 
 
-def run_batch(spark, root, day, run_id, raw_stories, raw_articles, ticks, limit=30,
+def run_batch(spark, root, logical_time, run_id, raw_stories, raw_articles, ticks, limit=30,
               products=PRODUCTS, change_of="btc"):
-    """Land the feeds of `day`, then rebuild its silver, gold and insight rows.
+    """Land both feeds, then rebuild the silver, gold and insight rows of their day.
 
+    The rows belong to the date of `logical_time` (UTC), whenever the run takes place.
     `run_id` names the version of every table and must be new in each attempt. The raw
-    feeds hold what was fetched for `day`; `ticks` is the silver price table.
+    feeds hold what was fetched for this run; `ticks` is the silver price table.
     """
     paths = table_paths(root)
+    logical = datetime.fromisoformat(str(logical_time))
+    logical = logical if logical.tzinfo else logical.replace(tzinfo=timezone.utc)
+    day = logical.astimezone(timezone.utc).date()
     started = datetime.now(timezone.utc)
     measured = {"fetched": 0, "loaded": 0}
 
     def publish(rows, name, day_column, schema):
         stamped = rows.withColumn("loaded_at", F.lit(started))
-        replace_days(stamped, paths[name], [day], run_id, day_column)
+        replace_days(stamped, paths[name], run_id, [day], day_column)
         return read_latest(spark, paths[name], schema, day_column, day)
 
     def counted(rows, name):
@@ -44,14 +48,15 @@ def run_batch(spark, root, day, run_id, raw_stories, raw_articles, ticks, limit=
 
     def close(status):
         append_audit(
-            spark, paths["run_audit"], run_id, JOB,
-            datetime.fromisoformat(str(day)).replace(tzinfo=timezone.utc),
+            spark, paths["run_audit"], run_id, JOB, logical,
             measured["fetched"], measured["loaded"], status, started, datetime.now(timezone.utc),
         )
 
     try:
-        landed = story_rows(shape_stories(raw_stories, limit)).unionByName(
-            article_rows(shape_articles(raw_articles, limit))
+        stories, articles = shape_stories(raw_stories, limit), shape_articles(raw_articles, limit)
+        at = F.lit(logical)
+        landed = story_rows(stories.withColumn("fetched_at", at)).unionByName(
+            article_rows(articles.withColumn("fetched_at", at))
         )
         seen, landed = counted(landed, "fetched")
         append_bronze(landed, paths["bronze_posts"])

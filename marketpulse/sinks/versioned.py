@@ -26,23 +26,34 @@ def committed_versions(spark, table):
     )
 
 
-def replace_days(rows, table, days, version, day_column="report_date"):
+def replace_days(rows, table, version, days=None, day_column="report_date"):
     """Make `rows` the content of `days`; `version` must be new for the table.
 
-    A repeat of a version that failed before its commit overwrites what it left behind.
+    Listed days without rows become empty. Without a list, the days that occur in `rows`
+    are replaced. A repeat of a version that failed before its commit overwrites what it
+    left behind.
     """
     spark = rows.sparkSession
-    days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
     if _is_committed(spark, table, version):
         raise ValueError(f"version {version} is already committed")
-    wanted = rows.where(F.col(day_column).isin(days))
-    if len(days) > 1:
+    if days is not None:
+        days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
+        rows = rows.where(F.col(day_column).isin(days))
+    if days is None or len(days) > 1:
         # Bring each day's rows together before the per-day folders; AQE splits big days.
-        wanted = wanted.hint("rebalance", day_column)
-    wanted.write.mode("overwrite").partitionBy(day_column).parquet(f"{table}/data/ver={version}")
-    now = datetime.now(timezone.utc)
-    commit = spark.createDataFrame([(d, version, now) for d in days], COMMITS)
-    commit.coalesce(1).write.mode("append").parquet(f"{table}/commits")
+        rows = rows.hint("rebalance", day_column)
+    data = f"{table}/data/ver={version}"
+    rows.write.mode("overwrite").partitionBy(day_column).parquet(data)
+    if days is None:
+        # Only the folder names are read: the day is not stored in the files.
+        stored = spark.read.schema(T.StructType([T.StructField(day_column, T.DateType())]))
+        replaced = stored.parquet(data).select(F.col(day_column).alias("day")).distinct()
+    else:
+        listed = T.StructType([T.StructField("day", T.DateType())])
+        replaced = spark.createDataFrame([(d,) for d in days], listed)
+    now = F.lit(datetime.now(timezone.utc))
+    commits = replaced.select("day", F.lit(version).alias("ver"), now.alias("committed_at"))
+    commits.coalesce(1).write.mode("append").parquet(f"{table}/commits")
 
 
 def _is_committed(spark, table, version):

@@ -29,7 +29,7 @@ def rows(spark, *pairs):
 def table(spark, tmp_path):
     path = f"{tmp_path}/t"
     replace_days(
-        rows(spark, ("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")), path, ["2026-02-18", "2026-02-19"], "v1"
+        rows(spark, ("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")), path, "v1", ["2026-02-18", "2026-02-19"]
     )
     return path
 
@@ -39,7 +39,7 @@ def current(spark, path, day=None):
 
 
 def test_days_are_replaced_one_by_one(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"], "v2")
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("c", 3, "2026-02-19")]
     assert current(spark, table, "2026-02-19") == [("c", 3, "2026-02-19")]
     assert values(committed_versions(spark, table)) == [("2026-02-18", "v1"), ("2026-02-19", "v2")]
@@ -47,12 +47,12 @@ def test_days_are_replaced_one_by_one(spark, table):
 
 def test_rerun_gives_the_same_rows(spark, table):
     for version in ("v2", "v3"):
-        replace_days(rows(spark, ("b", 2, "2026-02-19")), table, ["2026-02-19"], version)
+        replace_days(rows(spark, ("b", 2, "2026-02-19")), table, version, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")]
 
 
 def test_a_day_can_become_empty(spark, table):
-    replace_days(rows(spark), table, ["2026-02-19"], "v2")
+    replace_days(rows(spark), table, "v2", ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18")]
 
 
@@ -61,9 +61,9 @@ def test_failed_write_keeps_the_earlier_rows_and_can_be_repeated(spark, table):
         "n", F.when(F.col("n") == 3, F.raise_error(F.lit("boom")).cast("int"))
     )
     with pytest.raises(Exception, match="boom"):
-        replace_days(failing, table, ["2026-02-19"], "v2")
+        replace_days(failing, table, "v2", ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")]
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"], "v2")
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
     assert current(spark, table, "2026-02-19") == [("c", 3, "2026-02-19")]
 
 
@@ -74,11 +74,19 @@ def test_rows_written_without_a_commit_are_not_read(spark, table):
 
 def test_a_version_is_used_once(spark, table):
     with pytest.raises(ValueError, match="already committed"):
-        replace_days(rows(spark), table, ["2026-02-19"], "v1")
+        replace_days(rows(spark), table, "v1", ["2026-02-19"])
+
+
+def test_without_a_list_the_days_of_the_rows_are_replaced(spark, table):
+    more = rows(spark, ("c", 3, "2026-02-19"), ("d", 4, "2026-02-19"), ("e", 5, "2026-02-21"))
+    replace_days(more, table, "v2")
+    assert current(spark, table) == [
+        ("a", 1, "2026-02-18"), ("c", 3, "2026-02-19"), ("d", 4, "2026-02-19"), ("e", 5, "2026-02-21")
+    ]
 
 
 def test_rows_of_other_days_are_left_out(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19"), ("q", 4, "2026-02-21")), table, ["2026-02-19"], "v2")
+    replace_days(rows(spark, ("c", 3, "2026-02-19"), ("q", 4, "2026-02-21")), table, "v2", ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("c", 3, "2026-02-19")]
 
 
@@ -87,16 +95,16 @@ def test_reading_a_table_that_does_not_exist_yet(spark, tmp_path):
 
 
 def test_whole_table_read_prunes_superseded_folders(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"], "v2")
-    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, ["2026-02-19"], "v3")
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, "v3", ["2026-02-19"])
     everything = read_latest(spark, table, SCHEMA)
     # one run-time filter on the day folders and one on the version folders
     assert plan(everything).count("SubqueryAdaptiveBroadcast dynamicpruning") == 2
 
 
 def test_clean_up_keeps_what_is_in_use(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"], "v2")
-    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, ["2026-02-19"], "v3")
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, "v3", ["2026-02-19"])
     rows(spark, ("z", 9, "2026-02-19")).write.partitionBy("report_date").parquet(f"{table}/data/ver=running")
     folders = lambda: sorted(p for p in os.listdir(f"{table}/data") if p.startswith("ver="))
     drop_superseded(spark, table, utc("2020-01-01T00:00:00"))
@@ -132,10 +140,10 @@ def article(url, title="T - Site"):
     return {"title": title, "description": "d", "url": url, "publishedAt": "2026-02-19T08:00:00Z", "source": {"name": "Site"}}
 
 
-def run(spark, root, run_id, items, articles, ticks, day="2026-02-19"):
-    # fetched just after midnight of the next wall-clock day would still carry this day
-    stories = feed(spark, items).withColumn("fetched_at", F.lit(f"{day} 23:45:00").cast("timestamp"))
-    return plans.run_batch(spark, root, day, run_id, stories, articles, ticks)
+def run(spark, root, run_id, items, articles, ticks):
+    # the 23:45 run takes place, and fetches, after midnight
+    stories = feed(spark, items).withColumn("fetched_at", F.lit("2026-02-20 00:12:00").cast("timestamp"))
+    return plans.run_batch(spark, root, "2026-02-19T23:45:00", run_id, stories, articles, ticks)
 
 
 def no_ticks(spark):
@@ -164,7 +172,7 @@ def test_batch_chain_and_its_rerun(spark, tmp_path):
     ]
     audit = spark.read.schema(schemas.RUN_AUDIT).parquet(paths["run_audit"])
     assert values(audit, "run_id", "records_fetched", "records_loaded", "status", "execution_date") == [
-        ("r1", 6, 3, "SUCCESS", "2026-02-19 00:00:00"), ("r2", 4, 3, "SUCCESS", "2026-02-19 00:00:00")
+        ("r1", 6, 3, "SUCCESS", "2026-02-19 23:45:00"), ("r2", 4, 3, "SUCCESS", "2026-02-19 23:45:00")
     ]
 
 
