@@ -49,8 +49,7 @@ def replace_days(rows, table, version, days=None, day_column="report_date"):
         stored = spark.read.schema(T.StructType([T.StructField(day_column, T.DateType())]))
         replaced = stored.parquet(data).select(F.col(day_column).alias("day")).distinct()
     else:
-        listed = T.StructType([T.StructField("day", T.DateType())])
-        replaced = spark.createDataFrame([(d,) for d in days], listed)
+        replaced = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("day"))
     now = F.lit(datetime.now(timezone.utc))
     commits = replaced.select("day", F.lit(version).alias("ver"), now.alias("committed_at"))
     commits.coalesce(1).write.mode("append").parquet(f"{table}/commits")
