@@ -323,8 +323,8 @@ def batch_day(spark, sf_dir):
     feed = inputs.daily_feed(events(spark, sf_dir)).where(F.to_date("fetched_at") == day)
     articles = inputs.article_pages(pages(spark, sf_dir)).where(F.to_date("fetched_at") == day)
     insight = plans.run_batch(
-        spark, scratch_dir(spark, "batch-day"), DAY, "run-1", feed, articles,
-        prices(spark, sf_dir), products=PRODUCTS,
+        spark, scratch_dir(spark, "batch-day"), DAY, feed, articles, prices(spark, sf_dir),
+        products=PRODUCTS,
     )
     return rounded(insight.drop("loaded_at"), *AVERAGES)
 

@@ -52,10 +52,10 @@ def bars(ticks, every=timedelta(minutes=1)):
 
 
 def latest_versions(updates, keys, version="batch_id"):
-    """The last version of each key, for tables that receive changed rows as new rows."""
+    """The last version of each key, for tables that receive changed rows as new rows.
+
+    A key has each version once, so taking every column by itself gives one and the same
+    row, and plain numbers then aggregate by hash where a struct would be sorted.
+    """
     rest = [c for c in updates.columns if c not in keys and c != version]
-    return (
-        updates.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), version).alias("latest"))
-        .select(*keys, "latest.*")
-    )
+    return updates.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in rest])

@@ -1,5 +1,6 @@
 """The batch chain for one logical date, with a table after each step."""
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Observation
@@ -22,14 +23,16 @@ def table_paths(root):
     return {name: f"{root}/{name}" for name in names}
 
 
-def run_batch(spark, root, logical_time, run_id, raw_stories, raw_articles, ticks, limit=30,
-              products=PRODUCTS, change_of="btc"):
+def run_batch(spark, root, logical_time, raw_stories, raw_articles, ticks, run_id=None,
+              limit=30, products=PRODUCTS, change_of="btc"):
     """Land both feeds, then rebuild the silver, gold and insight rows of their day.
 
     The rows belong to the date of `logical_time` (UTC), whenever the run takes place.
-    `run_id` names the version of every table and must be new in each attempt. The raw
-    feeds hold what was fetched for this run; `ticks` is the silver price table.
+    The raw feeds hold what was fetched for this run; `ticks` is the silver price table.
+    `run_id` names the version of every table and must be new in each attempt; by default
+    it is random.
     """
+    run_id = run_id or uuid.uuid4().hex
     paths = table_paths(root)
     logical = datetime.fromisoformat(str(logical_time))
     logical = logical if logical.tzinfo else logical.replace(tzinfo=timezone.utc)

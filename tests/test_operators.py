@@ -71,9 +71,12 @@ def test_top_per_group(spark):
 
 def test_latest_versions(spark):
     rows = spark.createDataFrame(
-        [("A", 1, 0, 5.0), ("A", 1, 2, 7.0), ("A", 2, 1, 1.0)], "symbol string, m int, batch_id long, x double"
+        [("A", 1, 0, 5.0, 1), ("A", 1, 2, None, 2), ("A", 1, 1, 6.0, 3), ("A", 2, 1, 1.0, 4)],
+        "symbol string, m int, batch_id long, x double, n int",
     )
-    assert values(latest_versions(rows, ["symbol", "m"])) == [("A", 1, 7.0), ("A", 2, 1.0)]
+    latest = latest_versions(rows, ["symbol", "m"])
+    assert values(latest) == [("A", 1, None, 2), ("A", 2, 1.0, 4)]
+    assert "SortAggregate" not in plan(latest)
 
 
 def priced(spark):

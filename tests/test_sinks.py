@@ -143,7 +143,7 @@ def article(url, title="T - Site"):
 def run(spark, root, run_id, items, articles, ticks):
     # the 23:45 run takes place, and fetches, after midnight
     stories = feed(spark, items).withColumn("fetched_at", F.lit("2026-02-20 00:12:00").cast("timestamp"))
-    return plans.run_batch(spark, root, "2026-02-19T23:45:00", run_id, stories, articles, ticks)
+    return plans.run_batch(spark, root, "2026-02-19T23:45:00", stories, articles, ticks, run_id)
 
 
 def no_ticks(spark):
@@ -182,7 +182,7 @@ def test_batch_chain_without_any_news(spark, tmp_path):
     )
     empty = raw_articles(spark, "2026-02-19T23:45:00")
     stories = spark.createDataFrame([], "fetched_at timestamp, feed_pos int, value string")
-    row = plans.run_batch(spark, str(tmp_path), "2026-02-19", "r1", stories, empty, ticks).first()
+    row = plans.run_batch(spark, str(tmp_path), "2026-02-19", stories, empty, ticks).first()
     assert (row.top_hn_story, row.total_articles, row.btc_avg_price) == (None, None, 2.0)
 
 

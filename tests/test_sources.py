@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import utc, values
-from marketpulse.sources import normalize_frames, parse_ticks, scan_day, shape_articles, shape_stories
+from marketpulse.sources import kafka_values, normalize_frames, parse_ticks, scan_day, shape_articles, shape_stories
 from marketpulse.sources.messages import int_seq, valid_ticks
 
 AT = utc("2026-02-19T10:00:00")
@@ -113,6 +113,37 @@ def test_arrival_number_fits_an_int(spark):
     assert values(rows.select(int_seq(F.col("o")).alias("s"))) == [(0,), (0,), (2147483647,), (5,)]
 
 
+class Recorder:
+    """Stands in for the stream reader and keeps what it is told."""
+
+    def __init__(self, frame):
+        self.frame, self.told = frame, {}
+
+    readStream = property(lambda self: self)
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.told[key] = value
+        return self
+
+    def load(self):
+        return self.frame
+
+
+def test_kafka_source(spark):
+    topic = spark.createDataFrame([(b"x", 2**33 + 7)], "value binary, offset long")
+    reader = Recorder(topic)
+    messages = kafka_values(reader, "broker:9092", "prices", max_per_trigger=1000)
+    assert reader.told == {
+        "format": "kafka", "kafka.bootstrap.servers": "broker:9092", "subscribe": "prices",
+        "startingOffsets": "latest", "maxOffsetsPerTrigger": 1000,
+    }
+    assert values(messages, "seq") == [(7,)]
+
+
 def test_day_scan_reads_one_folder(spark, tmp_path):
     from conftest import plan
 
