@@ -130,7 +130,7 @@ def day(text):
 
 def summary(spark):
     return spark.createDataFrame(
-        [(day("2026-02-19"), "hackernews", 47, 128.1, 572, "Gemini 3.1 Pro"),
+        [(day("2026-02-19"), "hackernews", 47, 128.1, 572, "A quiet release"),
          (day("2026-02-19"), "news_api", 46, 0.0, 0, "Article"),
          (day("2026-02-25"), "hackernews", 1, 1.0, 1, "Lonely")], SUMMARY,
     )
@@ -149,7 +149,7 @@ def test_report_without_a_day_before(spark):
     assert plans.insight_report(insight).first().report.split("\n") == [
         "=" * 60,
         "Date          : 2026-02-19",
-        "Top HN Story  : Gemini 3.1 Pro",
+        "Top HN Story  : A quiet release",
         "HN Score      : 572",
         "Total Articles: 47",
         "BTC Avg Price : $66,888.01",
@@ -203,9 +203,9 @@ def test_document_holds_the_last_fetch_in_feed_order(spark, tmp_path):
 
 def test_bronze_keys(spark):
     at = utc("2026-02-19T20:22:00")
-    stories = spark.createDataFrame([(at, 1, 42, "California's", "u", 1, "me", 0)],
+    stories = spark.createDataFrame([(at, 1, 42, "Ireland's", "u", 1, "me", 0)],
         "fetched_at timestamp, feed_pos int, id long, title string, url string, score int, by string, time long")
     row = plans.story_rows(stories).first()
     assert row.load_id == "HN_42_202602192022"
-    assert json.loads(row.raw_data) == {"id": 42, "title": "California's", "url": "u", "score": 1, "by": "me", "time": 0}
+    assert json.loads(row.raw_data) == {"id": 42, "title": "Ireland's", "url": "u", "score": 1, "by": "me", "time": 0}
     assert (row.source, row.content_type, str(row.fetch_date)) == ("hackernews", "story", "2026-02-19")
