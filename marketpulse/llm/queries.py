@@ -1,7 +1,11 @@
 """The operators as named queries over the test tables, and the SQL that gives the same rows."""
 
+from pyspark.sql import functions as F
+
+from marketpulse.llm.bpe import round_trip
 from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.sharding import assign_shards
+from marketpulse.llm.token_counts import token_counts
 
 QUERIES = {}
 ORACLE = {}
@@ -74,3 +78,25 @@ FROM summed JOIN placed USING (doc_id)
 @query("op3_sharding", SHARD_SQL)
 def op3_sharding(spark, sf_dir):
     return assign_shards(read(spark, sf_dir, "documents"), shards=16)
+
+
+def tokenizer_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark, sf_dir):
+    return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op8_bpe")
+def op8_bpe(spark, sf_dir):
+    both = round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
