@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from marketpulse.llm.bpe import round_trip
 from marketpulse.llm.exact_dedup import dedup_decisions
+from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.sharding import assign_shards
 from marketpulse.llm.token_counts import token_counts
+from marketpulse.llm.toxicity import toxic_documents
 
 QUERIES = {}
 ORACLE = {}
@@ -100,3 +102,13 @@ def op8_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return toxic_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
