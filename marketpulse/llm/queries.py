@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketpulse.llm.bpe import round_trip
+from marketpulse.llm.decontaminate import contaminated
 from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.sharding import assign_shards
@@ -112,3 +113,8 @@ def op1_license_scan(spark, sf_dir):
 @query("op6_toxicity")
 def op6_toxicity(spark, sf_dir):
     return toxic_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark, sf_dir):
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
