@@ -83,12 +83,3 @@ def mark_possible(df, key, bitmaps, bits, name, hashes=2):
     drop = [f"_{x}{i}" for i in range(hashes) for x in "bmc"]
     return df.withColumn(name, reduce(lambda a, b: a & b, flags)).drop(*drop)
 
-
-def possibly_in(df, key, keys, label, rows):
-    """Rows of `df` whose key may be among `keys` (a one-column DataFrame of `rows` rows):
-    a Bloom filter, so that the join that follows shuffles little else."""
-    bits = filter_bits(rows)
-    name = keys.columns[0]
-    positions = keys.select(F.explode(F.array(*cells(F.col(name), bits))).alias("cell"))
-    bitmaps = stored(bitmap_of(positions), label)
-    return mark_possible(df, key, bitmaps, bits, "_possible").where("_possible").drop("_possible")

@@ -7,6 +7,7 @@ from marketpulse.llm.decontaminate import contaminated
 from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.sharding import assign_shards
+from marketpulse.llm.simhash import near_duplicates
 from marketpulse.llm.token_counts import token_counts
 from marketpulse.llm.toxicity import toxic_documents
 
@@ -118,3 +119,8 @@ def op6_toxicity(spark, sf_dir):
 @query("op7_decontamination")
 def op7_decontamination(spark, sf_dir):
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"), width=3)
