@@ -6,6 +6,7 @@ from marketpulse.llm.bpe import round_trip
 from marketpulse.llm.decontaminate import contaminated
 from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.licenses import license_scan
+from marketpulse.llm.line_dedup import dedup_lines
 from marketpulse.llm.sharding import assign_shards
 from marketpulse.llm.simhash import near_duplicates
 from marketpulse.llm.token_counts import token_counts
@@ -124,3 +125,13 @@ def op7_decontamination(spark, sf_dir):
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), width=3)
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return dedup_lines(docs.select("doc_id", "text")).select(
+        "doc_id", "n_repeated", "n_near",
+        F.size(F.split("text", "\n")).cast("long").alias("n_lines_left"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
