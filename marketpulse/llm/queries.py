@@ -9,6 +9,7 @@ from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.line_dedup import dedup_lines
 from marketpulse.llm.sharding import assign_shards
 from marketpulse.llm.simhash import near_duplicates
+from marketpulse.llm.suffix_dedup import remove_repeats
 from marketpulse.llm.token_counts import token_counts
 from marketpulse.llm.toxicity import toxic_documents
 
@@ -135,3 +136,12 @@ def op10_line_dedup(spark, sf_dir):
         F.size(F.split("text", "\n")).cast("long").alias("n_lines_left"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark, sf_dir):
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
