@@ -186,6 +186,15 @@ def round_trip(docs, path):
     return _mapped(docs, path, "doc_id long, ids binary, decoded string", both)
 
 
+def token_digests(docs, path):
+    """doc_id, n_tokens, ids, and the SHA-256 of the ids and of the decoded text."""
+    return round_trip(docs, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def decode_documents(encoded, path):
     """doc_id and `decoded` from doc_id and `ids`; null ids give an empty text."""
     shared = broadcast_model(encoded.sparkSession, path)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marketpulse.llm.bpe import round_trip
+from marketpulse.llm.bpe import token_digests
 from marketpulse.llm.decontaminate import contaminated
 from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.licenses import license_scan
@@ -99,13 +99,7 @@ def op4_token_counts(spark, sf_dir):
 
 @query("op8_bpe")
 def op8_bpe(spark, sf_dir):
-    both = round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
-    return both.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return token_digests(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
 @query("op1_license_scan")
