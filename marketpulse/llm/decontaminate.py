@@ -246,5 +246,6 @@ def item_hits(items, text, least):
 def without_contaminated(docs, benchmark, **options):
     """The rows of `docs` that hold no test item, all columns. Rows that share an id with a
     contaminated one go with it; rows without an id are judged like any other."""
-    hits = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, F.equal_null(docs["doc_id"].cast("long"), F.col("_hit")), "left_anti")
+    hits = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("hit")).distinct()
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    return whole.join(hits, F.equal_null(F.col("doc.doc_id").cast("long"), F.col("hit")), "left_anti").select("doc.*")

@@ -153,7 +153,7 @@ def line_texts(docs, wanted):
             columns = [pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(texts, pa.string())]
             yield pa.record_batch(columns, ["high", "low", "line_text"])
 
-    one = found.dropDuplicates(["_row"]).select("text", "places")
+    one = found.dropDuplicates(["_row"]).select("_doc.text", "places")
     return stored(one.mapInArrow(run, "high long, low long, line_text string"), "lines-texts")
 
 
@@ -280,10 +280,9 @@ def dedup_lines(docs, least=LEAST_CHARACTERS):
     dropped = dropped_lines(docs, least)
     bitmaps, bits = filter_of(dropped.select("row"), "lines-rows")
     docs = docs.drop("n_repeated", "n_near")
-    columns = docs.columns
     marked = mark_possible(keyed(docs), F.col("_row"), bitmaps, bits, "_possible")
     zero = F.lit(0).cast("long")
-    clear = marked.where(~F.col("_possible")).select(*columns, zero.alias("n_repeated"), zero.alias("n_near"))
+    clear = marked.where(~F.col("_possible")).select("_doc.*", zero.alias("n_repeated"), zero.alias("n_near"))
 
     @F.pandas_udf("string")
     def without(text, repeated, near):
@@ -297,13 +296,11 @@ def dedup_lines(docs, least=LEAST_CHARACTERS):
 
         return pd.Series([rest(*x) for x in zip(text, repeated, near)], dtype=object)
 
-    gone = dropped.select(F.col("row").alias("_gone"), F.col("repeated").alias("_repeated"), F.col("near").alias("_near"))
-    found = marked.where("_possible").join(gone, F.col("_row") == F.col("_gone"), "left")
-    new = {"text": without(F.col("text").cast("string"), "_repeated", "_near")}
-    found = found.withColumns(new | {
-        f"n_{name}": F.coalesce(F.size(f"_{name}"), F.lit(0)).cast("long") for name in ("repeated", "near")
-    })
-    if "n_chars" in columns:
-        length = F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("n_chars", F.when(F.col("n_repeated") + F.col("n_near") > 0, length).otherwise(F.col("n_chars")))
-    return clear.unionAll(found.select(*columns, "n_repeated", "n_near"))
+    judged = marked.where("_possible").join(dropped, F.col("_row") == F.col("row"), "left")
+    judged = judged.withColumn("left", without(F.col("_doc.text").cast("string"), "repeated", "near"))
+    values = {c: F.col(f"_doc.`{c}`") for c in docs.columns} | {"text": F.col("left")}
+    if "n_chars" in values:
+        length = F.char_length("left").cast(docs.schema["n_chars"].dataType)
+        values["n_chars"] = F.when(F.col("row").isNotNull(), length).otherwise(values["n_chars"])
+    counts = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(f"n_{c}") for c in ("repeated", "near")]
+    return clear.unionAll(judged.select(*(value.alias(c) for c, value in values.items()), *counts))

@@ -8,10 +8,11 @@ from marketpulse.llm.common import (
 
 
 def keyed(docs):
-    """`docs` with `_row`, the key of each row by id and text (null text: empty)."""
+    """`_doc`, the whole row, and `_row`, its key by id and text (null text: empty). In a
+    struct no column of the input can clash with those that an operator adds."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plain = docs.select("*", F.col("doc_id").cast("long").alias("_id"), text.alias("_text"))
-    return plain.withColumn("_row", F.xxhash64("_id", "_text")).drop("_id", "_text")
+    row = F.xxhash64(F.col("doc_id").cast("long"), text)
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), row.alias("_row"))
 
 
 def filter_of(rows, label):
@@ -31,4 +32,4 @@ def without_rows(docs, dropped, repeated):
     marked = mark_possible(keyed(docs), F.col("_row"), bitmaps, bits, "_possible")
     clear = marked.where(~F.col("_possible"))
     judged = marked.where("_possible").join(dropped, F.col("_row") == F.col("row"), "left_anti")
-    return clear.unionAll(judged.dropDuplicates(["_row"])).drop("_row", "_possible")
+    return clear.unionAll(judged.dropDuplicates(["_row"])).select("_doc.*")

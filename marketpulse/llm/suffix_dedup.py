@@ -145,7 +145,8 @@ def sampled_buckets(docs):
 def suspects(docs, rows, label):
     """The documents with `_row` and `_possible`, false where a Bloom filter of `rows` clears one."""
     bitmaps, bits = filter_of(rows, label)
-    return mark_possible(keyed(documents(docs)), F.col("_row"), bitmaps, bits, "_possible")
+    marked = mark_possible(keyed(documents(docs)), F.col("_row"), bitmaps, bits, "_possible")
+    return marked.select("_doc.*", "_row", "_possible")
 
 
 def deep_buckets(docs, undecided):
