@@ -4,7 +4,8 @@
 responses. The SQL counterpart of each is in `oracle.py`.
 """
 
-from pyspark.sql import Window
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -13,10 +14,11 @@ from marketpulse.plans import article_rows, story_rows
 from marketpulse.schemas import STORY_ITEM
 from marketpulse.sources.feeds import article_records, story_records
 from marketpulse.sources.frames import ISO_MICROS
-from marketpulse.sources.messages import int_seq
 
 # The event types that stand for the three tracked products.
 PRODUCTS = {"btc": "purchase", "eth": "view", "sol": "click"}
+# Item texts that cannot be parsed.
+BROKEN = ['{"id": 1, "title": "cut o', "plain words", '[{"id": 1}, {', '{"id": 1, "title": }']
 # The day on which the one-day operators run.
 DAY = "2024-01-15"
 
@@ -31,25 +33,40 @@ def _event_time(column="ts"):
 
 def ticks(events):
     """Typed ticks, one per event."""
-    return events.select(
+    return events.select(*ticks_of())
+
+
+def ticks_of():
+    return [
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
         F.col("user_id").cast("double").alias("volume"),
         (F.col("value") + 5.0).alias("high"),
         F.greatest(F.col("value") - 5.0, F.lit(0.0)).alias("low"),
         _event_time().alias("event_time"),
-        int_seq(F.col("event_id")).alias("seq"),
-    )
+        F.col("event_id").alias("seq"),
+        F.lit(0).alias("part"),
+    ]
 
 
 def tick_messages(events):
-    """Ticks as message text, with naive ISO timestamps."""
-    t = ticks(events)
-    record = F.struct(
-        "symbol", "price", "volume", "high", "low",
-        F.date_format("event_time", ISO_MICROS).alias("timestamp"),
+    """Ticks as message text, with naive ISO timestamps. Some texts break off, some times
+    cannot be read, some prices are written as text or are not a number."""
+    user = F.col("user_id")
+    named = events.select(
+        *ticks_of(), (user % 37 == 3).alias("cut_off"), (user % 41 == 7).alias("undated"),
+        (user % 43 == 5).alias("quoted"), (user % 47 == 11).alias("no_number"),
+    )
+    price = F.when(F.col("no_number"), F.lit("NaN")).when(F.col("quoted"), F.col("price").cast("string"))
+    time = F.when(F.col("undated"), "soon").otherwise(F.date_format("event_time", ISO_MICROS))
+    rest = ["volume", "high", "low", time.alias("timestamp")]
+    as_number = F.to_json(F.struct("symbol", "price", *rest))
+    as_text = F.to_json(F.struct("symbol", price.alias("price"), *rest))
+    text = (
+        F.when(F.col("cut_off"), F.lit('{"symbol": "cut'))
+        .when(F.col("no_number") | F.col("quoted"), as_text).otherwise(as_number)
     )
-    return t.select(F.to_json(record).alias("value"), "seq")
+    return named.select(text.alias("value"), "seq", "part", F.col("event_time").alias("arrived_at"))
 
 
 def frames(events):
@@ -84,7 +101,7 @@ def frames(events):
     return events.select(
         F.when(kind == "error", reply).when(kind == "signup", nested).otherwise(top).alias("value"),
         _event_time().alias("received_at"),
-        int_seq(F.col("event_id")).alias("seq"),
+        F.col("event_id").alias("seq"),
     )
 
 
@@ -95,18 +112,17 @@ def _keyed(events):
 
 def story_fields(events):
     """Story items, one per event: repeated ids, other types, blank titles, empty and
-    missing links, missing scores and authors. `cut_off` marks those whose text breaks
-    off in the middle. One feed per day, in event order."""
+    missing links, missing scores and authors. `broken` numbers those whose text cannot be
+    parsed. A feed has 500 places; each event lands with its own."""
     events, k, user = _keyed(events), F.col("k"), F.col("user_id")
     title = F.concat(
         F.lit("  Story "), k.cast("string"), F.lit(" by user "), user.cast("string"), F.lit(" ")
     )
     link = F.concat(F.lit(" https://news.example.com/item/"), k.cast("string"))
-    feed = Window.partitionBy(F.to_date("ts")).orderBy("ts", "event_id")
     return events.select(
         _event_time().alias("fetched_at"),
-        F.row_number().over(feed).alias("feed_pos"),
-        (user % 97 == 5).alias("cut_off"),
+        (F.col("event_id") % 500 + 1).cast("int").alias("feed_pos"),
+        F.when(user % 97 == 5, F.col("event_id") % len(BROKEN)).alias("broken"),
         k.alias("id"),
         F.when(F.col("event_type") == "error", "job").otherwise("story").alias("type"),
         F.when(k % 25 == 7, "   ").otherwise(title).alias("title"),
@@ -122,7 +138,8 @@ def story_items(events):
     item = F.to_json(F.struct(*STORY_ITEM.fieldNames()))
     return story_fields(events).select(
         "fetched_at", "feed_pos",
-        F.when(F.col("cut_off"), '{"id": 1, "title": "cut o').otherwise(item).alias("value"),
+        reduce(lambda a, i: a.when(F.col("broken") == i, BROKEN[i]), range(1, len(BROKEN)), F.when(F.col("broken") == 0, BROKEN[0]))
+        .otherwise(item).alias("value"),
     )
 
 
@@ -146,13 +163,26 @@ def page_time():
     return F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 780)
 
 
+# Parts of a page that are not its text, and the entities in it; `&amp;` comes last.
+NOT_TEXT = ["(?s)<head.*?</head>", "(?s)<script.*?</script>", "(?s)<style.*?</style>", "(?s)<!--.*?-->", "<[^>]*>"]
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+WHITE = "[ \\t\\n\\r]+"
+
+
+def page_text():
+    """The whole text of a page without its markup."""
+    text = reduce(lambda t, part: F.regexp_replace(t, part, " "), NOT_TEXT, F.col("html"))
+    text = reduce(lambda t, e: F.replace(t, F.lit(e), F.lit(ENTITIES[e])), ENTITIES, text)
+    return F.trim(F.regexp_replace(text, WHITE, " "))
+
+
 def article_lists(pages):
     """One response per page row with two editions of its article. Some second editions
     have an unreadable date; some articles have a blank title or an empty link."""
     page = F.col("page_id")
     title = F.when(page % 13 == 5, "  ").otherwise(headline())
     link = F.when(page % 11 == 4, "").otherwise(F.concat(F.lit(" "), F.col("url")))
-    body = F.regexp_extract("html", "<p>([^<]*)</p>", 1)
+    body = page_text()
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     first_date = F.date_format(page_time() - F.expr("INTERVAL 1 HOUR"), iso)
     second_date = F.when(page % 7 == 2, "unknown").otherwise(F.date_format(page_time(), iso))
@@ -174,8 +204,27 @@ def article_pages(pages):
     return article_lists(pages).select("fetched_at", F.to_json(F.struct("articles")).alias("value"))
 
 
+def long_pages(pages, articles=40):
+    """Responses of `articles` pages each, one article per page, in the order of page_id."""
+    page = F.col("page_id")
+    article = F.struct(
+        page.alias("place"),
+        F.struct(
+            headline().alias("title"), page_text().alias("description"), F.col("url").alias("url"),
+            F.date_format(page_time(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.struct(host().alias("name")).alias("source"),
+        ).alias("article"),
+    )
+    response = F.floor(page / articles)
+    listed = pages.groupBy(response.alias("response")).agg(F.sort_array(F.collect_list(article)).alias("listed"))
+    return listed.select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("response") * 900).alias("fetched_at"),
+        F.to_json(F.struct(F.col("listed.article").alias("articles"))).alias("value"),
+    )
+
+
 def bronze_posts(spark, sf_dir):
     """Bronze rows of both feeds over all events and pages, without a cut by feed place."""
-    items = story_fields(table(spark, sf_dir, "events")).where(~F.col("cut_off"))
+    items = story_fields(table(spark, sf_dir, "events")).where(F.col("broken").isNull())
     lists = article_lists(table(spark, sf_dir, "pages"))
-    return story_rows(story_records(items)).unionByName(article_rows(article_records(lists, None)))
+    return story_rows(story_records(items)).unionByName(article_rows(article_records(lists)))

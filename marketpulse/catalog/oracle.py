@@ -1,6 +1,8 @@
 """The SQL counterpart of each query, over the same tables."""
 
-from marketpulse.catalog.inputs import DAY, PRODUCTS
+from functools import reduce
+
+from marketpulse.catalog.inputs import BROKEN, DAY, ENTITIES, NOT_TEXT, PRODUCTS, WHITE
 
 
 def _half_up(value, digits):
@@ -16,14 +18,25 @@ def _with(*parts, then):
 TICKS = """ticks AS (
   SELECT event_type AS symbol, value AS price, CAST(user_id AS DOUBLE) AS volume,
          value + 5.0 AS high, greatest(value - 5.0, 0.0) AS low, ts AS event_time,
-         CAST(event_id & 2147483647 AS INTEGER) AS seq
+         event_id AS seq, 0 AS part
   FROM events)"""
+# What can be read of each tick message, and which of these are valid ticks.
+MESSAGES = """messages AS (
+  SELECT CASE WHEN cut THEN '{"symbol": "cut' END AS value, CASE WHEN NOT cut THEN event_type END AS symbol,
+         CASE WHEN cut THEN NULL WHEN user_id % 47 = 11 THEN -1.0 ELSE value END AS price,
+         CASE WHEN NOT cut THEN CAST(user_id AS DOUBLE) END AS volume,
+         CASE WHEN NOT cut THEN value + 5.0 END AS high,
+         CASE WHEN NOT cut THEN greatest(value - 5.0, 0.0) END AS low,
+         CASE WHEN NOT cut AND user_id % 41 <> 7 THEN ts END AS event_time, event_id AS seq, 0 AS part, ts
+  FROM (SELECT *, user_id % 37 = 3 AS cut FROM events))"""
+VALID_MESSAGES = MESSAGES + """,
+valid AS (SELECT * FROM messages WHERE price > 0 AND symbol IS NOT NULL AND event_time IS NOT NULL)"""
 # The valid ticks, as silver keeps them.
 VALID = TICKS + ",\nvalid AS (SELECT * FROM ticks WHERE price > 0)"
 
 ITEMS = """numbered AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-         row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS feed_pos
+         CAST(event_id % 500 + 1 AS INTEGER) AS feed_pos
   FROM events),
 items AS (
   SELECT ts AS fetched_at, feed_pos, k AS id, event_type <> 'error' AS is_story,
@@ -34,9 +47,18 @@ items AS (
          CASE WHEN user_id % 50 <> 0 THEN CAST(floor(value) AS INTEGER) ELSE 0 END AS score,
          CASE WHEN user_id % 40 <> 9 THEN 'user' || user_id ELSE 'unknown' END AS author,
          epoch_us(ts) // 1000000 AS seconds,
-         user_id % 97 = 5 AS broken
+         user_id % 97 = 5 AS broken, event_id
   FROM numbered)"""
 
+_BROKEN = f"list_extract([{', '.join(repr(b) for b in BROKEN)}], event_id % {len(BROKEN)} + 1)"
+_BARE = reduce(lambda t, part: f"regexp_replace({t}, '{part}', ' ', 'g')", NOT_TEXT, "html")
+_PLAIN = reduce(
+    lambda t, e: f"replace({t}, '{e}', '{ENTITIES[e].replace(chr(39), chr(39) * 2)}')", ENTITIES, _BARE
+)
+PAGE_TEXT = f"trim(regexp_replace({_PLAIN}, '{WHITE}', ' ', 'g'))"
+
+ITEMS_BY_DAY = ITEMS.replace("ts AS fetched_at", "date_trunc('day', ts) AS fetched_at")
+
 EDITIONS = """articles AS (
   SELECT page_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(page_id * 13 AS INTEGER)) AS fetched_at,
          regexp_extract(url, '^https?://([^/?#]+)', 1) AS publisher,
@@ -44,7 +66,7 @@ EDITIONS = """articles AS (
               ELSE regexp_extract(html, '<title>([^<]*)</title>', 1) || ' - '
                    || regexp_extract(url, '^https?://([^/?#]+)', 1) END AS title,
          CASE WHEN page_id % 11 = 4 THEN '' ELSE ' ' || url END AS url,
-         regexp_extract(html, '<p>([^<]*)</p>', 1) AS description
+         """ + PAGE_TEXT + """ AS description
   FROM pages),
 editions AS (
   SELECT fetched_at, 1 AS feed_pos, title, description, url, publisher,
@@ -88,6 +110,15 @@ def _article_versions(extra="TRUE"):
   WHERE trim(url) <> '' AND trim(regexp_replace(title, ' - [^-]+$', '')) <> '' AND {extra})"""
 
 
+def _fetched():
+    return """fetched AS (
+  SELECT CAST(fetched_at AS DATE) AS run_date, 'hackernews' AS source, url, title, score, fetched_at AS published_at
+  FROM items WHERE is_story AND NOT broken
+  UNION ALL
+  SELECT CAST(fetched_at AS DATE), 'news_api', url, regexp_replace(title, ' - [^-]+$', ''), 0, published_at
+  FROM editions)"""
+
+
 NEWS = """news AS (
   SELECT * FROM article_versions
   QUALIFY row_number() OVER (
@@ -155,6 +186,7 @@ def _money(column):
     return f"coalesce('$' || format('{{:,.2f}}', {_half_up(column, 2)}), 'N/A')"
 
 
+# The labels of the report.
 _REPORT = "\n       || ".join([
     "repeat('=', 60)",
     "chr(10) || 'Date          : ' || coalesce(h.report_date, p.report_date)",
@@ -177,26 +209,41 @@ FRAMES = """frames AS (
          CAST(CASE WHEN user_id % 3 = 0 THEN user_id * 100 ELSE user_id * 10 END AS DOUBLE) AS volume,
          CASE WHEN user_id % 3 = 0 THEN value + 7.0 ELSE value + 5.0 END AS high,
          CASE WHEN user_id % 3 = 0 THEN value ELSE 0.0 END AS low,
-         ts, CAST(event_id & 2147483647 AS INTEGER) AS seq
+         ts, event_id AS seq
   FROM events
   WHERE event_type <> 'error' AND user_id % 31 <> 4 AND user_id % 29 <> 6 AND value > 0)"""
 
+# The messages that are not valid ticks.
+_BAD = """SELECT CASE WHEN symbol IS NULL THEN 'unreadable' WHEN event_time IS NULL THEN 'no time'
+            ELSE 'no price' END AS reason, seq
+FROM messages WHERE symbol IS NULL OR event_time IS NULL OR price <= 0"""
+
+# Late messages of the first part, which a stream of bars does not count.
+_ON_TIME = "NOT (seq % 53 = 9 AND ts < TIMESTAMP '2024-01-10 00:00:30')"
+
 ORACLE = {
-    "shape_stories": _with(ITEMS, then="""SELECT date_trunc('day', fetched_at) AS fetched_at,
-       CAST(feed_pos AS INTEGER) AS feed_pos, id, title, url, score, author AS "by", seconds AS "time"
+    "shape_stories": _with(ITEMS, then="""SELECT date_trunc('day', fetched_at) AS fetched_at, feed_pos, id, title, url, score, author AS "by", seconds AS "time"
 FROM items WHERE feed_pos <= 30 AND is_story AND NOT broken"""),
     "shape_articles": _with(EDITIONS, then="""SELECT fetched_at, feed_pos, title, description, url,
        publisher AS source, edition AS published_at FROM editions"""),
-    "quarantine": _with(ITEMS, then="""SELECT fetched_at, '{"id": 1, "title": "cut o' AS bad_text
-FROM items WHERE broken"""),
+    "shape_article_page": f"""SELECT TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id // 40 * 900) AS fetched_at,
+       CAST(page_id % 40 + 1 AS INTEGER) AS feed_pos,
+       regexp_extract(html, '<title>([^<]*)</title>', 1) || ' - ' || regexp_extract(url, '^https?://([^/?#]+)', 1) AS title,
+       {PAGE_TEXT} AS description, url, regexp_extract(url, '^https?://([^/?#]+)', 1) AS source,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(page_id * 13 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS published_at
+FROM pages WHERE page_id % 40 < 30""",
+    "quarantine": _with(ITEMS, then=f"SELECT fetched_at, {_BROKEN} AS bad_text FROM items WHERE broken"),
     "normalize_frames": _with(FRAMES, then="""SELECT symbol, price, volume, high, low,
-       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", seq FROM frames"""),
-    "parse_ticks": _with(TICKS, then="SELECT * FROM ticks"),
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", seq FROM frames
+WHERE symbol IN ('purchase', 'view', 'signup')"""),
+    "parse_ticks": _with(MESSAGES, then="SELECT * EXCLUDE (ts) FROM messages"),
+    "tick_quarantine": _with(MESSAGES, then=_BAD),
     "bronze_scan": _with(ITEMS, then=f"""SELECT 'HN_' || id || '_' || strftime(fetched_at, '%Y%m%d%H%M') AS load_id,
        'hackernews' AS source, 'story' AS content_type, fetched_at
 FROM items WHERE is_story AND NOT broken AND CAST(fetched_at AS DATE) = DATE '{DAY}'"""),
     "silver_scan": _with(*ALL_POSTS, then=f"SELECT * FROM posts WHERE run_date = DATE '{DAY}'"),
-    "prices_by_day": _with(VALID, then=f"SELECT * FROM valid WHERE CAST(event_time AS DATE) = DATE '{DAY}'"),
+    "prices_by_day": _with(VALID, then=f"""SELECT *, CAST(event_time AS DATE) AS event_date
+FROM valid WHERE CAST(event_time AS DATE) = DATE '{DAY}'"""),
     "json_extract": """SELECT event_id, json_extract_string(props, '$.k') AS k_text,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int, CAST(NULL AS VARCHAR) AS absent,
        CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END AS k_cut, CAST(NULL AS VARCHAR) AS id_null,
@@ -224,12 +271,12 @@ FROM pages p JOIN articles a ON a.page_id = p.page_id"""),
     "silver_articles": _with(EDITIONS, _article_versions(), NEWS, then=f"SELECT {POST} FROM news"),
     "silver_posts": _with(*ALL_POSTS, then="SELECT * FROM posts"),
     "source_counts": _with(*ALL_POSTS, then="SELECT run_date, source, count(*) AS total FROM posts GROUP BY 1, 2"),
-    "quality_profile": _with(*ALL_POSTS, then=f"""SELECT run_date, source, count(*) AS total_records,
-       count(CASE WHEN url IS NULL THEN 1 END) AS missing_url,
-       count(CASE WHEN title IS NULL THEN 1 END) AS missing_title,
-       count(CASE WHEN published_at IS NULL THEN 1 END) AS missing_date,
+    "quality_profile": _with(ITEMS, EDITIONS, _fetched(), then=f"""SELECT run_date, source, count(*) AS total_records,
+       count(*) FILTER (WHERE trim(url) = '') AS missing_url,
+       count(*) FILTER (WHERE trim(title) = '') AS missing_title,
+       count(*) FILTER (WHERE published_at IS NULL) AS missing_date,
        {_half_up("avg(score)", 1)} AS avg_score, max(score) AS max_score
-FROM posts GROUP BY 1, 2"""),
+FROM fetched GROUP BY 1, 2"""),
     "top_stories": _with(*ALL_POSTS, then=f"""SELECT run_date AS report_date, source, title, url, score, author,
        CAST(published_at AS DATE) AS published_date,
        CAST(row_number() OVER (PARTITION BY run_date, source ORDER BY {_RANK}) AS INTEGER) AS rank
@@ -255,7 +302,7 @@ FROM prices WHERE btc_avg_price IS NOT NULL"""),
        coalesce(h.report_date, p.report_date) AS report_date, {_INSIGHT}
 FROM headlines h FULL JOIN prices p ON p.report_date = h.report_date"""),
     "daily_insights": _one_day(_insights(*ALL_POSTS)),
-    "insight_empty_news": _one_day(_insights(*ALL_POSTS, where=f"run_date < DATE '{DAY}'")),
+    "insight_empty_news": _one_day(_insights(*ALL_POSTS, where=f"run_date <> DATE '{DAY}'")),
     "insight_report": _with(*_insights(*ALL_POSTS), then=f"""SELECT
        coalesce(h.report_date, p.report_date) AS report_date,
        {_REPORT} AS report
@@ -265,7 +312,8 @@ FROM headlines h FULL JOIN prices p ON p.report_date = h.report_date"""),
 FROM (SELECT CAST(fetched_at AS DATE) AS ds,
              string_agg('{"id":' || id || ',"title":' || to_json(title) || ',"score":' || score || '}',
                         ',' ORDER BY feed_pos) AS texts
-      FROM items WHERE feed_pos <= 10 AND NOT broken GROUP BY 1) s
+      FROM items WHERE feed_pos <= 10 AND NOT broken
+      GROUP BY 1) s
 FULL JOIN (SELECT ds, string_agg('{"title":' || to_json(title) || ',"source":' || to_json(publisher) || '}',
                                  ',' ORDER BY feed_pos) AS texts
            FROM (SELECT *, CAST(fetched_at AS DATE) AS ds,
@@ -274,15 +322,28 @@ FULL JOIN (SELECT ds, string_agg('{"title":' || to_json(title) || ',"source":' |
            WHERE fetched_at = last_fetch GROUP BY 1) a ON a.ds = s.ds"""),
     "replace_day": _with(VALID, DAILY, then=f"SELECT report_date, {_ROUNDED} FROM daily"),
     "batch_day": _one_day([
-        ITEMS.replace("ts AS fetched_at", "date_trunc('day', ts) AS fetched_at"), EDITIONS,
-        *_insights(
-            _story_versions("feed_pos <= 30"), STORIES, _article_versions(), NEWS, POSTS
-        ),
+        ITEMS_BY_DAY, EDITIONS,
+        *_insights(_story_versions(), STORIES, _article_versions(), NEWS, POSTS),
     ]),
-    "stream_bronze_ticks": _with(TICKS, then="SELECT *, CAST(event_time AS DATE) AS event_date FROM ticks"),
+    "batch_quarantine": _with(ITEMS, then=f"""SELECT 'hackernews' AS feed, {_BROKEN} AS bad_text,
+       date_trunc('day', fetched_at) AS fetched_at, DATE '{DAY}' AS run_date, 'run-1' AS run_id
+FROM items WHERE broken AND CAST(fetched_at AS DATE) = DATE '{DAY}'"""),
+    "audit_row": _with(ITEMS_BY_DAY, EDITIONS, _story_versions(), STORIES, _article_versions(), NEWS, POSTS, then=f"""
+SELECT 'audited' AS run_id, TIMESTAMP '{DAY} 00:00:00' AS execution_date,
+       (SELECT count(*) FROM items WHERE is_story AND NOT broken AND CAST(fetched_at AS DATE) = DATE '{DAY}')
+       + (SELECT count(*) FROM editions WHERE CAST(fetched_at AS DATE) = DATE '{DAY}') AS records_fetched,
+       (SELECT count(*) FROM posts WHERE run_date = DATE '{DAY}') AS records_loaded,
+       'SUCCESS' AS status, TRUE AS in_order"""),
+    "stream_bronze_ticks": _with(MESSAGES, then="""SELECT * EXCLUDE (ts), CAST(ts AS DATE) AS arrived_date
+FROM messages"""),
+    "stream_quarantine": _with(MESSAGES, then=_BAD),
     "stream_silver_prices": _with(FRAMES, then="""SELECT symbol, price, volume, high, low,
        ts AS event_time, CAST(ts AS DATE) AS event_date FROM frames"""),
-    "stream_ohlc": _with(VALID, then=_BARS),
-    "stream_ohlc_final": _with(VALID, then=f"""SELECT * FROM ({_BARS})
-WHERE minute_bucket + INTERVAL 1 MINUTE <= (SELECT max(event_time) FROM valid) - INTERVAL 30 SECOND"""),
+    "stream_ohlc": _with(VALID_MESSAGES, then=_BARS),
+    "stream_ohlc_final": _with(VALID_MESSAGES, then=_BARS),
+    "stream_late": _with(
+        VALID_MESSAGES.replace("valid AS (", "all_valid AS (") + f""",
+valid AS (SELECT * FROM all_valid WHERE {_ON_TIME})""", then=_BARS),
+    "bars_rebuilt": _with(VALID_MESSAGES, then=f"""SELECT * FROM ({_BARS})
+WHERE CAST(minute_bucket AS DATE) = DATE '2024-01-05'"""),
 }

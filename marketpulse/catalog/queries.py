@@ -1,5 +1,12 @@
 """One named query per operator. Each reads the test tables whole; the operators that are
-about one day (`bronze_scan`, `daily_insights` and the like) take `inputs.DAY`."""
+about one day (`bronze_scan`, `daily_insights` and the like) take `inputs.DAY`.
+
+The gold queries and the price queries of one day read tables that an earlier step has
+stored, as the chain does: silver posts, and valid ticks in date folders. The first query of
+a session that needs such a table writes it to the scratch folder.
+"""
+
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,22 +18,30 @@ from marketpulse.functions import (
     clean_headline, epoch_to_ts, json_fields, load_key, malformed, parse_records,
     round_half_up, safe_ts, text_key,
 )
+from marketpulse.plans.batch import table_paths
 from marketpulse.plans.silver import (
-    article_versions, best_stories, latest_articles, story_versions,
+    article_versions, best_stories, fetched_posts, latest_articles, story_versions,
 )
 from marketpulse.sources.messages import valid_ticks
 from marketpulse.workspace import scratch_dir
 
 QUERIES = {}
+STORED = {}  # paths of stored tables by application, input folder and name
+ZONE = "spark.sql.session.timeZone"
 
 
 def query(build):
     """Register under the function's name. The library works in UTC, and results carry
-    timestamps without a zone, as the SQL side does."""
+    timestamps without a zone, as the SQL side does. Expressions take their zone when a
+    query is built; afterwards the session gets its own back."""
 
     def run(spark, sf_dir):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return without_zone(build(spark, sf_dir))
+        before = spark.conf.get(ZONE)
+        spark.conf.set(ZONE, "UTC")
+        try:
+            return without_zone(build(spark, sf_dir))
+        finally:
+            spark.conf.set(ZONE, before)
 
     QUERIES[build.__name__] = run
     return run
@@ -45,13 +60,34 @@ def pages(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
 
+def stored(spark, sf_dir, name, rows, folder):
+    """A table written once per session and input, with one folder per value of `folder`."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in STORED:
+        path = scratch_dir(spark, name)
+        rows().write.partitionBy(folder).parquet(path)
+        STORED[key] = path
+    return spark.read.parquet(STORED[key])
+
+
 def prices(spark, sf_dir):
     """The valid ticks, as silver keeps them."""
     return valid_ticks(inputs.ticks(events(spark, sf_dir)))
 
 
+def stored_prices(spark, sf_dir):
+    def rows():
+        return prices(spark, sf_dir).withColumn("event_date", F.to_date("event_time")).repartition("event_date")
+
+    return stored(spark, sf_dir, "silver-prices", rows, "event_date")
+
+
 def posts(spark, sf_dir):
-    return plans.silver_posts(inputs.bronze_posts(spark, sf_dir))
+    """Silver posts, stored."""
+    def rows():
+        return plans.silver_posts(inputs.bronze_posts(spark, sf_dir)).hint("rebalance", "run_date")
+
+    return stored(spark, sf_dir, "silver-posts", rows, "run_date")
 
 
 def rounded(df, *columns, digits=6):
@@ -67,7 +103,7 @@ AVERAGES = [f"{name}_avg_price" for name in PRODUCTS]
 
 @query
 def shape_stories(spark, sf_dir):
-    return sources.shape_stories(inputs.daily_feed(events(spark, sf_dir)))
+    return sources.shape_stories(inputs.daily_feed(events(spark, sf_dir)), 30)
 
 
 @query
@@ -75,6 +111,12 @@ def shape_articles(spark, sf_dir):
     return sources.shape_articles(inputs.article_pages(pages(spark, sf_dir)))
 
 
+@query
+def shape_article_page(spark, sf_dir):
+    """Responses of 40 articles, of which the first 30 count."""
+    return sources.shape_articles(inputs.long_pages(pages(spark, sf_dir)), 30)
+
+
 @query
 def quarantine(spark, sf_dir):
     items = inputs.story_items(events(spark, sf_dir))
@@ -83,13 +125,29 @@ def quarantine(spark, sf_dir):
 
 @query
 def normalize_frames(spark, sf_dir):
-    symbols = ["purchase", "view", "click", "signup", "error"]
-    return sources.normalize_frames(inputs.frames(events(spark, sf_dir)), symbols)
+    return sources.normalize_frames(inputs.frames(events(spark, sf_dir)), ["purchase", "view", "signup"])
 
 
 @query
 def parse_ticks(spark, sf_dir):
-    return sources.parse_ticks(inputs.tick_messages(events(spark, sf_dir)))
+    """Messages as bytes; NaN is shown as -1."""
+    messages = inputs.tick_messages(events(spark, sf_dir))
+    parsed = sources.parse_ticks(messages.withColumn("value", F.col("value").cast("binary")))
+    return readable(parsed).drop("arrived_at")
+
+
+def readable(ticks):
+    """The text only of what could not be read, and a price that compares."""
+    return ticks.withColumns({
+        "value": F.when(F.col("symbol").isNull(), F.col("value")),
+        "price": F.nanvl("price", F.lit(-1.0)),
+    })
+
+
+@query
+def tick_quarantine(spark, sf_dir):
+    bad = sources.bad_ticks(sources.parse_ticks(inputs.tick_messages(events(spark, sf_dir))))
+    return bad.select("reason", "seq")
 
 
 @query
@@ -107,7 +165,7 @@ def silver_scan(spark, sf_dir):
 
 @query
 def prices_by_day(spark, sf_dir):
-    return operators.by_day(prices(spark, sf_dir), DAY)
+    return operators.by_day(stored_prices(spark, sf_dir), DAY)
 
 
 # --- scalar functions ------------------------------------------------------------------
@@ -196,7 +254,7 @@ def silver_articles(spark, sf_dir):
 
 @query
 def silver_posts(spark, sf_dir):
-    return posts(spark, sf_dir)
+    return plans.silver_posts(inputs.bronze_posts(spark, sf_dir))
 
 
 # --- gold ------------------------------------------------------------------------------
@@ -209,7 +267,8 @@ def source_counts(spark, sf_dir):
 
 @query
 def quality_profile(spark, sf_dir):
-    return plans.quality_profile(posts(spark, sf_dir))
+    """Over all that was fetched, before unusable rows go."""
+    return plans.quality_profile(fetched_posts(inputs.bronze_posts(spark, sf_dir)))
 
 
 @query
@@ -277,15 +336,18 @@ def daily_insights_all(spark, sf_dir):
 @query
 def daily_insights(spark, sf_dir):
     summary = plans.source_summary(posts(spark, sf_dir))
-    return rounded(plans.daily_insights(summary, prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
+    return rounded(plans.daily_insights(summary, stored_prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
 
 
 @query
 def insight_empty_news(spark, sf_dir):
-    """The day's news has not been loaded yet; its prices have."""
-    earlier = posts(spark, sf_dir).where(F.col("run_date") < F.lit(DAY).cast("date"))
-    summary = plans.source_summary(earlier)
-    return rounded(plans.daily_insights(summary, prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
+    """The feeds failed on that day: the stored summary has all other days."""
+    def rows():
+        other = posts(spark, sf_dir).where(F.col("run_date") != F.lit(DAY).cast("date"))
+        return plans.source_summary(other)
+
+    summary = stored(spark, sf_dir, "summary-without-a-day", rows, "report_date")
+    return rounded(plans.daily_insights(summary, stored_prices(spark, sf_dir), DAY, PRODUCTS), *AVERAGES)
 
 
 @query
@@ -307,69 +369,140 @@ def daily_document(spark, sf_dir):
 
 @query
 def replace_day(spark, sf_dir):
-    """All days written as zeros, then replaced by their averages."""
+    """All days written as zeros, emptied, and replaced by their averages."""
     where = scratch_dir(spark, "replace-day")
     daily = operators.symbol_daily_avg(prices(spark, sf_dir), PRODUCTS)
-    zeros = daily.withColumns({c: F.lit(0.0) for c in AVERAGES})
-    sinks.replace_days(zeros, where, "first")
-    sinks.replace_days(daily, where, "second")
-    return rounded(sinks.read_latest(spark, where, daily.schema), *AVERAGES)
+    sinks.replace_days(daily.withColumns({c: F.lit(0.0) for c in AVERAGES}), where)
+    sinks.replace_days(daily.limit(0), where, [DAY])
+    sinks.replace_days(daily, where)
+    return rounded(sinks.read_days(spark, where, daily.schema), *AVERAGES)
+
+
+def one_batch(spark, sf_dir, run_id="run-1"):
+    """The chain for one day over its whole feeds: (insight, table paths)."""
+    root, first = scratch_dir(spark, "batch-day"), date.fromisoformat(DAY)
+    since, until = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, first + timedelta(days=1)))
+    feed = inputs.daily_feed(events(spark, sf_dir).where((F.col("ts") >= since) & (F.col("ts") < until)))
+    articles = inputs.article_pages(pages(spark, sf_dir)).where(F.to_date("fetched_at") == F.lit(first))
+    insight = plans.run_batch(
+        spark, root, DAY, feed, articles, stored_prices(spark, sf_dir), run_id, products=PRODUCTS,
+    )
+    return insight, table_paths(root)
 
 
 @query
 def batch_day(spark, sf_dir):
-    """The batch chain for one day, all tables written and read back."""
-    day = F.lit(DAY).cast("date")
-    feed = inputs.daily_feed(events(spark, sf_dir)).where(F.to_date("fetched_at") == day)
-    articles = inputs.article_pages(pages(spark, sf_dir)).where(F.to_date("fetched_at") == day)
-    insight = plans.run_batch(
-        spark, scratch_dir(spark, "batch-day"), DAY, feed, articles, prices(spark, sf_dir),
-        products=PRODUCTS,
-    )
+    """All tables written and read back."""
+    insight, _ = one_batch(spark, sf_dir)
     return rounded(insight.drop("loaded_at"), *AVERAGES)
 
 
-def event_stream(spark, sf_dir):
-    """The events table as a stream. The bracket makes the path a pattern, which the file
-    source accepts for a single file as well as for a folder of files."""
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+@query
+def batch_quarantine(spark, sf_dir):
+    _, paths = one_batch(spark, sf_dir)
+    return spark.read.schema(schemas.QUARANTINE).parquet(paths["quarantine"])
+
+
+@query
+def audit_row(spark, sf_dir):
+    """The audit of a run, read back."""
+    _, paths = one_batch(spark, sf_dir, "audited")
+    return spark.read.schema(schemas.RUN_AUDIT).parquet(paths["run_audit"]).select(
+        "run_id", "execution_date", "records_fetched", "records_loaded", "status",
+        (F.col("completed_at") >= F.col("started_at")).alias("in_order"),
+    )
+
+
+# Between two minutes' bounds, so that bars of both arrivals meet.
+CUTS = ["2024-01-10T00:00:30", "2024-01-20T12:00:15"]
+
+
+def arrivals(column):
+    """Conditions for three arrivals of rows, by a timestamp."""
+    cuts = [F.lit(c).cast("timestamp") for c in CUTS]
+    at = F.col(column)
+    return [at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]]
 
 
-def finish(*running):
-    for q in running:
-        q.awaitTermination()
+def arriving(spark, rows, conditions, start, last=None):
+    """Rows arrive in parts; after each the stream starts again from its checkpoint, takes
+    what is there and ends. `last` arrives at the end. Gives the path of the result."""
+    where = scratch_dir(spark, "stream")
+    parts = [rows.where(c) for c in conditions] + ([last] if last is not None else [])
+    for part in parts:
+        part.write.mode("append").parquet(f"{where}/landing")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000)
+        start(stream.parquet(f"{where}/landing"), f"{where}/t", f"{where}/c", every=None).awaitTermination()
+    return f"{where}/t"
+
+
+def tick_arrivals(spark, sf_dir, start, last=None, late=None):
+    """The messages in the order of their time. Those that are `late` come with the last part."""
+    rows = inputs.tick_messages(events(spark, sf_dir))
+    conditions = arrivals("arrived_at")
+    if late is not None:
+        conditions = [c & ~late for c in conditions[:-1]] + [conditions[-1] | late]
+    return arriving(spark, rows, conditions, start, last)
+
+
+def parsed(start):
+    return lambda values, *places, **options: start(sources.parse_ticks(values), *places, **options)
 
 
 @query
 def stream_bronze_ticks(spark, sf_dir):
-    where = scratch_dir(spark, "bronze-ticks")
-    messages = inputs.tick_messages(event_stream(spark, sf_dir))
-    finish(streaming.start_bronze(messages, f"{where}/t", f"{where}/c", every=None))
-    return spark.read.schema(schemas.TICKS_BY_DAY).parquet(f"{where}/t").drop("loaded_at")
+    path = tick_arrivals(spark, sf_dir, streaming.start_bronze)
+    return readable(spark.read.schema(schemas.BRONZE_TICKS).parquet(path)).drop("loaded_at", "arrived_at")
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_quarantine))
+    return spark.read.schema(schemas.BAD_TICKS).parquet(path).select("reason", "seq")
 
 
 @query
 def stream_silver_prices(spark, sf_dir):
-    where = scratch_dir(spark, "silver-prices")
-    arriving = sources.normalize_frames(inputs.frames(event_stream(spark, sf_dir)))
-    typed = arriving.withColumn("event_time", safe_ts(F.col("timestamp"))).drop("timestamp")
-    finish(streaming.start_silver(typed, f"{where}/t", f"{where}/c", every=None))
-    return spark.read.schema(schemas.TICKS_BY_DAY).parquet(f"{where}/t").drop("loaded_at", "seq")
+    def start(values, *places, **options):
+        typed = sources.normalize_frames(values).withColumn("event_time", safe_ts(F.col("timestamp")))
+        return streaming.start_silver(typed.drop("timestamp"), *places, **options)
+
+    path = arriving(spark, inputs.frames(events(spark, sf_dir)), arrivals("received_at"), start)
+    return spark.read.schema(schemas.TICKS_BY_DAY).parquet(path).drop("loaded_at", "seq", "part")
 
 
 @query
 def stream_ohlc(spark, sf_dir):
-    where = scratch_dir(spark, "bars")
-    arriving = sources.parse_ticks(inputs.tick_messages(event_stream(spark, sf_dir)))
-    finish(streaming.start_bars(arriving, f"{where}/t", f"{where}/c", every=None))
-    return streaming.latest_bars(spark, f"{where}/t")
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars))
+    return streaming.latest_bars(spark, path)
 
 
 @query
 def stream_ohlc_final(spark, sf_dir):
-    """Only the bars that ended 30 seconds before the last tick are final."""
-    where = scratch_dir(spark, "bars-final")
-    arriving = sources.parse_ticks(inputs.tick_messages(event_stream(spark, sf_dir)))
-    finish(streaming.start_bars_final(arriving, f"{where}/t", f"{where}/c", every=None))
-    return spark.read.schema(schemas.BARS).parquet(f"{where}/t")
+    """Each bar once; a marker at the end closes the last ones."""
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars_final), streaming.end_marker(spark))
+    return spark.read.schema(schemas.BARS).parquet(path).drop("bar_date")
+
+
+def late():
+    """Messages of the first part that come with the last one."""
+    return (F.col("seq") % 53 == 9) & arrivals("arrived_at")[0]
+
+
+@query
+def stream_late(spark, sf_dir):
+    """Bars without the ticks that came after the watermark."""
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), late=late())
+    return streaming.latest_bars(spark, path)
+
+
+@query
+def bars_rebuilt(spark, sf_dir):
+    """The same with one day rebuilt from the valid ticks."""
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), late=late())
+    silver = valid_ticks(sources.parse_ticks(inputs.tick_messages(events(spark, sf_dir))))
+    streaming.rebuild_bars(silver, path, REBUILT)
+    return streaming.latest_bars(spark, path, REBUILT, REBUILT)
+
+
+REBUILT = "2024-01-05"

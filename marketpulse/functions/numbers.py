@@ -8,8 +8,10 @@ def round_half_up(value, digits):
 
     A double is first brought to ten decimals, which removes the noise that the order of
     a distributed sum leaves in its last bits; 2.345 then rounds up wherever it was added.
+    Doubles without such a decimal (NaN, infinities, 1e28 and more) are rounded as they are.
     """
-    return F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    exact = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 
 def percent_change(now, before, digits=2):

@@ -9,28 +9,31 @@ from marketpulse.functions import round_half_up
 MICROSECOND = timedelta(microseconds=1)
 
 
-def _arrival_order(every):
-    """A number that grows with (event_time, seq) inside one bar.
+def _arrival_order(ticks):
+    """A number that grows with (event_time, part, seq) inside one bar.
 
     min_by/max_by over a struct makes Spark sort all ticks before the shuffle (struct
-    buffers do not fit hash aggregation); over a plain number it aggregates by hash.
-    `seq` is a 32-bit int, so the time inside the bar may take the other 31 bits of a
-    long: bars of up to 35 minutes. Longer bars use a wide decimal.
+    buffers do not fit hash aggregation); over a plain number it aggregates by hash. A wide
+    decimal holds the time inside a bar of up to a day (37 bits), the topic partition (20)
+    and the whole offset (63).
     """
-    inside = F.unix_micros("event_time") - F.unix_micros("bar.start")
-    seq = F.coalesce(F.col("seq"), F.lit(0)).cast("long")
-    if every // MICROSECOND < 2**31:
-        return inside * F.lit(2**32) + seq
-    return inside.cast("decimal(19,0)") * F.lit(2**32).cast("decimal(10,0)") + seq
+    inside = (F.unix_micros("event_time") - F.unix_micros("bar.start")).cast("decimal(12,0)")
+    part = F.coalesce(F.col("part"), F.lit(0)) if "part" in ticks.columns else F.lit(0)
+    seq = F.coalesce(F.col("seq"), F.lit(0)).cast("decimal(19,0)")
+    place = (inside * F.lit(2**20)).cast("decimal(19,0)") + part
+    return place.cast("decimal(19,0)") * F.lit(str(2**63)).cast("decimal(19,0)") + seq
 
 
 def bars(ticks, every=timedelta(minutes=1)):
-    """One row per symbol and bar. Open and close follow (event_time, seq)."""
+    """One row per symbol and bar. Open and close follow (event_time, part, seq); `part` may
+    be missing. Offsets of two partitions do not compare, so ticks of one microsecond from
+    several partitions follow the partition's number."""
     width = f"{every // MICROSECOND} microseconds"
     placed = ticks.select(
-        F.window("event_time", width).alias("bar"), "symbol", "price", "event_time", "seq"
+        F.window("event_time", width).alias("bar"), "symbol", "price", "event_time", "seq",
+        *[c for c in ticks.columns if c == "part"],
     )
-    order = F.when(F.col("price").isNotNull(), _arrival_order(every))
+    order = F.when(F.col("price").isNotNull(), _arrival_order(ticks))
     return (
         placed.groupBy("bar", "symbol")
         .agg(

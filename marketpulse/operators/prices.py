@@ -1,5 +1,7 @@
 """Daily price averages and their change."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from marketpulse.functions import percent_change
@@ -8,9 +10,17 @@ from marketpulse.functions import percent_change
 PRODUCTS = {"btc": "BTC-USD", "eth": "ETH-USD", "sol": "SOL-USD"}
 
 
+def _of_days(ticks, *days):
+    """Ticks of some dates. The condition on the timestamp reaches the parquet scan; in a
+    table with `event_date` folders the others are not opened."""
+    if "event_date" in ticks.columns:
+        ticks = ticks.where(F.col("event_date").isin(*days))
+    return ticks.where(reduce(lambda a, b: a | b, [F.to_date("event_time") == day for day in days]))
+
+
 def by_day(ticks, day):
-    """The ticks of one day. The condition on the timestamp reaches the parquet scan."""
-    return ticks.where(F.to_date("event_time") == F.lit(day).cast("date"))
+    """The ticks of one day."""
+    return _of_days(ticks, F.lit(day).cast("date"))
 
 
 def _averages(products):
@@ -81,7 +91,7 @@ def day_prices(ticks, day, products=PRODUCTS, change_of="btc"):
     """
     day = F.lit(day).cast("date")
     date = F.to_date("event_time")
-    two_days = ticks.where((date == day) | (date == F.date_sub(day, 1)))
+    two_days = _of_days(ticks, day, F.date_sub(day, 1))
 
     def mean(symbol, on):
         return F.avg(F.when((F.col("symbol") == symbol) & (date == on), F.col("price")))

@@ -1,49 +1,63 @@
 """The batch chain for one logical date, with a table after each step."""
 
-import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from marketpulse import schemas
+from marketpulse.functions import malformed
 from marketpulse.operators.prices import PRODUCTS
-from marketpulse.plans.bronze import article_rows, story_rows
-from marketpulse.plans.gold import source_summary, top_stories
-from marketpulse.plans.insights import daily_insights
+from marketpulse.plans.bronze import ARTICLES, STORIES, article_rows, story_rows
+from marketpulse.plans.gold import source_counts, source_summary, top_stories
+from marketpulse.plans.insights import daily_insights, insight_report
 from marketpulse.plans.silver import silver_posts
-from marketpulse.sinks import append_audit, append_bronze, read_latest, replace_days
+from marketpulse.sinks import append_audit, land_bronze, land_quarantine, read_days, replace_days
 from marketpulse.sources import scan_day, shape_articles, shape_stories
 
 JOB = "news_to_gold"
 
 
 def table_paths(root):
-    names = ["bronze_posts", "run_audit", "silver_posts", "top_stories", "source_summary", "insights"]
+    names = [
+        "bronze_posts", "quarantine", "run_audit", "silver_posts", "top_stories", "source_summary",
+        "source_counts", "insights", "reports",
+    ]
     return {name: f"{root}/{name}" for name in names}
 
 
+def unparsed(raw_stories, raw_articles):
+    """The landed texts of both feeds that are not JSON of their shape."""
+    kinds = ((raw_stories, schemas.STORY_ITEM, STORIES), (raw_articles, schemas.ARTICLE_PAGE, ARTICLES))
+    stories, articles = (
+        malformed(raw, "value", schema, ["fetched_at"]).withColumn("feed", F.lit(feed))
+        for raw, schema, feed in kinds
+    )
+    return stories.unionByName(articles)
+
+
 def run_batch(spark, root, logical_time, raw_stories, raw_articles, ticks, run_id=None,
-              limit=30, products=PRODUCTS, change_of="btc"):
+              limit=None, products=PRODUCTS, change_of="btc"):
     """Land both feeds, then rebuild the silver, gold and insight rows of their day.
 
     The rows belong to the date of `logical_time` (UTC), whenever the run takes place.
-    The raw feeds hold what was fetched for this run; `ticks` is the silver price table.
-    `run_id` names the version of every table and must be new in each attempt; by default
-    it is random.
+    The raw feeds hold what was fetched for this run, all of which is landed unless a `limit`
+    cuts each feed; texts that do not parse go to the quarantine table. `ticks` is the silver
+    price table. `run_id` names the run in bronze, quarantine and audit; a repeat under the
+    same id replaces what it landed. By default it follows from the logical time.
     """
-    run_id = run_id or uuid.uuid4().hex
-    paths = table_paths(root)
     logical = datetime.fromisoformat(str(logical_time))
     logical = logical if logical.tzinfo else logical.replace(tzinfo=timezone.utc)
-    day = logical.astimezone(timezone.utc).date()
+    logical = logical.astimezone(timezone.utc)
+    run_id = run_id or f"{logical:%Y%m%dT%H%M%S}"
+    paths = table_paths(root)
+    day = logical.date()
     started = datetime.now(timezone.utc)
     measured = {"fetched": 0, "loaded": 0}
 
     def publish(rows, name, day_column, schema):
-        stamped = rows.withColumn("loaded_at", F.lit(started))
-        replace_days(stamped, paths[name], run_id, [day], day_column)
-        return read_latest(spark, paths[name], schema, day_column, day)
+        replace_days(rows.withColumn("loaded_at", F.lit(started)), paths[name], [day], day_column)
+        return read_days(spark, paths[name], schema, day_column, day)
 
     def counted(rows, name):
         seen = Observation(f"{name}-{run_id}")
@@ -62,22 +76,23 @@ def run_batch(spark, root, logical_time, raw_stories, raw_articles, ticks, run_i
             article_rows(articles.withColumn("fetched_at", at))
         )
         seen, landed = counted(landed, "fetched")
-        append_bronze(landed, paths["bronze_posts"])
+        land_bronze(landed, paths["bronze_posts"], run_id)
         measured["fetched"] = seen.get["rows"]
+        land_quarantine(unparsed(raw_stories, raw_articles), paths["quarantine"], run_id, day)
 
         bronze = spark.read.schema(schemas.BRONZE_POSTS).parquet(paths["bronze_posts"])
         seen, posts = counted(silver_posts(scan_day(bronze, "fetch_date", day)), "loaded")
         posts = publish(posts, "silver_posts", "run_date", schemas.SILVER_POSTS)
         measured["loaded"] = seen.get["rows"]
 
-        top = publish(top_stories(posts), "top_stories", "report_date", schemas.TOP_STORIES)
-        summary = publish(
-            source_summary(posts, top), "source_summary", "report_date", schemas.SOURCE_SUMMARY
-        )
+        publish(top_stories(posts), "top_stories", "report_date", schemas.TOP_STORIES)
+        publish(source_counts(posts), "source_counts", "run_date", schemas.SOURCE_COUNTS)
+        summary = publish(source_summary(posts), "source_summary", "report_date", schemas.SOURCE_SUMMARY)
         insight = publish(
             daily_insights(summary, ticks, day, products, change_of),
             "insights", "report_date", schemas.INSIGHTS,
         )
+        publish(insight_report(insight), "reports", "report_date", schemas.REPORTS)
     except Exception:
         close("FAILED")
         raise

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marketpulse.functions import round_half_up
+from marketpulse.functions import is_blank, round_half_up
 from marketpulse.operators import top_per_group
 
 # The total order of posts: score, then publication, then id, all from high to low and
@@ -21,27 +21,20 @@ def top_stories(posts, n=10):
     )
 
 
-def source_summary(posts, leaders=None):
+def source_summary(posts):
     """Posts, average, best score and best title per run date and source.
 
-    With `leaders`, the stored top stories of the same posts, the best title is looked up
-    there and the posts only go through hash aggregation. Without it the title comes out
-    of the same aggregation, which then has to sort the posts by group: a title is text
-    and does not fit a hash-aggregation buffer.
+    The figures go through hash aggregation; the title is that of the first post in rank,
+    which every task finds before the shuffle. An aggregate that returns text would sort all
+    posts instead.
     """
-    figures = [
+    figures = posts.groupBy(F.col("run_date").alias("report_date"), "source").agg(
         F.count("*").alias("total_articles"),
         round_half_up(F.avg("score"), 1).alias("avg_score"),
         F.max("score").alias("max_score"),
-    ]
-    best = F.max_by("title", F.struct(*RANK_KEY)).alias("top_story")
-    grouped = posts.groupBy(F.col("run_date").alias("report_date"), "source")
-    if leaders is None:
-        return grouped.agg(*figures, best)
-    first = leaders.where(F.col("rank") == 1).select(
-        "report_date", "source", F.col("title").alias("top_story")
     )
-    return grouped.agg(*figures).join(first, ["report_date", "source"], "left")
+    leaders = top_stories(posts, 1).select("report_date", "source", F.col("title").alias("top_story"))
+    return figures.join(leaders, ["report_date", "source"], "left")
 
 
 def source_counts(posts):
@@ -53,10 +46,11 @@ def total_count(posts):
 
 
 def quality_profile(posts):
-    """Missing values and score figures per run date and source."""
+    """Missing values and score figures per run date and source, of posts or of all that was
+    fetched. Blank text counts as missing."""
 
     def missing(column):
-        return F.count(F.when(F.col(column).isNull(), 1))
+        return F.count(F.when(is_blank(F.col(column).cast("string")), 1))
 
     return posts.groupBy("run_date", "source").agg(
         F.count("*").alias("total_records"),

@@ -14,7 +14,7 @@ def _news_figures():
     """Leading story, its score and the story count of one feed, and the count of all."""
     of_stories = F.col("source") == STORIES
     return [
-        F.max_by("top_story", F.when(of_stories, F.col("max_score"))).alias("top_hn_story"),
+        F.max(F.when(of_stories, F.col("top_story"))).alias("top_hn_story"),
         F.max(F.when(of_stories, F.col("max_score"))).alias("hn_max_score"),
         F.sum(F.when(of_stories, F.col("total_articles"))).alias("total_articles"),
         F.sum("total_articles").alias("all_articles"),

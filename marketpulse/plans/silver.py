@@ -19,8 +19,26 @@ POST = [
 ]
 
 
+def usable(versions):
+    """Linked, with a title."""
+    return versions.where(~is_blank(F.col("url")) & ~is_blank(F.col("title")))
+
+
 def story_versions(bronze):
-    """Every usable fetch of every story: linked, with a title."""
+    return usable(fetched_stories(bronze))
+
+
+def article_versions(bronze):
+    return usable(fetched_articles(bronze))
+
+
+def fetched_posts(bronze):
+    """Every fetch of both feeds, usable or not, with cleaned fields."""
+    return fetched_stories(bronze).select(*POST).unionByName(fetched_articles(bronze).select(*POST))
+
+
+def fetched_stories(bronze):
+    """Every fetch of every story."""
     rows = bronze.where(F.col("source") == STORIES)
     return (
         parse_records(rows, "raw_data", STORY_RECORD, _keep())
@@ -35,12 +53,11 @@ def story_versions(bronze):
             epoch_to_ts(F.col("time")).alias("published_at"),
             "run_date", "load_id", "fetched_at",
         )
-        .where(~is_blank(F.col("url")) & ~is_blank(F.col("title")))
     )
 
 
-def article_versions(bronze):
-    """Every usable fetch of every article; `edition` is its publication text."""
+def fetched_articles(bronze):
+    """Every fetch of every article; `edition` is its publication text."""
     rows = bronze.where(F.col("source") == ARTICLES)
     return (
         parse_records(rows, "raw_data", ARTICLE_RECORD, _keep())
@@ -56,7 +73,6 @@ def article_versions(bronze):
             "run_date", "load_id", "fetched_at",
             F.col("published_at").alias("edition"),
         )
-        .where(~is_blank(F.col("url")) & ~is_blank(F.col("title")))
     )
 
 

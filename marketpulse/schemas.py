@@ -30,7 +30,7 @@ FRAME = _schema(
     type=_S, **_TICKER, events=T.ArrayType(_schema(tickers=T.ArrayType(TICKER)))
 )
 
-TICK_MESSAGE = _schema(symbol=_S, price=_D, volume=_D, high=_D, low=_D, timestamp=_S)
+TICK_MESSAGE = _schema(symbol=_S, price=_S, volume=_S, high=_S, low=_S, timestamp=_S)
 
 # --- the JSON kept in bronze `raw_data`, one shape per feed
 STORY_RECORD = _schema(id=_S, title=_S, url=_S, score=_S, by=_S, time=_S)
@@ -38,12 +38,19 @@ ARTICLE_RECORD = _schema(title=_S, description=_S, url=_S, source=_S, published_
 
 # --- tables
 BRONZE_POSTS = _schema(
-    load_id=_S, content_type=_S, raw_data=_S, fetched_at=_TS, fetch_date=_DATE, source=_S
+    load_id=_S, content_type=_S, raw_data=_S, fetched_at=_TS, fetch_date=_DATE, source=_S,
+    run_id=_S,
 )
 TICKS = _schema(
-    symbol=_S, price=_D, volume=_D, high=_D, low=_D, event_time=_TS, seq=_I, loaded_at=_TS
+    symbol=_S, price=_D, volume=_D, high=_D, low=_D, event_time=_TS, seq=_L, part=_I, loaded_at=_TS
 )
 TICKS_BY_DAY = T.StructType(TICKS.fields + [T.StructField("event_date", _DATE)])
+# Every message as it came, with what could be read of it.
+BRONZE_TICKS = _schema(
+    value=_S, symbol=_S, price=_D, volume=_D, high=_D, low=_D, event_time=_TS, seq=_L, part=_I,
+    arrived_at=_TS, loaded_at=_TS, arrived_date=_DATE,
+)
+BAD_TICKS = _schema(value=_S, reason=_S, seq=_L, part=_I, arrived_at=_TS, loaded_at=_TS)
 SILVER_POSTS = _schema(
     post_id=_S, source=_S, title=_S, url=_S, score=_I, author=_S, description=_S,
     published_at=_TS, loaded_at=_TS, run_date=_DATE,
@@ -60,7 +67,9 @@ BARS = _schema(
     symbol=_S, minute_bucket=_TS, open_price=_D, high_price=_D, low_price=_D, close_price=_D,
     avg_price=_D, trade_count=_L,
 )
-BAR_UPDATES = T.StructType(BARS.fields + [T.StructField("batch_id", _L)])
+BAR_UPDATES = T.StructType(
+    BARS.fields + [T.StructField("bar_date", _DATE), T.StructField("batch_id", _L)]
+)
 INSIGHTS = _schema(
     top_hn_story=_S, hn_max_score=_I, total_articles=_L, all_articles=_L,
     btc_avg_price=_D, eth_avg_price=_D, sol_avg_price=_D, btc_price_change=_D,
@@ -70,4 +79,6 @@ RUN_AUDIT = _schema(
     run_id=_S, dag_id=_S, execution_date=_TS, records_fetched=_L, records_loaded=_L,
     status=_S, started_at=_TS, completed_at=_TS,
 )
-COMMITS = _schema(day=_DATE, ver=_S, committed_at=_TS)
+QUARANTINE = _schema(feed=_S, bad_text=_S, fetched_at=_TS, run_date=_DATE, run_id=_S)
+SOURCE_COUNTS = _schema(source=_S, total=_L, loaded_at=_TS, run_date=_DATE)
+REPORTS = _schema(report=_S, loaded_at=_TS, report_date=_DATE)

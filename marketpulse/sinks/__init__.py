@@ -1,10 +1,8 @@
-from marketpulse.sinks.append import append_bronze
+from marketpulse.sinks.append import land_bronze, land_quarantine
 from marketpulse.sinks.audit import append_audit, audit_by_day
-from marketpulse.sinks.versioned import (
-    committed_versions, drop_superseded, read_latest, replace_days,
-)
+from marketpulse.sinks.daily import read_days, replace_days, replace_folders
 
 __all__ = [
-    "append_audit", "append_bronze", "audit_by_day", "committed_versions",
-    "drop_superseded", "read_latest", "replace_days",
+    "append_audit", "audit_by_day", "land_bronze", "land_quarantine", "read_days",
+    "replace_days", "replace_folders",
 ]

@@ -1,6 +1,17 @@
-"""The append-only bronze table."""
+"""The tables that keep what every run has landed."""
 
+from pyspark.sql import functions as F
 
-def append_bronze(rows, path):
-    """Add fetched rows below fetch_date= and source= folders."""
-    rows.write.mode("append").partitionBy("fetch_date", "source").parquet(path)
+from marketpulse.sinks.daily import replace_folders
+
+
+def land_bronze(rows, path, run_id):
+    """Fetched rows below fetch_date=, source= and run_id= folders. A repeat of the run
+    overwrites what it wrote before."""
+    replace_folders(rows.withColumn("run_id", F.lit(run_id)), path, "fetch_date", "source", "run_id")
+
+
+def land_quarantine(rows, path, run_id, day):
+    """Texts that could not be parsed, below run_date= and run_id= folders."""
+    marked = rows.withColumns({"run_date": F.lit(day), "run_id": F.lit(run_id)})
+    replace_folders(marked, path, "run_date", "run_id")

@@ -10,12 +10,12 @@ from marketpulse.functions import parse_records
 from marketpulse.schemas import ARTICLE_PAGE, STORY_ITEM
 
 
-def shape_stories(raw, limit=30, only_type="story", fields=None):
+def shape_stories(raw, limit=None, only_type="story", fields=None):
     """Story records from raw items.
 
     The cut by feed place comes first and the type filter second, so fewer than `limit`
     may remain. Items that do not parse have no type and drop out; `malformed` lists them.
-    `limit=None` keeps the whole feed; `only_type=None` keeps every parsed item.
+    Without a `limit` the whole feed stays; `only_type=None` keeps every parsed item.
     """
     if limit is not None:
         raw = raw.where(F.col("feed_pos") <= limit)
@@ -37,13 +37,14 @@ def story_records(items, only_type="story"):
     )
 
 
-def shape_articles(raw, limit=30, fields=None):
-    """Article records from response pages; `feed_pos` is the place on the page, from 1."""
+def shape_articles(raw, limit=None, fields=None):
+    """Article records from response pages, the first `limit` of each page if there is one;
+    `feed_pos` is the place on the page, from 1."""
     pages = parse_records(raw, "value", ARTICLE_PAGE, ["fetched_at"])
     return _pick(article_records(pages, limit), fields)
 
 
-def article_records(pages, limit=30):
+def article_records(pages, limit=None):
     """The articles of parsed pages, with the nested publisher name flattened."""
     listed = pages.select("fetched_at", F.posexplode("articles").alias("place", "article"))
     if limit is not None:

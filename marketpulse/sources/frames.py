@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions import first_usable_number, first_usable_text, parse_records
 from marketpulse.schemas import FRAME, TICKER
+from marketpulse.sources.messages import usable_price
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -13,7 +14,7 @@ def normalize_frames(raw, symbols=None):
 
     Input: `value` (frame text), `received_at`, `seq`. A ticker stands either at the top of
     the frame or in `events[].tickers[]`; subscription replies hold none. Tickers without a
-    symbol or a positive price are dropped. The exchange's own time is taken when the
+    symbol or a usable price are dropped. The exchange's own time is taken when the
     ticker carries one, else the time of receipt.
     """
     frames = parse_records(raw, "value", FRAME, ["received_at", "seq"])
@@ -34,7 +35,7 @@ def normalize_frames(raw, symbols=None):
             first_usable_text(F.col("t.time")), F.date_format("received_at", ISO_MICROS)
         ).alias("timestamp"),
         "seq",
-    ).where(F.col("symbol").isNotNull() & (F.col("price") > 0))
+    ).where(F.col("symbol").isNotNull() & usable_price(F.col("price")))
     return ticks if symbols is None else ticks.where(F.col("symbol").isin(list(symbols)))
 
 

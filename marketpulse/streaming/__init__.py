@@ -1,9 +1,10 @@
 from marketpulse.streaming.ticks import (
-    bar_updates, latest_bars, start_bars, start_bars_final, start_bronze, start_silver,
-    start_streams, stream_bars, tick_stream,
+    bar_updates, end_marker, latest_bars, rebuild_bars, start_bars, start_bars_final,
+    start_bronze, start_quarantine, start_silver, start_streams, stream_bars, tick_stream,
 )
 
 __all__ = [
-    "bar_updates", "latest_bars", "start_bars", "start_bars_final", "start_bronze",
-    "start_silver", "start_streams", "stream_bars", "tick_stream",
+    "bar_updates", "end_marker", "latest_bars", "rebuild_bars", "start_bars", "start_bars_final",
+    "start_bronze", "start_quarantine", "start_silver", "start_streams", "stream_bars",
+    "tick_stream",
 ]

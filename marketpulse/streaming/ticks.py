@@ -1,20 +1,23 @@
-"""The tick streams: bronze, silver and bars.
+"""The tick streams: bronze, quarantine, silver and bars.
 
 Every query has its own checkpoint. File sinks are exactly-once. The changed-bars sink
-writes one folder per micro-batch and overwrites it when Spark repeats the batch, so a
-table belongs to one checkpoint.
+writes one folder per day and micro-batch and overwrites it when Spark repeats the batch, so
+a table belongs to one checkpoint.
 """
 
+import json
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from marketpulse.operators import bars, latest_versions
-from marketpulse.schemas import BAR_UPDATES, TICKS_BY_DAY
-from marketpulse.sources.messages import parse_ticks, valid_ticks
+from marketpulse.operators import bars, by_day, latest_versions
+from marketpulse.schemas import BAR_UPDATES, BRONZE_TICKS
+from marketpulse.sinks import replace_folders
+from marketpulse.sources.messages import MESSAGE, bad_ticks, parse_ticks, valid_ticks
 
 LATENESS = "30 seconds"
 BAR = timedelta(minutes=1)
+END = "(end)"  # symbol of the message that closes all bars
 
 
 def _start(writer, checkpoint, every):
@@ -25,33 +28,37 @@ def _start(writer, checkpoint, every):
     return writer.trigger(processingTime=every).start()
 
 
-def _ticks_to_files(ticks, path, checkpoint, every):
-    stamped = ticks.withColumn("loaded_at", F.current_timestamp()).withColumn(
-        "event_date", F.to_date("event_time")
-    )
-    writer = (
-        stamped.writeStream.format("parquet").outputMode("append")
-        .partitionBy("event_date").option("path", path)
-    )
-    return _start(writer, checkpoint, every)
+def _to_files(rows, path, checkpoint, every, *folders):
+    stamped = rows.withColumn("loaded_at", F.current_timestamp())
+    writer = stamped.writeStream.format("parquet").outputMode("append").option("path", path)
+    return _start(writer.partitionBy(*folders) if folders else writer, checkpoint, every)
 
 
 def start_bronze(values, path, checkpoint, every="10 seconds"):
-    """All parsed messages, as they came."""
-    return _ticks_to_files(parse_ticks(values), path, checkpoint, every)
+    """Every message, as it came and as far as it could be read."""
+    arrived = F.to_date(F.coalesce("arrived_at", F.current_timestamp()))
+    return _to_files(parse_ticks(values).withColumn("arrived_date", arrived), path, checkpoint, every, "arrived_date")
 
 
 def tick_stream(spark, bronze_path, max_files=None):
     """The bronze table as a stream; only what its sink has committed is read."""
-    reader = spark.readStream.schema(TICKS_BY_DAY)
+    reader = spark.readStream.schema(BRONZE_TICKS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(bronze_path).drop("event_date", "loaded_at")
+    return reader.parquet(bronze_path).drop("arrived_date", "loaded_at")
 
 
 def start_silver(ticks, path, checkpoint, every="10 seconds"):
     """Valid ticks, appended. No state: late ticks are kept."""
-    return _ticks_to_files(valid_ticks(ticks), path, checkpoint, every)
+    kept = valid_ticks(ticks).drop("value", "arrived_at")
+    return _to_files(
+        kept.withColumn("event_date", F.to_date("event_time")), path, checkpoint, every, "event_date"
+    )
+
+
+def start_quarantine(ticks, path, checkpoint, every="10 seconds"):
+    """The messages that silver leaves out, with the reason."""
+    return _to_files(bad_ticks(ticks), path, checkpoint, every)
 
 
 def stream_bars(ticks, width=BAR, lateness=LATENESS):
@@ -59,49 +66,80 @@ def stream_bars(ticks, width=BAR, lateness=LATENESS):
     return bars(valid_ticks(ticks).withWatermark("event_time", lateness), width)
 
 
+def with_day(rows):
+    return rows.withColumn("bar_date", F.to_date("minute_bucket"))
+
+
 def start_bars_final(ticks, path, checkpoint, every="60 seconds", width=BAR):
-    """Each bar once, when the watermark has passed its end."""
+    """Each bar once, when the watermark has passed its end. The last bars wait for later
+    ticks; `end_marker` is a message that closes them."""
     writer = (
-        stream_bars(ticks, width).writeStream.format("parquet").outputMode("append")
-        .option("path", path)
+        with_day(stream_bars(ticks, width)).writeStream.format("parquet").outputMode("append")
+        .partitionBy("bar_date").option("path", path)
     )
     return _start(writer, checkpoint, every)
 
 
+def end_marker(spark, at="9000-01-01T00:00:00"):
+    """One message whose time is after all others."""
+    text = json.dumps({"symbol": END, "price": 1, "timestamp": at})
+    return spark.createDataFrame([(text, 0, 0, None)], MESSAGE)
+
+
 def start_bars(ticks, path, checkpoint, every="60 seconds", width=BAR):
     """Each bar again whenever it changed; `latest_bars` reads the current state."""
 
     def write_changes(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = with_day(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        replace_folders(rows, path, "bar_date", "batch_id")
 
     writer = stream_bars(ticks, width).writeStream.outputMode("update").foreachBatch(write_changes)
     return _start(writer, checkpoint, every)
 
 
-def bar_updates(spark, path):
-    return spark.read.schema(BAR_UPDATES).parquet(path)
+def bar_updates(spark, path, since=None, until=None):
+    """All changes, or those of the days from `since` to `until`; other folders stay closed."""
+    rows = spark.read.schema(BAR_UPDATES).parquet(path)
+    if since is not None:
+        rows = rows.where(F.col("bar_date") >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.where(F.col("bar_date") <= F.lit(until).cast("date"))
+    return rows
+
 
+def latest_bars(spark, path, since=None, until=None):
+    rows = bar_updates(spark, path, since, until).drop("bar_date")
+    return latest_versions(rows, ["symbol", "minute_bucket"])
 
-def latest_bars(spark, path):
-    return latest_versions(bar_updates(spark, path), ["symbol", "minute_bucket"])
 
+def rebuild_bars(silver, path, day, width=BAR):
+    """The bars of one day anew from silver, in place of all their changes: ticks that came
+    too late for the stream count, and the day has one folder again. For days that the
+    watermark has passed; `width` must divide a day."""
+    rows = bars(by_day(silver, day), width).withColumn("batch_id", F.lit(0).cast("long"))
+    rows.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path}/bar_date={day}")
 
-def start_streams(spark, values, root, silver_every="10 seconds", bars_every="60 seconds"):
-    """Messages to bronze, and from bronze to silver and to changed bars.
+
+def start_streams(spark, values, root, silver_every="10 seconds", bars_every="60 seconds",
+                  max_files=1000):
+    """Messages to bronze, and from bronze to silver, to quarantine and to changed bars.
 
     Bronze is the record all else derives from. With `None` as rhythm each query runs over
-    what is there and ends; bronze then finishes before the others start.
+    what is there and ends; bronze then finishes before the others start. A micro-batch takes
+    at most `max_files` bronze files; what the source gives bronze is bounded by the source.
     """
     def places(name):
         return f"{root}/{name}", f"{root}/checkpoints/{name}"
 
+    def ticks():
+        return tick_stream(spark, f"{root}/bronze_ticks", max_files)
+
     bronze = start_bronze(values, *places("bronze_ticks"), every=silver_every)
     if silver_every is None:
         bronze.awaitTermination()
-    silver = start_silver(
-        tick_stream(spark, f"{root}/bronze_ticks"), *places("silver_prices"), every=silver_every
-    )
-    changes = start_bars(
-        tick_stream(spark, f"{root}/bronze_ticks"), *places("bars"), every=bars_every
-    )
-    return {"bronze": bronze, "silver": silver, "bars": changes}
+    return {
+        "bronze": bronze,
+        "silver": start_silver(ticks(), *places("silver_prices"), every=silver_every),
+        "quarantine": start_quarantine(ticks(), *places("quarantine"), every=silver_every),
+        "bars": start_bars(ticks(), *places("bars"), every=bars_every),
+    }

@@ -29,5 +29,24 @@ def values(df, *columns):
     return sorted((tuple(r) for r in picked.selectExpr(*texts).collect()), key=repr)
 
 
+def folders_read(df):
+    """Folders that the scan of a query has opened, from the metrics of its run."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan()
+    plans, found = [text], []
+    while plans:
+        node = plans.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plans.append(node.executedPlan())
+        metrics = node.metrics()
+        if metrics.contains("numPartitions") and "Scan" in node.getClass().getSimpleName():
+            found.append(metrics.apply("numPartitions").value())
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            plans.append(node.plan())
+        children = node.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()

@@ -40,6 +40,9 @@ def test_rounding_is_half_away_from_zero(spark):
     assert half(12.344999999999999, 2) == 12.35
     assert half(128.05, 1) == 128.1
     assert half(None, 1) is None
+    assert half(1e30, 2) == 1e30
+    assert half(float("inf"), 2) == float("inf")
+    assert half(float("nan"), 2) != half(float("nan"), 2)
 
 
 def test_percent_change(spark):

@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import plan, utc, values
+from conftest import folders_read, plan, utc, values
 from marketpulse import operators
 from marketpulse.operators import bars, keep_best, latest_versions, top_per_group
 
@@ -12,7 +12,7 @@ DAY = "2026-02-19T"
 def ticks(spark, *rows):
     return spark.createDataFrame(
         [(s, p, utc(DAY + t), n) for s, p, t, n in rows],
-        "symbol string, price double, event_time timestamp, seq int",
+        "symbol string, price double, event_time timestamp, seq long",
     )
 
 
@@ -42,6 +42,21 @@ def test_short_and_long_bars_agree_on_order(spark):
     assert [(r.open_price, r.close_price) for r in half_hour] == [(2.0, 1.0), (3.0, 4.0)]
 
 
+def test_arrival_order_holds_for_every_offset(spark):
+    for low in (2**31 - 1, 2**31, 2**40, 2**62):
+        t = ticks(spark, ("A", 1.0, "10:00:59.999999", low), ("A", 2.0, "10:00:59.999999", low + 1))
+        for every in (timedelta(minutes=1), timedelta(days=1)):
+            row = bars(t, every).first()
+            assert (row.open_price, row.close_price) == (1.0, 2.0)
+
+
+def test_one_partition_follows_the_other(spark):
+    t = ticks(spark, ("A", 1.0, "23:59:59", 2**62), ("A", 2.0, "23:59:59", 5), ("A", 3.0, "00:00:00", 9))
+    t = t.withColumn("part", F.when(F.col("seq") == 5, 900_000).otherwise(1))
+    row = bars(t, timedelta(days=1)).first()
+    assert (row.open_price, row.close_price) == (3.0, 2.0)
+
+
 def test_bars_aggregate_by_hash_before_the_shuffle(spark):
     text = plan(bars(ticks(spark, ("A", 1.0, "10:00:00", 1))))
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
@@ -121,3 +136,16 @@ def test_day_condition_reaches_the_scan(spark, tmp_path):
     day = operators.by_day(spark.read.parquet(f"{tmp_path}/p"), "2026-02-18")
     assert day.count() == 3
     assert "GreaterThanOrEqual(event_time" in plan(day)
+
+
+def test_a_day_opens_its_folder_only(spark, tmp_path):
+    days = spark.range(30).select(
+        F.lit("BTC-USD").alias("symbol"), F.col("id").cast("double").alias("price"),
+        F.expr("timestamp '2026-01-01 12:00:00' + make_dt_interval(id)").alias("event_time"),
+    )
+    days.withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date").parquet(f"{tmp_path}/p")
+    table = spark.read.parquet(f"{tmp_path}/p")
+    assert folders_read(operators.by_day(table, "2026-01-15")) == 1
+    both = operators.day_prices(table, "2026-01-15")
+    assert folders_read(both) == 2
+    assert values(both, "btc_avg_price", "btc_price_change") == [(14.0, 7.69)]

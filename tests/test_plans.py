@@ -101,18 +101,17 @@ def test_top_ten_per_source_and_run_date(spark):
     ]
 
 
-def test_summary_and_its_two_ways_agree(spark):
+def test_summary(spark):
     rows = [("hackernews", f"h{n}", n * 3 % 7, "2026-02-19") for n in range(20)]
     rows += [("hackernews", "no score", None, "2026-02-19")]
     rows += [("news_api", f"a{n}", 0, "2026-02-19") for n in range(30)]
     rows += [("hackernews", "only one", None, "2026-02-20")]
-    p = posts(spark, *rows)
-    alone = values(plans.source_summary(p))
-    assert alone == values(plans.source_summary(p, plans.top_stories(p)))
-    assert alone[1] == ("2026-02-19", "news_api", 30, 0.0, 0, "a29")
-    assert alone[2] == ("2026-02-20", "hackernews", 1, None, None, "only one")
-    looked_up = plan(plans.source_summary(p, plans.top_stories(p)))
-    assert "partial_max_by" not in looked_up
+    summary = plans.source_summary(posts(spark, *rows))
+    assert values(summary) == [
+        ("2026-02-19", "hackernews", 21, 3.0, 6, "h16"), ("2026-02-19", "news_api", 30, 0.0, 0, "a29"),
+        ("2026-02-20", "hackernews", 1, None, None, "only one"),
+    ]
+    assert "SortAggregate" not in plan(summary)
 
 
 def test_quality_profile(spark):
@@ -132,7 +131,7 @@ def summary(spark):
     return spark.createDataFrame(
         [(day("2026-02-19"), "hackernews", 47, 128.1, 572, "A quiet release"),
          (day("2026-02-19"), "news_api", 46, 0.0, 0, "Article"),
-         (day("2026-02-25"), "hackernews", 1, 1.0, 1, "Lonely")], SUMMARY,
+         (day("2026-02-25"), "hackernews", 1, None, None, "Lonely")], SUMMARY,
     )
 
 
@@ -170,6 +169,20 @@ def test_day_without_news_still_has_its_row(spark):
     assert lines[2] == "Top HN Story  : None" and lines[-2] == "BTC Change    : 0.1%"
 
 
+def test_a_leader_without_a_score_keeps_its_title(spark):
+    row = plans.daily_insights(summary(spark), prices(spark), "2026-02-25").first()
+    assert (row.top_hn_story, row.hn_max_score) == ("Lonely", None)
+
+
+def test_profile_counts_what_silver_leaves_out(spark):
+    b = bronze(spark, hn(url=""), hn(title="  "), hn(url=None, score=None), news(published_at="soon"), news(title=None))
+    from marketpulse.plans.silver import fetched_posts
+
+    assert values(plans.quality_profile(fetched_posts(b))) == [
+        ("2026-02-19", "hackernews", 3, 2, 1, 0, 5.0, 5), ("2026-02-19", "news_api", 2, 0, 1, 1, 0.0, 0),
+    ]
+
+
 def test_empty_day_is_one_row_of_nulls(spark):
     rows = plans.daily_insights(summary(spark), prices(spark), "2030-01-01")
     assert values(rows.drop("report_date")) == [(None,) * 8]

@@ -3,10 +3,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, utc, values
+from conftest import folders_read, plan, utc, values
 from marketpulse import plans, schemas
 from marketpulse.plans.batch import table_paths
-from marketpulse.sinks import append_bronze, committed_versions, drop_superseded, read_latest, replace_days
+from marketpulse.sinks import land_bronze, read_days, replace_days
 from marketpulse.sources import scan_day
 from marketpulse.workspace import scratch_dir
 from test_plans import bronze, hn, news
@@ -29,31 +29,32 @@ def rows(spark, *pairs):
 def table(spark, tmp_path):
     path = f"{tmp_path}/t"
     replace_days(
-        rows(spark, ("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")), path, "v1", ["2026-02-18", "2026-02-19"]
+        rows(spark, ("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")), path, ["2026-02-18", "2026-02-19"]
     )
     return path
 
 
 def current(spark, path, day=None):
-    return values(read_latest(spark, path, SCHEMA, day=day), "x", "n", "report_date")
+    return values(read_days(spark, path, SCHEMA, day=day), "x", "n", "report_date")
 
 
 def test_days_are_replaced_one_by_one(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("c", 3, "2026-02-19")]
     assert current(spark, table, "2026-02-19") == [("c", 3, "2026-02-19")]
-    assert values(committed_versions(spark, table)) == [("2026-02-18", "v1"), ("2026-02-19", "v2")]
 
 
 def test_rerun_gives_the_same_rows(spark, table):
-    for version in ("v2", "v3"):
-        replace_days(rows(spark, ("b", 2, "2026-02-19")), table, version, ["2026-02-19"])
+    for _ in range(3):
+        replace_days(rows(spark, ("b", 2, "2026-02-19")), table, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")]
 
 
 def test_a_day_can_become_empty(spark, table):
-    replace_days(rows(spark), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark), table, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18")]
+    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, ["2026-02-19"])
+    assert current(spark, table, "2026-02-19") == [("d", 4, "2026-02-19")]
 
 
 def test_failed_write_keeps_the_earlier_rows_and_can_be_repeated(spark, table):
@@ -61,72 +62,55 @@ def test_failed_write_keeps_the_earlier_rows_and_can_be_repeated(spark, table):
         "n", F.when(F.col("n") == 3, F.raise_error(F.lit("boom")).cast("int"))
     )
     with pytest.raises(Exception, match="boom"):
-        replace_days(failing, table, "v2", ["2026-02-19"])
+        replace_days(failing, table, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")]
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, ["2026-02-19"])
     assert current(spark, table, "2026-02-19") == [("c", 3, "2026-02-19")]
 
 
-def test_rows_written_without_a_commit_are_not_read(spark, table):
-    rows(spark, ("z", 9, "2026-02-19")).write.partitionBy("report_date").parquet(f"{table}/data/ver=v9")
-    assert current(spark, table, "2026-02-19") == [("b", 2, "2026-02-19")]
-
-
-def test_a_version_is_used_once(spark, table):
-    with pytest.raises(ValueError, match="already committed"):
-        replace_days(rows(spark), table, "v1", ["2026-02-19"])
-
-
 def test_without_a_list_the_days_of_the_rows_are_replaced(spark, table):
     more = rows(spark, ("c", 3, "2026-02-19"), ("d", 4, "2026-02-19"), ("e", 5, "2026-02-21"))
-    replace_days(more, table, "v2")
+    replace_days(more, table)
     assert current(spark, table) == [
         ("a", 1, "2026-02-18"), ("c", 3, "2026-02-19"), ("d", 4, "2026-02-19"), ("e", 5, "2026-02-21")
     ]
 
 
 def test_rows_of_other_days_are_left_out(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19"), ("q", 4, "2026-02-21")), table, "v2", ["2026-02-19"])
+    replace_days(rows(spark, ("c", 3, "2026-02-19"), ("q", 4, "2026-02-21")), table, ["2026-02-19"])
     assert current(spark, table) == [("a", 1, "2026-02-18"), ("c", 3, "2026-02-19")]
 
 
 def test_reading_a_table_that_does_not_exist_yet(spark, tmp_path):
-    assert read_latest(spark, f"{tmp_path}/none", SCHEMA).count() == 0
-
-
-def test_whole_table_read_prunes_superseded_folders(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
-    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, "v3", ["2026-02-19"])
-    everything = read_latest(spark, table, SCHEMA)
-    # one run-time filter on the day folders and one on the version folders
-    assert plan(everything).count("SubqueryAdaptiveBroadcast dynamicpruning") == 2
+    assert read_days(spark, f"{tmp_path}/none", SCHEMA).count() == 0
 
 
-def test_clean_up_keeps_what_is_in_use(spark, table):
-    replace_days(rows(spark, ("c", 3, "2026-02-19")), table, "v2", ["2026-02-19"])
-    replace_days(rows(spark, ("d", 4, "2026-02-19")), table, "v3", ["2026-02-19"])
-    rows(spark, ("z", 9, "2026-02-19")).write.partitionBy("report_date").parquet(f"{table}/data/ver=running")
-    folders = lambda: sorted(p for p in os.listdir(f"{table}/data") if p.startswith("ver="))
-    drop_superseded(spark, table, utc("2020-01-01T00:00:00"))
-    assert folders() == ["ver=running", "ver=v1", "ver=v2", "ver=v3"]
-    drop_superseded(spark, table, utc("2100-01-01T00:00:00"))
-    assert folders() == ["ver=running", "ver=v1", "ver=v3"]
-    assert current(spark, table) == [("a", 1, "2026-02-18"), ("d", 4, "2026-02-19")]
+def test_after_many_versions_only_the_current_files_are_there(spark, table):
+    for n in range(5):
+        replace_days(rows(spark, ("c", n, "2026-02-19")), table, ["2026-02-19"])
+    assert sorted(d for d in os.listdir(table) if "=" in d) == ["report_date=2026-02-18", "report_date=2026-02-19"]
+    stored = spark.read.schema(SCHEMA).parquet(f"{table}/report_date=2026-02-19")
+    assert values(stored.where("x IS NOT NULL"), "x", "n") == [("c", 4)]
 
 
 def test_one_day_read_prunes_the_other_folders(spark, table):
-    text = plan(read_latest(spark, table, SCHEMA, day="2026-02-19"))
-    assert "PartitionFilters: [isnotnull(report_date" in text
-    assert "SubqueryAdaptiveBroadcast dynamicpruning" in text
+    day = read_days(spark, table, SCHEMA, day="2026-02-19")
+    assert "PartitionFilters: [isnotnull(report_date" in plan(day)
+    assert folders_read(day) == 1
 
 
-def test_bronze_folders(spark, tmp_path):
+def test_bronze_folders_and_repeats(spark, tmp_path):
     path = f"{tmp_path}/bronze"
-    append_bronze(bronze(spark, hn(), news()), path)
-    append_bronze(bronze(spark, hn(at="2026-02-20T00:00:00")), path)
+    fetched = bronze(spark, hn(), news())
+    for _ in range(2):  # the second is a retry of the same run
+        land_bronze(fetched, path, "r1")
+    land_bronze(bronze(spark, hn(at="2026-02-20T00:00:00")), path, "r2")
+    land_bronze(bronze(spark, hn()), path, "r3")
     table = spark.read.schema(schemas.BRONZE_POSTS).parquet(path)
-    assert values(scan_day(table, "fetch_date", "2026-02-19", source="hackernews"), "load_id") == [("L0",)]
-    assert table.count() == 3
+    assert values(scan_day(table, "fetch_date", "2026-02-19", source="hackernews"), "load_id", "run_id") == [
+        ("L0", "r1"), ("L0", "r3")
+    ]
+    assert table.count() == 4
 
 
 def raw_articles(spark, at, *articles):
@@ -162,11 +146,11 @@ def test_batch_chain_and_its_rerun(spark, tmp_path):
     assert (again.top_hn_story, again.hn_max_score, again.total_articles) == ("t1", 50, 2)
 
     paths = table_paths(root)
-    silver = read_latest(spark, paths["silver_posts"], schemas.SILVER_POSTS, "run_date")
+    silver = read_days(spark, paths["silver_posts"], schemas.SILVER_POSTS, "run_date")
     assert values(silver.where("source = 'hackernews'"), "post_id", "score", "run_date") == [
         ("1", 50, "2026-02-19"), ("2", 9, "2026-02-19")
     ]
-    top = read_latest(spark, paths["top_stories"], schemas.TOP_STORIES)
+    top = read_days(spark, paths["top_stories"], schemas.TOP_STORIES)
     assert values(top, "source", "title", "rank") == [
         ("hackernews", "t1", 1), ("hackernews", "t2", 2), ("news_api", "T", 1)
     ]
@@ -174,6 +158,35 @@ def test_batch_chain_and_its_rerun(spark, tmp_path):
     assert values(audit, "run_id", "records_fetched", "records_loaded", "status", "execution_date") == [
         ("r1", 6, 3, "SUCCESS", "2026-02-19 23:45:00"), ("r2", 4, 3, "SUCCESS", "2026-02-19 23:45:00")
     ]
+    counts = read_days(spark, paths["source_counts"], schemas.SOURCE_COUNTS, "run_date")
+    assert values(counts, "source", "total") == [("hackernews", 2), ("news_api", 1)]
+    report = read_days(spark, paths["reports"], schemas.REPORTS).first().report
+    assert "Top HN Story  : t1" in report
+
+
+def test_all_landed_rows_are_loaded_and_the_broken_are_kept(spark, tmp_path):
+    items = [story(n) for n in range(1, 51)] + ['{"id": 51, "ti', "words"]
+    pages = raw_articles(spark, "2026-02-19T23:45:00", *[article(f"http://{n}") for n in range(45)])
+    broken_page = spark.createDataFrame([(utc("2026-02-19T23:45:00"), '{"articles": [')], "fetched_at timestamp, value string")
+    for _ in range(2):  # a retry changes nothing
+        run(spark, str(tmp_path), "r1", items, pages.unionAll(broken_page), no_ticks(spark))
+    paths = table_paths(str(tmp_path))
+    assert spark.read.schema(schemas.BRONZE_POSTS).parquet(paths["bronze_posts"]).count() == 95
+    bad = spark.read.schema(schemas.QUARANTINE).parquet(paths["quarantine"])
+    assert values(bad, "feed", "bad_text", "run_id", "run_date") == [
+        ("hackernews", "words", "r1", "2026-02-19"), ("hackernews", '{"id": 51, "ti', "r1", "2026-02-19"),
+        ("news_api", '{"articles": [', "r1", "2026-02-19"),
+    ]
+
+
+def test_run_id_follows_from_the_logical_time(spark, tmp_path):
+    pages = raw_articles(spark, "2026-02-19T23:45:00", article("http://a"))
+    for _ in range(2):
+        run(spark, str(tmp_path), None, [story(1)], pages, no_ticks(spark))
+    paths = table_paths(str(tmp_path))
+    assert spark.read.schema(schemas.BRONZE_POSTS).parquet(paths["bronze_posts"]).count() == 2
+    audit = spark.read.schema(schemas.RUN_AUDIT).parquet(paths["run_audit"])
+    assert values(audit, "run_id") == [("20260219T234500",)] * 2
 
 
 def test_batch_chain_without_any_news(spark, tmp_path):

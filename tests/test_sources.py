@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import utc, values
 from marketpulse.sources import kafka_values, normalize_frames, parse_ticks, scan_day, shape_articles, shape_stories
-from marketpulse.sources.messages import int_seq, valid_ticks
+from marketpulse.sources.messages import bad_ticks, valid_ticks
 
 AT = utc("2026-02-19T10:00:00")
 
@@ -20,7 +20,8 @@ def story(n, **changes):
 
 def test_cut_by_place_comes_before_the_type_filter(spark):
     items = [story(n, type="job" if n == 3 else "story") for n in range(1, 41)]
-    kept = shape_stories(feed(spark, items))
+    kept = shape_stories(feed(spark, items), 30)
+    assert shape_stories(feed(spark, items)).count() == 39
     assert [r.id for r in kept.orderBy("feed_pos").collect()] == [n for n in range(1, 31) if n != 3]
 
 
@@ -49,7 +50,8 @@ def test_articles(spark):
     }
     raw = spark.createDataFrame([(AT, json.dumps(page)), (AT, '{"articles": [')], "fetched_at timestamp, value string")
     rows = shape_articles(raw)
-    assert rows.count() == 30
+    assert rows.count() == 35
+    assert shape_articles(raw, 30).count() == 30
     assert values(rows.where("feed_pos = 1").drop("fetched_at")) == [
         (1, "T0", "", "http://x/0", "Paper", "2026-02-19T01:02:03Z")
     ]
@@ -97,20 +99,30 @@ def test_messages(spark):
     whole_second = {**good, "timestamp": "2026-02-19T10:00:00"}
     bad = ["{", json.dumps({**good, "timestamp": "later"}), json.dumps({**good, "symbol": None})]
     texts = [json.dumps(good), json.dumps(whole_second), *bad]
-    raw = spark.createDataFrame([(t.encode(), n) for n, t in enumerate(texts)], "value binary, seq int")
-    assert values(parse_ticks(raw), "price", "event_time", "seq") == [
-        (66837.87, "2026-02-19 10:00:00", 1), (66837.87, "2026-02-19 10:00:00.000001", 0),
+    texts += [json.dumps({**good, "price": "2.5", "volume": "many"}), json.dumps({**good, "price": "NaN"})]
+    raw = spark.createDataFrame([(t.encode(), n) for n, t in enumerate(texts)], "value binary, seq long")
+    ticks = parse_ticks(raw)
+    assert [r.value for r in ticks.orderBy("seq").collect()] == texts  # nothing is lost
+    assert values(valid_ticks(ticks), "price", "volume", "event_time", "seq") == [
+        (2.5, None, "2026-02-19 10:00:00.000001", 5),
+        (66837.87, 1.5, "2026-02-19 10:00:00", 1), (66837.87, 1.5, "2026-02-19 10:00:00.000001", 0),
+    ]
+    assert values(bad_ticks(ticks), "seq", "reason") == [
+        (2, "unreadable"), (3, "no time"), (4, "no symbol"), (6, "no price")
     ]
 
 
 def test_valid_ticks(spark):
-    rows = spark.createDataFrame([("A", 1.0), ("A", 0.0), ("A", None), (None, 1.0)], "symbol string, price double")
-    assert values(valid_ticks(rows)) == [("A", 1.0)]
+    nan, infinite = float("nan"), float("inf")
+    prices = [1.0, 0.0, -1.0, None, nan, infinite]
+    rows = [("A", p, AT) for p in prices] + [(None, 1.0, AT), ("A", 1.0, None)]
+    ticks = spark.createDataFrame(rows, "symbol string, price double, event_time timestamp")
+    assert values(valid_ticks(ticks), "symbol", "price") == [("A", 1.0)]
 
 
-def test_arrival_number_fits_an_int(spark):
-    rows = spark.createDataFrame([(0,), (2**31 - 1,), (2**31,), (2**40 + 5,)], "o long")
-    assert values(rows.select(int_seq(F.col("o")).alias("s"))) == [(0,), (0,), (2147483647,), (5,)]
+def test_frames_with_a_price_that_is_no_number(spark):
+    odd = [{"type": "ticker", "product_id": "BTC-USD", "price": p} for p in ("NaN", "Infinity", "-Infinity", "1e9")]
+    assert values(normalize_frames(frames(spark, *odd)), "price") == [(1e9,)]
 
 
 class Recorder:
@@ -134,14 +146,16 @@ class Recorder:
 
 
 def test_kafka_source(spark):
-    topic = spark.createDataFrame([(b"x", 2**33 + 7)], "value binary, offset long")
+    topic = spark.createDataFrame(
+        [(b"x", 2**33 + 7, 4, AT)], "value binary, offset long, partition int, timestamp timestamp"
+    )
     reader = Recorder(topic)
     messages = kafka_values(reader, "broker:9092", "prices", max_per_trigger=1000)
     assert reader.told == {
         "format": "kafka", "kafka.bootstrap.servers": "broker:9092", "subscribe": "prices",
         "startingOffsets": "latest", "maxOffsetsPerTrigger": 1000,
     }
-    assert values(messages, "seq") == [(7,)]
+    assert values(messages, "seq", "part", "arrived_at") == [(2**33 + 7, 4, "2026-02-19 10:00:00")]
 
 
 def test_day_scan_reads_one_folder(spark, tmp_path):

@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import utc, values
+from conftest import folders_read, utc, values
 from marketpulse import schemas, streaming
 from marketpulse.operators import bars
 from marketpulse.sources import file_values, parse_ticks
@@ -27,7 +27,7 @@ class Landing:
 
     def add(self, *messages):
         rows = [(m, self.arrived * 1000 + n) for n, m in enumerate(messages)]
-        frame = self.spark.createDataFrame(rows, "value string, seq int").coalesce(1)
+        frame = self.spark.createDataFrame(rows, "value string, seq long").coalesce(1)
         frame.write.mode("append").parquet(self.folder)
         self.arrived += 1
         # the stream takes files by age; set it to the order of arrival
@@ -41,7 +41,7 @@ class Landing:
         return file_values(self.spark, self.folder, max_files=1)
 
     def batch(self):
-        return parse_ticks(self.spark.read.schema("value string, seq int").parquet(self.folder))
+        return parse_ticks(self.spark.read.schema("value string, seq long").parquet(self.folder))
 
 
 @pytest.fixture
@@ -58,6 +58,10 @@ def ticks_table(spark, path):
     return spark.read.schema(schemas.TICKS_BY_DAY).parquet(path)
 
 
+def bronze_table(spark, path):
+    return spark.read.schema(schemas.BRONZE_TICKS).parquet(path)
+
+
 def test_changed_bars_equal_the_batch_result(spark, landing, out):
     for part in range(4):
         # each arrival overlaps the one before, within the lateness of 30 s
@@ -105,6 +109,40 @@ def test_final_bars_come_once_after_the_watermark(spark, landing, out):
     assert values(final, "open_price", "close_price", "trade_count") == [(1.0, 4.0, 2), (2.0, 2.0, 1)]
 
 
+def test_marker_closes_the_last_bars(spark, landing, out):
+    landing.add(message("A", 1.0, 0), message("B", 4.0, 59))
+    streaming.end_marker(spark).write.mode("append").parquet(landing.folder)
+    path, checkpoint = out("final")
+    streaming.start_bars_final(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    final = spark.read.schema(schemas.BARS).parquet(path)
+    assert values(final, "symbol", "close_price") == [("A", 1.0), ("B", 4.0)]
+
+
+def test_bars_have_a_folder_per_day(spark, landing, out):
+    for at in range(0, 5 * 86_400, 43_200):
+        landing.add(message("A", 1.0 + at, at))
+    path, checkpoint = out("bars")
+    streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    two_days = streaming.bar_updates(spark, path, "2026-02-20", "2026-02-21")
+    assert folders_read(two_days) < folders_read(streaming.bar_updates(spark, path))
+    assert two_days.select("bar_date").distinct().count() == 2
+
+
+def test_a_day_can_be_rebuilt_with_its_late_ticks(spark, landing, out):
+    landing.add(message("A", 1.0, 0), message("A", 2.0, 86_400))
+    landing.add(message("A", 2.5, 86_401))
+    landing.add(message("A", 9.0, 1))  # a day late
+    path, checkpoint = out("bars")
+    silver_path, silver_checkpoint = out("silver")
+    streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    streaming.start_silver(parse_ticks(landing.stream()), silver_path, silver_checkpoint, every=None).awaitTermination()
+    assert values(streaming.latest_bars(spark, path), "high_price") == [(1.0,), (2.5,)]
+    for _ in range(2):
+        streaming.rebuild_bars(ticks_table(spark, silver_path), path, "2026-02-19")
+        assert values(streaming.latest_bars(spark, path), "high_price", "trade_count") == [(2.5, 2), (9.0, 2)]
+    assert os.listdir(f"{path}/bar_date=2026-02-19").count("batch_id=0") == 1
+
+
 def test_restart_continues_from_the_checkpoint(spark, landing, out):
     path, checkpoint = out("bronze")
     bars_path, bars_checkpoint = out("bars")
@@ -112,7 +150,7 @@ def test_restart_continues_from_the_checkpoint(spark, landing, out):
         landing.add(message("A", float(part + 1), part), message("B", 1.0, 10 * part))
         streaming.start_bronze(landing.stream(), path, checkpoint, every=None).awaitTermination()
         streaming.start_bars(parse_ticks(landing.stream()), bars_path, bars_checkpoint, every=None).awaitTermination()
-    assert ticks_table(spark, path).count() == 6
+    assert bronze_table(spark, path).count() == 6
     assert values(streaming.latest_bars(spark, bars_path)) == values(
         bars(landing.batch()), *streaming.latest_bars(spark, bars_path).columns
     )
@@ -137,11 +175,17 @@ def test_repeated_micro_batch_leaves_no_second_copy(spark, landing, out):
 def test_streams_together(spark, landing, tmp_path):
     for part in range(3):
         landing.add(*[message("AB"[n % 2], float(n + 1), n * 5 + part) for n in range(20)])
-    landing.add(message("A", 0.0, 7))
+    landing.add(message("A", 0.0, 7), "{broken")
     running = streaming.start_streams(spark, landing.stream(), str(tmp_path), None, None)
     for q in running.values():
         q.awaitTermination()
-    assert ticks_table(spark, f"{tmp_path}/bronze_ticks").count() == 61
+    texts = bronze_table(spark, f"{tmp_path}/bronze_ticks")
+    assert sorted(values(texts, "value")) == sorted(values(landing.batch(), "value"))
+    assert texts.count() == 62
+    bad = spark.read.schema(schemas.BAD_TICKS).parquet(f"{tmp_path}/quarantine")
+    assert values(bad, "value", "reason") == sorted(
+        [(message("A", 0.0, 7), "no price"), ("{broken", "unreadable")], key=repr
+    )
     assert ticks_table(spark, f"{tmp_path}/silver_prices").count() == 60
     latest = streaming.latest_bars(spark, f"{tmp_path}/bars")
     assert values(latest) == values(bars(valid_ticks(landing.batch())), *latest.columns)
