@@ -70,18 +70,18 @@ class Items:
             found += zip(hits.tolist(), at[hits].tolist())
         return found
 
-    def choose_seeds(self, document_counts, stretch=4):
-        """Of every `stretch` neighbouring n-grams of an item the one that the fewest
-        documents hold (the first of equals) becomes a seed. An item has seeds all along its
-        length however common it is."""
+    def choose_seeds(self, document_counts, common=4):
+        """An item's n-grams that documents hold become seeds, but for the common ones: those
+        in more than `common` times as many documents as its middle n-gram. The measure is
+        the item's own, so an item keeps seeds however often it is copied."""
         seeds = {}
         for number, (_, known) in self.items.items():
-            grams = self.grams(known)
-            for start in range(0, len(grams), stretch):
-                part = grams[start:start + stretch].tolist()
-                rarest = min(part, key=lambda g: document_counts.get(g, 0))
-                place = start + part.index(rarest)
-                seeds.setdefault(rarest, []).append((number, place))
+            grams = self.grams(known).tolist()
+            held = sorted(n for g in set(grams) if (n := document_counts.get(g, 0)))
+            most = common * held[len(held) // 2] if held else 0
+            for place, gram in enumerate(grams):
+                if 0 < document_counts.get(gram, 0) <= most:
+                    seeds.setdefault(gram, []).append((number, place))
         self.seeds = np.array(sorted(seeds), dtype=np.uint64)
         self.places = [seeds[g] for g in self.seeds.tolist()]
         return self
@@ -189,7 +189,7 @@ def item_blocks(benchmark, n):
         yield Items(block, n)
 
 
-def contaminated(docs, benchmark, n=3, stretch=4, least=0.5):
+def contaminated(docs, benchmark, n=3, common=4, least=0.5):
     """One row per document and test item whose alignment reaches the share `least` of a
     perfect one: doc_id, item_id, score (that share), matched (words), item_words, start_word
     and end_word of the passage, seeds (seed hits in it).
@@ -202,7 +202,7 @@ def contaminated(docs, benchmark, n=3, stretch=4, least=0.5):
     """
     found = None
     for items in item_blocks(benchmark, n):
-        items.choose_seeds(gram_counts(docs, items), stretch)
+        items.choose_seeds(gram_counts(docs, items), common)
         part = _aligned(docs, items, least)
         found = part if found is None else found.unionAll(part)
     if found is None:

@@ -82,7 +82,13 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(np.clip(np.asarray(self.thresholds) - score, -60, 60)))
 
 
-def fit_ordinal(samples, grades=3, totals=None, least_documents=3, shrink=1.0, rounds=200, rate=0.5):
+def ordered(cuts, gap=0.05):
+    """Thresholds in rising order, at least `gap` apart."""
+    steps = gap * np.arange(len(cuts))
+    return np.maximum.accumulate(cuts - steps) + steps
+
+
+def fit_ordinal(samples, grades=3, totals=None, least_documents=3, shrink=0.5, rounds=300, rate=0.5):
     """An OrdinalModel from (grade, Counter of features) pairs.
 
     Accelerated proximal gradient on the negative log likelihood of the grades. `totals`
@@ -114,16 +120,9 @@ def fit_ordinal(samples, grades=3, totals=None, least_documents=3, shrink=1.0, r
     word, doc, value = place[ids[kept]], doc[kept], np.frombuffer(values)[kept]
 
     share = np.array([weight[y > k].sum() / n for k in range(grades - 1)]).clip(1e-4, 1 - 1e-4)
-    cuts = -np.log(share / (1 - share))
-    cuts = np.maximum.accumulate(cuts + np.arange(grades - 1) * 1e-3)
-    # The thresholds are a first value and the logarithms of the steps, so they stay ordered.
-    shape = np.concatenate([cuts[:1], np.log(np.diff(cuts))])
-
-    def thresholds(shape):
-        return np.concatenate([shape[:1], shape[0] + np.cumsum(np.exp(shape[1:]))])
+    cuts = ordered(-np.log(share / (1 - share)))
 
-    def gradient(w, shape):
-        t = thresholds(shape)
+    def gradient(w, t):
         s = np.bincount(doc, weights=w[word] * value, minlength=n)
         below = 1 / (1 + np.exp(np.clip(s[:, None] - t[None, :], -60, 60)))
         cdf = np.hstack([np.zeros((n, 1)), below, np.ones((n, 1))])
@@ -132,30 +131,30 @@ def fit_ordinal(samples, grades=3, totals=None, least_documents=3, shrink=1.0, r
         p = np.maximum(cdf[at, y + 1] - cdf[at, y], 1e-12)
         upper, lower = weight * density[at, y + 1] / p, weight * density[at, y] / p
         of_score = upper - lower
-        dt = np.array([lower[y == k + 1].sum() - upper[y == k].sum() for k in range(grades - 1)])
-        tail = np.cumsum(dt[::-1])[::-1]
-        of_shape = np.concatenate([tail[:1], tail[1:] * np.exp(shape[1:])])
-        return np.bincount(word, weights=of_score[doc] * value, minlength=len(names)), of_shape
+        of_cuts = np.array([lower[y == k + 1].sum() - upper[y == k].sum() for k in range(grades - 1)])
+        return np.bincount(word, weights=of_score[doc] * value, minlength=len(names)), of_cuts
 
     # A step per feature that the curvature in its documents allows (diagonal preconditioning).
     width = np.sqrt(np.bincount(doc, weights=value * value, minlength=n).clip(1)) * weight
     curvature = np.bincount(word, weights=0.25 * width[doc] * value, minlength=len(names))
     step_w = rate / np.maximum(curvature, 1.0)
     step_t = rate / (0.25 * n)
-    w = np.zeros(len(names))
-    ahead, momentum = w.copy(), 1.0
+    w, ahead = np.zeros(len(names)), np.zeros(len(names))
+    cuts_ahead, momentum = cuts.copy(), 1.0
     for _ in range(rounds):
-        gw, gt = gradient(ahead, shape)
-        new = ahead - step_w * gw
+        of_w, of_cuts = gradient(ahead, cuts_ahead)
+        new = ahead - step_w * of_w
         new = np.sign(new) * np.maximum(np.abs(new) - step_w * shrink, 0.0)
+        new_cuts = ordered(cuts_ahead - step_t * of_cuts)
         following = (1 + (1 + 4 * momentum * momentum) ** 0.5) / 2
-        if ((ahead - new) * (new - w)).sum() > 0:
+        back = ((ahead - new) * (new - w)).sum() + ((cuts_ahead - new_cuts) * (new_cuts - cuts)).sum()
+        if back > 0:
             following = 1.0  # overshot: start the acceleration anew
-        ahead = new + (momentum - 1) / following * (new - w) if following > 1 else new
-        w, momentum = new, following
-        shape = shape - step_t * gt
+        push = max(0.0, (momentum - 1) / following) if following > 1 else 0.0
+        ahead, cuts_ahead = new + push * (new - w), ordered(new_cuts + push * (new_cuts - cuts))
+        w, cuts, momentum = new, new_cuts, following
     used = np.flatnonzero(w)
-    return OrdinalModel({names[i]: float(w[i]) for i in used}, thresholds(shape).tolist())
+    return OrdinalModel({names[i]: float(w[i]) for i in used}, cuts.tolist())
 
 
 def fit(docs, labels, rows_per_grade=1500):

@@ -1,0 +1,260 @@
+"""License scan, toxicity and decontamination."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import regex
+from llm.conftest import EDGES, clashing, rows_of
+
+from marketpulse.llm import decontaminate
+from marketpulse.llm.decontaminate import (
+    GAP, MATCH, MISMATCH, best_passage, contaminated, local_alignment, without_contaminated, words_of,
+)
+from marketpulse.llm.licenses import TEMPLATES, Templates, blocks_of, license_scan, winner, wording
+from marketpulse.llm.toxicity import (
+    WORD, fit, fit_ordinal, severity_grades, toxic_documents, toxicity_scores, with_prefixes, without_toxic,
+)
+
+# --- licenses
+
+
+@pytest.fixture(scope="module")
+def templates():
+    return Templates(TEMPLATES)
+
+
+def judged(templates, text):
+    return [winner(templates, words, 0.2, 0.4, 3) for _, words in blocks_of(text)]
+
+
+@pytest.mark.parametrize("name", list(TEMPLATES))
+def test_every_template_is_found(templates, name):
+    noise = "Ndare the enshe thion. "
+    for text in (TEMPLATES[name], TEMPLATES[name].upper(), noise + TEMPLATES[name] + " Onerha the."):
+        (found,) = judged(templates, text)
+        assert found[0] == name and found[2] == 0 and found[3]
+
+
+def test_a_changed_notice(templates):
+    (found,) = judged(templates, "Licensed under the Apache License 2.0")
+    assert found[:1] + found[2:4] == ("Apache-2.0", 1, False)
+    assert judged(templates, "Drivers need a valid licence, they said.") == [None]
+    assert judged(templates, "no notice here") == []
+
+
+def test_notice_in_a_very_long_line(templates):
+    line = "x " * 5000 + TEMPLATES["CC-BY-4.0"] + " y" * 5000 + " license " + "z " * 300 + TEMPLATES["MIT"]
+    assert [w and w[0] for w in judged(templates, line)] == ["CC-BY-4.0", None, "MIT"]
+
+
+def test_blocks_cover_all_cues():
+    draw = random.Random(1)
+    for _ in range(50):
+        words = [draw.choice(["license", "a", "b-c", "4.0", "Copyright"]) if draw.random() < 0.05 else "w"
+                 for _ in range(draw.randrange(900))]
+        blocks = [w for _, w in blocks_of(" ".join(words), window=20)]
+        assert sum(x in ("license", "copyright") for w in blocks for x in w) >= sum(
+            x.lower() in ("license", "copyright") for x in words) * bool(blocks)
+
+
+def test_differences_by_brute_force(templates):
+    for name, text in TEMPLATES.items():
+        words = wording(text)
+        for k in range(len(words)):
+            assert templates.differences(words[:k] + words[k + 1:], name)[0] == (1 if len(words) > 1 else 1)
+            assert templates.differences(["q"] + words[:k] + ["zz"] + words[k:], name)[0] == (1 if k else 0)
+
+
+def test_license_rows(make, edges, none):
+    rows = [(1, "text\n\nReleased under the MIT License.\nmore"), (1, "text\n\nReleased under the MIT License.\nmore"),
+            (2, None), (3, ""), (None, "Licensed under CC BY 4.0.")]
+    docs = clashing(make(rows), "license", "block", "words")
+    assert rows_of(license_scan(docs), "doc_id", "block", "license", "exact") == [
+        (1, 2, "MIT", True), (1, 2, "MIT", True), (None, 0, "CC-BY-4.0", True)
+    ]
+    assert license_scan(edges).count() == license_scan(none).count() == 0
+
+
+# --- toxicity
+
+BAD = ["wretch", "fool", "villain", "scoundrel"]
+
+
+def labelled(n, seed, grades=(0, 1, 2)):
+    """Texts whose grade shows in how many bad words they have, with one label in 20 wrong."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        grade = draw.choice(grades)
+        words = [f"w{draw.randrange(300)}" for _ in range(draw.randrange(20, 200))]
+        words += [draw.choice(BAD) + draw.choice(["", "s", "ish"]) for _ in range(4 * grade)]
+        draw.shuffle(words)
+        shown = draw.choice(grades) if draw.random() < 0.05 else grade
+        rows.append((i, " ".join(words), grade, shown))
+    return rows
+
+
+def test_ordinal_model_on_held_out_texts():
+    pattern = regex.compile(WORD)
+    counts = lambda text: Counter(pattern.findall(text.lower()))
+    model = fit_ordinal([(shown, with_prefixes(counts(t))) for _, t, _, shown in labelled(2500, 1)])
+    assert model.thresholds == sorted(model.thresholds)
+    held_out = labelled(600, 2)
+    right = sum(int((model.above(model.score(counts(t))) >= 0.5).sum()) == g for _, t, g, _ in held_out)
+    assert right / len(held_out) > 0.95
+    severity = {g: np.mean([model.above(model.score(counts(t))).sum() for _, t, k, _ in held_out if k == g]) for g in range(3)}
+    assert severity[0] < 0.2 < 0.8 < severity[1] < 1.3 < 1.7 < severity[2]
+
+
+def test_a_sample_weighs_what_it_stands_for():
+    words = lambda n: Counter({"common": 1, f"x{n % 7}": 1})
+    samples = [(k % 2, words(k)) for k in range(200)]
+    even, rare = fit_ordinal(samples), fit_ordinal(samples, totals={0: 9900, 1: 100})
+    assert even.above(even.score(words(1)))[0] > 0.4
+    assert rare.above(rare.score(words(1)))[0] < 0.1
+
+
+def test_model_without_toxic_labels():
+    model = fit_ordinal([(0, Counter("ab"))] * 5)
+    assert (model.above(model.score(Counter("ab"))) < 0.01).all()
+    assert (fit_ordinal([]).above(0.0) < 0.01).all()
+
+
+def test_grades(spark):
+    rows = [(1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 0, 0), (5, None, 1), (6, 0, None), (7, 1, 0), (7, 0, 1), (None, 0, 1)]
+    grades = severity_grades(spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+    assert rows_of(grades) == [(1, 0), (2, 1), (3, 2), (4, 0), (5, 1), (6, 0), (7, 2)]
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rows = labelled(300, 3)
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, 0 if s == 2 else 1, int(s > 0)) for i, _, _, s in rows], "doc_id long, quality int, toxic int"
+    )
+    return docs, labels, rows
+
+
+def test_all_documents_get_a_grade(trained, edges, none):
+    docs, labels, rows = trained
+    scored = {r.doc_id: r for r in toxic_documents(docs, labels).collect()}
+    assert len(scored) == len(rows)
+    assert sum(scored[i].toxic == (g > 0) for i, _, g, _ in rows) > 290
+    model = fit(docs, labels, rows_per_grade=40)
+    odd = toxicity_scores(clashing(edges, "score", "toxic", "grade"), model).collect()
+    assert len(odd) == len(EDGES) and not any(r.toxic for r in odd)
+    assert [r.score for r in odd if r.doc_id == 3] == [0.0]
+    assert toxicity_scores(none, model).count() == 0
+    assert toxic_documents(none, labels).count() == 0
+
+
+def test_only_toxic_rows_go(trained, make):
+    docs, labels, _ = trained
+    rows = [(1, "a wretch and a fool and a villain, that scoundrel, foolish"), (2, "a kind day"), (3, None), (None, ""), (2, "a kind day")]
+    kept = without_toxic(clashing(make(rows), "toxic", "score"), fit(docs, labels))
+    assert rows_of(kept, "doc_id", "toxic") == [(2, "taken"), (2, "taken"), (3, "taken"), (None, "taken")]
+
+
+# --- decontamination
+
+
+def slow_alignment(item, passage):
+    table = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+    for i, x in enumerate(item, 1):
+        for j, y in enumerate(passage, 1):
+            gain = MATCH if x == y and x >= 0 else MISMATCH
+            table[i][j] = max(0, table[i - 1][j - 1] + gain, table[i - 1][j] + GAP, table[i][j - 1] + GAP)
+    return max(map(max, table))
+
+
+def test_local_alignment():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        item = draw.integers(0, 5, draw.integers(1, 12))
+        passage = draw.integers(-1, 5, draw.integers(0, 25))
+        score, matches, start, end = local_alignment(item, passage)
+        assert score == slow_alignment(item.tolist(), passage.tolist())
+        assert 0 <= start <= end <= len(passage)
+        assert score == slow_alignment(item.tolist(), passage[start:end].tolist())
+        assert matches * MATCH >= score
+
+
+def test_blocks_of_a_long_stretch():
+    draw = np.random.default_rng(2)
+    item = draw.integers(0, 50, 12)
+    known = np.concatenate([np.full(5000, -1), item[:9], np.full(3, -1), item[9:], np.full(5000, -1)])
+    hits = [(at, 0) for at in range(0, len(known), 5)]
+    assert best_passage(item, known, hits, block=256)[0] == local_alignment(item, known)[0]
+
+
+def corpus(seed=4, edits=0.08):
+    draw = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(400)] + ["the", "of", "and"] * 40
+    text = lambda n: [draw.choice(vocabulary) for _ in range(n)]
+    items = [(i, " ".join(text(draw.randrange(12, 60)))) for i in range(20)]
+    rows, leaks = [], set()
+    for i in range(200):
+        words = text(draw.randrange(0, 300))
+        if i % 4 == 0:
+            item_id, item = draw.choice(items)
+            copy = [w for w in item.split() if draw.random() > edits / 2]
+            copy = [draw.choice(vocabulary) if draw.random() < edits / 2 else w.upper() for w in copy]
+            at = draw.randrange(len(words) + 1)
+            words[at:at] = copy
+            leaks.add((i, item_id))
+        rows.append((i, ", ".join(words)))
+    return rows, items, leaks
+
+
+def test_edited_copies_are_found_and_nothing_else(spark, make):
+    rows, items, leaks = corpus()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = contaminated(make(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == leaks
+    assert all(0.5 <= r.score <= 1 and r.matched <= r.item_words and r.end_word > r.start_word for r in found)
+
+
+def test_seeds_lose_nothing(spark, make):
+    """Copies with one word in five changed: the same pairs as aligning every item with every
+    whole text."""
+    rows, items, _ = corpus(6, edits=0.2)
+    found = contaminated(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    index = {w: i for i, w in enumerate({w for _, t in items for w in words_of(t)})}
+    number = lambda t: np.array([index.get(w, -1) for w in words_of(t)], dtype=np.int64)
+    whole = {
+        (d, i) for d, t in rows for i, item in items
+        if local_alignment(number(item), number(t))[0] >= MATCH * len(words_of(item)) * 0.5
+    }
+    assert {(r.doc_id, r.item_id) for r in found} == whole
+    assert len(whole) > 20
+
+
+def test_blocks_of_items(spark, make, monkeypatch):
+    rows, items, leaks = corpus(5)
+    monkeypatch.setattr(decontaminate, "MAX_BLOCK_BYTES", 400)
+    found = contaminated(make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == leaks
+
+
+def test_a_test_item_in_a_third_of_all_documents(spark, make):
+    item = "what is the capital of the country that lies north of the old sea"
+    rows = [(i, f"text {i} before it. {item if i % 3 == 0 else ''} and after {i}") for i in range(300)]
+    found = contaminated(make(rows), spark.createDataFrame([(9, item)], "item_id long, text string"))
+    assert rows_of(found, "doc_id", "score") == sorted([(i, 1.0) for i in range(0, 300, 3)], key=repr)
+
+
+def test_decontamination_edges(spark, edges, none):
+    items = [(1, "two three four"), (2, None), (3, ""), (4, "four"), (None, "one two three four five"), (5, "...")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = clashing(edges, "item_id", "score", "hit", "doc")
+    found = Counter((r.doc_id, r.item_id) for r in contaminated(docs, benchmark).collect())
+    assert found == Counter({(1, 1): 1, (1, 4): 1, (1, None): 1, (5, 1): 2, (5, 4): 2, (5, None): 2,
+                             (None, 1): 1, (None, 4): 1, (None, None): 1})
+    kept = without_contaminated(docs, benchmark)
+    assert rows_of(kept, "doc_id", "hit") == sorted([(d, "taken") for d in (2, 3, 4, 7, 7, 8)], key=repr)
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert contaminated(edges, empty).count() == contaminated(none, benchmark).count() == 0
+    assert without_contaminated(edges, empty).count() == len(EDGES)
