@@ -1,8 +1,8 @@
 """License scans by conditional compression: a block that repeats a template's wording needs
 few bytes once the compressor has the template as its dictionary."""
 
-import difflib
 import re
+from bisect import bisect_left, bisect_right
 
 import zstandard
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright to this work.",
-    "all-rights-reserved": "Copyright. All rights reserved.",
+    "all-rights-reserved": "All rights reserved.",
 }
 # Words of which every notice has one.
 CUES = r"(?i)licen[cs]|copyright|copyleft|permission|redistribut|all rights|public domain|\bcc[ -]?(?:by|0)"
@@ -76,53 +76,53 @@ class Templates:
         return [(saved, saved / self.alone[name], name) for saved, name in ordered]
 
     def differences(self, words, name):
-        """Words to add or remove so that the block holds the template word for word. Words
-        around the notice do not count; the closest stretch of the block is compared."""
+        """(words to add, remove or change so that the block holds the template word for word,
+        start and stop of the stretch that is closest to it). Words around it do not count."""
         template = self.words[name]
-        match = difflib.SequenceMatcher(None, template, words, autojunk=False)
-        same = [b for b in match.get_matching_blocks() if b.size]
-        if not same:
-            return len(template), ""
-        start, stop = same[0].b, same[-1].b + same[-1].size
-        start, stop = max(0, start - same[0].a), min(len(words), stop + len(template) - same[-1].a - same[-1].size)
-        kept = sum(b.size for b in same)
-        inner = same[-1].b + same[-1].size - same[0].b
-        return (len(template) - kept) + (inner - kept), " ".join(words[start:stop])
-
-
-def blocks_of(text, window=60):
-    """(number, words) of the lines that hold a cue word. Of a long line, the words around
-    each cue; overlapping surroundings are one block."""
-    for number, line in enumerate(text.split("\n")):
-        if not CUE.search(line):
-            continue
-        words = wording(line)
-        if len(words) <= 2 * window:
-            yield number, words
-            continue
-        spans = []
-        for cue in CUE.finditer(line):
-            at = len(WORDS.findall(line[:cue.start()])) if not spans else spans[-1][2] + len(
-                WORDS.findall(line[spans[-1][3]:cue.start()]))
-            a, b = max(0, at - window), min(len(words), at + window)
-            if spans and a <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], b, at, cue.start())
-            else:
-                spans.append((a, b, at, cue.start()))
-        for a, b, _, _ in spans:
-            yield number, words[a:b]
-
-
-def license_scan(docs, templates=None, least_saved=0.2, most_differences=0.4, tries=3):
-    """One row per notice found: doc_id, block (its line, from 0), license, saved,
-    differences, exact, wording, runner_up.
-
-    Candidate blocks are the lines with a cue word, in whole texts. Each is compressed alone
+        above = [(0, j) for j in range(len(words) + 1)]  # (differences, start of the stretch)
+        for i, expected in enumerate(template, 1):
+            here = [(i, 0)]
+            for j, word in enumerate(words, 1):
+                (same, start), (skipped, before), (added, own) = above[j - 1], above[j], here[j - 1]
+                here.append(min((same + (word != expected), -start), (skipped + 1, -before), (added + 1, -own)))
+                here[j] = (here[j][0], -here[j][1])
+            above = here
+        stop = min(range(len(above)), key=lambda j: above[j][0])
+        return above[stop][0], above[stop][1], stop
+
+
+def blocks_of(text, window=30):
+    """The words around each cue, `window` before and after, as (words, line of each word).
+    Surroundings that overlap are one block; line breaks do not end one."""
+    cues = [c.start() for c in CUE.finditer(text)]
+    if not cues:
+        return
+    found = list(WORDS.finditer(text))
+    starts = [w.start() for w in found]
+    breaks = [i for i, letter in enumerate(text) if letter == "\n"]
+    spans = []
+    for cue in cues:
+        at = bisect_right(starts, cue)
+        a, b = max(0, at - window), min(len(found), at + window)
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], b)
+        else:
+            spans.append((a, b))
+    for a, b in spans:
+        yield [w.group().lower() for w in found[a:b]], [bisect_left(breaks, s) for s in starts[a:b]]
+
+
+def license_scan(docs, templates=None, least_saved=0.1, most_differences=0.4, tries=5):
+    """One row per notice found: doc_id, block (line of its first word, from 0), license,
+    saved, differences, exact, wording, runner_up.
+
+    Candidate blocks are the words around cue words, in whole texts. Each is compressed alone
     and with every template as dictionary; the `tries` templates that save most bytes, and at
     least the share `least_saved` of their own compressed size, are compared word by word.
-    `saved` is that share. The one with the fewest differing words wins if
-    these are at most `most_differences` of its words; ties go to the larger saving, then to
-    the name. `exact` means no difference. Null and empty texts and lines without a winner
+    `saved` is that share. The one with the fewest differing words wins if these are at most
+    `most_differences` of its words; ties go to the larger saving, then to the name. The words
+    before and after a winner's stretch are searched again, so a block may hold several
+    notices. `exact` means no difference. Null and empty texts and blocks without a winner
     give no row; repeated rows give repeated results.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dict(templates or TEMPLATES))
@@ -137,36 +137,40 @@ def license_scan(docs, templates=None, least_saved=0.2, most_differences=0.4, tr
         for batch in batches:
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for number, words in blocks_of(text):
+                for words, lines in blocks_of(text):
                     key = " ".join(words)
                     if key not in judged:
-                        if len(judged) >= 20_000:
+                        if len(judged) >= 5_000:
                             judged.clear()
-                        judged[key] = winner(known, words, least_saved, most_differences, tries)
-                    if judged[key]:
-                        rows.append((doc_id, number, *judged[key]))
+                        judged[key] = list(notices(known, words, least_saved, most_differences, tries))
+                    rows += [(doc_id, lines[start], *notice) for start, *notice in judged[key]]
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     return cue_rows(docs).mapInArrow(run, RESULT)
 
 
-def winner(known, words, least_saved, most_differences, tries):
-    if not words:
-        return None
+def notices(known, words, least_saved, most_differences, tries, offset=0):
+    """(first word, license, saved, differences, exact, wording, runner-up) of each notice in
+    a block, in their order."""
+    if not CUE.search(" ".join(words)):
+        return
     ranked = known.ranked(words)
-    best = []
+    best = None
     for _, saved, name in ranked[:tries]:
         if saved < least_saved:
             continue
-        differing, stretch = known.differences(words, name)
-        if differing <= most_differences * len(known.words[name]):
-            best.append((differing, -saved, name, stretch))
+        differing, start, stop = known.differences(words, name)
+        if differing <= most_differences * len(known.words[name]) and start < stop:
+            best = min(best or (differing + 1,), (differing, -saved, name, start, stop))
     if not best:
-        return None
-    differing, saved, name, stretch = min(best)
+        return
+    differing, saved, name, start, stop = best
+    rules = (least_saved, most_differences, tries)
+    yield from notices(known, words[:start], *rules, offset)
     second = next((n for _, _, n in ranked if n != name), None)
-    return name, round(-saved, 6), differing, differing == 0, stretch, second
+    yield offset + start, name, round(-saved, 6), differing, differing == 0, " ".join(words[start:stop]), second
+    yield from notices(known, words[stop:], *rules, offset + stop)
 
 
 def cue_rows(docs):
