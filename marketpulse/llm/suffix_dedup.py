@@ -12,8 +12,9 @@ cross the corpus, each only over what the one before left undecided:
    offsets. An anchor alone in its bucket decides all starts that it stands for.
 2. The surroundings of an anchor: everything its starts cover. Anchors that share a bucket of
    depth 64 and that of their surroundings: all their starts repeat.
-3. Depth 200, from the identifiers at offsets 0, 64, 128 and 136, for each start of anchors
-   whose bucket holds different surroundings.
+3. Depth 200, from the identifiers at offsets 0, 64, 128 and 136, for the starts of anchors
+   whose bucket holds different surroundings. Eight neighbouring starts have 193 bytes in
+   common; only where these repeat are the eight looked at one by one.
 """
 
 import numpy as np
@@ -24,6 +25,7 @@ from marketpulse.llm.rows import filter_of, keyed
 
 LENGTH, GRAM = 200, 64  # bytes of a repeated string, and of an anchor
 WINDOW = LENGTH - GRAM + 1  # anchors to choose from
+GROUP = 8  # neighbouring starts whose common bytes are looked at first
 PIECE = 1 << 20  # starts of one document that are worked on at a time
 CHUNK = 1 << 18  # bytes of short documents that are worked on together
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd multipliers
@@ -59,10 +61,10 @@ def sliding_least(values, width):
     return np.minimum(values[:len(values) - (width - size)], values[width - size:]) if size < width else values
 
 
-def at_depth_200(ids, starts):
-    """Bucket identifiers of depth 200 at the given positions."""
+def at_depth(ids, starts, depth):
+    """Bucket identifiers of a depth from 129 to 256 at the given positions."""
     pair = mixed(ids[starts], ids[starts + GRAM])
-    return mixed(pair, mixed(ids[starts + 2 * GRAM], ids[starts + LENGTH - GRAM]))
+    return mixed(pair, mixed(ids[starts + min(2 * GRAM, depth - GRAM)], ids[starts + depth - GRAM]))
 
 
 def anchors(raw, ends):
@@ -111,12 +113,12 @@ def chunks(rows):
         yield chunk()
 
 
-ANCHORS = "gram long, around long, row long, low int, span short"
+ANCHORS = "gram long, around long, row long, low int, span short, place short"
 
 
 def sampled_buckets(docs):
-    """gram (bucket of depth 64), around, row (key of the row), low (first start) and span
-    (last start less the first) of every anchor."""
+    """gram (bucket of depth 64), around, row (key of the row), low (first start), span (last
+    start less the first) and place (the anchor less the first start) of every anchor."""
 
     def run(batches):
         import pyarrow as pa
@@ -128,13 +130,14 @@ def sampled_buckets(docs):
                 found = anchors(raw, ends)
                 if found is None:
                     continue
-                _, gram, low, high, around = found
+                anchor, gram, low, high, around = found
                 part = np.searchsorted(ends, low, side="right")
                 begins = np.append(0, ends[:-1]) - np.array(offsets)
                 columns = [
                     pa.array(gram.view(np.int64)), pa.array(around.view(np.int64)),
                     pa.array(np.array(owners, dtype=np.int64)[part]),
                     pa.array((low - begins[part]).astype(np.int32)), pa.array((high - low).astype(np.int16)),
+                    pa.array((anchor - low).astype(np.int16)),
                 ]
                 yield pa.record_batch(columns, names)
 
@@ -149,20 +152,34 @@ def suspects(docs, rows, label):
     return marked.select("_doc.*", "_row", "_possible")
 
 
+def start_groups(low, span, place):
+    """(owner, first start, end of starts, start of the common bytes) of the groups of starts
+    of some anchors. Groups are aligned to the anchor, so equal strings are in equal groups."""
+    nearest = (place - span) // GROUP
+    counts = place // GROUP - nearest + 1
+    owner = np.repeat(np.arange(len(low)), counts)
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    common = (low + place)[owner] - GROUP * (nearest[owner] + number)
+    first = np.maximum(common - GROUP + 1, low[owner])
+    return owner, first, np.minimum(common, (low + span)[owner]) + 1, common
+
+
+DEEP = "gram long, core long, row long, start int, alone boolean, deep array<long>"
+
+
 def deep_buckets(docs, undecided):
-    """gram, deep (bucket of depth 200), row, start and alone for every start of the anchors
-    in `undecided` (row, gram, low, span, alone)."""
-    wanted = stored(
-        undecided.groupBy("row").agg(F.collect_list(F.struct("gram", "low", "span", "alone")).alias("wanted")),
-        "suffix-wanted",
-    )
+    """For each group of starts of the anchors in `undecided` (row, gram, low, span, place,
+    alone): gram, core (bucket of the common bytes), row, start, alone and deep, the buckets
+    of depth 200 of its starts."""
+    anchor = F.struct("gram", "low", "span", "place", "alone")
+    wanted = stored(undecided.groupBy("row").agg(F.collect_list(anchor).alias("wanted")), "suffix-wanted")
     texts = suspects(docs, wanted.select("row"), "suffix-filter").where("_possible")
     texts = texts.join(wanted, F.col("_row") == F.col("row")).dropDuplicates(["_row"])
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["gram", "deep", "row", "start", "alone"]
+        names = [field.split()[0] for field in DEEP.split(", ")]
         for batch in batches:
             for row, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -173,24 +190,42 @@ def deep_buckets(docs, undecided):
                     while stop < len(wanted) and wanted[stop]["low"] < base + PIECE:
                         stop += 1
                     some, at = wanted[at:stop], stop
-                    spans = np.array([w["span"] for w in some], dtype=np.int64) + 1
-                    end = max(w["low"] + w["span"] for w in some) + LENGTH
-                    ids = identifiers(raw[base:end])
-                    first = np.repeat(np.array([w["low"] for w in some]), spans)
-                    inside = np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans)
-                    starts = first + inside
+                    low, span, place, gram = (
+                        np.array([w[f] for w in some], dtype=np.int64) for f in ("low", "span", "place", "gram")
+                    )
+                    # The common bytes of a group may begin after its last start.
+                    ids = identifiers(raw[base:(low + span).max() + LENGTH])
+                    owner, first, end, common = start_groups(low, span, place)
+                    sizes = end - first
+                    offsets = np.append(0, np.cumsum(sizes))
+                    starts = np.repeat(first - offsets[:-1], sizes) + np.arange(offsets[-1])
+                    deep = pa.array(at_depth(ids, starts - base, LENGTH).view(np.int64))
                     columns = [
-                        pa.array(np.repeat(np.array([w["gram"] for w in some], dtype=np.int64), spans)),
-                        pa.array(at_depth_200(ids, starts - base).view(np.int64)),
-                        pa.array(np.full(len(starts), row, dtype=np.int64)),
-                        pa.array(starts.astype(np.int32)),
-                        pa.array(np.repeat(np.array([w["alone"] for w in some], dtype=bool), spans)),
+                        pa.array(gram[owner]),
+                        pa.array(at_depth(ids, common - base, LENGTH - GROUP + 1).view(np.int64)),
+                        pa.array(np.full(len(owner), row, dtype=np.int64)),
+                        pa.array(first.astype(np.int32)),
+                        pa.array(np.array([w["alone"] for w in some], dtype=bool)[owner]),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), deep),
                     ]
                     yield pa.record_batch(columns, names)
 
-    return texts.select("row", "text", "wanted").mapInArrow(
-        run, "gram long, deep long, row long, start int, alone boolean"
+    return texts.select("row", "text", "wanted").mapInArrow(run, DEEP)
+
+
+def single_starts(groups):
+    """row and start of the single anchors' starts whose string of 200 bytes repeats."""
+    groups = stored(groups, "suffix-groups")
+    cores = stored(groups.groupBy("gram", "core").count().where("count > 1").select("gram", "core"), "suffix-cores")
+    bitmaps, bits = filter_of(cores.select(F.xxhash64("gram", "core").alias("key")), "suffix-core-filter")
+    marked = mark_possible(groups, F.xxhash64("gram", "core"), bitmaps, bits, "_possible")
+    common = marked.where("_possible").join(cores, ["gram", "core"])
+    deep = common.select("gram", "row", "start", "alone", F.posexplode("deep").alias("step", "deep"))
+    deep = stored(
+        deep.select("gram", "deep", "row", (F.col("start") + F.col("step")).alias("start"), "alone"), "suffix-deep"
     )
+    twice = stored(deep.groupBy("gram", "deep").count().where("count > 1").select("gram", "deep"), "suffix-twice")
+    return deep.where("alone").join(twice, ["gram", "deep"]).select("row", "start")
 
 
 def repeated_starts(docs):
@@ -200,7 +235,7 @@ def repeated_starts(docs):
     shared = stored(sampled.groupBy("gram").count().where("count > 1").select("gram"), "suffix-grams")
     shared = stored(sampled.join(shared, "gram"), "suffix-shared")
 
-    one = F.min(F.struct("row", "low", "span")).alias("one")
+    one = F.min(F.struct("row", "low", "span", "place")).alias("one")
     around = stored(
         shared.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("rows"), one), "suffix-around"
     )
@@ -209,9 +244,7 @@ def repeated_starts(docs):
 
     mixed_grams = stored(around.groupBy("gram").count().where("count > 1").select("gram"), "suffix-mixed")
     undecided = around.join(mixed_grams, "gram").select("gram", "one.*", (F.col("rows") == 1).alias("alone"))
-    deep = stored(deep_buckets(docs, undecided), "suffix-deep")
-    twice = stored(deep.groupBy("gram", "deep").count().where("count > 1").select("gram", "deep"), "suffix-twice")
-    single = deep.where("alone").join(twice, ["gram", "deep"])
+    single = single_starts(deep_buckets(docs, undecided))
     return whole.unionAll(single.select("row", F.col("start").alias("low"), F.col("start").alias("high")))
 
 
