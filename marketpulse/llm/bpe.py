@@ -14,7 +14,7 @@ from heapq import heapify, heappop, heappush
 import regex
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents
+from marketpulse.llm.common import documents, small
 
 # Fixed value: the word pattern of the byte-level tokenizer format.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -51,7 +51,7 @@ class BytePairModel:
     """A vocabulary with its merges. Instances reach tasks as a broadcast; the words that a
     Python worker has encoded stay with its copy."""
 
-    def __init__(self, path, known_words=500_000):
+    def __init__(self, path, known_words=250_000):
         size = os.path.getsize(path)
         if size > MAX_FILE_BYTES:
             raise ValueError(f"{path} has {size} bytes; at most {MAX_FILE_BYTES} are broadcast")
@@ -155,18 +155,6 @@ def broadcast_model(spark, path):
     return spark.sparkContext.broadcast(BytePairModel(path))
 
 
-def slices(batch, texts, most=4 << 20):
-    """Row ranges of a batch with some 4 MB of text each, so that results stay small."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size > most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode_documents(docs, path):
     """doc_id and `ids`, the token ids as little-endian unsigned 32-bit integers.
 
@@ -202,7 +190,7 @@ def decode_documents(encoded, path):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             texts = [shared.value.decode(i or b"") for i in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "decoded"])
 
@@ -219,11 +207,9 @@ def _mapped(docs, path, schema, each):
 
         model = shared.value
         kinds = {"ids": pa.binary(), "decoded": pa.string()}
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, stop in slices(batch, texts):
-                rows = [each(model, text) for text in texts[start:stop]]
-                columns = [pa.array(c, kinds[n]) for n, c in zip(names[1:], zip(*rows))]
-                yield pa.record_batch([batch.column(0).slice(start, stop - start), *columns], names)
+        for batch in small(batches):
+            rows = [each(model, text) for text in batch.column(1).to_pylist()]
+            columns = [pa.array(c, kinds[n]) for n, c in zip(names[1:], zip(*rows))]
+            yield pa.record_batch([batch.column(0), *columns], names)
 
     return documents(docs).mapInArrow(run, schema)

@@ -20,6 +20,15 @@ def stored(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(batches, most=4 << 20):
+    """Arrow batches in slices of some `most` bytes (one row at least), so that a task holds
+    only so much text as Python objects at a time."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def documents(docs, *extra):
     """Only the columns an operator needs, so that other columns cannot clash with its own."""
     return docs.select(

@@ -7,7 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents
+from marketpulse.llm.common import documents, small
 
 WORD = re.compile(r"[^\W_]+")
 MAX_BLOCK_BYTES = 8 << 20  # test items that are broadcast at a time
@@ -163,7 +163,7 @@ def gram_counts(docs, items):
 
         known = shared.value
         counts = np.zeros(len(known.all_grams), dtype=np.int64)
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column(0).to_pylist():
                 found = {g for _, g in known.present(known.numbered(text), known.all_grams)}
                 counts[list(found)] += 1
@@ -218,7 +218,7 @@ def _aligned(docs, items, least):
 
         kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 5]
         names = [field.split()[0] for field in HITS.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 rows += [(doc_id, *hit) for hit in item_hits(shared.value, text, least)]

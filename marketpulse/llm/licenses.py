@@ -7,7 +7,7 @@ from bisect import bisect_left, bisect_right
 import zstandard
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents
+from marketpulse.llm.common import documents, small
 
 # The customary short notices of public licenses, by SPDX identifier.
 TEMPLATES = {
@@ -134,7 +134,7 @@ def license_scan(docs, templates=None, least_saved=0.1, most_differences=0.4, tr
         judged = {}
         kinds = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.bool_(), pa.string(), pa.string()]
         names = [field.split()[0] for field in RESULT.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for words, lines in blocks_of(text):

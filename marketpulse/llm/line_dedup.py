@@ -13,7 +13,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, row_key, stored
+from marketpulse.llm.common import documents, row_key, small, stored
 from marketpulse.llm.edit_distance import within
 from marketpulse.llm.rows import filter_of, keyed, mark_possible
 
@@ -79,7 +79,7 @@ def lines_of(docs, least):
 
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
         names = [field.split()[0] for field in LINES.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for number, line in enumerate(text.split("\n")):
@@ -142,7 +142,7 @@ def line_texts(docs, wanted):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             high, low, texts = [], [], []
             for text, places in zip(*(c.to_pylist() for c in batch.columns)):
                 split = (text or "").split("\n")
@@ -205,7 +205,7 @@ def narrowed(rows, texts):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             owner, keys, starts, stops = [], [], [], []
             columns = (batch.column(i).to_pylist() for i in (3, 4, 5, 6))
             for i, (role, start, stop, line) in enumerate(zip(*columns)):
@@ -284,17 +284,18 @@ def dedup_lines(docs, least=LEAST_CHARACTERS):
     zero = F.lit(0).cast("long")
     clear = marked.where(~F.col("_possible")).select("_doc.*", zero.alias("n_repeated"), zero.alias("n_near"))
 
-    @F.pandas_udf("string")
-    def without(text, repeated, near):
-        import pandas as pd
+    @F.arrow_udf("string")
+    def without(texts, repeated, near):
+        import pyarrow as pa
 
         def rest(text, *gone):
-            if text is None or gone[0] is None:
+            text, first, second = text.as_py(), *(g.as_py() for g in gone)
+            if text is None or first is None:
                 return text
-            gone = set(gone[0]) | set(gone[1])
+            gone = {*first, *second}
             return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
 
-        return pd.Series([rest(*x) for x in zip(text, repeated, near)], dtype=object)
+        return pa.array([rest(*x) for x in zip(texts, repeated, near)], pa.string())
 
     judged = marked.where("_possible").join(dropped, F.col("_row") == F.col("row"), "left")
     judged = judged.withColumn("left", without(F.col("_doc.text").cast("string"), "repeated", "near"))

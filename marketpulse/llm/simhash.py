@@ -8,7 +8,7 @@ from itertools import accumulate
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, row_key, stored
+from marketpulse.llm.common import documents, row_key, small, stored
 from marketpulse.llm.components import connected
 from marketpulse.llm.golay import DATA, near_indices
 from marketpulse.llm.rows import without_rows
@@ -45,7 +45,7 @@ def fingerprints(docs, width=3):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             prints = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], dtype=np.uint64)
             columns = [batch.column(0), batch.column(1), pa.array(prints.view(np.int64))]
             yield pa.record_batch(columns, ["doc_id", "row", "fp"])

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from marketpulse.llm.bpe import broadcast_model
-from marketpulse.llm.common import documents
+from marketpulse.llm.common import documents, small
 
 RULES = ("most", "first", "last")
 COUNTS = "doc_id long, section int, name string, start long, end long, n_tokens long, n_crossing long"
@@ -86,7 +86,7 @@ def token_counts(docs, path, sections=None, rule="most"):
             lengths[i] = len(string)
         kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         names = ["doc_id", "section", "name", "start", "end", "n_tokens", "n_crossing"]
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text, given in zip(*(c.to_pylist() for c in batch.columns)):
                 if by_line:

@@ -14,7 +14,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents
+from marketpulse.llm.common import documents, small
 
 WORD = r"[^\s\p{P}\p{S}]+"  # runs without white space, punctuation or symbols
 PREFIXES = (5, 7)  # letters of a word that are a feature of their own
@@ -170,7 +170,7 @@ def fit(docs, labels, rows_per_grade=1500):
         import regex
 
         pattern = regex.compile(WORD)
-        for batch in batches:
+        for batch in small(batches):
             counts = [sorted(words_of(t, pattern).items()) for t in batch.column(2).to_pylist()]
             words = pa.array([[w for w, _ in c] for c in counts], pa.list_(pa.string()))
             times = pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))
@@ -200,7 +200,7 @@ def toxicity_scores(docs, model, least=0.5):
         import regex
 
         pattern, known = regex.compile(WORD), shared.value
-        for batch in batches:
+        for batch in small(batches):
             scores = [known.score(words_of(t, pattern)) for t in batch.column(1).to_pylist()]
             above = [known.above(s) for s in scores]
             grades = [int((p >= least).sum()) for p in above]
@@ -224,11 +224,13 @@ def without_toxic(docs, model, least=0.5):
     of the text alone, so rows are neither joined nor shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def toxic(text):
+    @F.arrow_udf("boolean")
+    def toxic(texts):
+        import pyarrow as pa
         import regex
 
         pattern, known = regex.compile(WORD), shared.value
-        return text.map(lambda t: bool(known.above(known.score(words_of(t, pattern)))[0] >= least))
+        scores = (known.score(words_of(t.as_py(), pattern)) for t in texts)
+        return pa.array([bool(known.above(s)[0] >= least) for s in scores], pa.bool_())
 
     return docs.where(~toxic(F.coalesce(F.col("text"), F.lit(""))))
