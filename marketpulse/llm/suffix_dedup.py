@@ -14,13 +14,13 @@ cross the corpus, each only over what the one before left undecided:
    depth 64 and that of their surroundings: all their starts repeat.
 3. Depth 200, from the identifiers at offsets 0, 64, 128 and 136, for the starts of anchors
    whose bucket holds different surroundings. Eight neighbouring starts have 193 bytes in
-   common; only where these repeat are the eight looked at one by one.
+   common; only where these repeat are the eight looked at, together first and then one by one.
 """
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, mark_possible, row_key, stored
+from marketpulse.llm.common import documents, mark_possible, row_key, small, stored
 from marketpulse.llm.rows import filter_of, keyed
 
 LENGTH, GRAM = 200, 64  # bytes of a repeated string, and of an anchor
@@ -124,7 +124,7 @@ def sampled_buckets(docs):
         import pyarrow as pa
 
         names = [field.split()[0] for field in ANCHORS.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for raw, ends, owners, offsets in chunks((r, t) for r, t in rows if len(t) >= LENGTH):
                 found = anchors(raw, ends)
@@ -152,6 +152,17 @@ def suspects(docs, rows, label):
     return marked.select("_doc.*", "_row", "_possible")
 
 
+def list_column(column, *fields):
+    """Bounds of each row's entries in a column of arrays of structs, and the fields of all
+    entries as flat arrays. A null is an array without entries."""
+    entries = column.flatten()
+    names = [entries.type.field(i).name for i in range(entries.type.num_fields)]
+    by_name = dict(zip(names, entries.flatten()))
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = [by_name[f].to_numpy(zero_copy_only=False) for f in fields]
+    return np.append(0, np.cumsum(sizes)), flat
+
+
 def start_groups(low, span, place):
     """(owner, first start, end of starts, start of the common bytes) of the groups of starts
     of some anchors. Groups are aligned to the anchor, so equal strings are in equal groups."""
@@ -180,32 +191,32 @@ def deep_buckets(docs, undecided):
         import pyarrow as pa
 
         names = [field.split()[0] for field in DEEP.split(", ")]
-        for batch in batches:
-            for row, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = np.frombuffer(text.encode(), dtype=np.uint8)
-                wanted.sort(key=lambda w: w["low"])
+        for batch in small(batches):
+            bounds, anchors_of = list_column(batch.column(2), "low", "span", "place", "gram", "alone")
+            for i, (row, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)
+                found = [field[bounds[i]:bounds[i + 1]] for field in anchors_of]
+                order = np.argsort(found[0], kind="stable")
+                low, span, place, gram, alone = (field[order] for field in found)
+                low, span, place = (x.astype(np.int64) for x in (low, span, place))
                 at = 0
-                while at < len(wanted):
-                    base, stop = wanted[at]["low"], at
-                    while stop < len(wanted) and wanted[stop]["low"] < base + PIECE:
-                        stop += 1
-                    some, at = wanted[at:stop], stop
-                    low, span, place, gram = (
-                        np.array([w[f] for w in some], dtype=np.int64) for f in ("low", "span", "place", "gram")
-                    )
+                while at < len(low):
+                    base, stop = low[at], np.searchsorted(low, low[at] + PIECE)
+                    some = slice(at, stop)
+                    at = stop
                     # The common bytes of a group may begin after its last start.
-                    ids = identifiers(raw[base:(low + span).max() + LENGTH])
-                    owner, first, end, common = start_groups(low, span, place)
+                    ids = identifiers(raw[base:(low + span)[some].max() + LENGTH])
+                    owner, first, end, common = start_groups(low[some], span[some], place[some])
                     sizes = end - first
                     offsets = np.append(0, np.cumsum(sizes))
                     starts = np.repeat(first - offsets[:-1], sizes) + np.arange(offsets[-1])
                     deep = pa.array(at_depth(ids, starts - base, LENGTH).view(np.int64))
                     columns = [
-                        pa.array(gram[owner]),
+                        pa.array(gram[some][owner]),
                         pa.array(at_depth(ids, common - base, LENGTH - GROUP + 1).view(np.int64)),
                         pa.array(np.full(len(owner), row, dtype=np.int64)),
                         pa.array(first.astype(np.int32)),
-                        pa.array(np.array([w["alone"] for w in some], dtype=bool)[owner]),
+                        pa.array(alone[some][owner]),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), deep),
                     ]
                     yield pa.record_batch(columns, names)
@@ -213,27 +224,46 @@ def deep_buckets(docs, undecided):
     return texts.select("row", "text", "wanted").mapInArrow(run, DEEP)
 
 
+def repeated_only(rows, *key, label):
+    """Rows of a stored table whose key another row has too. A Bloom filter of the repeated
+    keys comes first, so that the join shuffles few others."""
+    keys = stored(rows.groupBy(*key).count().where("count > 1").select(*key), f"{label}-keys")
+    bitmaps, bits = filter_of(keys.select(F.xxhash64(*key).alias("key")), f"{label}-filter")
+    marked = mark_possible(rows, F.xxhash64(*key), bitmaps, bits, "_possible")
+    return marked.where("_possible").drop("_possible").join(keys, list(key))
+
+
 def single_starts(groups):
-    """row and start of the single anchors' starts whose string of 200 bytes repeats."""
+    """row, low and high of the single anchors' starts whose string of 200 bytes repeats."""
     groups = stored(groups, "suffix-groups")
-    cores = stored(groups.groupBy("gram", "core").count().where("count > 1").select("gram", "core"), "suffix-cores")
-    bitmaps, bits = filter_of(cores.select(F.xxhash64("gram", "core").alias("key")), "suffix-core-filter")
-    marked = mark_possible(groups, F.xxhash64("gram", "core"), bitmaps, bits, "_possible")
-    common = marked.where("_possible").join(cores, ["gram", "core"])
-    deep = common.select("gram", "row", "start", "alone", F.posexplode("deep").alias("step", "deep"))
-    deep = stored(
-        deep.select("gram", "deep", "row", (F.col("start") + F.col("step")).alias("start"), "alone"), "suffix-deep"
+    common = repeated_only(groups, "gram", "core", label="suffix-core")
+    common = stored(common.withColumn("whole", F.xxhash64("deep")), "suffix-common")
+    # Groups that agree in all their starts are decided; of those one takes part in the rest.
+    key = ["gram", "core", "whole"]
+    kinds = stored(
+        common.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("rows"),
+            *(F.first(c).alias(c) for c in ("deep", "row", "start", "alone")),
+        ), "suffix-kinds",
     )
+    agreed = common.where("alone").join(kinds.where("rows > 1").select(*key), key)
+    agreed = agreed.select("row", F.col("start").alias("low"), (F.col("start") + F.size("deep") - 1).alias("high"))
+
+    open_cores = stored(kinds.groupBy("gram", "core").count().where("count > 1").select("gram", "core"), "suffix-open")
+    open_kinds = kinds.join(open_cores, ["gram", "core"]).withColumn("alone", F.col("alone") & (F.col("rows") == 1))
+    deep = open_kinds.select("gram", "row", "start", "alone", F.posexplode("deep").alias("step", "deep"))
+    deep = deep.select("gram", "deep", "row", (F.col("start") + F.col("step")).alias("start"), "alone")
+    deep = stored(deep, "suffix-deep")
     twice = stored(deep.groupBy("gram", "deep").count().where("count > 1").select("gram", "deep"), "suffix-twice")
-    return deep.where("alone").join(twice, ["gram", "deep"]).select("row", "start")
+    single = deep.where("alone").join(twice, ["gram", "deep"])
+    return agreed.unionAll(single.select("row", F.col("start").alias("low"), F.col("start").alias("high")))
 
 
 def repeated_starts(docs):
     """row, low and high: ranges of starts at which a string of 200 bytes begins that also
     begins somewhere else."""
     sampled = stored(sampled_buckets(docs), "suffix-anchors")
-    shared = stored(sampled.groupBy("gram").count().where("count > 1").select("gram"), "suffix-grams")
-    shared = stored(sampled.join(shared, "gram"), "suffix-shared")
+    shared = stored(repeated_only(sampled, "gram", label="suffix-gram"), "suffix-shared")
 
     one = F.min(F.struct("row", "low", "span", "place")).alias("one")
     around = stored(
@@ -244,8 +274,7 @@ def repeated_starts(docs):
 
     mixed_grams = stored(around.groupBy("gram").count().where("count > 1").select("gram"), "suffix-mixed")
     undecided = around.join(mixed_grams, "gram").select("gram", "one.*", (F.col("rows") == 1).alias("alone"))
-    single = single_starts(deep_buckets(docs, undecided))
-    return whole.unionAll(single.select("row", F.col("start").alias("low"), F.col("start").alias("high")))
+    return whole.unionAll(single_starts(deep_buckets(docs, undecided)))
 
 
 def remove_repeats(docs):
@@ -274,18 +303,20 @@ def remove_repeats(docs):
         import pyarrow as pa
 
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        for batch in batches:
+        for batch in small(batches):
             sizes, runs, kept = [], [], []
-            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            bounds, (low, high) = list_column(batch.column(2), "low", "high")
+            for i, text in enumerate(batch.column(1)):
+                text = np.frombuffer(text.as_buffer(), dtype=np.uint8)
+                own = slice(bounds[i], bounds[i + 1])
                 step = np.zeros(len(text) + 1, dtype=np.int32)
-                for r in ranges or ():
-                    step[r["low"]] += 1
-                    step[r["high"] + LENGTH] -= 1
+                np.add.at(step, low[own], 1)
+                np.add.at(step, high[own] + LENGTH, -1)
                 gone = np.cumsum(step[:-1]) > 0
                 edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2)
                 sizes.append(len(text))
                 runs.append([{"start": int(a), "stop": int(b)} for a, b in edges])
-                kept.append(np.frombuffer(text, dtype=np.uint8)[~gone].tobytes())
+                kept.append(text[~gone].tobytes())
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(runs, kind), pa.array(kept, pa.binary())]
             yield pa.record_batch(columns, ["doc_id", "n_bytes", "spans", "kept"])
 
