@@ -116,8 +116,9 @@ def license_scan(docs, templates=None, least_saved=0.1, most_differences=0.4, tr
     """One row per notice found: doc_id, block (line of its first word, from 0), license,
     saved, differences, exact, wording, runner_up.
 
-    Candidate blocks are the words around cue words, in whole texts. Each is compressed alone
-    and with every template as dictionary; the `tries` templates that save most bytes, and at
+    Candidate blocks are the words around cue words, in whole texts. They are searched in
+    windows of bounded size: each is compressed alone and with every template as dictionary;
+    the `tries` templates that save most bytes, and at
     least the share `least_saved` of their own compressed size, are compared word by word.
     `saved` is that share. The one with the fewest differing words wins if these are at most
     `most_differences` of its words; ties go to the larger saving, then to the name. The words
@@ -150,11 +151,11 @@ def license_scan(docs, templates=None, least_saved=0.1, most_differences=0.4, tr
     return cue_rows(docs).mapInArrow(run, RESULT)
 
 
-def notices(known, words, least_saved, most_differences, tries, offset=0):
-    """(first word, license, saved, differences, exact, wording, runner-up) of each notice in
-    a block, in their order."""
+def best_notice(known, words, least_saved, most_differences, tries):
+    """(differences, saved with a minus, license, start, stop, runner-up) of the best notice
+    in some words, or None."""
     if not CUE.search(" ".join(words)):
-        return
+        return None
     ranked = known.ranked(words)
     best = None
     for _, saved, name in ranked[:tries]:
@@ -163,14 +164,57 @@ def notices(known, words, least_saved, most_differences, tries, offset=0):
         differing, start, stop = known.differences(words, name)
         if differing <= most_differences * len(known.words[name]) and start < stop:
             best = min(best or (differing + 1,), (differing, -saved, name, start, stop))
-    if not best:
-        return
-    differing, saved, name, start, stop = best
+    if best:
+        return *best, next((n for _, _, n in ranked if n != best[2]), None)
+
+
+def in_window(known, words, low, high, *rules):
+    """The notices in a stretch of a block, the best one first, then those in the words
+    before and after it."""
+    best = best_notice(known, words[low:high], *rules)
+    if best:
+        *rank, start, stop, second = best
+        yield *rank, low + start, low + stop, second
+        yield from in_window(known, words, low, low + start, *rules)
+        yield from in_window(known, words, low + stop, high, *rules)
+
+
+def notices(known, words, least_saved, most_differences, tries):
+    """(first word, license, saved, differences, exact, wording, runner-up) of each notice in
+    a block, in their order.
+
+    A block is searched in windows twice as long as the longest notice can be, each half in
+    the next window too, so that a notice is whole in one of them and what a template saves
+    does not drown in the rest of a long block. Of notices that overlap the better one stays;
+    what that leaves of the other's surroundings is searched again.
+    """
     rules = (least_saved, most_differences, tries)
-    yield from notices(known, words[:start], *rules, offset)
-    second = next((n for _, _, n in ranked if n != name), None)
-    yield offset + start, name, round(-saved, 6), differing, differing == 0, " ".join(words[start:stop]), second
-    yield from notices(known, words[stop:], *rules, offset + stop)
+    reach = 1 + int(max(map(len, known.words.values())) * (1 + most_differences))
+    ranges = {(a, min(a + 2 * reach, len(words))) for a in range(0, max(1, len(words) - reach), reach)}
+    taken = []  # (start, stop, notice), in order
+    while ranges:
+        found = sorted({n[:5]: n for r in sorted(ranges) for n in in_window(known, words, *r, *rules)}.values())
+        ranges, lost = set(), []
+        for notice in found:
+            start, stop = notice[3:5]
+            at = bisect_left(taken, (start,))
+            before, after = taken[at - 1][1] if at else 0, taken[at][0] if at < len(taken) else len(words)
+            if before <= start and stop <= after:
+                taken.insert(at, (start, stop, notice))
+            elif not (at < len(taken) and taken[at][:2] == (start, stop)):
+                lost.append((start, stop))
+        for start, stop in lost:
+            at = max(0, bisect_left(taken, (start,)) - 1)
+            before = taken[at - 1][1] if at else 0
+            while before < stop:
+                after = taken[at][0] if at < len(taken) else len(words)
+                if max(before, start) < min(after, stop):
+                    ranges.add((max(before, start - reach), min(after, stop + reach)))
+                if at == len(taken):
+                    break
+                before, at = taken[at][1], at + 1
+    for start, stop, (differing, saved, name, _, _, second) in taken:
+        yield start, name, round(-saved, 6), differing, differing == 0, " ".join(words[start:stop]), second
 
 
 def cue_rows(docs):

@@ -64,6 +64,21 @@ def test_notice_in_a_very_long_line(templates):
     assert judged(templates, line) == [("CC-BY-4.0", 0), ("MIT", 0)]
 
 
+def list_of_notices(entries, words_between, seed, names=tuple(TEMPLATES)):
+    """A text of exact notices with random words between them, and the notices' names."""
+    draw = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(draw.choice(letters) for _ in range(draw.randrange(2, 9)))
+    picked = [draw.choice(names) for _ in range(entries)]
+    return "\n".join(" ".join([*(word() for _ in range(words_between)), TEMPLATES[n]]) for n in picked), picked
+
+
+@pytest.mark.parametrize("words_between", [4, 25, 50])
+def test_a_long_list_of_notices(templates, words_between):
+    text, names = list_of_notices(300, words_between, words_between)
+    assert judged(templates, text) == [(n, 0) for n in names]
+
+
 def test_blocks_cover_all_cues():
     draw = random.Random(1)
     for _ in range(50):
