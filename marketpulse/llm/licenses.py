@@ -169,14 +169,16 @@ def best_notice(known, words, least_saved, most_differences, tries):
 
 
 def in_window(known, words, low, high, *rules):
-    """The notices in a stretch of a block, the best one first, then those in the words
-    before and after it."""
-    best = best_notice(known, words[low:high], *rules)
-    if best:
-        *rank, start, stop, second = best
-        yield *rank, low + start, low + stop, second
-        yield from in_window(known, words, low, low + start, *rules)
-        yield from in_window(known, words, low + stop, high, *rules)
+    """The notices in a stretch of a block: the best one, and those in the words before and
+    after it."""
+    stretches = [(low, high)]
+    while stretches:
+        low, high = stretches.pop()
+        best = best_notice(known, words[low:high], *rules)
+        if best:
+            *rank, start, stop, second = best
+            yield *rank, low + start, low + stop, second
+            stretches += [(low, low + start), (low + stop, high)]
 
 
 def notices(known, words, least_saved, most_differences, tries):

@@ -79,6 +79,12 @@ def test_a_long_list_of_notices(templates, words_between):
     assert judged(templates, text) == [(n, 0) for n in names]
 
 
+@pytest.mark.parametrize("entry", ["{mit}", "{n}. {mit}"])
+def test_very_many_equal_notices(templates, entry):
+    text = "\n".join(entry.format(n=n, mit=TEMPLATES["MIT"]) for n in range(5000))
+    assert judged(templates, text) == [("MIT", 0)] * 5000
+
+
 def test_blocks_cover_all_cues():
     draw = random.Random(1)
     for _ in range(50):
