@@ -286,9 +286,10 @@ def remove_repeats(docs):
     empty, and texts under 200 bytes keep everything. Rows alike in id and text are separate
     documents: their texts repeat. `kept` is binary, since a run may end inside a character.
     """
+    # Rows alike in id and text share a key: distinct ranges are no more than one text has.
+    starts = repeated_starts(docs).distinct()
     ranges = stored(
-        repeated_starts(docs).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges")),
-        "suffix-ranges",
+        starts.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "suffix-ranges"
     )
     marked = suspects(docs, ranges.select("row"), "suffix-rows")
     spans = "array<struct<start:int,stop:int>>"

@@ -91,3 +91,21 @@ def test_sliding_least(width):
 
 def test_columns(edges):
     assert remove_repeats(edges).select(F.size("spans")).where("size(spans) < 0").count() == 0
+
+
+def test_one_repeated_row_in_a_third_of_all_rows(make, monkeypatch):
+    draw = random.Random(3)
+    text = " ".join(f"r{draw.randrange(10**6)}" for _ in range(300))
+    rows = [(i, " ".join(f"{draw.randrange(10**9)}" for _ in range(30))) for i in range(100)]
+    rows += [(700, text)] * 25 + [(None, text)] * 25
+    sizes = {}
+
+    def kept(df, label, stored=suffix_dedup.stored):
+        out = stored(df, label)
+        if label == "suffix-ranges":
+            sizes.update({r.row: r.n for r in out.select("row", F.size("ranges").alias("n")).collect()})
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    assert found(make(rows)) == expected(rows)
+    assert len(sizes) == 2 and max(sizes.values()) <= len(text) // 10
