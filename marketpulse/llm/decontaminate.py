@@ -7,7 +7,8 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, small
+from marketpulse.llm.common import documents, row_key, small
+from marketpulse.llm.rows import keyed
 
 WORD = re.compile(r"[^\W_]+")
 MAX_BLOCK_BYTES = 8 << 20  # test items that are broadcast at a time
@@ -189,7 +190,7 @@ def item_blocks(benchmark, n):
         yield Items(block, n)
 
 
-def contaminated(docs, benchmark, n=3, common=4, least=0.5):
+def contaminated(docs, benchmark, **options):
     """One row per document and test item whose alignment reaches the share `least` of a
     perfect one: doc_id, item_id, score (that share), matched (words), item_words, start_word
     and end_word of the passage, seeds (seed hits in it).
@@ -200,13 +201,18 @@ def contaminated(docs, benchmark, n=3, common=4, least=0.5):
     read in blocks of at most 8 MB of text, and for each block the documents are read twice:
     to count n-grams, then to seed and align.
     """
+    return keyed_hits(docs, benchmark, **options).drop("row")
+
+
+def keyed_hits(docs, benchmark, n=3, common=4, least=0.5):
+    """The rows of `contaminated` and `row`, the key of their document by id and text."""
     found = None
     for items in item_blocks(benchmark, n):
         items.choose_seeds(gram_counts(docs, items), common)
         part = _aligned(docs, items, least)
         found = part if found is None else found.unionAll(part)
     if found is None:
-        return docs.sparkSession.createDataFrame([], HITS)
+        return docs.sparkSession.createDataFrame([], f"row long, {HITS}")
     return found
 
 
@@ -216,16 +222,17 @@ def _aligned(docs, items, least):
     def run(batches):
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 5]
-        names = [field.split()[0] for field in HITS.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 5]
+        names = ["row", *(field.split()[0] for field in HITS.split(", "))]
         for batch in small(batches):
             rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += [(doc_id, *hit) for hit in item_hits(shared.value, text, least)]
+            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += [(row, doc_id, *hit) for hit in item_hits(shared.value, text, least)]
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    return documents(docs).mapInArrow(run, HITS)
+    texts = documents(docs).select(row_key().alias("row"), "doc_id", "text")
+    return texts.mapInArrow(run, f"row long, {HITS}")
 
 
 def item_hits(items, text, least):
@@ -244,8 +251,11 @@ def item_hits(items, text, least):
 
 
 def without_contaminated(docs, benchmark, **options):
-    """The rows of `docs` that hold no test item, all columns. Rows that share an id with a
-    contaminated one go with it; rows without an id are judged like any other."""
-    hits = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("hit")).distinct()
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
-    return whole.join(hits, F.equal_null(F.col("doc.doc_id").cast("long"), F.col("hit")), "left_anti").select("doc.*")
+    """The rows of `docs` that hold no test item, all columns. A row with a text is judged by
+    that text, with or without an id: a clean one stays beside a contaminated one of the same
+    id. Rows whose text is null go with a contaminated one of their id (or without an id)."""
+    of_id = lambda doc_id: F.xxhash64(F.lit("id"), doc_id.cast("long"))
+    hits = keyed_hits(docs, benchmark, **options)
+    hits = hits.select(F.explode(F.array("row", of_id(F.col("doc_id")))).alias("hit")).distinct()
+    own = F.when(F.col("_doc.text").isNull(), of_id(F.col("_doc.doc_id"))).otherwise(F.col("_row"))
+    return keyed(docs).join(hits, own == F.col("hit"), "left_anti").select("_doc.*")

@@ -294,3 +294,12 @@ def test_decontamination_edges(spark, edges, none):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(edges, empty).count() == contaminated(none, benchmark).count() == 0
     assert without_contaminated(edges, empty).count() == len(EDGES)
+
+
+def test_clean_rows_stay_beside_contaminated_ones(spark, make):
+    item = "the capital of the country that lies north of the old sea"
+    rows = [(None, f"before {item} after"), (None, "a clean text without an id"),
+            (1, f"so {item}"), (1, "a clean text under the same id"), (2, "clean"), (2, "clean")]
+    benchmark = spark.createDataFrame([(9, item)], "item_id long, text string")
+    kept = without_contaminated(clashing(make(rows), "row", "_row"), benchmark)
+    assert rows_of(kept, "doc_id", "text") == sorted([r[:2] for r in rows if item not in (r[1] or "")], key=repr)
