@@ -1,4 +1,5 @@
-"""Line dedup: a line goes if an earlier one, anywhere, equals it or is one edit away.
+"""Line dedup: a line goes if an earlier one, anywhere, equals it or, for lines that are not
+short, is one edit away.
 
 A pair within `threshold` edits that is split into threshold + 1 segments has a segment in
 common: the segments of each line, with the line's length, form an index, and the substrings
@@ -70,9 +71,9 @@ def line_keys(line):
     return index + [probe_key(line, a, b) for a, b in halves(0, n - 1)]
 
 
-def lines_of(docs, least):
+def lines_of(docs, least, near_least):
     """Every line of at least `least` characters: id (null ids come last), row (key of its
-    row), line (from 0), its identity, length and keys."""
+    row), line (from 0), its identity, length and keys (none under `near_least` characters)."""
 
     def run(batches):
         import pyarrow as pa
@@ -85,7 +86,8 @@ def lines_of(docs, least):
                 for number, line in enumerate(text.split("\n")):
                     line = plain(line)
                     if len(line) >= least:
-                        rows.append((doc_id, row, number, *identity(line), len(line), line_keys(line)))
+                        keys = line_keys(line) if len(line) >= near_least else []
+                        rows.append((doc_id, row, number, *identity(line), len(line), keys))
                 if len(rows) >= 50_000:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -226,7 +228,7 @@ def narrowed(rows, texts):
 def near_links(docs, lines):
     """high, low and `earlier`, the place of the first line that is one edit away and stands
     before, for each distinct line that has one."""
-    rows = met(first_keys(lines), "lines")
+    rows = met(first_keys(lines.where("size(keys) > 0")), "lines")
     wanted = stored(rows.select("high", "low", "first").distinct(), "lines-wanted")
     texts = line_texts(docs, wanted)
     links = []
@@ -239,10 +241,10 @@ def near_links(docs, lines):
     return found.groupBy("late.high", "late.low").agg(F.min("first").alias("earlier"))
 
 
-def dropped_lines(docs, least=LEAST_CHARACTERS):
+def dropped_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
     """row, repeated and near: the numbers of the lines that go, per row of `docs` that loses
     any. A line that both repeats and resembles an earlier one counts as repeated."""
-    lines = stored(lines_of(docs, least), "lines")
+    lines = stored(lines_of(docs, least, near_least), "lines")
     distinct = stored(distinct_lines(lines), "lines-distinct")
     near = stored(near_links(docs, distinct), "lines-near")
     judged = distinct.select("high", "low", "first").join(near, ["high", "low"], "left")
@@ -263,21 +265,22 @@ def dropped_lines(docs, least=LEAST_CHARACTERS):
     )
 
 
-def dedup_lines(docs, least=LEAST_CHARACTERS):
+def dedup_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
     """`docs` with repeated and near-repeated lines taken out of `text`, all other columns
     included, and n_repeated and n_near, the numbers of lines that went.
 
     Lines are what line feeds separate; they are compared with runs of white space as one
-    space, and only lines of at least `least` characters are. Of equal lines the first stays,
-    by doc_id, then row, then line number; a line one edit (a character more, less or other)
-    from a line that comes earlier goes too, whether or not that one stays. Rows without an
-    id come last. A null text stays null; a text may become empty; documents never go. Rows
+    space, and only lines of at least `least` characters are (1: all but blank ones). Of equal
+    lines the first stays, by doc_id, then row, then line number; of lines of at least
+    `near_least` characters, one that is one edit (a character more, less or other) from a
+    line that comes earlier goes too, whether or not that one stays. Rows without an id come
+    last. A null text stays null; a text may become empty; documents never go. Rows
     alike in id and text are one row in the order and keep the same lines. `n_chars`, where
     there is such a column, becomes the length of the new text.
 
     Rows that lose no line are not shuffled.
     """
-    dropped = dropped_lines(docs, least)
+    dropped = dropped_lines(docs, least, near_least)
     bitmaps, bits = filter_of(dropped.select("row"), "lines-rows")
     docs = docs.drop("n_repeated", "n_near")
     marked = mark_possible(keyed(docs), F.col("_row"), bitmaps, bits, "_possible")

@@ -125,7 +125,7 @@ def op5_simhash(spark, sf_dir):
 @query("op10_line_dedup")
 def op10_line_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    return dedup_lines(docs.select("doc_id", "text")).select(
+    return dedup_lines(docs.select("doc_id", "text"), least=1).select(
         "doc_id", "n_repeated", "n_near",
         F.size(F.split("text", "\n")).cast("long").alias("n_lines_left"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),

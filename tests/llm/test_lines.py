@@ -9,6 +9,7 @@ from llm.conftest import EDGES, clashing
 from marketpulse.llm import line_dedup
 from marketpulse.llm.edit_distance import within
 from marketpulse.llm.line_dedup import dedup_lines, plain
+from marketpulse.llm.queries import QUERIES
 
 TEXTS = st.text("abc", max_size=12)
 
@@ -121,3 +122,29 @@ def test_a_third_of_all_lines_alike(make):
     hot = "this line stands in very many documents"
     rows = [(i, f"{hot}\nand a line of its own, number {i * 1001 % 7919:09d}{i}") for i in range(300)]
     assert found(make(rows)) == expected(rows)
+
+
+def test_repeats_of_short_lines_by_brute_force(make):
+    draw = random.Random(5)
+    short = ["Les.", "Lea.", "And ornd.", "x", "é", " y  z ", "", "  ", "nineteen characters"]
+    long = ["the quick brown fox jumps over it", "the quick brown fox jumps over i"]
+    rows = [(i, "\n".join(draw.choice(short + long) for _ in range(draw.randrange(6)))) for i in range(60)]
+    first, left = {}, {}
+    for doc_id, text in rows:
+        for number, line in enumerate(text.split("\n")):
+            first.setdefault(plain(line), (doc_id, number))
+    near = max(long, key=first.get)
+    for doc_id, text in rows:
+        lines = [(plain(line), line, (doc_id, n)) for n, line in enumerate(text.split("\n"))]
+        repeats = [bool(known) and first[known] != place for known, _, place in lines]
+        close = [known == near and not gone for (known, _, _), gone in zip(lines, repeats)]
+        text = "\n".join(line for (_, line, _), a, b in zip(lines, repeats, close) if not a and not b)
+        left[doc_id] = (doc_id, text, sum(repeats), sum(close))
+    got = dedup_lines(make(rows), least=1).select("doc_id", "text", "n_repeated", "n_near").collect()
+    assert sorted(map(tuple, got)) == sorted(left.values())
+
+
+def test_the_query_drops_repeats_of_short_lines(spark, make, tmp_path):
+    make([(1, "Les.\nx"), (2, "Les."), (3, "\n")]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_repeated, r.n_near) for r in rows) == [(1, 0, 0), (2, 1, 0), (3, 0, 0)]
