@@ -72,17 +72,20 @@ class Items:
         return found
 
     def choose_seeds(self, document_counts, common=4):
-        """An item's n-grams that documents hold become seeds, but for the common ones: those
-        in more than `common` times as many documents as its middle n-gram. The measure is
-        the item's own, so an item keeps seeds however often it is copied."""
-        seeds = {}
+        """An item's n-grams that documents hold become seeds. The common ones, those in more
+        than `common` times as many documents as its middle n-gram, count only where enough of
+        the item's words are around them (`second` marks them by number and place): an edited
+        copy may have kept no rarer one, however often it is copied."""
+        seeds, self.second = {}, set()
         for number, (_, known) in self.items.items():
             grams = self.grams(known).tolist()
             held = sorted(n for g in set(grams) if (n := document_counts.get(g, 0)))
             most = common * held[len(held) // 2] if held else 0
             for place, gram in enumerate(grams):
-                if 0 < document_counts.get(gram, 0) <= most:
+                if document_counts.get(gram, 0):
                     seeds.setdefault(gram, []).append((number, place))
+                    if document_counts[gram] > most:
+                        self.second.add((number, place))
         self.seeds = np.array(sorted(seeds), dtype=np.uint64)
         self.places = [seeds[g] for g in self.seeds.tolist()]
         return self
@@ -244,12 +247,30 @@ def item_hits(items, text, least):
             by_item.setdefault(number, []).append((at, place))
     for number in sorted(by_item):
         item_id, item = items.items[number]
-        score, matches, start, end, seeds = best_passage(item, known, by_item[number])
+        common = [h for h in by_item[number] if (number, h[1]) in items.second]
+        hits = [h for h in by_item[number] if (number, h[1]) not in items.second]
+        hits += enough_hits(common, item, known, least)
+        if not hits:
+            continue
+        score, matches, start, end, seeds = best_passage(item, known, hits)
         share = score / (MATCH * len(item))
         if share >= least:
             yield item_id, round(share, 6), matches, len(item), start, end, seeds
 
 
+def enough_hits(hits, item, known, least):
+    """The hits around which a document has words enough in common with the item to reach the
+    share `least`: an alignment needs that share of the item's words at least."""
+    reach = len(item) // 2 + 2
+    out, own = [], {w: int(n) for w, n in zip(*np.unique(item, return_counts=True))}
+    for a, b, _ in passages(hits, len(item), len(known)):
+        words, counts = np.unique(known[a:b], return_counts=True)
+        matches = sum(min(own.get(w, 0), n) for w, n in zip(words.tolist(), counts.tolist()))
+        if matches >= least * len(item):
+            out += [h for h in hits if a <= max(0, h[0] - h[1] - reach) < b]
+    return out
+
+
 def without_contaminated(docs, benchmark, **options):
     """The rows of `docs` that hold no test item, all columns. A row with a text is judged by
     that text, with or without an id: a clean one stays beside a contaminated one of the same

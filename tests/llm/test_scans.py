@@ -10,7 +10,7 @@ from llm.conftest import EDGES, clashing, rows_of
 
 from marketpulse.llm import decontaminate
 from marketpulse.llm.decontaminate import (
-    GAP, MATCH, MISMATCH, best_passage, contaminated, local_alignment, without_contaminated, words_of,
+    GAP, MATCH, MISMATCH, Items, best_passage, contaminated, item_hits, local_alignment, without_contaminated, words_of,
 )
 from marketpulse.llm.licenses import TEMPLATES, Templates, blocks_of, license_scan, notices, wording
 from marketpulse.llm.toxicity import (
@@ -303,3 +303,17 @@ def test_clean_rows_stay_beside_contaminated_ones(spark, make):
     benchmark = spark.createDataFrame([(9, item)], "item_id long, text string")
     kept = without_contaminated(clashing(make(rows), "row", "_row"), benchmark)
     assert rows_of(kept, "doc_id", "text") == sorted([r[:2] for r in rows if item not in (r[1] or "")], key=repr)
+
+
+@pytest.mark.parametrize("exact", [0, 1])
+def test_popular_edited_copies_beside_an_exact_one(exact):
+    item = [f"i{k}" for k in range(40)]
+    edited = " ".join("changed" if k % 4 == 3 else w for k, w in enumerate(item))
+    texts = [f"before{i} {edited} after" for i in range(100)] + [" ".join(item)] * exact + ["i1 i2 nothing", "i0 i1 i2 no"]
+    items = Items([(1, " ".join(item))])
+    counts = Counter(g for t in texts for g in {g for _, g in items.present(items.numbered(t), items.all_grams)})
+    items.choose_seeds({int(items.all_grams[g]): n for g, n in counts.items()})
+    number = items.numbered
+    whole = [local_alignment(number(" ".join(item)), number(t))[0] >= MATCH * 40 * 0.5 for t in texts]
+    assert [bool(list(item_hits(items, t, 0.5))) for t in texts] == whole
+    assert sum(whole) == 100 + exact
