@@ -3,6 +3,7 @@ few bytes once the compressor has the template as its dictionary."""
 
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 
 import zstandard
 from pyspark.sql import functions as F
@@ -36,6 +37,10 @@ TEMPLATES = {
 }
 # Words of which every notice has one.
 CUES = r"(?i)licen[cs]|copyright|copyleft|permission|redistribut|all rights|public domain|\bcc[ -]?(?:by|0)"
+# Words that name a license; a notice with other ones is not a changed copy.
+NAMES = frozenset(
+    "mit apache gnu gpl lgpl agpl lesser affero mozilla mpl bsd bsd-style cc by-sa by-nc by-nd by-nc-sa by-nc-nd".split()
+)
 
 WORDS = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 CUE = re.compile(CUES)
@@ -55,6 +60,7 @@ class Templates:
 
     def __init__(self, texts, level=3):
         self.words = {name: wording(text) for name, text in texts.items()}
+        self.counts = {name: Counter(words) for name, words in self.words.items()}
         forms = {name: " ".join(words).encode() for name, words in self.words.items()}
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.alone = {name: len(self.plain.compress(form)) for name, form in forms.items()}
@@ -68,13 +74,17 @@ class Templates:
 
     def ranked(self, words):
         """(bytes saved by the template, the same as a share of the template's own compressed
-        size, name), best first."""
+        size, name), largest share first."""
         form = " ".join(words).encode()
         plain = len(self.plain.compress(form))
         gains = ((plain - len(c.compress(form)), name) for name, c in self.primed.items())
-        ordered = sorted(gains, key=lambda g: (-g[0], g[1]))
+        ordered = sorted(gains, key=lambda g: (-g[0] / self.alone[g[1]], g[1]))
         return [(saved, saved / self.alone[name], name) for saved, name in ordered]
 
+    def same_names(self, words, name):
+        """Whether the words have the license names of a template and no others."""
+        return NAMES & set(words) == NAMES & set(self.words[name])
+
     def differences(self, words, name):
         """(words to add, remove or change so that the block holds the template word for word,
         start and stop of the stretch that is closest to it). Words around it do not count."""
@@ -118,10 +128,11 @@ def license_scan(docs, templates=None, least_saved=0.1, most_differences=0.4, tr
 
     Candidate blocks are the words around cue words, in whole texts. They are searched in
     windows of bounded size: each is compressed alone and with every template as dictionary;
-    the `tries` templates that save most bytes, and at
-    least the share `least_saved` of their own compressed size, are compared word by word.
-    `saved` is that share. The one with the fewest differing words wins if these are at most
-    `most_differences` of its words; ties go to the larger saving, then to the name. The words
+    all templates that save at least the share `least_saved` of their own compressed size are
+    compared word by word, `tries` at a time until some confirm exactly. `saved` is that
+    share. The one with the fewest differing words wins if these are at most
+    `most_differences` of its words and none of them names a license; ties go to the larger
+    saving, then to the name. The words
     before and after a winner's stretch are searched again, so a block may hold several
     notices. `exact` means no difference. Null and empty texts and blocks without a winner
     give no row; repeated rows give repeated results.
@@ -157,12 +168,15 @@ def best_notice(known, words, least_saved, most_differences, tries):
     if not CUE.search(" ".join(words)):
         return None
     ranked = known.ranked(words)
-    best = None
-    for _, saved, name in ranked[:tries]:
-        if saved < least_saved:
-            continue
+    best, held = None, Counter(words)
+    for tried, (_, saved, name) in enumerate(ranked):
+        if tried % tries == 0 and best and not best[0]:
+            break
+        most = most_differences * len(known.words[name])
+        if saved < least_saved or (known.counts[name] - held).total() > most:
+            continue  # each word that is nowhere in the block is a difference
         differing, start, stop = known.differences(words, name)
-        if differing <= most_differences * len(known.words[name]) and start < stop:
+        if differing <= most and start < stop and known.same_names(words[start:stop], name):
             best = min(best or (differing + 1,), (differing, -saved, name, start, stop))
     if best:
         return *best, next((n for _, _, n in ranked if n != best[2]), None)

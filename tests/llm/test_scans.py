@@ -85,6 +85,18 @@ def test_very_many_equal_notices(templates, entry):
     assert judged(templates, text) == [("MIT", 0)] * 5000
 
 
+def test_an_exact_notice_far_down_the_ranking(templates):
+    header = ("Copyright 2020 the authors. All rights reserved. This program is free software: you can redistribute it "
+              "and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+              "Foundation, either version 3 of the License, or (at your option) any later version.")
+    assert ("all-rights-reserved", 0) in judged(templates, header)
+
+
+def test_a_notice_of_another_license_is_no_copy(templates):
+    assert judged(templates, "Released under the BSD License.") == []
+    assert judged(templates, "Licensed under CC BY-NC-SA 4.0.") == []
+
+
 def test_blocks_cover_all_cues():
     draw = random.Random(1)
     for _ in range(50):
