@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from marketpulse.llm.bpe import token_digests
 from marketpulse.llm.decontaminate import contaminated
 from marketpulse.llm.exact_dedup import dedup_decisions
+from marketpulse.llm.fill_in_middle import fill_in_middle, restored
 from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.line_dedup import dedup_lines
 from marketpulse.llm.sharding import assign_shards
@@ -139,3 +140,38 @@ def op9_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", gone.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op12_fill_in_middle", """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+tokens AS (
+  SELECT *, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS parts,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM texts),
+cuts AS (
+  SELECT *, len(parts) AS n, least(h1 % (len(parts) + 1), h2 % (len(parts) + 1)) AS a,
+         greatest(h1 % (len(parts) + 1), h2 % (len(parts) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM tokens),
+cut AS (
+  SELECT *, array_to_string(parts[:a], '') AS p, array_to_string(parts[a + 1:b], '') AS m,
+         array_to_string(parts[b + 1:], '') AS s
+  FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+""")
+def op12_fill_in_middle(spark, sf_dir):
+    cut = fill_in_middle(read(spark, sf_dir, "documents"))
+    back = restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
