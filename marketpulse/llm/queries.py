@@ -10,6 +10,7 @@ from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.line_dedup import dedup_lines
 from marketpulse.llm.sharding import assign_shards
 from marketpulse.llm.simhash import near_duplicates
+from marketpulse.llm.substring_dedup import remove_shared
 from marketpulse.llm.suffix_dedup import remove_repeats
 from marketpulse.llm.token_counts import token_counts
 from marketpulse.llm.toxicity import toxic_documents
@@ -175,3 +176,29 @@ def op12_fill_in_middle(spark, sf_dir):
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op13_substring_dedup", """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+starts AS (
+  SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM texts WHERE len(words) >= 50),
+passages AS (
+  SELECT r, doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS passage FROM starts),
+repeated AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY passage) AS first FROM passages)
+  WHERE doc_id > first),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS place FROM repeated),
+each AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS t, count(*) AS n
+  FROM each ANTI JOIN gone USING (r, place) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+""")
+def op13_substring_dedup(spark, sf_dir):
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_shared(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
