@@ -8,6 +8,7 @@ from marketpulse.llm.exact_dedup import dedup_decisions
 from marketpulse.llm.fill_in_middle import fill_in_middle, restored
 from marketpulse.llm.licenses import license_scan
 from marketpulse.llm.line_dedup import dedup_lines
+from marketpulse.llm.prefix_trie import ordered_turns, trie_of, with_borrowed_starts
 from marketpulse.llm.sharding import assign_shards
 from marketpulse.llm.simhash import near_duplicates
 from marketpulse.llm.substring_dedup import remove_shared
@@ -143,6 +144,56 @@ def op9_suffix_dedup(spark, sf_dir):
     )
 
 
+TRIE_SQL = """
+WITH table_of AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_concat([b::BIGINT], range(8)),
+             lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(b))),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS leader, own,
+         xor(list_reduce(list_concat([4294967295::BIGINT],
+               list_transform(range(length(c::VARCHAR)), lambda i: ascii(substr(c::VARCHAR, i + 1, 1))::BIGINT)),
+               lambda s, x: xor(s >> 8, t[xor(s & 255, x) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT c, count(*) AS own FROM turns GROUP BY c), table_of),
+known AS (
+  SELECT a.c, a.leader, a.h, least(a.h, coalesce(b.own, 0)) AS borrowed FROM convs a LEFT JOIN convs b ON b.c = a.leader),
+rebuilt AS (
+  SELECT k.c, i AS d, role, text FROM known k JOIN turns t ON t.c = k.leader AND i <= h
+  UNION ALL
+  SELECT k.c, i - h + borrowed, role, text FROM known k JOIN turns t ON t.c = k.c AND i > h),
+prefixes AS (
+  SELECT c, d, octet_length(encode(text)) AS n_bytes,
+         string_agg(md5(md5(role) || md5(text)), '') OVER (PARTITION BY c ORDER BY d) AS k
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(n_bytes) AS saved, substr(k, 1, 32 * (d - 1)) AS above
+  FROM prefixes GROUP BY k, d),
+children AS (SELECT above AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY above),
+family AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)),
+below AS (
+  SELECT substr(k, 1, 32 * up) AS k, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS up FROM family) GROUP BY 1),
+ends AS (
+  SELECT k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT c, arg_max(k, d) AS k FROM prefixes GROUP BY c) GROUP BY k)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.leaves AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM family f JOIN below b USING (k) LEFT JOIN ends USING (k)
+LEFT JOIN family p ON f.d > 0 AND p.k = f.above
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    return trie_of(*with_borrowed_starts(*ordered_turns(read(spark, sf_dir, "conversations"))))
+
+
 @query("op12_fill_in_middle", """
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
