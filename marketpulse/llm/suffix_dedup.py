@@ -185,7 +185,9 @@ def deep_buckets(docs, undecided):
     anchor = F.struct("gram", "low", "span", "place", "alone")
     wanted = stored(undecided.groupBy("row").agg(F.collect_list(anchor).alias("wanted")), "suffix-wanted")
     texts = suspects(docs, wanted.select("row"), "suffix-filter").where("_possible")
-    texts = texts.join(wanted, F.col("_row") == F.col("row")).dropDuplicates(["_row"])
+    # Rows alike in id and text may each give the same groups: they are not `alone`, and what
+    # others have in common with them repeats however often they come.
+    texts = texts.join(wanted, F.col("_row") == F.col("row"))
 
     def run(batches):
         import pyarrow as pa
@@ -286,10 +288,10 @@ def remove_repeats(docs):
     empty, and texts under 200 bytes keep everything. Rows alike in id and text are separate
     documents: their texts repeat. `kept` is binary, since a run may end inside a character.
     """
-    # Rows alike in id and text share a key: distinct ranges are no more than one text has.
-    starts = repeated_starts(docs).distinct()
+    # Rows alike in id and text share a key: as a set their ranges are no more than one text has.
+    starts = repeated_starts(docs)
     ranges = stored(
-        starts.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "suffix-ranges"
+        starts.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("ranges")), "suffix-ranges"
     )
     marked = suspects(docs, ranges.select("row"), "suffix-rows")
     spans = "array<struct<start:int,stop:int>>"
