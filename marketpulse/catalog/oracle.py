@@ -347,3 +347,24 @@ valid AS (SELECT * FROM all_valid WHERE {_ON_TIME})""", then=_BARS),
     "bars_rebuilt": _with(VALID_MESSAGES, then=f"""SELECT * FROM ({_BARS})
 WHERE CAST(minute_bucket AS DATE) = DATE '2024-01-05'"""),
 }
+
+# The bars that late messages belong to, with all their ticks and those in time.
+_LATE = f"""SELECT symbol, date_trunc('minute', event_time) AS minute_bucket, count(*) AS in_silver,
+       count(*) FILTER ({_ON_TIME}) AS in_bars, count(*) FILTER (NOT ({_ON_TIME})) AS missing
+FROM valid GROUP BY 1, 2 HAVING count(*) FILTER (NOT ({_ON_TIME})) > 0"""
+# The part of the messages that each arrival brings, late ones with the last.
+_ARRIVAL = f"""CASE WHEN NOT ({_ON_TIME}) THEN 3 WHEN ts < TIMESTAMP '2024-01-10 00:00:30' THEN 1
+         WHEN ts < TIMESTAMP '2024-01-20 12:00:15' THEN 2 ELSE 3 END"""
+
+ORACLE |= {
+    "bars_merged": ORACLE["stream_ohlc"],
+    "bars_healed": ORACLE["stream_ohlc"],
+    "documents_stored": ORACLE["daily_document"],
+    "late_minutes": _with(VALID_MESSAGES, then=_LATE),
+    "stream_audit": _with(
+        VALID_MESSAGES, f"late AS ({_LATE})",
+        f"""changed AS (SELECT DISTINCT {_ARRIVAL} AS arrival, symbol, date_trunc('minute', event_time) AS m
+  FROM valid WHERE {_ON_TIME})""",
+        then="""SELECT (SELECT count(*) FROM events) AS rows_in, (SELECT count(*) FROM changed) AS rows_out,
+       (SELECT count(*) FROM late) AS rows_dropped"""),
+}

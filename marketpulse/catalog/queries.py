@@ -424,25 +424,28 @@ def arrivals(column):
     return [at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]]
 
 
-def arriving(spark, rows, conditions, start, last=None):
+def arriving(spark, rows, conditions, start, last=None, after=None):
     """Rows arrive in parts; after each the stream starts again from its checkpoint, takes
-    what is there and ends. `last` arrives at the end. Gives the path of the result."""
+    what is there and ends. `last` arrives at the end. `after` is called with the paths of
+    the result and the checkpoint after each part. Gives the path of the result."""
     where = scratch_dir(spark, "stream")
     parts = [rows.where(c) for c in conditions] + ([last] if last is not None else [])
     for part in parts:
         part.write.mode("append").parquet(f"{where}/landing")
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000)
         start(stream.parquet(f"{where}/landing"), f"{where}/t", f"{where}/c", every=None).awaitTermination()
+        if after:
+            after(f"{where}/t", f"{where}/c")
     return f"{where}/t"
 
 
-def tick_arrivals(spark, sf_dir, start, last=None, late=None):
+def tick_arrivals(spark, sf_dir, start, last=None, late=None, after=None):
     """The messages in the order of their time. Those that are `late` come with the last part."""
     rows = inputs.tick_messages(events(spark, sf_dir))
     conditions = arrivals("arrived_at")
     if late is not None:
         conditions = [c & ~late for c in conditions[:-1]] + [conditions[-1] | late]
-    return arriving(spark, rows, conditions, start, last)
+    return arriving(spark, rows, conditions, start, last, after)
 
 
 def parsed(start):
@@ -506,3 +509,55 @@ def bars_rebuilt(spark, sf_dir):
 
 
 REBUILT = "2024-01-05"
+AFTER_ALL = "2024-02-01"  # no tick is from here on
+
+
+@query
+def bars_merged(spark, sf_dir):
+    """The stream's bars with the changes merged into bases after each arrival."""
+    def merge(path, checkpoint):
+        streaming.merge_bars(spark, path, checkpoint, least=1)
+
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), after=merge)
+    return streaming.latest_bars(spark, path)
+
+
+def all_valid(spark, sf_dir):
+    return valid_ticks(sources.parse_ticks(inputs.tick_messages(events(spark, sf_dir))))
+
+
+@query
+def late_minutes(spark, sf_dir):
+    """The bars that lack ticks which came after the watermark."""
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), late=late())
+    return streaming.bar_differences(all_valid(spark, sf_dir), streaming.latest_bars(spark, path))
+
+
+@query
+def bars_healed(spark, sf_dir):
+    """Bars without the late ticks, after the days that lack some have been rebuilt."""
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), late=late())
+    streaming.heal_bars(spark, all_valid(spark, sf_dir), path, AFTER_ALL)
+    return streaming.latest_bars(spark, path)
+
+
+@query
+def stream_audit(spark, sf_dir):
+    """What the micro-batches of the late ticks' stream read, wrote and dropped."""
+    audit = scratch_dir(spark, "stream-audit")
+    with streaming.StreamAudit(spark, audit):
+        tick_arrivals(spark, sf_dir, parsed(streaming.start_bars), late=late())
+    totals = [F.sum(c).alias(c) for c in ("rows_in", "rows_out", "rows_dropped")]
+    return spark.read.schema(schemas.STREAM_AUDIT).parquet(audit).groupBy("stream").agg(*totals).drop("stream")
+
+
+@query
+def documents_stored(spark, sf_dir):
+    """The documents of all days, written in two parts and read back."""
+    stories = sources.shape_stories(inputs.daily_feed(events(spark, sf_dir)), 10, None)
+    articles = sources.shape_articles(inputs.article_pages(pages(spark, sf_dir)), 10)
+    documents, where = plans.daily_document(stories, articles), scratch_dir(spark, "documents")
+    for part in (F.col("ds") >= DAY, F.col("ds") < DAY):
+        plans.write_documents(documents.where(part), where)
+    stored = plans.read_documents(spark, where)
+    return stored.select("ds", F.to_json(F.struct("hackernews", "news")).alias("document"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketpulse.functions import round_half_up
 
 MICROSECOND = timedelta(microseconds=1)
+MINUTE = timedelta(minutes=1)
 
 
 def _arrival_order(ticks):
@@ -24,7 +25,7 @@ def _arrival_order(ticks):
     return place.cast("decimal(19,0)") * F.lit(str(2**63)).cast("decimal(19,0)") + seq
 
 
-def bars(ticks, every=timedelta(minutes=1)):
+def bars(ticks, every=MINUTE):
     """One row per symbol and bar. Open and close follow (event_time, part, seq); `part` may
     be missing. Offsets of two partitions do not compare, so ticks of one microsecond from
     several partitions follow the partition's number."""

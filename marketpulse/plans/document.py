@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from marketpulse.operators import top_per_group
+from marketpulse.schemas import DOCUMENTS
+from marketpulse.sinks import read_days, replace_days
 
 
 def _listed(records, limit, name, fields):
@@ -29,6 +31,12 @@ def daily_document(stories, articles, limit=10):
     return both.select("ds", *[F.coalesce(c, F.array()).alias(c) for c in ("hackernews", "news")])
 
 
-def write_documents(documents, path):
-    """One folder per day, one JSON line each."""
-    documents.write.mode("overwrite").partitionBy("ds").json(path)
+def write_documents(documents, path, days=None):
+    """One folder per day, one JSON line each. Other days stay; listed days without a
+    document become empty."""
+    replace_days(documents, path, days, "ds", kind="json")
+
+
+def read_documents(spark, path, day=None):
+    """The documents of all days, or of one."""
+    return read_days(spark, path, DOCUMENTS, "ds", day, kind="json")

@@ -82,3 +82,13 @@ RUN_AUDIT = _schema(
 QUARANTINE = _schema(feed=_S, bad_text=_S, fetched_at=_TS, run_date=_DATE, run_id=_S)
 SOURCE_COUNTS = _schema(source=_S, total=_L, loaded_at=_TS, run_date=_DATE)
 REPORTS = _schema(report=_S, loaded_at=_TS, report_date=_DATE)
+# The day document: the first entries of both feeds.
+DOCUMENTS = _schema(
+    hackernews=T.ArrayType(_schema(id=_L, title=_S, score=_I)),
+    news=T.ArrayType(_schema(title=_S, source=_S)), ds=_DATE,
+)
+# What the micro-batches of the streams did. `rows_dropped` counts rows of the state's
+# operator, bars in part, that came after the watermark.
+STREAM_AUDIT = _schema(
+    stream=_S, run_id=_S, batch_id=_L, rows_in=_L, rows_out=_L, rows_dropped=_L, rows_in_state=_L, started_at=_TS,
+)

@@ -1,49 +1,68 @@
 """Tables with one folder per day, whose days are replaced whole.
 
-A write replaces the folders of its days and no others, when all its tasks are done: a write
-that fails leaves the earlier rows. Each listed day gets at least a row that is not `present`,
-so that a day that turns out empty replaces its earlier rows too.
+A day's rows lie in `<table>/<day column>=<day>/version=<version>`. A write adds a new version
+aside of the current one, then `pointers` names it as the current one, then the earlier one
+goes. A write that fails, or a driver that dies at any step, leaves the day's old rows or its
+new ones. A day without rows points to no folder.
 """
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PRESENT = "present"
+from marketpulse.sinks import pointers
 
+VERSION = "version"
+NOTHING = "none"
 
-def replace_days(rows, table, days=None, day_column="report_date"):
+
+def replace_days(rows, table, days=None, day_column="report_date", kind="parquet"):
     """Make `rows` the content of `days`. Rows of other days are left out. Without a list,
     the days that occur in `rows` are replaced."""
-    rows = rows.withColumn(PRESENT, F.lit(True))
+    spark, version = rows.sparkSession, pointers.new_version()
     if days is not None:
         days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
-        each = F.explode(F.array(*[F.lit(d) for d in days])).alias(day_column)
-        marks = rows.sparkSession.range(1).select(each, F.lit(False).alias(PRESENT))
-        rows = rows.where(F.col(day_column).isin(days)).unionByName(marks, allowMissingColumns=True)
+        rows = rows.where(F.col(day_column).isin(days))
     if days is None or len(days) > 1:
         # Bring each day's rows together before the per-day folders; AQE splits big days.
         rows = rows.hint("rebalance", day_column)
-    replace_folders(rows, table, day_column)
+    writer = rows.withColumn(VERSION, F.lit(version)).write.mode("append").partitionBy(day_column, VERSION)
+    writer.format(kind).save(table)
+    written = pointers.matching(spark, f"{table}/{day_column}=*/{VERSION}={version}", 2)
+    written = {folder.split("=", 1)[1]: version for folder, _ in written}
+    wanted = written if days is None else {str(d): written.get(str(d), NOTHING) for d in days}
+    pointers.switch(spark, table, wanted)
+    drop_superseded(spark, table, wanted, day_column)
 
 
-def replace_folders(rows, table, *columns):
-    """Write the folders that `rows` has values for; other folders stay."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*columns).parquet(table)
+def drop_superseded(spark, table, days, day_column="report_date"):
+    """Remove the versions of these days that are no longer current, with those that a writer
+    has left without pointing to them."""
+    now = pointers.current(spark, table)
+    for day in days:
+        for folder in pointers.names(spark, f"{table}/{day_column}={day}"):
+            if folder.startswith(f"{VERSION}=") and folder != f"{VERSION}={now.get(day)}":
+                pointers.remove(spark, f"{table}/{day_column}={day}/{folder}")
+    pointers.forget(spark, table, set(days))
 
 
-def read_days(spark, table, schema, day_column="report_date", day=None):
+def read_days(spark, table, schema, day_column="report_date", day=None, kind="parquet"):
     """The rows of the table, or of one day; none if the table does not exist yet."""
-    stored = T.StructType(schema.fields + [T.StructField(PRESENT, T.BooleanType())])
-    try:
-        rows = spark.read.schema(stored).parquet(table)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    now = pointers.current(spark, table)
+    paths = [
+        f"{table}/{day_column}={d}/{VERSION}={version}" for d, version in now.items()
+        if version != NOTHING and (day is None or d == str(day))
+    ]
+    if not paths:
         return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", table).format(kind).load(paths)
     if day is not None:
         rows = rows.where(F.col(day_column) == F.lit(day).cast("date"))
-    return rows.where(PRESENT).select(*schema.fieldNames())
+    return rows.select(*schema.fieldNames())
+
+
+def replace_folders(rows, table, *columns):
+    """Write the folders that `rows` has values for; other folders stay. For folders that have
+    one writer, which repeats what it wrote: a run's, or a micro-batch's."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*columns).parquet(table)

@@ -1,10 +1,14 @@
+from marketpulse.streaming.bar_table import (
+    bar_differences, bar_updates, heal_bars, latest_bars, merge_bars, rebuild_bars,
+)
+from marketpulse.streaming.service import StreamAudit, watch
 from marketpulse.streaming.ticks import (
-    bar_updates, end_marker, latest_bars, rebuild_bars, start_bars, start_bars_final,
-    start_bronze, start_quarantine, start_silver, start_streams, stream_bars, tick_stream,
+    end_marker, open_bars, start_bars, start_bars_final, start_bronze, start_quarantine, start_silver,
+    start_streams, stream_bars, tick_stream,
 )
 
 __all__ = [
-    "bar_updates", "end_marker", "latest_bars", "rebuild_bars", "start_bars", "start_bars_final",
-    "start_bronze", "start_quarantine", "start_silver", "start_streams", "stream_bars",
-    "tick_stream",
+    "StreamAudit", "bar_differences", "bar_updates", "end_marker", "heal_bars", "latest_bars",
+    "merge_bars", "open_bars", "rebuild_bars", "start_bars", "start_bars_final", "start_bronze", "start_quarantine",
+    "start_silver", "start_streams", "stream_bars", "tick_stream", "watch",
 ]

@@ -6,18 +6,25 @@ a table belongs to one checkpoint.
 """
 
 import json
-from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from marketpulse.operators import bars, by_day, latest_versions
-from marketpulse.schemas import BAR_UPDATES, BRONZE_TICKS
+from marketpulse.operators import bars
+from marketpulse.operators.bars import MINUTE
+from marketpulse.schemas import BRONZE_TICKS
 from marketpulse.sinks import replace_folders
 from marketpulse.sources.messages import MESSAGE, bad_ticks, parse_ticks, valid_ticks
 
 LATENESS = "30 seconds"
-BAR = timedelta(minutes=1)
 END = "(end)"  # symbol of the message that closes all bars
+WRITTEN = "written"  # what a micro-batch gives its sink, as its progress shows it
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def counted(rows):
+    """The rows, counted as they pass: sinks do not tell how many they get."""
+    return rows.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
 
 
 def _start(writer, checkpoint, every):
@@ -29,7 +36,7 @@ def _start(writer, checkpoint, every):
 
 
 def _to_files(rows, path, checkpoint, every, *folders):
-    stamped = rows.withColumn("loaded_at", F.current_timestamp())
+    stamped = counted(rows.withColumn("loaded_at", F.current_timestamp()))
     writer = stamped.writeStream.format("parquet").outputMode("append").option("path", path)
     return _start(writer.partitionBy(*folders) if folders else writer, checkpoint, every)
 
@@ -61,7 +68,7 @@ def start_quarantine(ticks, path, checkpoint, every="10 seconds"):
     return _to_files(bad_ticks(ticks), path, checkpoint, every)
 
 
-def stream_bars(ticks, width=BAR, lateness=LATENESS):
+def stream_bars(ticks, width=MINUTE, lateness=LATENESS):
     """Bars over a stream. A tick later than the watermark no longer changes its bar."""
     return bars(valid_ticks(ticks).withWatermark("event_time", lateness), width)
 
@@ -70,11 +77,11 @@ def with_day(rows):
     return rows.withColumn("bar_date", F.to_date("minute_bucket"))
 
 
-def start_bars_final(ticks, path, checkpoint, every="60 seconds", width=BAR):
+def start_bars_final(ticks, path, checkpoint, every="60 seconds", width=MINUTE):
     """Each bar once, when the watermark has passed its end. The last bars wait for later
     ticks; `end_marker` is a message that closes them."""
     writer = (
-        with_day(stream_bars(ticks, width)).writeStream.format("parquet").outputMode("append")
+        counted(with_day(stream_bars(ticks, width))).writeStream.format("parquet").outputMode("append")
         .partitionBy("bar_date").option("path", path)
     )
     return _start(writer, checkpoint, every)
@@ -86,47 +93,27 @@ def end_marker(spark, at="9000-01-01T00:00:00"):
     return spark.createDataFrame([(text, 0, 0, None)], MESSAGE)
 
 
-def start_bars(ticks, path, checkpoint, every="60 seconds", width=BAR):
-    """Each bar again whenever it changed; `latest_bars` reads the current state."""
+def start_bars(ticks, path, checkpoint, every="60 seconds", width=MINUTE):
+    """Each bar again whenever it changed; `bar_table` reads and merges the changes."""
 
     def write_changes(batch, batch_id):
         rows = with_day(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
         replace_folders(rows, path, "bar_date", "batch_id")
 
-    writer = stream_bars(ticks, width).writeStream.outputMode("update").foreachBatch(write_changes)
+    changed = counted(stream_bars(ticks, width))
+    writer = changed.writeStream.outputMode("update").foreachBatch(write_changes)
     return _start(writer, checkpoint, every)
 
 
-def bar_updates(spark, path, since=None, until=None):
-    """All changes, or those of the days from `since` to `until`; other folders stay closed."""
-    rows = spark.read.schema(BAR_UPDATES).parquet(path)
-    if since is not None:
-        rows = rows.where(F.col("bar_date") >= F.lit(since).cast("date"))
-    if until is not None:
-        rows = rows.where(F.col("bar_date") <= F.lit(until).cast("date"))
-    return rows
-
-
-def latest_bars(spark, path, since=None, until=None):
-    rows = bar_updates(spark, path, since, until).drop("bar_date")
-    return latest_versions(rows, ["symbol", "minute_bucket"])
-
-
-def rebuild_bars(silver, path, day, width=BAR):
-    """The bars of one day anew from silver, in place of all their changes: ticks that came
-    too late for the stream count, and the day has one folder again. For days that the
-    watermark has passed; `width` must divide a day."""
-    rows = bars(by_day(silver, day), width).withColumn("batch_id", F.lit(0).cast("long"))
-    rows.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path}/bar_date={day}")
-
-
 def start_streams(spark, values, root, silver_every="10 seconds", bars_every="60 seconds",
-                  max_files=1000):
+                  max_files=1000, state_store=ROCKSDB):
     """Messages to bronze, and from bronze to silver, to quarantine and to changed bars.
 
     Bronze is the record all else derives from. With `None` as rhythm each query runs over
     what is there and ends; bronze then finishes before the others start. A micro-batch takes
     at most `max_files` bronze files; what the source gives bronze is bounded by the source.
+    Open bars are kept by `state_store`, by default on the executors' disks and not in their
+    heap; a checkpoint keeps the one it was started with. `service.watch` waits for them.
     """
     def places(name):
         return f"{root}/{name}", f"{root}/checkpoints/{name}"
@@ -137,9 +124,24 @@ def start_streams(spark, values, root, silver_every="10 seconds", bars_every="60
     bronze = start_bronze(values, *places("bronze_ticks"), every=silver_every)
     if silver_every is None:
         bronze.awaitTermination()
-    return {
-        "bronze": bronze,
-        "silver": start_silver(ticks(), *places("silver_prices"), every=silver_every),
-        "quarantine": start_quarantine(ticks(), *places("quarantine"), every=silver_every),
-        "bars": start_bars(ticks(), *places("bars"), every=bars_every),
-    }
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, state_store)  # a query keeps the setting it starts with
+    try:
+        return {
+            "bronze": bronze,
+            "silver": start_silver(ticks(), *places("silver_prices"), every=silver_every),
+            "quarantine": start_quarantine(ticks(), *places("quarantine"), every=silver_every),
+            "bars": start_bars(ticks(), *places("bars"), every=bars_every),
+        }
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def open_bars(spark, checkpoint):
+    """The bars that the stream still holds in its state: symbol, minute_bucket, trade_count.
+    Read from the checkpoint of its last commit, while the stream may run."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key.symbol").alias("symbol"), F.col("key.bar.start").alias("minute_bucket"),
+        F.col("value.count").alias("trade_count"),
+    )
