@@ -138,10 +138,8 @@ def start_streams(spark, values, root, silver_every="10 seconds", bars_every="60
 
 
 def open_bars(spark, checkpoint):
-    """The bars that the stream still holds in its state: symbol, minute_bucket, trade_count.
-    Read from the checkpoint of its last commit, while the stream may run."""
-    state = spark.read.format("statestore").load(checkpoint)
-    return state.select(
-        F.col("key.symbol").alias("symbol"), F.col("key.bar.start").alias("minute_bucket"),
-        F.col("value.count").alias("trade_count"),
-    )
+    """The bars that the stream still holds in its state, by symbol and minute_bucket: those
+    that the watermark has not passed. Read from the checkpoint of its last commit, while
+    the stream may run."""
+    key = spark.read.format("statestore").load(checkpoint).select("key.*")
+    return key.select("symbol", F.col("bar.start").alias("minute_bucket"))

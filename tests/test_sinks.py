@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import folders_read, plan, utc, values
 from marketpulse import plans, schemas
 from marketpulse.plans.batch import table_paths
-from marketpulse.sinks import land_bronze, read_days, replace_days
+from marketpulse.sinks import land_bronze, pointers, read_days, replace_days
 from marketpulse.sources import scan_day
 from marketpulse.workspace import scratch_dir
 from test_plans import bronze, hn, news
@@ -221,3 +221,66 @@ def test_scratch_folder_is_the_shared_one():
     assert scratch_dir(shared, "a") != scratch_dir(shared, "a")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Settings({"spark.master": "yarn"}), "a")
+
+
+class Died(Exception):
+    """The driver is gone."""
+
+
+def dying(monkeypatch, name, step):
+    """Let the driver die at a step: at the n-th call of a function of `pointers`."""
+    calls, whole = [], getattr(pointers, name)
+
+    def call(*args):
+        calls.append(args)
+        if len(calls) == step:
+            raise Died
+        return whole(*args)
+
+    monkeypatch.setattr(pointers, name, call)
+
+
+@pytest.mark.parametrize("name, step, switched", [
+    ("matching", 1, 0), ("appear", 1, 0), ("appear", 2, 1), ("remove", 1, 2), ("remove", 2, 2), ("remove", 3, 2), ("remove", 4, 2),
+])
+def test_a_driver_that_dies_leaves_each_day_old_or_new(spark, table, monkeypatch, name, step, switched):
+    old = [("a", 1, "2026-02-18"), ("b", 2, "2026-02-19")]
+    new = [("c", 3, "2026-02-18"), ("d", 4, "2026-02-19")]
+    days = ["2026-02-18", "2026-02-19"]
+    with monkeypatch.context() as patch:
+        dying(patch, name, step)
+        with pytest.raises(Died):
+            replace_days(rows(spark, *new), table, days)
+    assert current(spark, table) == sorted(new[:switched] + old[switched:])
+    replace_days(rows(spark, *new), table, days)
+    assert current(spark, table) == new
+    for d in days:  # what the dead driver left is gone
+        assert len([f for f in os.listdir(f"{table}/report_date={d}") if "=" in f]) == 1
+    assert len([f for f in os.listdir(f"{table}/_current") if f.startswith("2026")]) == 2
+
+
+def test_documents_of_other_days_stay(spark, tmp_path):
+    path, kind = f"{tmp_path}/docs", "hackernews array<struct<id long, title string, score int>>, news array<struct<title string, source string>>, ds date"
+    def document(title, day):
+        return spark.createDataFrame([([(1, title, 2)], [], utc(day + "T00:00:00").date())], kind)
+
+    for title, day in (("first", "2026-02-18"), ("second", "2026-02-19"), ("second again", "2026-02-19")):
+        plans.write_documents(document(title, day), path)
+    read = plans.read_documents(spark, path).select("ds", F.col("hackernews.title").getItem(0).alias("title"), "news")
+    assert values(read) == [("2026-02-18", "first", []), ("2026-02-19", "second again", [])]
+    one = plans.read_documents(spark, path, "2026-02-18")
+    assert folders_read(one) == 1 and one.count() == 1
+    plans.write_documents(document("none", "2026-02-20"), path, ["2026-02-18"])
+    assert values(plans.read_documents(spark, path), "ds") == [("2026-02-19",)]
+    assert plans.read_documents(spark, f"{tmp_path}/nothing").count() == 0
+
+
+def test_pointers_follow_the_largest_number(spark, tmp_path):
+    root = str(tmp_path)
+    assert pointers.current(spark, root) == {}
+    for n in range(12):
+        pointers.switch(spark, root, {"k": f"v{n}"})
+    pointers.switch(spark, root, {"other": "w"})
+    assert pointers.current(spark, root) == {"k": "v11", "other": "w"}
+    assert len(pointers.forget(spark, root, {"k"})) == 11
+    assert pointers.current(spark, root) == {"k": "v11", "other": "w"}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import folders_read, utc, values
+from test_sinks import Died, dying
 from marketpulse import schemas, streaming
 from marketpulse.operators import bars
 from marketpulse.sources import file_values, parse_ticks
@@ -209,3 +210,153 @@ def test_empty_source_writes_nothing(spark, landing, out):
     path, checkpoint = out("silver")
     streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
     assert ticks_table(spark, path).count() == 0
+
+
+def changed(spark, path, checkpoint, batches, day="2026-02-19"):
+    """Micro-batches of changed bars as the stream writes them, and its commits."""
+    at = F.lit(f"{day} 00:00:00").cast("timestamp") + F.make_interval(mins=(F.col("id") % 90).cast("int"))
+    rows = spark.range(batches[0], batches[1]).select(
+        F.lit("A").alias("symbol"), at.alias("minute_bucket"),
+        *(F.col("id").cast("double").alias(c) for c in ("open_price", "high_price", "low_price", "close_price", "avg_price")),
+        F.col("id").alias("trade_count"), F.lit(day).cast("date").alias("bar_date"), F.col("id").alias("batch_id"),
+    )
+    rows.write.mode("append").partitionBy("bar_date", "batch_id").parquet(path)
+    os.makedirs(f"{checkpoint}/commits", exist_ok=True)
+    for n in range(*batches):
+        open(f"{checkpoint}/commits/{n}", "w").close()
+
+
+def test_a_merged_day_opens_its_base_and_the_changes_since(spark, out):
+    path, checkpoint = out("bars")
+    changed(spark, path, checkpoint, (0, 1000))
+    wanted = [(float(990 + m if m < 10 else 900 + m), 990 + m if m < 10 else 900 + m) for m in range(90)]
+    assert values(streaming.latest_bars(spark, path), "open_price", "trade_count") == sorted(wanted, key=repr)
+    assert streaming.merge_bars(spark, path, checkpoint) == ["2026-02-19"]
+    changed(spark, path, checkpoint, (1000, 1003))
+    latest = streaming.latest_bars(spark, path)
+    assert folders_read(latest) == 4
+    assert latest.count() == 90 and latest.agg(F.max("trade_count")).first()[0] == 1002
+    assert sorted(n for n in os.listdir(f"{path}/bar_date=2026-02-19") if "=" in n) == [f"batch_id={n}" for n in (1000, 1001, 1002)]
+
+
+def test_only_committed_changes_are_merged(spark, out):
+    path, checkpoint = out("bars")
+    changed(spark, path, checkpoint, (0, 5))
+    os.remove(f"{checkpoint}/commits/4")
+    before = values(streaming.latest_bars(spark, path))
+    streaming.merge_bars(spark, path, checkpoint)
+    assert "batch_id=4" in os.listdir(f"{path}/bar_date=2026-02-19")
+    assert values(streaming.latest_bars(spark, path)) == before
+    assert streaming.merge_bars(spark, path, checkpoint) == []  # one change is too few
+
+
+@pytest.mark.parametrize("name, step", [("names", 3), ("appear", 1), ("remove", 1), ("remove", 3)])
+def test_a_merge_that_dies_changes_no_bar(spark, out, monkeypatch, name, step):
+    path, checkpoint = out("bars")
+    changed(spark, path, checkpoint, (0, 4))
+    streaming.merge_bars(spark, path, checkpoint)
+    changed(spark, path, checkpoint, (4, 8))
+    before = values(streaming.latest_bars(spark, path))
+    with monkeypatch.context() as patch:
+        dying(patch, name, step)
+        with pytest.raises(Died):
+            streaming.merge_bars(spark, path, checkpoint)
+    assert values(streaming.latest_bars(spark, path)) == before
+    streaming.merge_bars(spark, path, checkpoint, least=1)
+    assert values(streaming.latest_bars(spark, path)) == before
+
+
+def test_a_rebuild_that_fails_keeps_the_day(spark, landing, out):
+    landing.add(message("A", 1.0, 0), message("A", 2.0, 70))
+    path, checkpoint = out("bars")
+    streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    before = values(streaming.latest_bars(spark, path))
+    bad = valid_ticks(landing.batch()).withColumn("price", F.raise_error(F.lit("boom")).cast("double"))
+    with pytest.raises(Exception, match="boom"):
+        streaming.rebuild_bars(bad, path, "2026-02-19")
+    assert values(streaming.latest_bars(spark, path)) == before
+    streaming.rebuild_bars(valid_ticks(landing.batch()).limit(0), path, "2026-02-19")
+    assert streaming.latest_bars(spark, path).count() == 0
+
+
+def test_merging_between_micro_batches(spark, landing, out):
+    path, checkpoint = out("bars")
+    for part in range(4):
+        landing.add(*[message("AB"[n % 2], float(n * 7 % 13 + part + 1), 20 * part + n) for n in range(40)])
+        streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+        streaming.merge_bars(spark, path, checkpoint, least=1)
+    latest = streaming.latest_bars(spark, path)
+    assert values(latest) == values(bars(valid_ticks(landing.batch())), *latest.columns)
+    assert folders_read(latest) == 1
+
+
+def test_late_days_are_found_and_healed(spark, landing, out):
+    days = [0, 86_400, 2 * 86_400]
+    landing.add(*[message("A", 1.0, d) for d in days], message("B", 1.0, 1))
+    landing.add(message("A", 2.5, days[2] + 1))
+    landing.add(message("A", 9.0, 1), message("A", 9.0, 2), message("C", 3.0, days[1] + 500))  # days late
+    path, checkpoint = out("bars")
+    streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+    silver = valid_ticks(landing.batch())
+    odd = streaming.bar_differences(silver, streaming.latest_bars(spark, path))
+    assert values(odd, "symbol", "in_silver", "in_bars", "missing") == [("A", 3, 1, 2), ("C", 1, 0, 1)]
+    assert streaming.heal_bars(spark, silver, path, "2026-02-20") == ["2026-02-19"]
+    assert values(streaming.bar_differences(silver, streaming.latest_bars(spark, path)), "symbol") == [("C",)]
+    assert streaming.heal_bars(spark, silver, path, "2026-02-22") == ["2026-02-20"]
+    assert streaming.heal_bars(spark, silver, path, "2026-02-22") == []
+    latest = streaming.latest_bars(spark, path)
+    assert values(latest) == values(bars(silver), *latest.columns)
+
+
+def test_one_failing_stream_stops_the_others(spark, landing, tmp_path):
+    root = str(tmp_path)
+    landing.add(message("A", 1.0, 0), message("B", 2.0, 70))
+
+    def fail(batch, batch_id):
+        raise ValueError("no room")
+
+    running = streaming.start_streams(spark, landing.stream(), root, "1 second", "1 second")
+    running["broken"] = landing.stream().writeStream.foreachBatch(fail).option(
+        "checkpointLocation", f"{root}/checkpoints/broken").start()
+    with pytest.raises(Exception, match="no room"):
+        streaming.watch(spark, running, poll=1)
+    assert not any(q.isActive for q in running.values())
+
+    landing.add(message("A", 3.0, 80), message("B", 4.0, 140))
+    again = streaming.start_streams(spark, landing.stream(), root, None, None)
+    streaming.watch(spark, again, poll=1)
+    # bronze may have taken the first arrival in the first run; nothing is lost or doubled
+    for q in streaming.start_streams(spark, landing.stream(), root, None, None).values():
+        q.awaitTermination()
+    assert sorted(values(bronze_table(spark, f"{root}/bronze_ticks"), "value")) == sorted(values(landing.batch(), "value"))
+    assert values(ticks_table(spark, f"{root}/silver_prices"), "price") == [(1.0,), (2.0,), (3.0,), (4.0,)]
+    latest = streaming.latest_bars(spark, f"{root}/bars")
+    assert values(latest) == values(bars(valid_ticks(landing.batch())), *latest.columns)
+
+
+def test_micro_batches_are_audited(spark, landing, out, tmp_path):
+    landing.add(message("A", 1.0, 0), message("A", 1.0, 300), "{broken")
+    landing.add(message("A", 2.0, 5), message("B", 2.0, 400))
+    landing.add(message("A", 3.0, 6))
+    path, checkpoint = out("bars")
+    with streaming.StreamAudit(spark, f"{tmp_path}/audit", every=2) as audit:
+        q = streaming.start_bars(parse_ticks(landing.stream()), path, checkpoint, every=None)
+        audit.names[q.id] = "bars"
+        q.awaitTermination()
+    rows = spark.read.schema(schemas.STREAM_AUDIT).parquet(f"{tmp_path}/audit")
+    assert values(rows.where("rows_in > 0"), "stream", "batch_id", "rows_in", "rows_out", "rows_dropped") == [
+        ("bars", 0, 3, 2, 0), ("bars", 1, 2, 2, 0), ("bars", 2, 1, 0, 1),
+    ]
+
+
+def test_state_holds_only_open_bars(spark, landing, tmp_path):
+    root = str(tmp_path)
+    for part in range(4):
+        landing.add(*[message("AB"[n % 2], 1.0, 300 * part + n * 9) for n in range(20)])
+        streaming.watch(spark, streaming.start_streams(spark, landing.stream(), root, None, None))
+    held = streaming.open_bars(spark, f"{root}/checkpoints/bars")
+    watermark = 300 * 3 + 19 * 9 - 30
+    ends = [(r.minute_bucket - START.replace(tzinfo=None)).total_seconds() + 60 for r in held.collect()]
+    assert ends and all(end > watermark for end in ends)
+    settings = [json.loads(line) for line in open(f"{root}/checkpoints/bars/offsets/0").read().split("\n")[1:2]]
+    assert "RocksDB" in settings[0]["conf"]["spark.sql.streaming.stateStore.providerClass"]
