@@ -10,7 +10,7 @@ from marketpulse.functions import percent_change
 PRODUCTS = {"btc": "BTC-USD", "eth": "ETH-USD", "sol": "SOL-USD"}
 
 
-def _of_days(ticks, *days):
+def of_days(ticks, *days):
     """Ticks of some dates. The condition on the timestamp reaches the parquet scan; in a
     table with `event_date` folders the others are not opened."""
     if "event_date" in ticks.columns:
@@ -20,7 +20,7 @@ def _of_days(ticks, *days):
 
 def by_day(ticks, day):
     """The ticks of one day."""
-    return _of_days(ticks, F.lit(day).cast("date"))
+    return of_days(ticks, F.lit(day).cast("date"))
 
 
 def _averages(products):
@@ -91,7 +91,7 @@ def day_prices(ticks, day, products=PRODUCTS, change_of="btc"):
     """
     day = F.lit(day).cast("date")
     date = F.to_date("event_time")
-    two_days = _of_days(ticks, day, F.date_sub(day, 1))
+    two_days = of_days(ticks, day, F.date_sub(day, 1))
 
     def mean(symbol, on):
         return F.avg(F.when((F.col("symbol") == symbol) & (date == on), F.col("price")))

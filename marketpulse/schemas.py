@@ -55,6 +55,11 @@ SILVER_POSTS = _schema(
     post_id=_S, source=_S, title=_S, url=_S, score=_I, author=_S, description=_S,
     published_at=_TS, loaded_at=_TS, run_date=_DATE,
 )
+# Silver posts with what decides between their versions, and the runs they come from.
+WINNERS = _schema(
+    post_id=_S, source=_S, title=_S, url=_S, score=_I, author=_S, description=_S,
+    published_at=_TS, load_id=_S, fetched_at=_TS, edition=_S, run_date=_DATE,
+)
 TOP_STORIES = _schema(
     source=_S, title=_S, url=_S, score=_I, author=_S, published_date=_DATE, rank=_I,
     loaded_at=_TS, report_date=_DATE,

@@ -16,9 +16,10 @@ VERSION = "version"
 NOTHING = "none"
 
 
-def replace_days(rows, table, days=None, day_column="report_date", kind="parquet"):
+def replace_days(rows, table, days=None, day_column="report_date", kind="parquet", notes=None):
     """Make `rows` the content of `days`. Rows of other days are left out. Without a list,
-    the days that occur in `rows` are replaced."""
+    the days that occur in `rows` are replaced. `notes` ({day: text}) go into the names of
+    their versions, after a hyphen."""
     spark, version = rows.sparkSession, pointers.new_version()
     if days is not None:
         days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
@@ -26,15 +27,22 @@ def replace_days(rows, table, days=None, day_column="report_date", kind="parquet
     if days is None or len(days) > 1:
         # Bring each day's rows together before the per-day folders; AQE splits big days.
         rows = rows.hint("rebalance", day_column)
-    writer = rows.withColumn(VERSION, F.lit(version)).write.mode("append").partitionBy(day_column, VERSION)
-    writer.format(kind).save(table)
-    written = pointers.matching(spark, f"{table}/{day_column}=*/{VERSION}={version}", 2)
-    written = {folder.split("=", 1)[1]: version for folder, _ in written}
+    writer = rows.withColumn(VERSION, _version_of(version, notes, day_column)).write.mode("append")
+    writer.partitionBy(day_column, VERSION).format(kind).save(table)
+    written = pointers.matching(spark, f"{table}/{day_column}=*/{VERSION}={version}*", 2)
+    written = {folder.split("=", 1)[1]: name.split("=", 1)[1] for folder, name in written}
     wanted = written if days is None else {str(d): written.get(str(d), NOTHING) for d in days}
     pointers.switch(spark, table, wanted)
     drop_superseded(spark, table, wanted, day_column)
 
 
+def _version_of(version, notes, day_column):
+    if not notes:
+        return F.lit(version)
+    noted = F.create_map(*(F.lit(x) for day, note in notes.items() for x in (str(day), f"{version}-{note}")))
+    return F.coalesce(noted[F.col(day_column).cast("string")], F.lit(version))
+
+
 def drop_superseded(spark, table, days, day_column="report_date"):
     """Remove the versions of these days that are no longer current, with those that a writer
     has left without pointing to them."""
@@ -46,12 +54,14 @@ def drop_superseded(spark, table, days, day_column="report_date"):
     pointers.forget(spark, table, set(days))
 
 
-def read_days(spark, table, schema, day_column="report_date", day=None, kind="parquet"):
-    """The rows of the table, or of one day; none if the table does not exist yet."""
-    now = pointers.current(spark, table)
+def read_days(spark, table, schema, day_column="report_date", day=None, kind="parquet", days=None):
+    """The rows of the table, or of one day, or of a list of days; none if the table does
+    not exist yet."""
+    wanted = days if day is None else [day]
+    wanted = wanted if wanted is None else {str(d) for d in wanted}
     paths = [
-        f"{table}/{day_column}={d}/{VERSION}={version}" for d, version in now.items()
-        if version != NOTHING and (day is None or d == str(day))
+        f"{table}/{day_column}={d}/{VERSION}={version}" for d, version in pointers.current(spark, table).items()
+        if version != NOTHING and (wanted is None or d in wanted)
     ]
     if not paths:
         return spark.createDataFrame([], schema)

@@ -30,8 +30,8 @@ def names(spark, folder):
     return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
 
 
-def matching(spark, pattern, parts):
-    """The last `parts` parts of the paths that match, each as a tuple."""
+def stamped(spark, pattern, parts):
+    """The last `parts` parts of the paths that match, as a tuple, and when each last changed."""
     fs, place = _at(spark, pattern)
     found = []
     for status in fs.globStatus(place) or []:
@@ -39,10 +39,15 @@ def matching(spark, pattern, parts):
         for _ in range(parts):
             own.append(path.getName())
             path = path.getParent()
-        found.append(tuple(reversed(own)))
+        found.append((tuple(reversed(own)), status.getModificationTime()))
     return sorted(found)
 
 
+def matching(spark, pattern, parts):
+    """The last `parts` parts of the paths that match."""
+    return [own for own, _ in stamped(spark, pattern, parts)]
+
+
 def remove(spark, path):
     fs, place = _at(spark, path)
     fs.delete(place, True)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import folders_read, plan, utc, values
 from marketpulse import plans, schemas
+from marketpulse.plans import winners
 from marketpulse.plans.batch import table_paths
 from marketpulse.sinks import land_bronze, pointers, read_days, replace_days
 from marketpulse.sources import scan_day
@@ -284,3 +285,83 @@ def test_pointers_follow_the_largest_number(spark, tmp_path):
     assert pointers.current(spark, root) == {"k": "v11", "other": "w"}
     assert len(pointers.forget(spark, root, {"k"})) == 11
     assert pointers.current(spark, root) == {"k": "v11", "other": "w"}
+
+
+def landed(spark, root, run_id, day, items, at="10:00:00"):
+    """A run that has landed its stories and nothing more."""
+    rows = bronze(spark, *[hn(at=f"{day}T{at}", **item) for item in items])
+    rows = rows.withColumn("load_id", F.concat(F.lit(run_id), "load_id"))
+    land_bronze(rows, table_paths(root)["bronze_posts"], run_id)
+
+
+def silver(spark, root, *columns):
+    rows = read_days(spark, table_paths(root)["silver_posts"], schemas.SILVER_POSTS, "run_date")
+    return values(rows, *(columns or [c for c in rows.columns if c != "loaded_at"]))
+
+
+def whole(spark, root):
+    """Silver from all that has landed."""
+    table = spark.read.schema(schemas.BRONZE_POSTS).parquet(table_paths(root)["bronze_posts"])
+    rows = plans.silver_posts(table)
+    return values(rows, *[f.name for f in schemas.SILVER_POSTS if f.name != "loaded_at"])
+
+
+def test_runs_are_merged_into_the_winners(spark, tmp_path, monkeypatch):
+    root, read = str(tmp_path), []
+
+    def spy(bronze, versions=winners.versions):
+        read.append(folders_read(bronze))
+        return versions(bronze)
+
+    monkeypatch.setattr(winners, "versions", spy)
+    for n in range(5):
+        items = [dict(id=i, title=f"t{n}", score=(i * 7 + n * 5) % 11) for i in range(n, n + 6)]
+        landed(spark, root, f"r{n}", "2026-02-19", items, f"1{n}:00:00")
+        assert plans.catch_up(spark, root, no_ticks(spark)) == ["2026-02-19"]
+        assert silver(spark, root) == whole(spark, root)
+    assert read == [1] * 5  # only the run's own folder
+    assert plans.catch_up(spark, root, no_ticks(spark)) == []
+
+    # A run that lands again takes back what it had won.
+    landed(spark, root, "r2", "2026-02-19", [dict(id=3, score=1)], "12:00:00")
+    assert plans.catch_up(spark, root, no_ticks(spark)) == ["2026-02-19"]
+    assert read[-1] == 5 and silver(spark, root) == whole(spark, root)
+
+
+def test_only_days_with_new_runs_are_rebuilt(spark, tmp_path):
+    root = str(tmp_path)
+    days = [f"2026-03-{d:02}" for d in range(1, 31)]
+    rows = [hn(at=f"{d}T10:00:00", id=n, title=d, score=n) for d in days for n in range(3)]
+    land_bronze(bronze(spark, *rows), table_paths(root)["bronze_posts"], "r1")
+    ticks = spark.createDataFrame(
+        [("BTC-USD", 2.0 + n, utc(f"{d}T01:00:00")) for n, d in enumerate(days)], "symbol string, price double, event_time timestamp"
+    )
+    assert plans.catch_up(spark, root, ticks) == days
+    before = pointers.current(spark, table_paths(root)["insights"])
+    changed = [days[4], days[5], days[20]]
+    for d in changed:
+        landed(spark, root, "r2", d, [dict(id=9, title="new", score=50)], "11:00:00")
+    assert plans.catch_up(spark, root, ticks) == changed
+    after = pointers.current(spark, table_paths(root)["insights"])
+    assert [d for d in days if before[d] != after[d]] == changed
+    assert silver(spark, root) == whole(spark, root)
+    stored = read_days(spark, table_paths(root)["insights"], schemas.INSIGHTS).drop("loaded_at")
+    full = plans.insights_all(plans.source_summary(plans.silver_posts(
+        spark.read.schema(schemas.BRONZE_POSTS).parquet(table_paths(root)["bronze_posts"]))), ticks)
+    assert values(stored) == values(full, *stored.columns)
+    assert folders_read(read_days(spark, table_paths(root)["winners"], schemas.WINNERS, "run_date", days=changed)) == 3
+
+
+def test_a_chain_that_dies_is_caught_up(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    landed(spark, root, "r1", "2026-02-19", [dict(id=1, score=3)])
+    for step in range(1, 8):  # at the switch of each table
+        landed(spark, root, f"s{step}", "2026-02-19", [dict(id=step, title=f"s{step}", score=step)])
+        with monkeypatch.context() as patch:
+            dying(patch, "appear", step)
+            with pytest.raises(Died):
+                plans.catch_up(spark, root, no_ticks(spark))
+        assert plans.catch_up(spark, root, no_ticks(spark)) == ["2026-02-19"]
+        assert silver(spark, root) == whole(spark, root)
+    report = read_days(spark, table_paths(root)["reports"], schemas.REPORTS).first().report
+    assert "Top HN Story  : s7" in report
