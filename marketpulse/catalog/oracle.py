@@ -360,6 +360,8 @@ ORACLE |= {
     "bars_merged": ORACLE["stream_ohlc"],
     "bars_healed": ORACLE["stream_ohlc"],
     "documents_stored": ORACLE["daily_document"],
+    "silver_merged": ORACLE["silver_posts"],
+    "insights_caught_up": f"""SELECT * FROM ({ORACLE["daily_insights_all"]}) WHERE all_articles IS NOT NULL""",
     "late_minutes": _with(VALID_MESSAGES, then=_LATE),
     "stream_audit": _with(
         VALID_MESSAGES, f"late AS ({_LATE})",
