@@ -44,6 +44,11 @@ def row_key():
     return F.xxhash64("doc_id", "text")
 
 
+def row_keys():
+    """The same key with 128 bits, as two columns `row` and `check`."""
+    return [row_key().alias("row"), F.xxhash64(F.lit(1), "text", "doc_id").alias("check")]
+
+
 def replace_columns(docs, *names):
     """`docs` without the columns an operator is about to add."""
     return docs.drop(*names)

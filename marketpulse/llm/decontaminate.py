@@ -1,18 +1,26 @@
 """Benchmark decontamination: rare word n-grams seed the search for test items in documents,
 and Smith-Waterman alignment scores the passages around the seeds, so that edited and
-paraphrased copies are found as well."""
+paraphrased copies are found as well.
+
+Seeds are two neighbouring words. With the share 0.5 that an alignment must reach, words
+changed at any rhythm leave two neighbours unchanged somewhere. The documents are read once
+per block of items: what is kept of one is its words as numbers, and that only if it has
+enough words of an item.
+"""
 
 import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, row_key, small
+from marketpulse.llm.common import documents, row_keys, small, stored
 from marketpulse.llm.rows import keyed
 
 WORD = re.compile(r"[^\W_]+")
 MAX_BLOCK_BYTES = 8 << 20  # test items that are broadcast at a time
 MATCH, MISMATCH, GAP = 2, -1, -1
+NUMBER = 2  # words of a seed
+SCORE_BIT, MATCH_BIT = 42, 22  # of an alignment's score, matches and start in one number
 HITS = (
     "doc_id long, item_id long, score double, matched int, item_words int, "
     "start_word int, end_word int, seeds int"
@@ -33,7 +41,7 @@ class WordNumbers(dict):
 class Items:
     """The words of some test items, numbered, and the n-grams that point back to the items."""
 
-    def __init__(self, rows, n=3):
+    def __init__(self, rows, n=NUMBER):
         self.n, self.words, self.items = n, WordNumbers(), {}
         for item_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
             known = [self.words.setdefault(w, len(self.words)) for w in words_of(text)]
@@ -42,6 +50,24 @@ class Items:
         grams = [self.grams(known) for _, known in self.items.values()]
         self.all_grams = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *grams]))
         self.seeds = None
+        # The items of each word, with how often they have it.
+        held = [np.unique(known, return_counts=True) for _, known in self.items.values()]
+        words, times = (np.concatenate([np.zeros(0, np.int64), *(h[i] for h in held)]) for i in (0, 1))
+        owner = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
+        order = np.argsort(words, kind="stable")
+        self.owner, self.times = owner[order], times[order]
+        self.bounds = np.searchsorted(words[order], np.arange(len(self.words) + 1))
+        self.lengths = np.array([len(known) for _, known in self.items.values()], dtype=np.int64)
+
+    def likely(self, known, least):
+        """Whether a text has words enough of each item, in any order, to reach the share
+        `least`: an alignment needs that share of the item's words at least."""
+        words, counts = np.unique(known[known >= 0], return_counts=True)
+        sizes = self.bounds[words + 1] - self.bounds[words]
+        place = np.repeat(self.bounds[words] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        shared = np.minimum(np.repeat(counts, sizes), self.times[place])
+        matched = np.bincount(self.owner[place], weights=shared, minlength=len(self.lengths))
+        return (matched >= least * self.lengths) & (self.lengths > 0)
 
     def grams(self, known, size=None):
         """One number per run of `size` words (n by default, or all words if they are fewer)."""
@@ -62,14 +88,19 @@ class Items:
     def present(self, known, wanted):
         """(place, index in `wanted`) of the n-grams of a text that are among `wanted`. Items
         shorter than n words are looked up by their own length."""
-        found = []
+        return list(zip(*(x.tolist() for x in self.found(known, wanted))))
+
+    def found(self, known, wanted):
+        """The same as two arrays."""
+        places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for size in self.sizes if len(wanted) else ():
             grams = self.grams(known, size)
             at = np.searchsorted(wanted, grams)
             at[at == len(wanted)] = 0
             hits = np.flatnonzero(wanted[at] == grams)
-            found += zip(hits.tolist(), at[hits].tolist())
-        return found
+            places.append(hits)
+            found.append(at[hits])
+        return np.concatenate(places), np.concatenate(found)
 
     def choose_seeds(self, document_counts, common=4):
         """An item's n-grams that documents hold become seeds. The common ones, those in more
@@ -87,41 +118,54 @@ class Items:
                     if document_counts[gram] > most:
                         self.second.add((number, place))
         self.seeds = np.array(sorted(seeds), dtype=np.uint64)
-        self.places = [seeds[g] for g in self.seeds.tolist()]
+        places = [seeds[g] for g in self.seeds.tolist()]
+        self.starts = np.cumsum([0, *map(len, places)])
+        self.seeded = np.array([p for own in places for p in own], dtype=np.int64).reshape(-1, 2)
         return self
 
+    def hits(self, known, likely):
+        """{item number: [(place in the text, place in the item)]} of the seeds of likely items."""
+        at, seed = self.found(known, self.seeds)
+        sizes = self.starts[seed + 1] - self.starts[seed]
+        place = np.repeat(self.starts[seed] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        number, inside = self.seeded[place].T
+        at = np.repeat(at, sizes)
+        kept = np.flatnonzero(likely[number])
+        order = kept[np.lexsort((inside[kept], at[kept], number[kept]))]
+        out = {}
+        for number, *hit in zip(number[order].tolist(), at[order].tolist(), inside[order].tolist()):
+            out.setdefault(number, []).append(tuple(hit))
+        return out
+
 
 def local_alignment(item, passage):
     """Best Smith-Waterman score of two arrays of word numbers: (score, matches, start, end)
     with the place in the passage. Numbers below zero match nothing.
 
-    Rows are computed whole: a gap along a row costs the same per word, so the best value
-    carried from the left is a running maximum of the values plus their distance.
+    Each cell holds its score, its matches and where it started in one number, which gains
+    and gaps move together, so two rows are all that is kept. Rows are computed whole: a gap
+    along a row costs the same per word, so the best value carried from the left is a running
+    maximum of the values plus their distance.
     """
     width = len(passage)
-    above = np.zeros(width + 1, dtype=np.int64)
-    rows = [above]
-    slope = np.arange(width + 1) * -GAP
+    fresh = np.arange(width + 1, dtype=np.int64)  # score 0, started here
+    slope = fresh * -GAP << SCORE_BIT
+    match, gap = (MATCH << SCORE_BIT) + (1 << MATCH_BIT), GAP * (1 << SCORE_BIT)
+    above, best, end = fresh, 0, 0
     for word in item:
-        here = np.zeros(width + 1, dtype=np.int64)
-        gain = np.where((passage == word) & (word >= 0), MATCH, MISMATCH)
-        here[1:] = np.maximum(0, np.maximum(above[:-1] + gain, above[1:] + GAP))
-        here = np.maximum(here, np.maximum.accumulate(here + slope) - slope)
-        rows.append(here)
+        gain = np.where((passage == word) & (word >= 0), match, MISMATCH * (1 << SCORE_BIT))
+        here = np.maximum(fresh, above + gap)
+        here[1:] = np.maximum(here[1:], above[:-1] + gain)
+        here = np.maximum.accumulate(here + slope) - slope
+        here = np.where(here >> SCORE_BIT > 0, here, fresh)
+        top = int(here.argmax())
+        if here[top] >> SCORE_BIT > best >> SCORE_BIT:
+            best, end = int(here[top]), top
         above = here
-    table = np.array(rows)
-    i, j = np.unravel_index(int(table.argmax()), table.shape)
-    score, end, matches = int(table[i, j]), int(j), 0
-    while table[i, j] > 0:
-        same = i and j and item[i - 1] == passage[j - 1] and item[i - 1] >= 0
-        if i and j and table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            matches += bool(same)
-            i, j = i - 1, j - 1
-        elif i and table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, matches, int(j), end
+    if not best:
+        return 0, 0, 0, 0
+    low = best & (1 << SCORE_BIT) - 1
+    return best >> SCORE_BIT, low >> MATCH_BIT, low & (1 << MATCH_BIT) - 1, end
 
 
 def passages(hits, item_words, doc_words):
@@ -157,26 +201,43 @@ def best_passage(item, known, hits, block=4096):
     return best
 
 
-def gram_counts(docs, items):
-    """Documents per n-gram of the items, over all documents; as many entries as the items
-    have n-grams. Each task adds up its own documents first."""
+WORDS = "gram long, documents long, row long, check long, doc_id long, words array<int>"
+
+
+def read_once(docs, items, least):
+    """(documents per n-gram of the items over all documents, rows of the documents that have
+    words enough of an item: row, check, doc_id and words, their numbers). As many n-grams as
+    the items have; each task adds up its own documents first."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         import pyarrow as pa
 
         known = shared.value
+        names = [field.split()[0] for field in WORDS.split(", ")]
         counts = np.zeros(len(known.all_grams), dtype=np.int64)
         for batch in small(batches):
-            for text in batch.column(0).to_pylist():
-                found = {g for _, g in known.present(known.numbered(text), known.all_grams)}
-                counts[list(found)] += 1
+            kept, words = [], []
+            for i, text in enumerate(batch.column(3).to_pylist()):
+                numbers = known.numbered(text)
+                held = np.unique(known.found(numbers, known.all_grams)[1])
+                counts[held] += 1
+                if len(held) and known.likely(numbers, least).any():
+                    kept.append(i)
+                    words.append(numbers.astype(np.int32))
+            if kept:
+                own = [batch.column(i).take(pa.array(kept, pa.int64())) for i in range(3)]
+                none = pa.nulls(len(kept), pa.int64())
+                yield pa.record_batch([none, none, *own, pa.array(words, pa.list_(pa.int32()))], names)
         held = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(held), pa.array(counts[held])], ["gram", "documents"])
+        rest = [pa.nulls(len(held), pa.int64())] * 3 + [pa.nulls(len(held), pa.list_(pa.int32()))]
+        yield pa.record_batch([pa.array(held), pa.array(counts[held]), *rest], names)
 
-    counted = documents(docs).select("text").mapInArrow(run, "gram long, documents long")
-    rows = counted.groupBy("gram").agg(F.sum("documents").alias("documents")).collect()
-    return {int(items.all_grams[r.gram]): r.documents for r in rows}
+    texts = documents(docs).select(*row_keys(), "doc_id", "text")
+    found = stored(texts.mapInArrow(run, WORDS), "decontamination-words")
+    rows = found.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("documents").alias("documents")).collect()
+    counts = {int(items.all_grams[r.gram]): r.documents for r in rows}
+    return counts, found.where("gram IS NULL").select("row", "check", "doc_id", "words")
 
 
 def item_blocks(benchmark, n):
@@ -196,55 +257,60 @@ def item_blocks(benchmark, n):
 def contaminated(docs, benchmark, **options):
     """One row per document and test item whose alignment reaches the share `least` of a
     perfect one: doc_id, item_id, score (that share), matched (words), item_words, start_word
-    and end_word of the passage, seeds (seed hits in it).
+    and end_word of the passage, seeds (seed hits in it). Of equal alignments the one that
+    ends first in the item is reported, of these the one with the most matches.
 
     Words are runs of letters and digits, compared without case. Matches count 2, other
-    words and gaps -1. Null and empty texts and items without words give no row. Repeated
-    rows give repeated results; items with equal text are separate items. The benchmark is
-    read in blocks of at most 8 MB of text, and for each block the documents are read twice:
-    to count n-grams, then to seed and align.
+    words and gaps -1. An alignment needs one seed: two neighbouring words of the item next
+    to each other (a copy with a word put in after every single word has none). Null and
+    empty texts and items without words give no row, and so do empty tables. Repeated
+    rows give repeated results; items with equal text are separate items. Texts and items
+    may be long: an alignment keeps two rows of at most 4,100 words and three items. The
+    benchmark is read in blocks of at most 8 MB of text, and for each block the documents once.
     """
-    return keyed_hits(docs, benchmark, **options).drop("row")
+    return keyed_hits(docs, benchmark, **options).drop("row", "check")
 
 
-def keyed_hits(docs, benchmark, n=3, common=4, least=0.5):
-    """The rows of `contaminated` and `row`, the key of their document by id and text."""
+def keyed_hits(docs, benchmark, n=NUMBER, common=4, least=0.5):
+    """The rows of `contaminated` and row and check, the key of their document by id and text."""
     found = None
     for items in item_blocks(benchmark, n):
-        items.choose_seeds(gram_counts(docs, items), common)
-        part = _aligned(docs, items, least)
+        counts, texts = read_once(docs, items, least)
+        part = _aligned(texts, items.choose_seeds(counts, common), least)
         found = part if found is None else found.unionAll(part)
     if found is None:
-        return docs.sparkSession.createDataFrame([], f"row long, {HITS}")
+        return docs.sparkSession.createDataFrame([], f"row long, check long, {HITS}")
     return found
 
 
-def _aligned(docs, items, least):
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _aligned(texts, items, least):
+    shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 5]
-        names = ["row", *(field.split()[0] for field in HITS.split(", "))]
+        kinds = [pa.int64()] * 4 + [pa.float64(), *[pa.int32()] * 5]
+        names = ["row", "check", *(field.split()[0] for field in HITS.split(", "))]
         for batch in small(batches):
             rows = []
-            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += [(row, doc_id, *hit) for hit in item_hits(shared.value, text, least)]
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for (row, check, doc_id), words in zip(keys, batch.column(3)):
+                known = words.values.to_numpy().astype(np.int64)
+                rows += [(row, check, doc_id, *hit) for hit in known_hits(shared.value, known, least)]
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    texts = documents(docs).select(row_key().alias("row"), "doc_id", "text")
-    return texts.mapInArrow(run, f"row long, {HITS}")
+    return texts.mapInArrow(run, f"row long, check long, {HITS}")
 
 
 def item_hits(items, text, least):
     """(item_id, score, matched, item_words, start, end, seeds) of the items that a text holds."""
-    known = items.numbered(text)
-    by_item = {}
-    for at, seed in items.present(known, items.seeds):
-        for number, place in items.places[seed]:
-            by_item.setdefault(number, []).append((at, place))
+    return known_hits(items, items.numbered(text), least)
+
+
+def known_hits(items, known, least):
+    """The same for a text given as word numbers."""
+    by_item = items.hits(known, items.likely(known, least))
     for number in sorted(by_item):
         item_id, item = items.items[number]
         common = [h for h in by_item[number] if (number, h[1]) in items.second]
@@ -260,8 +326,17 @@ def item_hits(items, text, least):
 
 def enough_hits(hits, item, known, least):
     """The hits around which a document has words enough in common with the item to reach the
-    share `least`: an alignment needs that share of the item's words at least."""
+    share `least`. The words of the item are counted around each hit first, then with their
+    number in the item in the stretches that remain."""
+    if not hits:
+        return []
     reach = len(item) // 2 + 2
+    of_item = np.append(0, np.cumsum(np.isin(known, item)))
+    at = np.array(hits, dtype=np.int64)
+    first = at[:, 0] - at[:, 1]
+    ends = [np.clip(x, 0, len(known)) for x in (first - reach, first + len(item) + reach)]
+    near = of_item[ends[1]] - of_item[ends[0]] >= least * len(item)
+    hits = [h for h, some in zip(hits, near.tolist()) if some]
     out, own = [], {w: int(n) for w, n in zip(*np.unique(item, return_counts=True))}
     for a, b, _ in passages(hits, len(item), len(known)):
         words, counts = np.unique(known[a:b], return_counts=True)
@@ -277,6 +352,10 @@ def without_contaminated(docs, benchmark, **options):
     id. Rows whose text is null go with a contaminated one of their id (or without an id)."""
     of_id = lambda doc_id: F.xxhash64(F.lit("id"), doc_id.cast("long"))
     hits = keyed_hits(docs, benchmark, **options)
-    hits = hits.select(F.explode(F.array("row", of_id(F.col("doc_id")))).alias("hit")).distinct()
-    own = F.when(F.col("_doc.text").isNull(), of_id(F.col("_doc.doc_id"))).otherwise(F.col("_row"))
-    return keyed(docs).join(hits, own == F.col("hit"), "left_anti").select("_doc.*")
+    same = F.struct(F.col("row").alias("hit"), F.col("check").alias("hit_check"))
+    id_alone = F.struct(of_id(F.col("doc_id")).alias("hit"), F.lit(0).cast("long").alias("hit_check"))
+    hits = hits.select(F.inline(F.array(same, id_alone))).distinct()
+    null = F.col("_doc.text").isNull()
+    own = F.when(null, of_id(F.col("_doc.doc_id"))).otherwise(F.col("_row"))
+    check = F.when(null, 0).otherwise(F.col("_check"))
+    return keyed(docs).join(hits, (own == F.col("hit")) & (check == F.col("hit_check")), "left_anti").select("_doc.*")

@@ -8,11 +8,15 @@ from marketpulse.llm.common import (
 
 
 def keyed(docs):
-    """`_doc`, the whole row, and `_row`, its key by id and text (null text: empty). In a
-    struct no column of the input can clash with those that an operator adds."""
+    """`_doc`, the whole row, and `_row` and `_check`, its key by id and text (null text:
+    empty), 128 bits in two columns. In a struct no column of the input can clash with those
+    that an operator adds."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    row = F.xxhash64(F.col("doc_id").cast("long"), text)
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), row.alias("_row"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+        F.xxhash64(doc_id, text).alias("_row"), F.xxhash64(F.lit(1), text, doc_id).alias("_check"),
+    )
 
 
 def filter_of(rows, label):

@@ -1,6 +1,7 @@
 """License scan, toxicity and decontamination."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -329,3 +330,48 @@ def test_popular_edited_copies_beside_an_exact_one(exact):
     whole = [local_alignment(number(" ".join(item)), number(t))[0] >= MATCH * 40 * 0.5 for t in texts]
     assert [bool(list(item_hits(items, t, 0.5))) for t in texts] == whole
     assert sum(whole) == 100 + exact
+
+
+@pytest.mark.parametrize("step", [2, 3, 4, 5])
+@pytest.mark.parametrize("kind", ["changed", "left out", "put in"])
+def test_regular_edits_against_full_alignment(step, kind):
+    """Every n-th word changed, left out or with another word behind it."""
+    items_of, texts = [], []
+    for size in (7, 12, 40):
+        item = [f"i{size}x{k}" if k % 3 else "the" for k in range(size)]
+        items_of.append((size, " ".join(item)))
+        for phase in range(step):
+            edited = []
+            for k, word in enumerate(item):
+                if k % step == phase:
+                    edited += {"changed": ["odd"], "left out": [], "put in": [word, "odd"]}[kind]
+                else:
+                    edited.append(word)
+            texts.append(" ".join(["before the"] + edited + ["the after"]))
+    texts += ["the the the the the", "nothing"]
+    items = Items(items_of)
+    counts = Counter(g for t in texts for g in {g for _, g in items.present(items.numbered(t), items.all_grams)})
+    items.choose_seeds({int(items.all_grams[g]): n for g, n in counts.items()})
+    found = {(t, hit[0]) for t, text in enumerate(texts) for hit in item_hits(items, text, 0.5)}
+    whole = {
+        (t, size) for t, text in enumerate(texts) for size, item in items_of
+        if local_alignment(items.numbered(item), items.numbered(text))[0] >= MATCH * size * 0.5
+    }
+    assert found == whole
+    assert whole or (kind, step) == ("changed", 2)
+
+
+def test_memory_of_a_long_item():
+    words = [f"w{k % 5003}" for k in range(20_000)]
+    items = Items([(1, " ".join(words))])
+    known = items.numbered(" ".join(words[:200] + ["odd"] + words[200:400]))
+    tracemalloc.start()
+    score, matches, start, end = local_alignment(items.items[0][1], known)
+    assert (score, matches, start, end) == (799, 400, 0, 401)
+    assert tracemalloc.get_traced_memory()[1] < 5_000_000
+    tracemalloc.stop()
+    passage = np.resize(known, 64_000)
+    tracemalloc.start()
+    local_alignment(items.items[0][1][:50], passage)
+    assert tracemalloc.get_traced_memory()[1] < 20_000_000  # two rows, whatever the item's length
+    tracemalloc.stop()
