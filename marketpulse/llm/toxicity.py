@@ -12,6 +12,7 @@ from array import array
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import documents, small
@@ -49,14 +50,17 @@ def severity_grades(labels):
 
 def training_sample(docs, grades, rows_per_grade=1500):
     """At most `rows_per_grade` labelled documents of each grade, the ones with the smallest
-    hashes of doc_id, as (grade, words). The bound keeps what is broadcast and what the
-    driver fits small; it is the only place where not every document is read."""
+    hashes of doc_id, as (doc_id, grade, text). Of several rows of one id the text with the
+    smallest hash is taken; each task sends one row per id. The bound keeps what is broadcast
+    and what the driver fits small; it is the only place where not every document is read."""
     by_hash = F.xxhash64("doc_id")
     picked = [
         grades.where(F.col("grade") == g).orderBy(by_hash, "doc_id").limit(rows_per_grade) for g in range(3)
     ]
     picked = picked[0].unionAll(picked[1]).unionAll(picked[2])
-    return documents(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "grade", "text")
+    rows = documents(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "grade", "text")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    return rows.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
 
 
 class OrdinalModel:
@@ -157,10 +161,11 @@ def fit_ordinal(samples, grades=3, totals=None, least_documents=3, shrink=0.5, r
     return OrdinalModel({names[i]: float(w[i]) for i in used}, cuts.tolist())
 
 
-def fit(docs, labels, rows_per_grade=1500):
+def fit(docs, labels, rows_per_grade=1500, words_per_text=20_000):
     """The model from the bounded sample: executors count the words of each sampled text, and
-    the driver fits on at most three times `rows_per_grade` of these counts. A sample weighs
-    as many documents as its grade has labels for it."""
+    the driver fits on at most three times `rows_per_grade` of these counts, each of the
+    `words_per_text` most frequent different words of a text at most. A sample weighs as many
+    documents as its grade has labels for it."""
     grades = severity_grades(labels)
     totals = {r.grade: r["count"] for r in grades.groupBy("grade").count().collect()}
     sample = training_sample(docs, grades, rows_per_grade)
@@ -171,7 +176,8 @@ def fit(docs, labels, rows_per_grade=1500):
 
         pattern = regex.compile(WORD)
         for batch in small(batches):
-            counts = [sorted(words_of(t, pattern).items()) for t in batch.column(2).to_pylist()]
+            found = (words_of(t, pattern) for t in batch.column(2).to_pylist())
+            counts = [sorted(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:words_per_text]) for c in found]
             words = pa.array([[w for w, _ in c] for c in counts], pa.list_(pa.string()))
             times = pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))
             yield pa.record_batch([batch.column(0), batch.column(1), words, times], ["doc_id", "grade", "words", "times"])
@@ -191,7 +197,8 @@ def toxicity_scores(docs, model, least=0.5):
     `severity` is the expected grade, the sum of the probabilities to be above each
     threshold; `grade` the number of thresholds that the document is above with at least
     probability `least`; `toxic` a grade of one or more. Null, empty and wordless texts have
-    score 0. Every input row gives one row, repeated rows too.
+    score 0. Every input row gives one row, repeated rows too, and equal texts equal scores;
+    an empty table gives none. Whole texts count, one at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -221,7 +228,8 @@ def toxic_documents(docs, labels, rows_per_grade=1500):
 
 def without_toxic(docs, model, least=0.5):
     """The rows of `docs` that are not toxic, all columns. The verdict is a column function
-    of the text alone, so rows are neither joined nor shuffled."""
+    of the whole text alone, so rows are neither joined nor shuffled, equal texts go or stay
+    together, null and empty texts have score 0, and an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
