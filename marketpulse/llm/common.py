@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketpulse.workspace import scratch_dir
 
 DOC_COLUMNS = ("doc_id", "text")
+KEY = ["row", "check"]  # the columns of `row_keys`
 BITMAP_BITS = 8 * 4096  # bits that one bitmap row of Spark's bitmap functions holds
 MAX_FILTER_BITS = 1 << 30  # 128 MB: the largest filter that is ever broadcast
 
@@ -38,15 +39,10 @@ def documents(docs, *extra):
     )
 
 
-def row_key():
-    """Identifies a row by id and text: rows alike in both are one row to the operators that
-    join back, and rows that share only the id stay apart."""
-    return F.xxhash64("doc_id", "text")
-
-
 def row_keys():
-    """The same key with 128 bits, as two columns `row` and `check`."""
-    return [row_key().alias("row"), F.xxhash64(F.lit(1), "text", "doc_id").alias("check")]
+    """Identify a row by id and text, in two columns of 64 bits each: rows alike in both are one
+    row to the operators that join back, and rows that share only the id stay apart."""
+    return [F.xxhash64("doc_id", "text").alias("row"), F.xxhash64(F.lit(1), "text", "doc_id").alias("check")]
 
 
 def replace_columns(docs, *names):

@@ -14,16 +14,16 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, row_key, small, stored
+from marketpulse.llm.common import KEY, documents, row_keys, small, stored
 from marketpulse.llm.edit_distance import within
-from marketpulse.llm.rows import filter_of, keyed, mark_possible
+from marketpulse.llm.rows import filter_of, keyed, mark_possible, same_row
 
 THRESHOLD = 1  # edits; two segments
 LEAST_CHARACTERS = 20
 PAIRED = 16  # lines per segment up to which pairs are compared one by one
 LAST_ID = (1 << 63) - 1  # the place of rows without an id in the order
 
-LINES = "id long, row long, line int, high long, low long, n int, keys array<long>"
+LINES = "id long, row long, check long, line int, high long, low long, n int, keys array<long>"
 
 
 def plain(line):
@@ -72,22 +72,22 @@ def line_keys(line):
 
 
 def lines_of(docs, least, near_least):
-    """Every line of at least `least` characters: id (null ids come last), row (key of its
-    row), line (from 0), its identity, length and keys (none under `near_least` characters)."""
+    """Every line of at least `least` characters: id (null ids come last), row and check (key
+    of its row), line (from 0), its identity, length and keys (none under `near_least` characters)."""
 
     def run(batches):
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+        kinds = [*[pa.int64()] * 3, pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
         names = [field.split()[0] for field in LINES.split(", ")]
         for batch in small(batches):
             rows = []
-            for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, row, check, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for number, line in enumerate(text.split("\n")):
                     line = plain(line)
                     if len(line) >= least:
                         keys = line_keys(line) if len(line) >= near_least else []
-                        rows.append((doc_id, row, number, *identity(line), len(line), keys))
+                        rows.append((doc_id, row, check, number, *identity(line), len(line), keys))
                 if len(rows) >= 50_000:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -95,14 +95,12 @@ def lines_of(docs, least, near_least):
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     order = F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).alias("doc_id")
-    return documents(docs).select("doc_id", row_key().alias("row"), "text").select(
-        order, "row", "text"
-    ).mapInArrow(run, LINES)
+    return documents(docs).select("doc_id", *row_keys(), "text").select(order, *KEY, "text").mapInArrow(run, LINES)
 
 
 def distinct_lines(lines):
     """One row per text of a line: its first place (the smallest id, row and line) and keys."""
-    first = F.min(F.struct("id", "row", "line")).alias("first")
+    first = F.min(F.struct("id", *KEY, "line")).alias("first")
     return lines.groupBy("high", "low").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys"))
 
 
@@ -135,11 +133,12 @@ def met(keys, label):
 
 def line_texts(docs, wanted):
     """high, low and text of the lines that stand first at the places in `wanted`."""
-    places = wanted.groupBy("first.row").agg(F.collect_list(F.struct("first.line", "high", "low")).alias("places"))
+    places = wanted.groupBy("first.row", "first.check").agg(F.collect_list(F.struct("first.line", "high", "low")).alias("places"))
     places = stored(places, "lines-places")
     bitmaps, bits = filter_of(places.select("row"), "lines-filter")
     rows = mark_possible(keyed(docs.select("doc_id", "text")), F.col("_row"), bitmaps, bits, "_possible")
-    found = rows.where("_possible").join(places, F.col("_row") == F.col("row"))
+    # One row per key leaves each task, however often a row is repeated.
+    found = rows.where("_possible").dropDuplicates(["_row", "_check"]).join(places, same_row())
 
     def run(batches):
         import pyarrow as pa
@@ -155,7 +154,7 @@ def line_texts(docs, wanted):
             columns = [pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(texts, pa.string())]
             yield pa.record_batch(columns, ["high", "low", "line_text"])
 
-    one = found.dropDuplicates(["_row"]).select("_doc.text", "places")
+    one = found.select("_doc.text", "places")
     return stored(one.mapInArrow(run, "high long, low long, line_text string"), "lines-texts")
 
 
@@ -221,7 +220,7 @@ def narrowed(rows, texts):
             names = ["high", "low", "first", "role", "key", "start", "stop"]
             yield pa.record_batch([*kept, *new], names)
 
-    first = "first struct<id:long,row:long,line:int>"
+    first = "first struct<id:long,row:long,check:long,line:int>"
     return crowd.mapInArrow(run, f"high long, low long, {first}, role int, key long, start int, stop int")
 
 
@@ -242,7 +241,7 @@ def near_links(docs, lines):
 
 
 def dropped_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
-    """row, repeated and near: the numbers of the lines that go, per row of `docs` that loses
+    """row, check, repeated and near: the numbers of the lines that go, per row of `docs` that loses
     any. A line that both repeats and resembles an earlier one counts as repeated."""
     lines = stored(lines_of(docs, least, near_least), "lines")
     distinct = stored(distinct_lines(lines), "lines-distinct")
@@ -254,20 +253,21 @@ def dropped_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
         judged.join(often.withColumn("often", F.lit(True)), ["high", "low"], "left")
         .where("often OR earlier IS NOT NULL"), "lines-judged",
     )
-    places = lines.select("high", "low", "row", "line", F.struct("id", "row", "line").alias("place"))
+    places = lines.select("high", "low", *KEY, "line", F.struct("id", *KEY, "line").alias("place"))
     places = places.join(judged, ["high", "low"]).withColumn("repeats", F.col("place") != F.col("first"))
     places = places.where("repeats OR earlier IS NOT NULL")
     return stored(
-        places.groupBy("row").agg(
+        places.groupBy(*KEY).agg(
             F.collect_set(F.when(F.col("repeats"), F.col("line"))).alias("repeated"),
             F.collect_set(F.when(~F.col("repeats"), F.col("line"))).alias("near"),
         ), "lines-dropped",
     )
 
 
-def dedup_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
+def dedup_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS, counts=True):
     """`docs` with repeated and near-repeated lines taken out of `text`, all other columns
-    included, and n_repeated and n_near, the numbers of lines that went.
+    included, and n_repeated and n_near, the numbers of lines that went (none with `counts`
+    false, when columns of these names stay as they are).
 
     Lines are what line feeds separate; they are compared with runs of white space as one
     space, and only lines of at least `least` characters are (1: all but blank ones). Of equal
@@ -278,14 +278,16 @@ def dedup_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
     alike in id and text are one row in the order and keep the same lines. `n_chars`, where
     there is such a column, becomes the length of the new text.
 
-    Rows that lose no line are not shuffled.
+    Rows that lose no line are not shuffled. Lines of any length are compared whole. An empty
+    table stays empty.
     """
     dropped = dropped_lines(docs, least, near_least)
     bitmaps, bits = filter_of(dropped.select("row"), "lines-rows")
-    docs = docs.drop("n_repeated", "n_near")
+    if counts:
+        docs = docs.drop("n_repeated", "n_near")
     marked = mark_possible(keyed(docs), F.col("_row"), bitmaps, bits, "_possible")
-    zero = F.lit(0).cast("long")
-    clear = marked.where(~F.col("_possible")).select("_doc.*", zero.alias("n_repeated"), zero.alias("n_near"))
+    names, zero = ("repeated", "near") if counts else (), F.lit(0).cast("long")
+    clear = marked.where(~F.col("_possible")).select("_doc.*", *(zero.alias(f"n_{c}") for c in names))
 
     @F.arrow_udf("string")
     def without(texts, repeated, near):
@@ -300,11 +302,11 @@ def dedup_lines(docs, least=LEAST_CHARACTERS, near_least=LEAST_CHARACTERS):
 
         return pa.array([rest(*x) for x in zip(texts, repeated, near)], pa.string())
 
-    judged = marked.where("_possible").join(dropped, F.col("_row") == F.col("row"), "left")
+    judged = marked.where("_possible").join(dropped, same_row(), "left")
     judged = judged.withColumn("left", without(F.col("_doc.text").cast("string"), "repeated", "near"))
     values = {c: F.col(f"_doc.`{c}`") for c in docs.columns} | {"text": F.col("left")}
     if "n_chars" in values:
         length = F.char_length("left").cast(docs.schema["n_chars"].dataType)
         values["n_chars"] = F.when(F.col("row").isNotNull(), length).otherwise(values["n_chars"])
-    counts = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(f"n_{c}") for c in ("repeated", "near")]
-    return clear.unionAll(judged.select(*(value.alias(c) for c, value in values.items()), *counts))
+    sizes = [F.coalesce(F.size(c), F.lit(0)).cast("long").alias(f"n_{c}") for c in names]
+    return clear.unionAll(judged.select(*(value.alias(c) for c, value in values.items()), *sizes))

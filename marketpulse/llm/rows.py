@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import (
-    bitmap_of, cells, filter_bits, mark_possible, stored,
+    KEY, bitmap_of, cells, filter_bits, mark_possible, stored,
 )
 
 
@@ -19,6 +19,11 @@ def keyed(docs):
     )
 
 
+def same_row():
+    """The condition that joins rows of `keyed` with a table that has `row_keys`."""
+    return (F.col("_row") == F.col("row")) & (F.col("_check") == F.col("check"))
+
+
 def filter_of(rows, label):
     """(bitmaps, bits) of a Bloom filter over the one column of `rows`, a stored table."""
     bits = filter_bits(rows.count())
@@ -29,11 +34,12 @@ def filter_of(rows, label):
 
 def without_rows(docs, dropped, repeated):
     """`docs` without the rows whose key is in `dropped`, and with only one of the rows that
-    share a key in `repeated`. Rows that a Bloom filter of both clears are not shuffled."""
+    share a key in `repeated` (both have row and check). Rows that a Bloom filter of both clears are not shuffled."""
     dropped = stored(dropped, "rows-dropped")
     touched = stored(dropped.unionAll(repeated), "rows-touched")
-    bitmaps, bits = filter_of(touched, "rows-filter")
+    bitmaps, bits = filter_of(touched.select("row"), "rows-filter")
     marked = mark_possible(keyed(docs), F.col("_row"), bitmaps, bits, "_possible")
     clear = marked.where(~F.col("_possible"))
-    judged = marked.where("_possible").join(dropped, F.col("_row") == F.col("row"), "left_anti")
-    return clear.unionAll(judged.dropDuplicates(["_row"])).select("_doc.*")
+    # One row per key leaves each task, however often a row is repeated.
+    judged = marked.where("_possible").dropDuplicates(["_row", "_check"])
+    return clear.unionAll(judged.join(dropped, same_row(), "left_anti")).select("_doc.*")

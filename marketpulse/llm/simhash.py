@@ -8,7 +8,7 @@ from itertools import accumulate
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, row_key, small, stored
+from marketpulse.llm.common import KEY, documents, row_keys, small, stored
 from marketpulse.llm.components import connected
 from marketpulse.llm.golay import DATA, near_indices
 from marketpulse.llm.rows import without_rows
@@ -40,18 +40,18 @@ def fingerprint(text, width=3, block=8192):
 
 
 def fingerprints(docs, width=3):
-    """doc_id, row (key of the row) and fp, the fingerprint as a signed long."""
+    """doc_id, row and check (key of the row) and fp, the fingerprint as a signed long."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in small(batches):
-            prints = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], dtype=np.uint64)
-            columns = [batch.column(0), batch.column(1), pa.array(prints.view(np.int64))]
-            yield pa.record_batch(columns, ["doc_id", "row", "fp"])
+            prints = np.array([fingerprint(t, width) for t in batch.column(3).to_pylist()], dtype=np.uint64)
+            columns = [*batch.columns[:3], pa.array(prints.view(np.int64))]
+            yield pa.record_batch(columns, ["doc_id", *KEY, "fp"])
 
-    picked = documents(docs).select("doc_id", row_key().alias("row"), "text")
-    return picked.mapInArrow(run, "doc_id long, row long, fp long")
+    picked = documents(docs).select("doc_id", *row_keys(), "text")
+    return picked.mapInArrow(run, "doc_id long, row long, check long, fp long")
 
 
 def search_keys(prints):
@@ -102,7 +102,7 @@ def links_between(prints):
 
 
 def classes(docs, width=3):
-    """doc_id, row, fp and component_id of every row, from stored tables."""
+    """doc_id, row, check, fp and component_id of every row, from stored tables."""
     prints = stored(fingerprints(docs, width), "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     roots = stored(connected(links_between(nodes)), "simhash-roots")
@@ -113,7 +113,7 @@ def classes(docs, width=3):
         nodes.join(labels, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")),
         "simhash-members",
     )
-    return prints.join(members, "fp").select("doc_id", "row", "fp", "component_id")
+    return prints.join(members, "fp").select("doc_id", *KEY, "fp", "component_id")
 
 
 def near_duplicates(docs, width=3):
@@ -123,7 +123,8 @@ def near_duplicates(docs, width=3):
     words joined by spaces, repeats included; a shorter text is one shingle, a text without
     words (null, empty, blank) has the fingerprint zero and is linked like any other.
     `component_id` is the smallest doc_id that links lead to, null if none of them has an id.
-    Repeated rows give repeated results. An empty table gives no rows.
+    Repeated rows give repeated results, whole texts of any length one
+    fingerprint. An empty table gives no rows.
     """
     return classes(docs, width).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -135,6 +136,6 @@ def near_dedup(docs, width=3):
     doc_id, all columns included. Rows without an id go if their group has an id, and stay
     otherwise. Of rows alike in id and text one stays."""
     found = stored(classes(docs, width), "simhash-classes")
-    dropped = found.where(~F.equal_null("doc_id", "component_id")).select("row").distinct()
-    repeated = found.groupBy("row").count().where("count > 1").select("row")
+    dropped = found.where(~F.equal_null("doc_id", "component_id")).select(*KEY).distinct()
+    repeated = found.groupBy(*KEY).count().where("count > 1").select(*KEY)
     return without_rows(docs, dropped, repeated)

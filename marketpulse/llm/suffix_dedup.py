@@ -20,8 +20,8 @@ cross the corpus, each only over what the one before left undecided:
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import documents, mark_possible, row_key, small, stored
-from marketpulse.llm.rows import filter_of, keyed
+from marketpulse.llm.common import KEY, documents, mark_possible, row_keys, small, stored
+from marketpulse.llm.rows import filter_of, keyed, same_row
 
 LENGTH, GRAM = 200, 64  # bytes of a repeated string, and of an anchor
 WINDOW = LENGTH - GRAM + 1  # anchors to choose from
@@ -113,19 +113,20 @@ def chunks(rows):
         yield chunk()
 
 
-ANCHORS = "gram long, around long, row long, low int, span short, place short"
+ANCHORS = "gram long, around long, row long, check long, low int, span short, place short"
 
 
 def sampled_buckets(docs):
-    """gram (bucket of depth 64), around, row (key of the row), low (first start), span (last
-    start less the first) and place (the anchor less the first start) of every anchor."""
+    """gram (bucket of depth 64), around, row and check (key of the row), low (first start), span
+    (last start less the first) and place (the anchor less the first start) of every anchor."""
 
     def run(batches):
         import pyarrow as pa
 
         names = [field.split()[0] for field in ANCHORS.split(", ")]
         for batch in small(batches):
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            rows = enumerate(batch.column(2).to_pylist())
             for raw, ends, owners, offsets in chunks((r, t) for r, t in rows if len(t) >= LENGTH):
                 found = anchors(raw, ends)
                 if found is None:
@@ -133,23 +134,25 @@ def sampled_buckets(docs):
                 anchor, gram, low, high, around = found
                 part = np.searchsorted(ends, low, side="right")
                 begins = np.append(0, ends[:-1]) - np.array(offsets)
+                owner = np.array(owners, dtype=np.int64)[part]
                 columns = [
                     pa.array(gram.view(np.int64)), pa.array(around.view(np.int64)),
-                    pa.array(np.array(owners, dtype=np.int64)[part]),
+                    *(pa.array(key[owner]) for key in keys),
                     pa.array((low - begins[part]).astype(np.int32)), pa.array((high - low).astype(np.int16)),
                     pa.array((anchor - low).astype(np.int16)),
                 ]
                 yield pa.record_batch(columns, names)
 
-    texts = documents(docs).select(row_key().alias("row"), F.col("text").cast("binary").alias("text"))
+    texts = documents(docs).select(*row_keys(), F.col("text").cast("binary").alias("text"))
     return texts.mapInArrow(run, ANCHORS)
 
 
 def suspects(docs, rows, label):
-    """The documents with `_row` and `_possible`, false where a Bloom filter of `rows` clears one."""
+    """The documents with their key and `_possible`, false where a Bloom filter of the column
+    `row` clears one."""
     bitmaps, bits = filter_of(rows, label)
     marked = mark_possible(keyed(documents(docs)), F.col("_row"), bitmaps, bits, "_possible")
-    return marked.select("_doc.*", "_row", "_possible")
+    return marked.select("_doc.*", "_row", "_check", "_possible")
 
 
 def list_column(column, *fields):
@@ -175,27 +178,28 @@ def start_groups(low, span, place):
     return owner, first, np.minimum(common, (low + span)[owner]) + 1, common
 
 
-DEEP = "gram long, core long, row long, start int, alone boolean, deep array<long>"
+DEEP = "gram long, core long, row long, check long, start int, alone boolean, deep array<long>"
 
 
 def deep_buckets(docs, undecided):
-    """For each group of starts of the anchors in `undecided` (row, gram, low, span, place,
-    alone): gram, core (bucket of the common bytes), row, start, alone and deep, the buckets
-    of depth 200 of its starts."""
+    """For each group of starts of the anchors in `undecided` (row, check, gram, low, span,
+    place, alone): gram, core (bucket of the common bytes), row, check, start, alone and deep,
+    the buckets of depth 200 of its starts."""
     anchor = F.struct("gram", "low", "span", "place", "alone")
-    wanted = stored(undecided.groupBy("row").agg(F.collect_list(anchor).alias("wanted")), "suffix-wanted")
+    wanted = stored(undecided.groupBy(*KEY).agg(F.collect_list(anchor).alias("wanted")), "suffix-wanted")
     texts = suspects(docs, wanted.select("row"), "suffix-filter").where("_possible")
     # Rows alike in id and text may each give the same groups: they are not `alone`, and what
     # others have in common with them repeats however often they come.
-    texts = texts.join(wanted, F.col("_row") == F.col("row"))
+    texts = texts.join(wanted, same_row())
 
     def run(batches):
         import pyarrow as pa
 
         names = [field.split()[0] for field in DEEP.split(", ")]
         for batch in small(batches):
-            bounds, anchors_of = list_column(batch.column(2), "low", "span", "place", "gram", "alone")
-            for i, (row, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+            bounds, anchors_of = list_column(batch.column(3), "low", "span", "place", "gram", "alone")
+            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            for i, text in enumerate(batch.column(2)):
                 raw = np.frombuffer(text.as_buffer(), dtype=np.uint8)
                 found = [field[bounds[i]:bounds[i + 1]] for field in anchors_of]
                 order = np.argsort(found[0], kind="stable")
@@ -216,14 +220,14 @@ def deep_buckets(docs, undecided):
                     columns = [
                         pa.array(gram[some][owner]),
                         pa.array(at_depth(ids, common - base, LENGTH - GROUP + 1).view(np.int64)),
-                        pa.array(np.full(len(owner), row, dtype=np.int64)),
+                        *(pa.array(np.full(len(owner), key[i])) for key in keys),
                         pa.array(first.astype(np.int32)),
                         pa.array(alone[some][owner]),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), deep),
                     ]
                     yield pa.record_batch(columns, names)
 
-    return texts.select("row", "text", "wanted").mapInArrow(run, DEEP)
+    return texts.select(*KEY, "text", "wanted").mapInArrow(run, DEEP)
 
 
 def repeated_only(rows, *key, label):
@@ -236,7 +240,7 @@ def repeated_only(rows, *key, label):
 
 
 def single_starts(groups):
-    """row, low and high of the single anchors' starts whose string of 200 bytes repeats."""
+    """row, check, low and high of the single anchors' starts whose string of 200 bytes repeats."""
     groups = stored(groups, "suffix-groups")
     common = repeated_only(groups, "gram", "core", label="suffix-core")
     common = stored(common.withColumn("whole", F.xxhash64("deep")), "suffix-common")
@@ -245,34 +249,34 @@ def single_starts(groups):
     kinds = stored(
         common.groupBy(*key).agg(
             F.count(F.lit(1)).alias("rows"),
-            *(F.first(c).alias(c) for c in ("deep", "row", "start", "alone")),
+            *(F.first(c).alias(c) for c in ("deep", *KEY, "start", "alone")),
         ), "suffix-kinds",
     )
     agreed = common.where("alone").join(kinds.where("rows > 1").select(*key), key)
-    agreed = agreed.select("row", F.col("start").alias("low"), (F.col("start") + F.size("deep") - 1).alias("high"))
+    agreed = agreed.select(*KEY, F.col("start").alias("low"), (F.col("start") + F.size("deep") - 1).alias("high"))
 
     open_cores = stored(kinds.groupBy("gram", "core").count().where("count > 1").select("gram", "core"), "suffix-open")
     open_kinds = kinds.join(open_cores, ["gram", "core"]).withColumn("alone", F.col("alone") & (F.col("rows") == 1))
-    deep = open_kinds.select("gram", "row", "start", "alone", F.posexplode("deep").alias("step", "deep"))
-    deep = deep.select("gram", "deep", "row", (F.col("start") + F.col("step")).alias("start"), "alone")
+    deep = open_kinds.select("gram", *KEY, "start", "alone", F.posexplode("deep").alias("step", "deep"))
+    deep = deep.select("gram", "deep", *KEY, (F.col("start") + F.col("step")).alias("start"), "alone")
     deep = stored(deep, "suffix-deep")
     twice = stored(deep.groupBy("gram", "deep").count().where("count > 1").select("gram", "deep"), "suffix-twice")
     single = deep.where("alone").join(twice, ["gram", "deep"])
-    return agreed.unionAll(single.select("row", F.col("start").alias("low"), F.col("start").alias("high")))
+    return agreed.unionAll(single.select(*KEY, F.col("start").alias("low"), F.col("start").alias("high")))
 
 
 def repeated_starts(docs):
-    """row, low and high: ranges of starts at which a string of 200 bytes begins that also
+    """row, check, low and high: ranges of starts at which a string of 200 bytes begins that also
     begins somewhere else."""
     sampled = stored(sampled_buckets(docs), "suffix-anchors")
     shared = stored(repeated_only(sampled, "gram", label="suffix-gram"), "suffix-shared")
 
-    one = F.min(F.struct("row", "low", "span", "place")).alias("one")
+    one = F.min(F.struct(*KEY, "low", "span", "place")).alias("one")
     around = stored(
         shared.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("rows"), one), "suffix-around"
     )
     same = shared.join(around.where("rows > 1").select("gram", "around"), ["gram", "around"])
-    whole = same.select("row", "low", (F.col("low") + F.col("span")).alias("high"))
+    whole = same.select(*KEY, "low", (F.col("low") + F.col("span")).alias("high"))
 
     mixed_grams = stored(around.groupBy("gram").count().where("count > 1").select("gram"), "suffix-mixed")
     undecided = around.join(mixed_grams, "gram").select("gram", "one.*", (F.col("rows") == 1).alias("alone"))
@@ -291,7 +295,7 @@ def remove_repeats(docs):
     # Rows alike in id and text share a key: as a set their ranges are no more than one text has.
     starts = repeated_starts(docs)
     ranges = stored(
-        starts.groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("ranges")), "suffix-ranges"
+        starts.groupBy(*KEY).agg(F.collect_set(F.struct("low", "high")).alias("ranges")), "suffix-ranges"
     )
     marked = suspects(docs, ranges.select("row"), "suffix-rows")
     spans = "array<struct<start:int,stop:int>>"
@@ -300,7 +304,7 @@ def remove_repeats(docs):
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
         F.array().cast(spans).alias("spans"), raw.alias("kept"),
     )
-    touched = marked.where("_possible").join(ranges, F.col("_row") == F.col("row"), "left")
+    touched = marked.where("_possible").join(ranges, same_row(), "left")
 
     def run(batches):
         import pyarrow as pa
