@@ -22,7 +22,7 @@ def toxicity(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """All documents, without lines that repeat or nearly repeat an earlier one."""
-    return dedup_lines(docs, least=1).select(docs.columns)
+    return dedup_lines(docs, least=1, counts=False)
 
 
 def simhash_near_dedup(spark, docs, sf_dir):
