@@ -38,6 +38,36 @@ class WordNumbers(dict):
         return -1
 
 
+def spread(bounds, keys):
+    """The places of all entries of some keys, whose entries stand from bounds[key] to
+    bounds[key + 1], and for each entry which of the keys it belongs to."""
+    low = bounds[keys]
+    sizes = bounds[keys + 1] - low
+    which = np.repeat(np.arange(len(keys)), sizes)
+    return which, np.arange(len(which)) + (low - np.cumsum(sizes) + sizes)[which]
+
+
+def best_stretches(words, bounds, items, count):
+    """For each of `count` items the most that a stretch of a text gains, MATCH for a word that
+    the item has and GAP for any other. The items of each word stand from bounds[word] to
+    bounds[word + 1].
+
+    Only the places of an item's words matter: from the i-th to the j-th of them a stretch
+    gains what each adds over a gap, and loses a gap per word.
+    """
+    at, entry = spread(bounds, words)
+    item = items[entry]
+    small_numbers = item.astype(np.int16) if count < 1 << 15 else item  # sorted by digits
+    order = np.argsort(small_numbers, kind="stable")
+    item, at = item[order], at[order]
+    first = np.searchsorted(item, np.arange(count))
+    nth = np.arange(len(item)) - first[item]
+    gained = (MATCH - GAP) * nth + GAP * at  # up to here, without this word
+    apart = item * ((MATCH - 2 * GAP) * (len(words) + 1))  # keeps one item's values below the next one's
+    lowest = np.maximum.accumulate(apart - gained) - apart
+    return np.maximum.reduceat(gained + MATCH + lowest, first)
+
+
 class Items:
     """The words of some test items, numbered, and the n-grams that point back to the items."""
 
@@ -50,6 +80,12 @@ class Items:
         grams = [self.grams(known) for _, known in self.items.values()]
         self.all_grams = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *grams]))
         self.seeds = None
+        # The items of each n-gram, as pairs in the order of `all_grams`.
+        held = [np.unique(np.searchsorted(self.all_grams, own)) for own in grams]
+        pairs = np.concatenate([np.zeros(0, np.int64), *held])
+        owner = np.repeat(np.arange(len(held)), [len(own) for own in held])
+        self.holder = owner[np.argsort(pairs, kind="stable")]
+        self.held = np.searchsorted(np.sort(pairs), np.arange(len(self.all_grams) + 1))
         # The items of each word, with how often they have it.
         held = [np.unique(known, return_counts=True) for _, known in self.items.values()]
         words, times = (np.concatenate([np.zeros(0, np.int64), *(h[i] for h in held)]) for i in (0, 1))
@@ -59,15 +95,31 @@ class Items:
         self.bounds = np.searchsorted(words[order], np.arange(len(self.words) + 1))
         self.lengths = np.array([len(known) for _, known in self.items.values()], dtype=np.int64)
 
-    def likely(self, known, least):
-        """Whether a text has words enough of each item, in any order, to reach the share
-        `least`: an alignment needs that share of the item's words at least."""
-        words, counts = np.unique(known[known >= 0], return_counts=True)
-        sizes = self.bounds[words + 1] - self.bounds[words]
-        place = np.repeat(self.bounds[words] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        shared = np.minimum(np.repeat(counts, sizes), self.times[place])
-        matched = np.bincount(self.owner[place], weights=shared, minlength=len(self.lengths))
-        return (matched >= least * self.lengths) & (self.lengths > 0)
+    def likely(self, known, least, grams=None):
+        """Whether a text may hold each item with the share `least`, whatever the order of the
+        words. It must have one of the item's n-grams (`grams`: the numbers of those it has). An alignment has at least that share of the item's words; and each word of its
+        passage gains MATCH if the item has it and else costs as much as a gap, so no
+        alignment scores more than the stretch of the text that gains most."""
+        words, place, counts = np.unique(known, return_inverse=True, return_counts=True)
+        own = np.flatnonzero(words >= 0)
+        which, at = spread(self.bounds, words[own])
+        column, owner = own[which], self.owner[at]
+        matched = np.bincount(owner, weights=np.minimum(counts[column], self.times[at]), minlength=len(self.lengths))
+        possible = (matched >= least * self.lengths) & (self.lengths > 0)
+        if grams is None:
+            grams = np.unique(self.found(known, self.all_grams)[1])
+        holds = np.zeros(len(self.lengths), dtype=bool)
+        holds[self.holder[spread(self.held, grams)[1]]] = True
+        wanted = np.flatnonzero(possible & holds)
+        row = np.full(len(self.lengths), -1)
+        row[wanted] = np.arange(len(wanted))
+        row = row[owner]
+        column, row = column[row >= 0], row[row >= 0]
+        possible[:] = False
+        if len(wanted):
+            best = best_stretches(place, np.searchsorted(column, np.arange(len(words) + 1)), row, len(wanted))
+            possible[wanted] = best >= MATCH * least * self.lengths[wanted]
+        return possible
 
     def grams(self, known, size=None):
         """One number per run of `size` words (n by default, or all words if they are fewer)."""
@@ -126,10 +178,9 @@ class Items:
     def hits(self, known, likely):
         """{item number: [(place in the text, place in the item)]} of the seeds of likely items."""
         at, seed = self.found(known, self.seeds)
-        sizes = self.starts[seed + 1] - self.starts[seed]
-        place = np.repeat(self.starts[seed] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        which, place = spread(self.starts, seed)
         number, inside = self.seeded[place].T
-        at = np.repeat(at, sizes)
+        at = at[which]
         kept = np.flatnonzero(likely[number])
         order = kept[np.lexsort((inside[kept], at[kept], number[kept]))]
         out = {}
@@ -222,7 +273,7 @@ def read_once(docs, items, least):
                 numbers = known.numbered(text)
                 held = np.unique(known.found(numbers, known.all_grams)[1])
                 counts[held] += 1
-                if len(held) and known.likely(numbers, least).any():
+                if len(held) and known.likely(numbers, least, held).any():
                     kept.append(i)
                     words.append(numbers.astype(np.int32))
             if kept:
