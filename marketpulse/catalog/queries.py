@@ -506,6 +506,18 @@ def stream_silver_prices(spark, sf_dir):
     return spark.read.schema(schemas.TICKS_BY_DAY).parquet(path).drop("loaded_at", "seq", "part")
 
 
+@query
+def silver_compacted(spark, sf_dir):
+    """The ticks of a silver stream whose days are compacted after each arrival; a part of the
+    first days' messages comes at the end."""
+    def compact(path, checkpoint):
+        streaming.compact_days(spark, path, schemas.TICKS_BY_DAY, "event_date")
+
+    path = tick_arrivals(spark, sf_dir, parsed(streaming.start_silver), late=late(), after=compact)
+    table = streaming.read_compacted(spark, path, schemas.TICKS_BY_DAY, "event_date")
+    return table.drop("loaded_at")
+
+
 @query
 def stream_ohlc(spark, sf_dir):
     path = tick_arrivals(spark, sf_dir, parsed(streaming.start_bars))

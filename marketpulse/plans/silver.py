@@ -90,10 +90,11 @@ def best_stories(versions):
 
 
 def latest_articles(versions):
-    """Latest edition per url and run date, editions compared as text."""
+    """Latest edition per url and run date, editions compared as text. Bodies do not take
+    part in the order; rows alike in all else follow their hash."""
     order = [
-        F.desc_nulls_last("edition"), F.desc("fetched_at"), "load_id",
-        "title", "author", "description",
+        F.desc_nulls_last("edition"), F.desc("fetched_at"), "load_id", "title", "author",
+        F.xxhash64("description"),
     ]
     return keep_best(versions, ["run_date", "url"], order)
 

@@ -360,3 +360,44 @@ def test_state_holds_only_open_bars(spark, landing, tmp_path):
     assert ends and all(end > watermark for end in ends)
     settings = [json.loads(line) for line in open(f"{root}/checkpoints/bars/offsets/0").read().split("\n")[1:2]]
     assert "RocksDB" in settings[0]["conf"]["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_compacted_days_give_the_same_rows_from_fewer_files(spark, landing, out):
+    path, checkpoint = out("silver")
+
+    def arrive(*messages):
+        landing.add(*messages)
+        streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+        rows = streaming.read_compacted(spark, path, schemas.TICKS_BY_DAY, "event_date")
+        assert sorted(values(rows, "price")) == sorted(values(ticks_table(spark, path), "price"))
+        return rows
+
+    for n in range(4):
+        arrive(message("A", 1.0 + n, n), message("B", 10.0 + n, 86_400 + n))
+    files = lambda rows: len(set(r[0] for r in rows.select(F.input_file_name()).collect()))
+    read = lambda *days: streaming.read_compacted(spark, path, schemas.TICKS_BY_DAY, "event_date", *days)
+    assert files(read()) == 8
+    assert streaming.compact_days(spark, path, schemas.TICKS_BY_DAY, "event_date", "2026-02-20") == ["2026-02-19"]
+    assert files(read()) == 5 and read().count() == 8
+    assert streaming.compact_days(spark, path, schemas.TICKS_BY_DAY, "event_date", "2026-02-20") == []
+    rows = arrive(message("A", 99.0, 7))  # a late tick of the compacted day
+    assert rows.count() == 9 and files(read("2026-02-19", "2026-02-19")) == 2
+    assert streaming.compact_days(spark, path, schemas.TICKS_BY_DAY, "event_date") == ["2026-02-19", "2026-02-20"]
+    assert files(read()) == 2 and read().count() == 9
+    assert arrive(message("C", 5.0, 2 * 86_400)).count() == 10
+
+
+@pytest.mark.parametrize("name", ["matching", "appear", "remove"])
+def test_a_compaction_that_dies_loses_no_row(spark, landing, out, monkeypatch, name):
+    path, checkpoint = out("silver")
+    for n in range(2):
+        landing.add(message("A", 1.0 + n, n))
+        streaming.start_silver(parse_ticks(landing.stream()), path, checkpoint, every=None).awaitTermination()
+        with monkeypatch.context() as patch:
+            dying(patch, name, 1)
+            try:
+                streaming.compact_days(spark, path, schemas.TICKS_BY_DAY, "event_date")
+            except Died:
+                pass
+        rows = streaming.read_compacted(spark, path, schemas.TICKS_BY_DAY, "event_date")
+        assert values(rows, "price") == [(1.0 + k,) for k in range(n + 1)]
