@@ -361,6 +361,7 @@ ORACLE |= {
     "bars_healed": ORACLE["stream_ohlc"],
     "documents_stored": ORACLE["daily_document"],
     "silver_merged": ORACLE["silver_posts"],
+    "silver_variant": ORACLE["silver_posts"],
     "insights_caught_up": f"""SELECT * FROM ({ORACLE["daily_insights_all"]}) WHERE all_articles IS NOT NULL""",
     "silver_compacted": _with(VALID_MESSAGES, then="""SELECT symbol, price, volume, high, low, event_time,
        CAST(seq AS BIGINT) AS seq, part, CAST(event_time AS DATE) AS event_date FROM valid"""),

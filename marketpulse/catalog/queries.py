@@ -430,6 +430,14 @@ def caught_up(spark, sf_dir):
     return paths
 
 
+@query
+def silver_variant(spark, sf_dir):
+    """Silver posts from bronze records that are stored as VARIANT."""
+    where = scratch_dir(spark, "bronze-variant")
+    sinks.land_bronze(inputs.bronze_posts(spark, sf_dir), where, "run-1")
+    return plans.silver_posts(spark.read.schema(schemas.BRONZE_POSTS).parquet(where))
+
+
 @query
 def silver_merged(spark, sf_dir):
     """Silver posts merged from run to run."""

@@ -27,6 +27,15 @@ def malformed(df, text, schema, keep=()):
     )
 
 
+def record_fields(rows, text, variant, schema, keep=()):
+    """The top-level text fields of `schema`: from the VARIANT column `variant` where the rows
+    have one, so that the scan reads these fields alone, else parsed from the JSON in `text`."""
+    if variant not in rows.columns:
+        return parse_records(rows, text, schema, keep)
+    fields = [F.try_variant_get(variant, f"$.{f.name}", "string").alias(f.name) for f in schema]
+    return rows.select(*keep, *fields)
+
+
 def json_fields(text, **paths):
     """Columns read from a JSON text through VARIANT: `name=(path, type)`.
 

@@ -1,4 +1,4 @@
-"""Bronze JSON to clean posts, one row per post and run date.
+"""Bronze records, as VARIANT or as JSON text, to clean posts, one row per post and run date.
 
 The run date is the date a record was fetched for. All functions take any number of days
 at once; give them one day's scan to rebuild that day.
@@ -7,7 +7,7 @@ at once; give them one day's scan to rebuild that day.
 from pyspark.sql import functions as F
 
 from marketpulse.functions import (
-    clean_headline, epoch_to_ts, is_blank, parse_records, safe_ts,
+    clean_headline, epoch_to_ts, is_blank, record_fields, safe_ts,
 )
 from marketpulse.operators import keep_best
 from marketpulse.plans.bronze import ARTICLES, STORIES
@@ -41,7 +41,7 @@ def fetched_stories(bronze):
     """Every fetch of every story."""
     rows = bronze.where(F.col("source") == STORIES)
     return (
-        parse_records(rows, "raw_data", STORY_RECORD, _keep())
+        record_fields(rows, "raw_data", "record", STORY_RECORD, _keep())
         .select(
             F.col("id").alias("post_id"),
             F.lit(STORIES).alias("source"),
@@ -60,7 +60,7 @@ def fetched_articles(bronze):
     """Every fetch of every article; `edition` is its publication text."""
     rows = bronze.where(F.col("source") == ARTICLES)
     return (
-        parse_records(rows, "raw_data", ARTICLE_RECORD, _keep())
+        record_fields(rows, "raw_data", "record", ARTICLE_RECORD, _keep())
         .select(
             F.col("load_id").alias("post_id"),
             F.lit(ARTICLES).alias("source"),

@@ -32,14 +32,16 @@ FRAME = _schema(
 
 TICK_MESSAGE = _schema(symbol=_S, price=_S, volume=_S, high=_S, low=_S, timestamp=_S)
 
-# --- the JSON kept in bronze `raw_data`, one shape per feed
+# --- the JSON kept in bronze, one shape per feed
 STORY_RECORD = _schema(id=_S, title=_S, url=_S, score=_S, by=_S, time=_S)
 ARTICLE_RECORD = _schema(title=_S, description=_S, url=_S, source=_S, published_at=_S)
 
 # --- tables
+# `record` is the JSON of a post as VARIANT, stored in columns per field; `raw_data` the text of
+# what is not JSON, else NULL.
 BRONZE_POSTS = _schema(
-    load_id=_S, content_type=_S, raw_data=_S, fetched_at=_TS, fetch_date=_DATE, source=_S,
-    run_id=_S,
+    load_id=_S, content_type=_S, record=T.VariantType(), raw_data=_S, fetched_at=_TS,
+    fetch_date=_DATE, source=_S, run_id=_S,
 )
 TICKS = _schema(
     symbol=_S, price=_D, volume=_D, high=_D, low=_D, event_time=_TS, seq=_L, part=_I, loaded_at=_TS

@@ -1,14 +1,37 @@
 """The tables that keep what every run has landed."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from marketpulse.sinks.daily import replace_folders
 
+SHREDDING = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
+
+
+@contextmanager
+def shredded(spark):
+    """VARIANT columns are written with a parquet column for each field that many values have."""
+    before = {key: spark.conf.get(key, None) for key in SHREDDING}
+    for key in SHREDDING:
+        spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def land_bronze(rows, path, run_id):
-    """Fetched rows below fetch_date=, source= and run_id= folders. A repeat of the run
-    overwrites what it wrote before."""
-    replace_folders(rows.withColumn("run_id", F.lit(run_id)), path, "fetch_date", "source", "run_id")
+    """Fetched rows below fetch_date=, source= and run_id= folders, their JSON parsed once and
+    kept as VARIANT; text that is no JSON stays text. A repeat of the run overwrites what it
+    wrote before."""
+    record = F.try_parse_json("raw_data")
+    rows = rows.withColumns({
+        "record": record, "raw_data": F.when(record.isNull(), F.col("raw_data")), "run_id": F.lit(run_id),
+    })
+    with shredded(rows.sparkSession):
+        replace_folders(rows, path, "fetch_date", "source", "run_id")
 
 
 def land_quarantine(rows, path, run_id, day):

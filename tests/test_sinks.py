@@ -365,3 +365,16 @@ def test_a_chain_that_dies_is_caught_up(spark, tmp_path, monkeypatch):
         assert silver(spark, root) == whole(spark, root)
     report = read_days(spark, table_paths(root)["reports"], schemas.REPORTS).first().report
     assert "Top HN Story  : s7" in report
+
+
+def test_bronze_records_are_read_field_by_field(spark, tmp_path):
+    path = f"{tmp_path}/bronze"
+    rows = bronze(spark, hn(title="it's"), hn(id=2, score="n/a"), hn(id=3, score=None), news(), ("hackernews", "2026-02-19T10:00:00", "{broken"))
+    land_bronze(rows, path, "r1")
+    table = spark.read.schema(schemas.BRONZE_POSTS).parquet(path)
+    assert values(table.where("raw_data IS NOT NULL"), "load_id", "raw_data") == [("L4", "{broken")]
+    for made in (plans.silver_posts, plans.silver_stories, plans.silver_articles):
+        assert values(made(table)) == values(made(rows))
+    assert "from_json" in plan(plans.silver_stories(rows)) and "from_json" not in plan(plans.silver_posts(table))
+    read = [line for line in plan(plans.silver_stories(table)).split("\n") if "ReadSchema" in line]
+    assert all("record:struct<0:string" in line for line in read) and read
