@@ -125,7 +125,36 @@ def op5_simhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), width=3)
 
 
-@query("op10_line_dedup")
+@query("op10_line_dedup", """
+WITH each AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL)),
+plain AS (
+  SELECT doc_id, line, n, doc_id::HUGEINT * 1000000000 + n AS place, trim(regexp_replace(line,
+           '[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+',
+           ' ', 'g')) AS p
+  FROM each),
+firsts AS (SELECT p, min(place) AS place FROM plain WHERE p <> '' GROUP BY p),
+cuts AS (SELECT p, place, unnest(range(1, length(p) + 1)) AS i FROM firsts WHERE length(p) >= 20),
+-- One other character: alike but for the character at a place. One character less: equal to another line.
+changed AS (SELECT place, md5(substr(p, 1, i - 1) || chr(1) || substr(p, i + 1)) AS k FROM cuts),
+shorter AS (SELECT DISTINCT place, md5(substr(p, 1, i - 1) || substr(p, i + 1)) AS k FROM cuts),
+near AS (
+  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY k) AS m FROM changed) WHERE place > m
+  UNION
+  SELECT greatest(s.place, f.place) FROM shorter s JOIN firsts f ON md5(f.p) = s.k AND length(f.p) >= 20),
+judged AS (
+  SELECT doc_id, line, n, p <> '' AND plain.place <> firsts.place AS repeated,
+         plain.place = firsts.place AND near.place IS NOT NULL AS close
+  FROM plain LEFT JOIN firsts USING (p) LEFT JOIN near ON near.place = plain.place),
+kept AS (
+  SELECT doc_id, count(*) FILTER (repeated) AS n_repeated, count(*) FILTER (close) AS n_near,
+         greatest(count(*) FILTER (NOT (coalesce(repeated, FALSE) OR coalesce(close, FALSE))), 1) AS n_lines_left,
+         coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT (coalesce(repeated, FALSE) OR coalesce(close, FALSE))), '') AS t
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_repeated, 0) AS n_repeated, coalesce(n_near, 0) AS n_near, n_lines_left, sha256(t) AS text_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+""")
 def op10_line_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return dedup_lines(docs.select("doc_id", "text"), least=1).select(
@@ -135,7 +164,27 @@ def op10_line_dedup(spark, sf_dir):
     )
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM texts WHERE length(h) >= 400),
+strings AS (SELECT r, i, md5_number(substr(h, (2 * i + 1)::BIGINT, 400)) AS s FROM starts),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM strings) WHERE n > 1),
+marked AS (
+  SELECT r, i, sum(CASE WHEN i - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM repeated)),
+runs AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM marked GROUP BY r, run),
+pieces AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS start FROM runs),
+kept AS (
+  SELECT r, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed,
+         string_agg(substr(h, (2 * start + 1)::BIGINT, (2 * (a - start))::BIGINT), '' ORDER BY a)
+         || substr(any_value(h), (2 * max(b) + 1)::BIGINT) AS left_over
+  FROM pieces JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(left_over, h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+""")
 def op9_suffix_dedup(spark, sf_dir):
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return remove_repeats(read(spark, sf_dir, "documents")).select(

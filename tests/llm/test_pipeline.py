@@ -7,6 +7,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from llm.conftest import EDGES, clashing
 from llm.test_lines import expected as expected_lines
 from llm.test_near import component_ids
 from tokenizers import Tokenizer
@@ -89,3 +90,28 @@ def test_empty_documents(spark, folder, tmp_path):
     for name in ("labels", "benchmark"):
         os.symlink(f"{path}/{name}.parquet", f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_on_odd_rows(spark, folder, edges):
+    """Nulls in every column, repeated rows, rows without an id, a very long text, and columns
+    named like those that the operators add."""
+    path, *_ = folder
+    names = ["n_near", "n_repeated", "row", "check", "_doc", "_row", "toxic", "score", "fp", "hit", "line", "gram"]
+    docs = stored(clashing(edges, *names), "odd-rows")
+    whole = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, path)
+        assert result.columns == docs.columns
+        rows = result.collect()
+        assert all(getattr(r, "n_near") == "taken" and r["row"] == "taken" for r in rows)
+        if name in ("toxicity", "decontamination"):
+            assert sorted((r.doc_id, r.text) for r in rows if r.doc_id is not None) == whole
+        if name == "line_dedup":
+            assert len(rows) == len(EDGES)
+        if name == "simhash_near_dedup":
+            assert [r.doc_id for r in rows].count(5) == 0 and {1, 2, 8} <= {r.doc_id for r in rows}
+        empty = stage(spark, docs.limit(0), path)
+        assert empty.columns == docs.columns and empty.count() == 0
+    name, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, docs, path).count() == len(EDGES)
+    assert last(spark, docs.limit(0), path).count() == 0
