@@ -47,6 +47,21 @@ class WordIds(dict):
         return ids
 
 
+def refuse_unknown(content):
+    """An error for a tokenizer file that asks for more than byte-level pairs and added tokens."""
+    model, words = content["model"], content.get("pre_tokenizer") or {}
+    asked = {name: model.get(name) for name in (
+        "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")}
+    asked |= {"normalizer": content.get("normalizer"), "add_prefix_space": words.get("add_prefix_space")}
+    for token in content["added_tokens"]:
+        asked |= {f"{flag} of {token['content']}": token.get(flag) for flag in ("single_word", "lstrip", "rstrip")}
+    odd = [name for name, value in asked.items() if value]
+    if model.get("type", "BPE") != "BPE" or words.get("type") != "ByteLevel" or not words.get("use_regex", True):
+        odd.append("the kind of model or of words")
+    if odd:
+        raise ValueError(f"not supported: {', '.join(odd)}")
+
+
 class BytePairModel:
     """A vocabulary with its merges. Instances reach tasks as a broadcast; the words that a
     Python worker has encoded stay with its copy."""
@@ -57,6 +72,7 @@ class BytePairModel:
             raise ValueError(f"{path} has {size} bytes; at most {MAX_FILE_BYTES} are broadcast")
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
+        refuse_unknown(content)
         letters, model = byte_letters(), content["model"]
         self.strings = {i: bytes(letters[x] for x in token) for token, i in model["vocab"].items()}
         self.special = {x["content"]: x["id"] for x in content["added_tokens"]}
@@ -159,13 +175,15 @@ def encode_documents(docs, path):
     """doc_id and `ids`, the token ids as little-endian unsigned 32-bit integers.
 
     Null texts count as empty and have no ids. A special token's string in a text becomes
-    that token. Every row of the input gives one row, repeated rows too.
+    that token. Every row of the input gives one row, repeated rows too; an empty table gives
+    none. Texts of any length are encoded whole. A tokenizer file that asks for more than
+    byte-level pairs is refused.
     """
     return _mapped(docs, path, "doc_id long, ids binary", lambda model, text: (model.encode(text),))
 
 
 def round_trip(docs, path):
-    """As `encode_documents`, with `decoded`, the text that the ids give back."""
+    """As `encode_documents`, with `decoded`, the text that the ids give back (null text: empty)."""
 
     def both(model, text):
         ids = model.encode(text)
@@ -175,7 +193,7 @@ def round_trip(docs, path):
 
 
 def token_digests(docs, path):
-    """doc_id, n_tokens, ids, and the SHA-256 of the ids and of the decoded text."""
+    """As `round_trip`: doc_id, n_tokens, ids, and the SHA-256 of the ids and of the decoded text."""
     return round_trip(docs, path).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"),

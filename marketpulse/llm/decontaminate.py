@@ -400,7 +400,7 @@ def enough_hits(hits, item, known, least):
 def without_contaminated(docs, benchmark, **options):
     """The rows of `docs` that hold no test item, all columns. A row with a text is judged by
     that text, with or without an id: a clean one stays beside a contaminated one of the same
-    id. Rows whose text is null go with a contaminated one of their id (or without an id)."""
+    id, and repeated rows go or stay together; an empty table stays empty. Rows whose text is null go with a contaminated one of their id (or without an id)."""
     of_id = lambda doc_id: F.xxhash64(F.lit("id"), doc_id.cast("long"))
     hits = keyed_hits(docs, benchmark, **options)
     same = F.struct(F.col("row").alias("hit"), F.col("check").alias("hit_check"))

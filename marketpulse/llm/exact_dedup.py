@@ -40,7 +40,7 @@ def dedup_decisions(docs, bits_per_row=16):
     Of equal texts the row with the smallest doc_id stays; a null doc_id comes after all
     others. Empty and null texts form one group. Rows that share both text and doc_id: each
     is a row of its own in `group_size`, and each carries the smallest id, so all of them
-    count as kept. An empty table gives no rows.
+    count as kept. An empty table gives no rows; texts of any length count by their hash.
 
     The filter takes `bits_per_row` bits a row up to 128 MB. Beyond some 67 million rows it
     fills up and more rows take the shuffle (40 bytes each); the result stays the same.

@@ -49,7 +49,8 @@ def assign_shards(docs, shards=16, rows_per_range=200_000):
     unsigned checksum of those bytes. The law is `key`: doc_id and the shard count alone
     decide; `grown_shard` is the shard with one shard more. Null ids count as key 0.
     `slot` numbers each shard's rows from 0 in the order of doc_id without gaps; rows of
-    one id follow each other. An empty table gives no rows.
+    one id follow each other. An empty table gives no rows; texts of any length count by their
+    size and checksum.
 
     Slots come from ranges: rows are sorted into ranges of ids, numbered inside each range
     and shard, and moved up by the rows of the earlier ranges. A repeated id is spread over

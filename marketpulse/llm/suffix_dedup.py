@@ -290,7 +290,8 @@ def remove_repeats(docs):
     A byte goes if a string of 200 bytes that covers it also starts elsewhere, in the same
     document or another; all are judged on the input. Texts are UTF-8 bytes, a null text is
     empty, and texts under 200 bytes keep everything. Rows alike in id and text are separate
-    documents: their texts repeat. `kept` is binary, since a run may end inside a character.
+    documents: their texts repeat. An empty table gives no rows, and a text of any length is
+    worked on in pieces. `kept` is binary, since a run may end inside a character.
     """
     # Rows alike in id and text share a key: as a set their ranges are no more than one text has.
     starts = repeated_starts(docs)

@@ -67,7 +67,7 @@ def token_counts(docs, path, sections=None, rule="most"):
     and without overlap; without it the sections are the lines and `name` is null. A null or
     empty text has one empty line; a null or empty array gives no row. Every input row is
     counted by itself, repeated rows too. `n_crossing` are the tokens counted in a section
-    that reach beyond it.
+    that reach beyond it. Texts of any length are encoded whole; an empty table gives no rows.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")

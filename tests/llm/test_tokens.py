@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -143,3 +144,18 @@ def test_named_sections(make):
     assert rows == [(1, "body", 2, 1), (1, "title", 1, 0), (3, "all", 0, 0)]
     with pytest.raises(ValueError):
         token_counts(docs, PATH, rule="half")
+
+
+@pytest.mark.parametrize("change", [
+    lambda c: c.update(normalizer={"type": "NFC"}), lambda c: c["model"].update(ignore_merges=True),
+    lambda c: c["pre_tokenizer"].update(add_prefix_space=True), lambda c: c["added_tokens"][0].update(lstrip=True),
+    lambda c: c["model"].update(type="Unigram"),
+])
+def test_other_tokenizers_are_refused(tmp_path, change):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        content = json.load(file)
+    change(content)
+    path = tmp_path / "odd.json"
+    path.write_text(json.dumps(content), encoding="utf-8")
+    with pytest.raises(ValueError, match="not supported"):
+        BytePairModel(str(path))
