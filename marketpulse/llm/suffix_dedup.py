@@ -231,8 +231,8 @@ def deep_buckets(docs, undecided):
 
 
 def repeated_only(rows, *key, label):
-    """Rows of a stored table whose key another row has too. A Bloom filter of the repeated
-    keys comes first, so that the join shuffles few others."""
+    """Rows whose key another row has too. A Bloom filter of the repeated keys comes first, so
+    that the join shuffles few others. The rows are read twice."""
     keys = stored(rows.groupBy(*key).count().where("count > 1").select(*key), f"{label}-keys")
     bitmaps, bits = filter_of(keys.select(F.xxhash64(*key).alias("key")), f"{label}-filter")
     marked = mark_possible(rows, F.xxhash64(*key), bitmaps, bits, "_possible")
@@ -268,8 +268,8 @@ def single_starts(groups):
 def repeated_starts(docs):
     """row, check, low and high: ranges of starts at which a string of 200 bytes begins that also
     begins somewhere else."""
-    sampled = stored(sampled_buckets(docs), "suffix-anchors")
-    shared = stored(repeated_only(sampled, "gram", label="suffix-gram"), "suffix-shared")
+    # All anchors together take as much room as the corpus: they are made twice and not stored.
+    shared = stored(repeated_only(sampled_buckets(docs), "gram", label="suffix-gram"), "suffix-shared")
 
     one = F.min(F.struct(*KEY, "low", "span", "place")).alias("one")
     around = stored(
