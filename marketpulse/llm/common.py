@@ -23,11 +23,15 @@ def stored(df, label):
 
 def small(batches, most=4 << 20):
     """Arrow batches in slices of some `most` bytes (one row at least), so that a task holds
-    only so much text as Python objects at a time."""
+    only so much text as Python objects at a time. What Arrow has put by goes at the end: the
+    worker stays for other tasks."""
+    import pyarrow as pa
+
     for batch in batches:
         step = max(1, batch.num_rows * most // max(1, batch.nbytes))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+    pa.default_memory_pool().release_unused()
 
 
 def documents(docs, *extra):

@@ -88,7 +88,7 @@ def lines_of(docs, least, near_least):
                     if len(line) >= least:
                         keys = line_keys(line) if len(line) >= near_least else []
                         rows.append((doc_id, row, check, number, *identity(line), len(line), keys))
-                if len(rows) >= 50_000:
+                if len(rows) >= 10_000:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                     rows = []
             if rows:
