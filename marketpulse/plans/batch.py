@@ -1,7 +1,7 @@
 """The batch chain for one logical date, with a table after each step, and the catch-up of all
 days that runs have landed for since."""
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -136,7 +136,8 @@ def catch_up(spark, root, ticks, products=PRODUCTS, change_of="btc"):
     days = changed_days(spark, landed, paths["reports"])
 
     def insight_of(summary):
-        prices = of_days(ticks, *(F.lit(d).cast("date") + F.lit(n) for d in days for n in (0, -1)))
+        own = [date.fromisoformat(d) for d in days]
+        prices = of_days(ticks, *map(F.lit, sorted({d - timedelta(n) for d in own for n in (0, 1)})))
         every = spark.createDataFrame([(d,) for d in days], "day string")
         every = every.select(F.col("day").cast("date").alias("report_date"))
         return every.join(insights_all(summary, prices, products, change_of), "report_date", "left")

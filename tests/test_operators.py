@@ -149,3 +149,16 @@ def test_a_day_opens_its_folder_only(spark, tmp_path):
     both = operators.day_prices(table, "2026-01-15")
     assert folders_read(both) == 2
     assert values(both, "btc_avg_price", "btc_price_change") == [(14.0, 7.69)]
+
+
+def test_ticks_of_more_days_than_an_expression_can_list(spark, tmp_path):
+    first = utc("2020-01-01T12:00:00")
+    rows = [("A", float(n), first + timedelta(n)) for n in (0, 1, 2, 1498, 1499, 1500, 2500)] + [("A", 0.5, None)]
+    made = spark.createDataFrame(rows, "symbol string, price double, event_time timestamp")
+    days = [(first + timedelta(n)).date() for n in range(1500) if n != 2]
+    kept = operators.prices.of_days(made, *map(F.lit, days))
+    assert values(kept, "price") == [(0.0,), (1.0,), (1498.0,), (1499.0,)]
+    made.where("price < 2000").withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date").parquet(f"{tmp_path}/t")
+    kept = operators.prices.of_days(spark.read.parquet(f"{tmp_path}/t"), *map(F.lit, days))
+    assert folders_read(kept) == 4 and kept.count() == 4
+    assert operators.by_day(made, "2020-01-03").count() == 1
