@@ -45,9 +45,11 @@ class _Days:
     def __init__(self, spark, paths, days, landed, stamp):
         self.spark, self.paths, self.days, self.landed, self.stamp = spark, paths, days, landed, stamp
 
-    def publish(self, rows, name, day_column, schema, notes=None):
+    def publish(self, rows, name, day_column="report_date", few=True, notes=None):
         rows = rows.withColumn("loaded_at", F.lit(self.stamp))
-        replace_days(rows, self.paths[name], self.days, day_column, notes=notes)
+        replace_days(rows, self.paths[name], self.days, day_column, notes=notes, few=few)
+
+    def published(self, name, schema, day_column="report_date"):
         return read_days(self.spark, self.paths[name], schema, day_column, days=self.days)
 
     def silver(self, seen=None):
@@ -59,17 +61,18 @@ class _Days:
         posts = posts_of(read_winners(self.spark, table, self.days))
         if seen is not None:
             posts = posts.observe(seen, F.count("*").alias("rows"))
-        return self.publish(posts, "silver_posts", "run_date", schemas.SILVER_POSTS)
+        self.publish(posts, "silver_posts", "run_date", few=False)
+        return self.published("silver_posts", schemas.SILVER_POSTS, "run_date")
 
     def gold(self, posts, insight_of):
         """The gold tables; gives the insights. The reports are the last table, and their
         versions carry the digest of the runs in them."""
-        self.publish(top_stories(posts), "top_stories", "report_date", schemas.TOP_STORIES)
-        self.publish(source_counts(posts), "source_counts", "run_date", schemas.SOURCE_COUNTS)
-        summary = self.publish(source_summary(posts), "source_summary", "report_date", schemas.SOURCE_SUMMARY)
-        insight = self.publish(insight_of(summary), "insights", "report_date", schemas.INSIGHTS)
-        notes = {d: digest(self.landed[d]) for d in self.days}
-        self.publish(insight_report(insight), "reports", "report_date", schemas.REPORTS, notes)
+        self.publish(top_stories(posts), "top_stories")
+        self.publish(source_counts(posts), "source_counts", "run_date")
+        self.publish(source_summary(posts), "source_summary")
+        self.publish(insight_of(self.published("source_summary", schemas.SOURCE_SUMMARY)), "insights")
+        insight = self.published("insights", schemas.INSIGHTS)
+        self.publish(insight_report(insight), "reports", notes={d: digest(self.landed[d]) for d in self.days})
         return insight
 
 

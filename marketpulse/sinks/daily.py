@@ -16,18 +16,22 @@ VERSION = "version"
 NOTHING = "none"
 
 
-def replace_days(rows, table, days=None, day_column="report_date", kind="parquet", notes=None):
+def replace_days(rows, table, days=None, day_column="report_date", kind="parquet", notes=None, few=False):
     """Make `rows` the content of `days`. Rows of other days are left out. Without a list,
     the days that occur in `rows` are replaced. `notes` ({day: text}) go into the names of
-    their versions, after a hyphen."""
+    their versions, after a hyphen. With `few` rows a day it is the folders that take the time,
+    and every core writes some of the days."""
     spark, version = rows.sparkSession, pointers.new_version()
     if days is not None:
         days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
         rows = rows.where(F.col(day_column).isin(days))
-    if days is None or len(days) > 1:
+    rows = _with_version(rows, version, notes, day_column)
+    if few and days is not None and len(days) > 1:
+        rows = rows.repartition(min(len(days), spark.sparkContext.defaultParallelism), day_column)
+    elif days is None or len(days) > 1:
         # Bring each day's rows together before the per-day folders; AQE splits big days.
         rows = rows.hint("rebalance", day_column)
-    writer = rows.withColumn(VERSION, _version_of(version, notes, day_column)).write.mode("append")
+    writer = rows.write.mode("append")
     writer.partitionBy(day_column, VERSION).format(kind).save(table)
     written = pointers.matching(spark, f"{table}/{day_column}=*/{VERSION}={version}*", 2)
     written = {folder.split("=", 1)[1]: name.split("=", 1)[1] for folder, name in written}
@@ -36,21 +40,28 @@ def replace_days(rows, table, days=None, day_column="report_date", kind="parquet
     drop_superseded(spark, table, wanted, day_column)
 
 
-def _version_of(version, notes, day_column):
+def _with_version(rows, version, notes, day_column):
+    """Rows with the version of their day. The notes are looked up by day in a small table:
+    written into the expression, those of many days make it too large to compile."""
     if not notes:
-        return F.lit(version)
-    noted = F.create_map(*(F.lit(x) for day, note in notes.items() for x in (str(day), f"{version}-{note}")))
-    return F.coalesce(noted[F.col(day_column).cast("string")], F.lit(version))
+        return rows.withColumn(VERSION, F.lit(version))
+    noted = [(str(day), f"{version}-{note}") for day, note in notes.items()]
+    noted = rows.sparkSession.createDataFrame(noted, f"day string, {VERSION} string")
+    noted = F.broadcast(noted.select(F.col("day").cast("date").alias(day_column), VERSION))
+    return rows.join(noted, day_column, "left").fillna(version, [VERSION])
 
 
 def drop_superseded(spark, table, days, day_column="report_date"):
     """Remove the versions of these days that are no longer current, with those that a writer
     has left without pointing to them."""
     now = pointers.current(spark, table)
-    for day in days:
+
+    def drop(day):
         for folder in pointers.names(spark, f"{table}/{day_column}={day}"):
             if folder.startswith(f"{VERSION}=") and folder != f"{VERSION}={now.get(day)}":
                 pointers.remove(spark, f"{table}/{day_column}={day}/{folder}")
+
+    pointers.each(drop, days)
     pointers.forget(spark, table, set(days))
 
 

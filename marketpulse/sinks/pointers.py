@@ -11,16 +11,30 @@ Hadoop's file systems, like Spark's own files.
 """
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
 FOLDER = "_current"
+THREADS = 16  # calls to the file system wait more than they work
 
 
 def new_version():
     return uuid.uuid4().hex[:12]
 
 
+def each(act, items):
+    """The results of an action on each item, several items at a time."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        return list(pool.map(act, items))
+
+
+@lru_cache(1)
+def _path(jvm):
+    return jvm.org.apache.hadoop.fs.Path  # each part of the name is a call
+
+
 def _at(spark, path):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place = _path(spark._jvm)(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
@@ -53,12 +67,17 @@ def remove(spark, path):
     fs.delete(place, True)
 
 
-def appear(spark, path):
-    """An empty file under a name that is new."""
+def hidden(spark, folder):
+    """The path of an empty file in the folder, under a name that readers pass over."""
+    path = f"{folder}/.{uuid.uuid4().hex}"
     fs, place = _at(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid.uuid4().hex}")
-    fs.mkdirs(place.getParent())
-    fs.create(aside, False).close()
+    fs.create(place, False).close()
+    return path
+
+
+def appear(spark, aside, path):
+    """The file gets a name that is new."""
+    (fs, aside), (_, place) = _at(spark, aside), _at(spark, path)
     if not fs.rename(aside, place):
         raise OSError(f"{path} could not be made")
 
@@ -80,19 +99,22 @@ def current(spark, root):
 
 
 def switch(spark, root, versions):
-    """Make these the current versions of their keys, one key after the other."""
-    before = list(_files(spark, root))
-    for key, version in versions.items():
-        number = max((n for k, n, _ in before if k == key), default=0) + 1
-        appear(spark, f"{root}/{FOLDER}/{key}.{number}.{version}")
+    """Make these the current versions of their keys, one key after the other. All files are
+    made before the first one appears."""
+    before = {}
+    for key, number, _ in _files(spark, root):
+        before[key] = max(number, before.get(key, 0))
+    fs, place = _at(spark, f"{root}/{FOLDER}")
+    fs.mkdirs(place)
+    asides = each(lambda _: hidden(spark, f"{root}/{FOLDER}"), versions)
+    for aside, (key, version) in zip(asides, versions.items()):
+        appear(spark, aside, f"{root}/{FOLDER}/{key}.{before.get(key, 0) + 1}.{version}")
 
 
 def forget(spark, root, keys):
     """Remove the pointers of these keys but the current ones; gives the (key, version) whose
     pointers are gone and which nothing names any more."""
-    now, gone = current(spark, root), []
-    for key, number, version in list(_files(spark, root)):
-        if key in keys and version != now[key]:
-            remove(spark, f"{root}/{FOLDER}/{key}.{number}.{version}")
-            gone.append((key, version))
-    return gone
+    now = current(spark, root)
+    gone = [(k, n, version) for k, n, version in _files(spark, root) if k in keys and version != now[k]]
+    each(lambda file: remove(spark, f"{root}/{FOLDER}/{file[0]}.{file[1]}.{file[2]}"), gone)
+    return [(key, version) for key, _, version in gone]

@@ -1,11 +1,12 @@
 import os
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import folders_read, plan, utc, values
 from marketpulse import plans, schemas
-from marketpulse.plans import winners
+from marketpulse.plans import batch, winners
 from marketpulse.plans.batch import table_paths
 from marketpulse.sinks import land_bronze, pointers, read_days, replace_days
 from marketpulse.sources import scan_day
@@ -378,3 +379,48 @@ def test_bronze_records_are_read_field_by_field(spark, tmp_path):
     assert "from_json" in plan(plans.silver_stories(rows)) and "from_json" not in plan(plans.silver_posts(table))
     read = [line for line in plan(plans.silver_stories(table)).split("\n") if "ReadSchema" in line]
     assert all("record:struct<0:string" in line for line in read) and read
+
+
+def test_thousands_of_days_are_caught_up_at_once(spark, tmp_path, monkeypatch):
+    """The chain of 1,500 days, up to their insights; folders are not written."""
+    first, made = date(2020, 1, 1), {}
+    days = [str(first + timedelta(n)) for n in range(1500)]
+
+    def keep(rows, table, *place, **options):
+        if table.endswith("/insights"):
+            made["rows"] = values(rows.where("btc_avg_price IS NOT NULL"), "report_date", "btc_avg_price", "btc_price_change")
+            made["count"] = rows.count()
+
+    monkeypatch.setattr(batch, "landed_runs", lambda *place: {day: {"r1": 1} for day in days})
+    monkeypatch.setattr(batch, "merge_days", lambda *place: None)
+    monkeypatch.setattr(batch, "replace_days", keep)
+    ticks = spark.createDataFrame(
+        [("BTC-USD", p, utc(f"{d}T01:00:00")) for p, d in ((2.0, "2019-12-31"), (3.0, days[0]), (4.0, days[-1]), (5.0, "2030-01-01"))],
+        "symbol string, price double, event_time timestamp",
+    )
+    ticks.withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date").parquet(f"{tmp_path}/ticks")
+    for prices in (ticks, spark.read.parquet(f"{tmp_path}/ticks")):
+        assert plans.catch_up(spark, f"{tmp_path}/tables", prices) == days
+        assert made == {"count": 1500, "rows": [(days[0], 3.0, 50.0), (days[-1], 4.0, None)]}
+
+
+def test_notes_of_many_days(spark, tmp_path):
+    """Each day's version carries its own note."""
+    path, first = f"{tmp_path}/t", date(2020, 1, 1)
+    days = [str(first + timedelta(n)) for n in range(400)]
+    new = rows(spark, ("a", 1, days[0]), ("b", 2, days[0]), ("c", 3, days[399]), ("x", 4, "2019-01-01"))
+    for few in (False, True):
+        replace_days(new, path, days, notes={d: f"n{d[-2:]}" for d in days}, few=few)
+        assert current(spark, path) == [("a", 1, days[0]), ("b", 2, days[0]), ("c", 3, days[399])]
+        versions = pointers.current(spark, path)
+        assert versions[days[0]].endswith("-n01") and versions[days[399]].endswith(f"-n{days[399][-2:]}")
+        assert len(versions) == 400 and set(list(versions.values())[1:-1]) == {"none"}
+
+
+def test_few_rows_of_many_days_are_written_by_several_tasks(spark, tmp_path):
+    path, first = f"{tmp_path}/t", date(2020, 1, 1)
+    days = [str(first + timedelta(n)) for n in range(40)]
+    replace_days(rows(spark, *[(d, 1, d) for d in days for _ in range(2)]), path, days, few=True)
+    files = [f for d in days for _, _, names in os.walk(f"{path}/report_date={d}") for f in names if f.endswith(".parquet")]
+    assert len(files) == 40 and len({f.split("-")[1] for f in files}) > 1
+    assert read_days(spark, path, SCHEMA).count() == 80
