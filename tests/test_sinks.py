@@ -424,3 +424,90 @@ def test_few_rows_of_many_days_are_written_by_several_tasks(spark, tmp_path):
     files = [f for d in days for _, _, names in os.walk(f"{path}/report_date={d}") for f in names if f.endswith(".parquet")]
     assert len(files) == 40 and len({f.split("-")[1] for f in files}) > 1
     assert read_days(spark, path, SCHEMA).count() == 80
+
+
+MANY = [str(date(2020, 1, 1) + timedelta(n)) for n in range(200)]
+
+
+def many(spark, x, days=MANY):
+    return rows(spark, *[(x, n, d) for n, d in enumerate(days)])
+
+
+def told(x, days=MANY):
+    return [(x, n, d) for n, d in enumerate(days)]
+
+
+def in_order(found):
+    return sorted(found, key=repr)
+
+
+def files(path, ending=".parquet"):
+    return [os.path.join(at, f) for at, _, names in os.walk(path) for f in names if f.endswith(ending)]
+
+
+def groups(path):
+    return sorted(at[len(path):] for at, _, _ in os.walk(path) if "days_group=" in at)
+
+
+def test_many_days_share_files_and_a_pointer(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for few in (False, True):
+        replace_days(many(spark, f"a{few}"), path, MANY, few=few)
+        assert len(files(path)) == 4 and len([f for f in os.listdir(f"{path}/_current") if "." not in f[:1]]) == 1
+    assert current(spark, path) == in_order(told("aTrue"))
+    assert current(spark, path, MANY[70]) == [("aTrue", 70, MANY[70])]
+
+    # Some days anew, alone: the others stay where they are, read without the rows that went.
+    replace_days(rows(spark, ("b", 1, MANY[0]), ("b", 2, MANY[70])), path, [MANY[0], MANY[1], MANY[70]])
+    expected = [r for r in told("aTrue") if r[1] not in (0, 1, 70)] + [("b", 1, MANY[0]), ("b", 2, MANY[70])]
+    assert current(spark, path) == in_order(expected) and len(groups(path)) == 4
+    assert values(read_days(spark, path, SCHEMA, days=MANY[69:72]), "x", "n") == [("aTrue", 69), ("aTrue", 71), ("b", 2)]
+    assert current(spark, path, MANY[1]) == []
+
+    # Many days anew, in other groups: groups go with the last of their days, folders of days at once.
+    replace_days(many(spark, "c", MANY[:100]), path, MANY[:100])
+    expected = told("c", MANY[:100]) + [r for r in told("aTrue") if r[1] >= 100]
+    assert current(spark, path) == in_order(expected) and len(groups(path)) == 2 + 3
+    assert [f for f in files(path) if "report_date=" in f] == []
+    replace_days(many(spark, "d"), path, MANY)
+    assert current(spark, path) == in_order(told("d")) and len(groups(path)) == 4 and len(os.listdir(f"{path}/_together")) == 1
+    replace_days(rows(spark, ("x", 1, "2031-01-01")), path, MANY)  # none has rows
+    assert current(spark, path) == [] and groups(path) == []
+    assert set(pointers.current(spark, path).values()) == {"none"}
+
+
+@pytest.mark.parametrize("name, step, switched", [
+    ("write_text", 1, False), ("write_text", 2, False), ("appear", 1, False), ("remove", 1, True), ("remove", 2, True),
+])
+def test_a_driver_that_dies_leaves_many_days_old_or_new(spark, tmp_path, monkeypatch, name, step, switched):
+    path = f"{tmp_path}/t"
+    replace_days(many(spark, "a"), path, MANY)
+    with monkeypatch.context() as patch:
+        dying(patch, name, step)
+        with pytest.raises(Died):
+            replace_days(many(spark, "b"), path, MANY)
+    assert current(spark, path) == in_order(told("b" if switched else "a"))
+    replace_days(rows(spark, ("z", 0, "2031-01-01")), path, ["2031-01-01"])  # leaves what is another's
+    left = len(groups(path))
+    assert left == (4 if (name, step) in (("write_text", 1), ("remove", 2)) else 8)
+    replace_days(many(spark, "c"), path, MANY)
+    assert current(spark, path) == in_order([*told("c"), ("z", 0, "2031-01-01")])
+    assert len(groups(path)) == 4 and len(files(f"{path}/_together")) == 4
+    assert len([f for f in os.listdir(f"{path}/_current") if f.startswith("_list")]) == 1
+
+
+def test_many_days_are_merged_from_run_to_run(spark, tmp_path):
+    """Winners, silver and gold of days that share files."""
+    root, bronze_path = str(tmp_path), table_paths(str(tmp_path))["bronze_posts"]
+    ticks = no_ticks(spark)
+    for n, days in enumerate((MANY[:150], MANY[50:], MANY[60:63])):
+        items = [hn(at=f"{d}T1{n}:00:00", id=i, title=f"t{n}", score=(i * 7 + n * 5) % 11) for d in days for i in range(n, n + 2)]
+        land_bronze(bronze(spark, *items), bronze_path, f"r{n}")
+        assert plans.catch_up(spark, root, ticks) == days
+        assert silver(spark, root) == whole(spark, root)
+        assert plans.catch_up(spark, root, ticks) == []
+    stored = read_days(spark, table_paths(root)["insights"], schemas.INSIGHTS).drop("loaded_at")
+    full = plans.insights_all(plans.source_summary(plans.silver_posts(
+        spark.read.schema(schemas.BRONZE_POSTS).parquet(bronze_path))), ticks)
+    assert values(stored) == values(full, *stored.columns) and stored.count() == 200
+    assert len(files(table_paths(root)["reports"])) < 40
