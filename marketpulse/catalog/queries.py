@@ -60,12 +60,12 @@ def pages(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
 
-def stored(spark, sf_dir, name, rows, folder):
+def stored(spark, sf_dir, name, rows, folder, codec="snappy"):
     """A table written once per session and input, with one folder per value of `folder`."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in STORED:
         path = scratch_dir(spark, name)
-        rows().write.partitionBy(folder).parquet(path)
+        rows().write.partitionBy(folder).parquet(path, compression=codec)
         STORED[key] = path
     return spark.read.parquet(STORED[key])
 
@@ -415,16 +415,19 @@ def audit_row(spark, sf_dir):
 
 def caught_up(spark, sf_dir):
     """Both feeds landed by three runs, and the tables brought up to date after each of them;
-    once per session and input."""
+    once per session and input. The rows are stored by run, so that a run reads its own."""
     key = (spark.sparkContext.applicationId, sf_dir, "caught-up")
     if key in STORED:
         return STORED[key]
     paths = table_paths(scratch_dir(spark, "caught-up"))
-    bronze = stored(spark, sf_dir, "bronze-posts", lambda: inputs.bronze_posts(spark, sf_dir), "fetch_date")
+    def rows():
+        run = F.pmod(F.xxhash64("load_id", "raw_data"), F.lit(3))
+        return inputs.bronze_posts(spark, sf_dir).withColumn("run", run)
+
+    bronze = stored(spark, sf_dir, "bronze-posts", rows, "run", "zstd")
     root = paths["bronze_posts"].rpartition("/")[0]
-    run = F.pmod(F.xxhash64("load_id", "raw_data"), F.lit(3))
     for n in (0, 1, 2):
-        sinks.land_bronze(bronze.where(run == n), paths["bronze_posts"], f"run-{n}")
+        sinks.land_bronze(bronze.where(F.col("run") == n).drop("run"), paths["bronze_posts"], f"run-{n}")
         plans.catch_up(spark, root, stored_prices(spark, sf_dir), PRODUCTS)
     STORED[key] = paths
     return paths

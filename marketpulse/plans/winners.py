@@ -17,7 +17,7 @@ from marketpulse.plans.bronze import ARTICLES, STORIES
 from marketpulse.plans.silver import (
     POST, article_versions, best_stories, latest_articles, story_versions,
 )
-from marketpulse.sinks import pointers, read_days, replace_days
+from marketpulse.sinks import pointers, read_days, read_folders, replace_days
 
 DAY = "run_date"
 RUN = "(run)"  # source of the rows that list the runs
@@ -83,7 +83,7 @@ def merge_days(spark, bronze, table, landed, days):
             kept.append(day)
     rows = read_winners(spark, table, kept)
     if paths:
-        found = spark.read.schema(schemas.BRONZE_POSTS).option("basePath", bronze).parquet(*paths)
+        found = read_folders(spark, schemas.BRONZE_POSTS, bronze, paths)
         rows = rows.unionByName(versions(found).select(*rows.columns))
     marks = [(RUN, run, str(stamp), day) for day in days for run, stamp in landed[day].items()]
     marks = spark.createDataFrame(marks, "source string, post_id string, title string, day string")

@@ -45,8 +45,13 @@ def shape_articles(raw, limit=None, fields=None):
 
 
 def article_records(pages, limit=None):
-    """The articles of parsed pages, with the nested publisher name flattened."""
-    listed = pages.select("fetched_at", F.posexplode("articles").alias("place", "article"))
+    """The articles of parsed pages, with the nested publisher name flattened.
+
+    The outer generator keeps Catalyst from checking the size of the list below it, which would
+    make all of the list once more where it is derived; what it adds for an empty list goes.
+    """
+    listed = pages.select("fetched_at", F.posexplode_outer("articles").alias("place", "article"))
+    listed = listed.where(F.col("place").isNotNull())
     if limit is not None:
         listed = listed.where(F.col("place") < limit)
     return listed.select(

@@ -2,8 +2,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import utc, values
+from conftest import plan, utc, values
 from marketpulse.sources import kafka_values, normalize_frames, parse_ticks, scan_day, shape_articles, shape_stories
+from marketpulse.sources.feeds import article_records
 from marketpulse.sources.messages import bad_ticks, valid_ticks
 
 AT = utc("2026-02-19T10:00:00")
@@ -58,6 +59,16 @@ def test_articles(spark):
     assert shape_articles(raw, 10, ["title", "source"]).count() == 10
 
 
+def test_lists_of_articles_are_derived_once(spark):
+    """Catalyst does not repeat their expressions in a filter on the size of the list."""
+    raw = spark.createDataFrame([(AT, "a,b"), (AT, ""), (AT, None)], "fetched_at timestamp, text string")
+    entry = F.struct(*(F.col("text").alias(n) for n in ("title", "description", "url", "publishedAt")), F.struct(F.lit("s").alias("name")).alias("source"))
+    listed = F.when(F.col("text") == "", F.array().cast("array<struct<title:string,description:string,url:string,publishedAt:string,source:struct<name:string>>>"))
+    rows = article_records(raw.select("fetched_at", listed.when(F.col("text").isNotNull(), F.array(entry, entry)).alias("articles")))
+    assert values(rows, "feed_pos", "title") == [(1, "a,b"), (2, "a,b")]
+    assert "size(" not in plan(rows)
+
+
 def frames(spark, *texts):
     rows = [(json.dumps(t) if not isinstance(t, str) else t, AT, n) for n, t in enumerate(texts)]
     return spark.createDataFrame(rows, "value string, received_at timestamp, seq int")
