@@ -45,9 +45,9 @@ class _Days:
     def __init__(self, spark, paths, days, landed, stamp):
         self.spark, self.paths, self.days, self.landed, self.stamp = spark, paths, days, landed, stamp
 
-    def publish(self, rows, name, day_column="report_date", few=True, notes=None):
+    def publish(self, rows, name, day_column="report_date", few=True, notes=None, gathered=False):
         rows = rows.withColumn("loaded_at", F.lit(self.stamp))
-        replace_days(rows, self.paths[name], self.days, day_column, notes=notes, few=few)
+        replace_days(rows, self.paths[name], self.days, day_column, notes=notes, few=few, gathered=gathered)
 
     def published(self, name, schema, day_column="report_date"):
         return read_days(self.spark, self.paths[name], schema, day_column, days=self.days)
@@ -61,7 +61,7 @@ class _Days:
         posts = posts_of(read_winners(self.spark, table, self.days))
         if seen is not None:
             posts = posts.observe(seen, F.count("*").alias("rows"))
-        self.publish(posts, "silver_posts", "run_date", few=False)
+        self.publish(posts, "silver_posts", "run_date", few=False, gathered=True)  # as the winners are
         return self.published("silver_posts", schemas.SILVER_POSTS, "run_date")
 
     def gold(self, posts, insight_of):

@@ -28,16 +28,18 @@ TOGETHER = "_together"
 DAYS = "_days"
 
 
-def replace_days(rows, table, days=None, day_column="report_date", kind="parquet", notes=None, few=False):
+def replace_days(rows, table, days=None, day_column="report_date", kind="parquet", notes=None, few=False,
+                 gathered=False):
     """Make `rows` the content of `days`. Rows of other days are left out. Without a list,
     the days that occur in `rows` are replaced. `notes` ({day: text}) go into the names of
     their versions, after a hyphen. With `few` rows a day it is the folders that take the time,
-    and every core writes some of the days."""
+    and every core writes some of the days. Rows `gathered` by day, as those read from another
+    table of the same days, are not shuffled when many days share files."""
     spark, version = rows.sparkSession, pointers.new_version()
     if days is not None:
         days = [date.fromisoformat(d) if isinstance(d, str) else d for d in days]
         if kind == "parquet" and len(set(days)) > GROUP:
-            wanted = _write_groups(rows, table, days, day_column, version, notes, few)
+            wanted = _write_groups(rows, table, days, day_column, version, notes, few, gathered)
             pointers.switch_together(spark, table, wanted)
             drop_superseded(spark, table, wanted, day_column)
             return
@@ -68,7 +70,7 @@ def _with_version(rows, version, notes, day_column):
     return rows.join(noted, day_column, "left").fillna(version, [VERSION])
 
 
-def _write_groups(rows, table, days, day_column, version, notes, few):
+def _write_groups(rows, table, days, day_column, version, notes, few, gathered):
     """Write the days in groups; gives the version of each day. The days are listed before the
     rows are written: whoever finds rows that nothing names knows whose they are."""
     spark, place = rows.sparkSession, f"{table}/{TOGETHER}/{version}"
@@ -80,7 +82,7 @@ def _write_groups(rows, table, days, day_column, version, notes, few):
     if few:
         parts = min(1 + max(group.values()), spark.sparkContext.defaultParallelism)
         rows = rows.repartition(parts, GROUPED)
-    else:
+    elif not gathered:
         rows = rows.hint("rebalance", GROUPED)  # AQE splits big groups
     rows.write.mode("append").partitionBy(GROUPED).parquet(place)
     held = spark.read.schema(f"{day_column} date").parquet(place).distinct().collect()  # one row per day
